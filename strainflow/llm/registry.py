@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from strainflow.llm import bpe
+from strainflow.llm import bpe, lines, sharding
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
+    "op2_best_fit_shards": sharding.op2_best_fit_shards,
+    "op3_site_lines": lines.op3_site_lines,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_site_lines": lines.OP3_SQL,
+}
