@@ -56,7 +56,15 @@ def release(spark: SparkSession) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bounded_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Arrow batches between the JVM and Python hold no more than about this many bytes, for
+    the rest of the session: by rows alone, a batch of long texts would take all memory."""
+    with contextlib.suppress(Exception):  # older 4.x has no such setting
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from strainflow.llm import bpe, lines, sharding
+from strainflow.llm import bpe, decontaminate, lines, media, sharding, tokenfile, toxicity, warc
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
     "op2_best_fit_shards": sharding.op2_best_fit_shards,
     "op3_site_lines": lines.op3_site_lines,
+    "op4_benchmark_windows": decontaminate.op4_benchmark_windows,
+    "op6_toxic_lexicon": toxicity.op6_toxic_lexicon,
+    "op7_arc_to_warc": warc.op7_arc_to_warc,
+    "op8_media_sequences": media.op8_media_sequences,
+    "op10_token_frames": tokenfile.op10_token_frames,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_site_lines": lines.OP3_SQL,
+    "op4_benchmark_windows": decontaminate.OP4_SQL,
 }
