@@ -4,7 +4,8 @@ encode() splits every text with the vocabulary's pattern (JVM), gathers the dist
 of a block of documents, folds the ranked merges over each distinct word's byte array with
 Spark's higher-order functions against a literal map from pairs of ids to the merged id, and
 puts the ids back in the documents' order. All of it is narrow: no row is shuffled, a block
-holds a bounded number of bytes, and nothing grows with the corpus. decode() concatenates the
+holds a bounded number of bytes, and nothing grows with the corpus. Words that a bounded sample
+of the texts has often are folded first, once, and broadcast. decode() concatenates the
 ids' byte pieces.
 
 Defined cases: a null text is the empty text and has no ids; a null or repeated doc_id is
@@ -22,14 +23,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strainflow.llm.common import table, text_or_empty
+from strainflow.llm.common import bounded_batches, materialize, table, text_or_empty, total_bytes
 
 #: Bytes of words that a block of documents gathers before its distinct words are folded.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 24 << 20
+#: Frequent words, gathered from about SAMPLE_BYTES of text, that are folded once instead of once
+#: a block. A cache: which words it holds changes no result.
+HEAD_WORDS, SAMPLE_BYTES = 300_000, 48 << 20
 #: Words to a row while they are folded.
 WORDS_PER_ROW = 2000
 MAX_FOLD_BYTES = 256
@@ -183,9 +188,10 @@ def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _blocks(byte_ids: bytes, max_fold: int, block_bytes: int):
+def _blocks(byte_ids: bytes, max_fold: int, block_bytes: int, head=None):
     """Rows of a partition: for each block its distinct words as arrays of byte ids, in rows of
-    WORDS_PER_ROW, then its documents as positions in that list (an Arrow stream)."""
+    WORDS_PER_ROW, then its documents as positions in that list (an Arrow stream). Words of the
+    head (a broadcast of Arrow arrays: words and ids) come before the block's own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -197,17 +203,16 @@ def _blocks(byte_ids: bytes, max_fold: int, block_bytes: int):
             if isinstance(lists, pa.ChunkedArray):
                 ids, lists = pa.concat_arrays(ids.chunks), pa.concat_arrays(lists.chunks)
             coded = lists.flatten().dictionary_encode()
-            words = [w.encode() for w in coded.dictionary.to_pylist()]
-            short = [i for i, w in enumerate(words) if len(w) <= max_fold]
-            if len(short) < len(words):
-                order = np.array(short + [i for i, w in enumerate(words) if len(w) > max_fold])
-                place = np.empty(len(words), np.int32)
-                place[order] = np.arange(len(words), dtype=np.int32)
-                words = [words[i] for i in order]
-                index = pa.array(place[coded.indices.to_numpy(zero_copy_only=False)])
-            else:
-                index = coded.indices
-            for part, fold in ((words[: len(short)], True), (words[len(short) :], False)):
+            known = head.value[0] if head else pa.array([], pa.string())
+            place = pc.index_in(coded.dictionary, value_set=known).fill_null(-1).to_numpy().astype(np.int32)
+            own = np.flatnonzero(place < 0)
+            long = pc.greater(pc.binary_length(coded.dictionary), max_fold).to_numpy(zero_copy_only=False)[own]
+            own = np.concatenate([own[~long], own[long]])
+            place[own] = len(known) + np.arange(len(own), dtype=np.int32)
+            words = [w.encode() for w in coded.dictionary.take(pa.array(own)).to_pylist()]
+            short, index = len(words) - int(long.sum()), pa.array(place[coded.indices.to_numpy(zero_copy_only=False)])
+            del coded
+            for part, fold in ((words[:short], True), (words[short:], False)):
                 step = WORDS_PER_ROW if fold else 1
                 for k in range(0, len(part), step):
                     some = part[k : k + step]
@@ -239,7 +244,7 @@ def _blocks(byte_ids: bytes, max_fold: int, block_bytes: int):
     return run
 
 
-def _assemble(path: str, byte_ids: bytes):
+def _assemble(path: str, byte_ids: bytes, head=None):
     """Puts the folded words' ids back in the order of each document's words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +255,7 @@ def _assemble(path: str, byte_ids: bytes):
             for row in range(batch.num_rows):
                 if not batch.column(0)[row].is_valid:
                     if values is None:
-                        whole = pa.concat_arrays(words) if words else pa.array([], pa.list_(pa.int32()))
+                        whole = pa.concat_arrays(([head.value[1]] if head else []) + words) if words or head else pa.array([], pa.list_(pa.int32()))
                         values, ends = whole.flatten().to_numpy(), whole.offsets.to_numpy()
                         starts, lengths = (ends[:-1] - ends[0]).astype(np.int64), np.diff(ends).astype(np.int64)
                         words = []
@@ -274,15 +279,45 @@ def _assemble(path: str, byte_ids: bytes):
     return run
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", max_fold_bytes: int = MAX_FOLD_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def _head(split: DataFrame, vocabulary: Vocabulary, max_fold: int, most: int):
+    """Frequent words and their ids, folded once: a broadcast of at most `most` short words."""
+    if not most:
+        return None
+    spark = split.sparkSession
+    share = max(1, total_bytes(split, F.col("text")) // SAMPLE_BYTES)
+    words = split.filter(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).select(F.explode("found").alias("word")).filter(F.octet_length("word") <= max_fold)
+    often = words.groupBy("word").agg(F.count("*").alias("n")).filter("n > 1").orderBy(F.desc("n"), "word").limit(most).select("word")
+    byte_ids = vocabulary.byte_ids
+
+    def as_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            some = [w.encode() for w in batch.column(0).to_pylist()]
+            ends = np.cumsum([0, *map(len, some)], dtype=np.int32)
+            inner = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(some).translate(byte_ids), np.uint8).astype(np.int32)))
+            yield pa.record_batch([batch.column(0), inner], ["word", "bytes"])
+
+    dealt = often.repartition(spark.sparkContext.defaultParallelism, "word").mapInArrow(as_ids, "word string, bytes array<int>")
+    got = materialize(dealt.select("word", vocabulary.fold(F.col("bytes")).alias("ids")), "head").toArrow().combine_chunks()
+    if not got.num_rows:
+        return None
+    word, ids = got.column("word").combine_chunks(), got.column("ids").combine_chunks()
+    if isinstance(word, pa.ChunkedArray):
+        word, ids = pa.concat_arrays(word.chunks), pa.concat_arrays(ids.chunks)
+    return spark.sparkContext.broadcast((word, ids.cast(pa.list_(pa.int32()))))
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", max_fold_bytes: int = MAX_FOLD_BYTES, block_bytes: int = BLOCK_BYTES, head_words: int = HEAD_WORDS) -> DataFrame:
     """(id_col, ids array<int>): a row for each row of docs, ids as the tiktoken library gives
     them for the pattern and ranks, without special tokens."""
-    split = docs.select(F.col(id_col).alias("id"), F.regexp_extract_all(text_or_empty(text_col), F.lit(java_pattern(pattern)), F.lit(0)).alias("found"))
-    blocks = split.mapInArrow(_blocks(vocabulary.byte_ids, max_fold_bytes, block_bytes), "words array<array<int>>, docs binary, fold boolean")
+    bounded_batches(docs.sparkSession)
+    text = text_or_empty(text_col)
+    split = docs.select(F.col(id_col).alias("id"), F.regexp_extract_all(text, F.lit(java_pattern(pattern)), F.lit(0)).alias("found"), text.alias("text"))
+    head = _head(split, vocabulary, max_fold_bytes, head_words)
+    blocks = split.select("id", "found").mapInArrow(_blocks(vocabulary.byte_ids, max_fold_bytes, block_bytes, head), "words array<array<int>>, docs binary, fold boolean")
     folded = blocks.select(F.when(F.col("fold"), F.transform("words", vocabulary.fold)).otherwise(F.col("words")).alias("words"), "docs", "fold")
     kind = docs.schema[id_col].dataType
     out = T.StructType([T.StructField("id", kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return folded.mapInArrow(_assemble(vocabulary.path, vocabulary.byte_ids), out).withColumnRenamed("id", id_col)
+    return folded.mapInArrow(_assemble(vocabulary.path, vocabulary.byte_ids, head), out).withColumnRenamed("id", id_col)
 
 
 def _pieces(path: str) -> pa.Array:
