@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strainflow.llm import bpe, decontaminate, lines, media, sharding, tokenfile, toxicity, warc
+from strainflow.llm import bpe, decontaminate, lines, media, ngram_join, sharding, tokenfile, toxicity, warc
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_toxic_lexicon": toxicity.op6_toxic_lexicon,
     "op7_arc_to_warc": warc.op7_arc_to_warc,
     "op8_media_sequences": media.op8_media_sequences,
+    "op9_ngram_tree_join": ngram_join.op9_ngram_tree_join,
     "op10_token_frames": tokenfile.op10_token_frames,
 }
 
