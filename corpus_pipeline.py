@@ -1,10 +1,76 @@
-"""A corpus pipeline out of the training-data operators."""
+"""A corpus pipeline: documents without toxic ones, without their sites' boilerplate lines,
+without near copies, without benchmark passages, as token ids.
+
+Each stage takes (spark, docs, sf_dir) and gives a DataFrame that run() writes as Parquet and
+rereads as the next stage's docs, so a lost executor costs a reread. A stage's result must be
+written before the next stage begins: the tables that it reads are then deleted.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strainflow.llm import bpe, decontaminate, lines, ngram_join, toxicity
+from strainflow.llm.common import bounded_batches, materialize, release, table
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the lexicon, learned from labels outside the held-out fold, calls toxic go."""
+    release(spark)
+    bounded_batches(spark)
+    lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels").filter(~toxicity.held_out()))
+    return toxicity.score(docs.select(*COLUMNS), lexicon).filter("predicted = 0").select(*COLUMNS)
+
+
+def site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that over a tenth of a source's documents contain go; every document stays."""
+    release(spark)
+    out = lines.drop_boilerplate(docs.select(*COLUMNS))
+    text = F.array_join("_kept", "\n")
+    return out.select("doc_id", text.alias("text"), "lang", "source", F.char_length(text).cast("bigint").alias("n_chars"))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents connected by a similarity of 0.8 on five-word shingles, the one of least
+    doc_id stays (repeated rows once); documents without doc_id all stay."""
+    release(spark)
+    found = ngram_join.link(docs, width=5, percent=80)
+    kept = found.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n"))
+    kept = materialize(kept, "kept")
+    out = docs.select(*COLUMNS).join(kept.select("_id"), F.col("doc_id") == F.col("_id"), "left_semi")
+    if kept.filter("_n > 1").limit(1).count():
+        out = out.dropDuplicates(["doc_id", "text"])
+    return out.union(docs.select(*COLUMNS).filter("doc_id is null"))
+
+
+def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a window of a benchmark item go."""
+    release(spark)
+    bounded_batches(spark)
+    return decontaminate.clean(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark")).select(*COLUMNS)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, decoded_sha256) of each document."""
+    import public_tokenizers
+
+    release(spark)
+    vocabulary = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    ids = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN)
+    return bpe.decode(ids, vocabulary).select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [("toxicity", toxic), ("line_dedup", site_lines), ("ngram_join", near_copies), ("decontamination", benchmarks), ("byte_bpe", tokens)]
+
+#: The lexicon is a fitted model and the components are iterative, so SQL can't express the rows.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
+    return docs

@@ -25,18 +25,19 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder; release() deletes it."""
+def new_path(spark: SparkSession, label: str, keep: bool = False) -> str:
+    """A fresh path in the shared folder; release() deletes it, unless it is to be kept."""
     path = f"{shared_dir(spark)}/strainflow/{label}-{uuid.uuid4().hex[:12]}"
-    _TABLES.append(path)
+    if not keep:
+        _TABLES.append(path)
     return path
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back: lineage ends here, so a
     lost executor costs a reread, and the write's shuffle files go at once."""
     spark = df.sparkSession
-    path = new_path(spark, label)
+    path = new_path(spark, label, keep)
     before = spark.conf.get(_CLEAN, "false")
     with contextlib.suppress(Exception):  # older 4.x has no such setting
         spark.conf.set(_CLEAN, "true")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from strainflow.llm import bpe, decontaminate, lines, media, ngram_join, sharding, tokenfile, toxicity, warc
+from strainflow.llm import bpe, decontaminate, lines, media, ngram_join, sharding, suffixes, tokenfile, toxicity, warc
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
     "op2_best_fit_shards": sharding.op2_best_fit_shards,
     "op3_site_lines": lines.op3_site_lines,
     "op4_benchmark_windows": decontaminate.op4_benchmark_windows,
+    "op5_suffix_dedup": suffixes.op5_suffix_dedup,
     "op6_toxic_lexicon": toxicity.op6_toxic_lexicon,
     "op7_arc_to_warc": warc.op7_arc_to_warc,
     "op8_media_sequences": media.op8_media_sequences,
