@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strainflow.functions.text import phenotype_text
@@ -53,10 +53,14 @@ CARBA_LOOSE = {
 }
 
 
+def normalized(lines: DataFrame, *columns: str) -> DataFrame:
+    """lines with the named text columns as classify() takes them: folded once, not in each rule."""
+    return lines.withColumns({c: phenotype_text(F.col(c)) for c in columns})
+
+
 def classify(analysis: Column, label: Column, value: Column, exact: list, loose: dict) -> Column:
-    """A line's status: exact rules first, then patterns, of which unknown outranks negative and
-    that positive; null if none applies."""
-    analysis, label, value = map(phenotype_text, (analysis, label, value))
+    """The status of a normalized() line: exact rules first, then patterns, of which unknown
+    outranks negative and that positive; null if none applies."""
     out = None
     for a, labels, v, status in exact:
         test = label.isin(labels) & (value == v) & (F.lit(True) if a is None else analysis == a)

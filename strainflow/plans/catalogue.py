@@ -60,7 +60,7 @@ wide as (select *, {_COUNT} as nb_resultats from wide0)"""
 
 
 def wide_isolates(spark, d):
-    return wide(spark, d)
+    return wide(spark, d).withColumn("day", F.col("day").cast("string"))
 
 
 def screening_exclusion(spark, d):
@@ -351,28 +351,28 @@ select v[b + 1] as blse, v[c + 1] as carba, case when b = 3 then 'positive' else
 
 
 def text_functions(spark, d):
-    t = _t(spark, d, "documents").select("doc_id", F.substring("text", 1, 60).alias("x"), "source")
-    return t.select("doc_id", X.strip_accents(F.col("x")).alias("plain"), X.squish(F.col("x")).alias("squished"), X.slug(F.col("x")).alias("slug"), X.discipline_code(F.concat(F.lit("00"), F.regexp_replace("source", "src", ""))).alias("code"), F.size(X.values(F.replace("x", F.lit(" "), F.lit("|")))).alias("n_parts"))
+    t = _t(spark, d, "documents").select("doc_id", F.col("text").alias("x"), "source")
+    return t.select("doc_id", F.sha2(X.strip_accents(F.col("x")), 256).alias("plain"), F.sha2(X.squish(F.col("x")), 256).alias("squished"), F.sha2(X.slug(F.col("x")), 256).alias("slug"), X.discipline_code(F.concat(F.lit("00"), F.regexp_replace("source", "src", ""))).alias("code"), F.size(X.values(F.replace("x", F.lit(" "), F.lit("|")))).alias("n_parts"))
 
 
 _TEXT_SQL = f"""
-with t as (select doc_id, substring(text, 1, 60) as x, source from documents),
+with t as (select doc_id, text as x, source from documents),
 a as (select *, replace(replace(replace(replace(replace(x, 'œ', 'oe'), 'Œ', 'OE'), 'æ', 'ae'), 'Æ', 'AE'), chr(8217), chr(39)) as y from t)
-select doc_id, translate(x, '{X.ACCENTED}', '{X.FOLDED}') as plain, nullif(regexp_replace(regexp_replace(x, '\\s+', ' ', 'g'), '^\\s+|\\s+$', '', 'g'), '') as squished,
-  regexp_replace(regexp_replace(lower(translate(y, '{X.ACCENTED}', '{X.FOLDED}')), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') as slug, (replace(source, 'src', ''))::bigint::varchar as code,
-  len(list_distinct(list_filter(list_transform(string_split(x, ' '), lambda v: nullif(regexp_replace(v, '^\\s+|\\s+$', '', 'g'), '')), lambda v: v is not null)))::int as n_parts
+select doc_id, sha256(translate(x, '{X.ACCENTED}', '{X.FOLDED}')) as plain, sha256(nullif(regexp_replace(regexp_replace(x, '\\s+', ' ', 'g'), '^\\s+|\\s+$', '', 'g'), '')) as squished,
+  sha256(regexp_replace(regexp_replace(lower(translate(y, '{X.ACCENTED}', '{X.FOLDED}')), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g')) as slug, (replace(source, 'src', ''))::bigint::varchar as code,
+  len(list_distinct(list_filter(list_transform(string_split(replace(x, ' ', '|'), '|'), lambda v: nullif(regexp_replace(v, '^\\s+|\\s+$', '', 'g'), '')), lambda v: v is not null)))::int as n_parts
 from a"""
 
 
 def local_times(spark, d):
     day = F.make_date(F.lit(2024), F.when(F.col("event_id") % 2 == 0, 3).otherwise(10), F.when(F.col("event_id") % 2 == 0, 31).otherwise(27))
     t = _t(spark, d, "events").select(day.alias("day"), D.seconds(F.concat(F.floor((F.col("event_id") / 2) % 5).cast("bigint"), F.lit(":"), F.lpad(F.floor(F.col("event_id") / 10).cast("bigint") % 60, 2, "0"))).alias("second"))
-    return t.select("day", "second", D.clock_status(F.col("day"), F.col("second")).alias("status")).groupBy("day", "second", "status").agg(F.count("*").alias("n"))
+    return t.select("day", "second", D.clock_status(F.col("day"), F.col("second")).alias("status")).groupBy(F.col("day").cast("string").alias("day"), "second", "status").agg(F.count("*").alias("n"))
 
 
 _TIME_SQL = """
 with t as (select case when event_id % 2 = 0 then date '2024-03-31' else date '2024-10-27' end as day, ((event_id // 2) % 5 * 3600 + (event_id // 10) % 60 * 60)::int as second from events)
-select day, second, case when month(day) = 3 and second >= 7200 and second < 10800 then 'nonexistent_local_time' when month(day) = 10 and second >= 7200 and second < 10800 then 'ambiguous_local_time' else 'valid' end as status, count(*) as n from t group by all"""
+select day::varchar as day, second, case when month(t.day) = 3 and second >= 7200 and second < 10800 then 'nonexistent_local_time' when month(t.day) = 10 and second >= 7200 and second < 10800 then 'ambiguous_local_time' else 'valid' end as status, count(*) as n from t group by all"""
 
 
 def density_quantile(spark, d):
@@ -389,7 +389,7 @@ QUERIES = {f.__name__: f for f in (resistance_panel, wide_isolates, screening_ex
 
 ORACLE_SQL: dict[str, str] = {
     "resistance_panel": _PANEL_SQL,
-    "wide_isolates": f"with {_WIDE} select * from wide",
+    "wide_isolates": f"with {_WIDE} select * replace (day::varchar as day) from wide",
     "screening_exclusion": f"""with {_OBS}, s as (select patient, document, case when document % 3 <> 0 then stay end as stay, l_quantity from obs),
       m as (select *, bool_or(stay is null) over (partition by patient, document) as lacks from s),
       w as (select *, bool_or(l_quantity >= 45) over (partition by patient, document, case when not lacks then stay end) as gone from m)
