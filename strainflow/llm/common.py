@@ -33,6 +33,13 @@ def new_path(spark: SparkSession, label: str, keep: bool = False) -> str:
     return path
 
 
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A new_path() that exists, so that it can be read even if no task writes there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(new_path(spark, label))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    return _TABLES[-1]
+
+
 def materialize(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back: lineage ends here, so a
     lost executor costs a reread, and the write's shuffle files go at once."""

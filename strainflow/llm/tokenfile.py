@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strainflow.llm.common import materialize, new_path, parts_for, table, text_or_empty, total_bytes
+from strainflow.llm.common import materialize, new_folder, parts_for, table, text_or_empty, total_bytes
 from strainflow.llm.files import whole_file
 from strainflow.llm.words import chunks
 
@@ -224,6 +224,6 @@ def op10_token_frames(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     parts = parts_for(total_bytes(docs, F.col("text")), FILE_TEXT_BYTES)
     ordered = docs.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    folder = new_path(spark, "tokens")
+    folder = new_folder(spark, "tokens")
     write(encode(ordered, public_tokenizers.path("word_bpe_49k.json")), folder).agg(F.sum("ids")).collect()
     return starts(read(spark, folder))

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strainflow.llm.common import new_path, table, text_or_empty
+from strainflow.llm.common import new_folder, table, text_or_empty
 from strainflow.llm.files import whole_file
 from strainflow.llm.words import chunks
 
@@ -225,7 +225,7 @@ def op7_arc_to_warc(spark, sf_dir: str) -> DataFrame:
     records = convert(arcs_of_pages(pages))
     key = F.nullif(F.regexp_extract(F.col("http").cast("string"), r"\r\nX-Key: ([^\r]*)", 1), F.lit("")).cast(kind)
     marked = mark_revisits(records.withColumn("key", key), "key")
-    folder = new_path(spark, "warc")
+    folder = new_folder(spark, "warc")
     write_warc(marked, folder, "key").agg(F.sum("records")).collect()
     back = read_warc(spark, folder)
     return back.select(F.col("key").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
