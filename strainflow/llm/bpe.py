@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 import heapq
 from collections.abc import Iterator
 
@@ -306,9 +307,12 @@ def _head(split: DataFrame, vocabulary: Vocabulary, max_fold: int, most: int):
     return spark.sparkContext.broadcast((word, ids.cast(pa.list_(pa.int32()))))
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", max_fold_bytes: int = MAX_FOLD_BYTES, block_bytes: int = BLOCK_BYTES, head_words: int = HEAD_WORDS) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", max_fold_bytes: int = MAX_FOLD_BYTES, block_bytes: int = BLOCK_BYTES, head_words: int = HEAD_WORDS, after=None) -> DataFrame:
     """(id_col, ids array<int>): a row for each row of docs, ids as the tiktoken library gives
-    them for the pattern and ranks, without special tokens."""
+    them for the pattern and ranks, without special tokens.
+
+    `after` is a function over Arrow batches (id, ids) and the columns that it makes of ids; it
+    runs in the worker that puts the ids together, so that they need not pass another one."""
     bounded_batches(docs.sparkSession)
     text = text_or_empty(text_col)
     split = docs.select(F.col(id_col).alias("id"), F.regexp_extract_all(text, F.lit(java_pattern(pattern)), F.lit(0)).alias("found"), text.alias("text"))
@@ -316,8 +320,10 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, *, id_col: str
     blocks = split.select("id", "found").mapInArrow(_blocks(vocabulary.byte_ids, max_fold_bytes, block_bytes, head), "words array<array<int>>, docs binary, fold boolean")
     folded = blocks.select(F.when(F.col("fold"), F.transform("words", vocabulary.fold)).otherwise(F.col("words")).alias("words"), "docs", "fold")
     kind = docs.schema[id_col].dataType
-    out = T.StructType([T.StructField("id", kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return folded.mapInArrow(_assemble(vocabulary.path, vocabulary.byte_ids, head), out).withColumnRenamed("id", id_col)
+    finish, columns = after or (lambda batches: batches, "ids array<int>")
+    assemble = _assemble(vocabulary.path, vocabulary.byte_ids, head)
+    out = T.StructType([T.StructField("id", kind), *T._parse_datatype_string(columns).fields])
+    return folded.mapInArrow(lambda batches: finish(assemble(batches)), out).withColumnRenamed("id", id_col)
 
 
 def _pieces(path: str) -> pa.Array:
@@ -328,7 +334,16 @@ def _pieces(path: str) -> pa.Array:
     return pa.array(pieces, pa.large_binary())
 
 
-def decode(tokens: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+def _joined(ids: pa.ListArray, pieces: pa.Array) -> Iterator[bytes]:
+    """The pieces of each row's ids, concatenated."""
+    joined = pieces.take(ids.flatten())
+    ends, data = np.frombuffer(joined.buffers()[1], np.int64)[: len(joined) + 1], joined.buffers()[2]
+    cut = ends[ids.offsets.to_numpy() - ids.offsets[0].as_py()].tolist()
+    data = memoryview(data) if data else memoryview(b"")
+    return (data[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True))
+
+
+def decode(tokens: DataFrame, vocabulary: Vocabulary, *, ids_col: str = "ids") -> DataFrame:
     """tokens with a column `decoded` (binary): each row's pieces, concatenated."""
     path, at = vocabulary.path, tokens.columns.index(ids_col)
 
@@ -337,30 +352,29 @@ def decode(tokens: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id",
         for batch in batches:
             for k in range(0, batch.num_rows, 500):
                 some = batch.slice(k, 500)
-                ids = some.column(at)
-                joined = pieces.take(ids.flatten())
-                ends, data = np.frombuffer(joined.buffers()[1], np.int64)[: len(joined) + 1], joined.buffers()[2]
-                cut = ends[ids.offsets.to_numpy() - ids.offsets[0].as_py()]
-                data = data.to_pybytes() if data else b""
-                decoded = pa.array([data[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)], pa.binary())
-                yield pa.record_batch([*some.columns, decoded], [*some.schema.names, "decoded"])
+                yield pa.record_batch([*some.columns, pa.array(_joined(some.column(at), pieces), pa.binary())], [*some.schema.names, "decoded"])
 
     return tokens.mapInArrow(run, T.StructType([*tokens.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
-def little_endian(tokens: DataFrame, ids_col: str = "ids") -> DataFrame:
-    """tokens with a column `ids_bytes` (binary): the ids as little-endian unsigned 32-bit integers."""
-    at = tokens.columns.index(ids_col)
+def digests(path: str):
+    """For encode()'s `after`: the number of ids, and digests of the ids as little-endian unsigned
+    32-bit integers and of what they decode to, so that neither travels."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = _pieces(path)
         for batch in batches:
-            ids = batch.column(at)
-            raw = ids.flatten().to_numpy().astype("<u4").tobytes()
-            ends = 4 * (ids.offsets.to_numpy() - ids.offsets[0].as_py())
-            out = pa.array([raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary())
-            yield pa.record_batch([*batch.columns, out], [*batch.schema.names, "ids_bytes"])
+            ids = batch.column(1)
+            raw = memoryview(ids.flatten().to_numpy().astype("<u4")).cast("B")
+            cut = (4 * (ids.offsets.to_numpy() - ids.offsets[0].as_py())).tolist()
+            sums = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            texts = [hashlib.sha256(x).hexdigest() for x in _joined(ids, pieces)]
+            yield pa.record_batch([batch.column(0), ids.value_lengths().cast(pa.int64()), pa.array(sums, pa.string()), pa.array(texts, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return run
+
 
-    return tokens.mapInArrow(run, T.StructType([*tokens.schema.fields, T.StructField("ids_bytes", T.BinaryType())]))
+DIGESTS = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
 def op1_byte_bpe(spark, sf_dir: str) -> DataFrame:
@@ -368,6 +382,4 @@ def op1_byte_bpe(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     vocabulary = Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    tokens = encode(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
-    both = little_endian(decode(tokens, vocabulary))
-    return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2("ids_bytes", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return encode(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN, after=(digests(vocabulary.path), DIGESTS))
