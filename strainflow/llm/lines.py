@@ -10,12 +10,18 @@ place.
 
 Defined cases: lines end at a line feed; the lines of a page that are kept are joined by line
 feeds in their order. A null text stays null and a null site is a site of its own. Repeated rows
-are pages of their own. Sites with fewer than `min_pages` pages keep everything, as do blank
-lines. Other columns are passed through, whatever their names. An empty table gives an empty one.
+are pages of their own. Blank lines stay. Other columns are passed through, whatever their names. An empty table gives an empty one.
+
+Two rules say which lines are boilerplate. `tenth`, that of OP3_SQL, wants over MAX_RATIO of the
+pages and leaves sites of fewer than MIN_PAGES pages alone. `usual` has no such switch: it wants
+over SHARE of the pages and a least number of pages that rises slowly with the site, so that small
+sites are judged too and a few copies of one page don't make its text boilerplate.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +29,10 @@ from strainflow.llm.common import materialize, table
 
 MAX_RATIO = 0.1
 MIN_PAGES = 10
+#: The one parameter of usual(): the widest gap of line shares between 1 and 3 % on sf0.1 (1.81 to 2.22 %).
+SHARE = 0.02
+#: The least pages with a line, on the smallest sites: two alike may be a page and its copy.
+LEAST = 3
 #: A broadcast of boilerplate beyond these many lines gives way to a join.
 BROADCAST_LINES = 100_000
 
@@ -31,19 +41,29 @@ def _digest(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
 
-def boilerplate(pages: DataFrame, site: Column, text: Column, *, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(site, lines): the digests of each site's boilerplate lines, for sites that have any."""
-    totals = pages.groupBy(site.alias("site")).agg(F.count("*").alias("pages")).filter(F.col("pages") >= min_pages)
+def tenth(n: Column, pages: Column) -> Column:
+    return (pages >= MIN_PAGES) & (n > 1) & (n > pages * F.lit(MAX_RATIO))
+
+
+def usual(n: Column, pages: Column, share: float = SHARE) -> Column:
+    """Over `share` of the pages, and at least LEAST and 1 + log2(pages) of them."""
+    return (n >= LEAST) & (F.pow(F.lit(2.0), n - 1) >= pages) & (n > pages * F.lit(share))
+
+
+def boilerplate(pages: DataFrame, site: Column, text: Column, rule: Callable[[Column, Column], Column] = tenth) -> DataFrame:
+    """(site, lines): the digests of each site's boilerplate lines, for sites that have any.
+    rule(n, pages): whether a line on n of a site's pages is boilerplate; never if n is 1."""
+    totals = pages.groupBy(site.alias("site")).agg(F.count("*").alias("pages"))
     lines = pages.select(site.alias("site"), F.explode(F.array_distinct(F.split(text, "\n"))).alias("line"))
     counted = lines.filter(F.trim("line") != "").groupBy("site", _digest(F.col("line")).alias("digest")).agg(F.count("*").alias("n")).filter("n > 1")
-    often = counted.join(totals, counted["site"].eqNullSafe(totals["site"])).filter(F.col("n") > F.col("pages") * F.lit(max_ratio))
+    often = counted.join(totals, counted["site"].eqNullSafe(totals["site"])).filter(rule(F.col("n"), F.col("pages")))
     return often.groupBy(counted["site"].alias("site")).agg(F.collect_list("digest").alias("lines"))
 
 
-def drop_boilerplate(pages: DataFrame, *, site_col: str = "source", text_col: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def drop_boilerplate(pages: DataFrame, *, site: Column | str = "source", text_col: str = "text", rule: Callable[[Column, Column], Column] = tenth) -> DataFrame:
     """pages with a column `_kept` (array of the lines that stay; null for a null text)."""
-    site, text = F.col(site_col), F.col(text_col).cast("string")
-    found = materialize(boilerplate(pages, site, text, max_ratio=max_ratio, min_pages=min_pages), "boilerplate")
+    site, text = F.col(site) if isinstance(site, str) else site, F.col(text_col).cast("string")
+    found = materialize(boilerplate(pages, site, text, rule), "boilerplate")
     size = found.agg(F.sum(F.size("lines"))).first()[0] or 0
     side = found.select(F.col("site").alias("_site"), F.col("lines").alias("_lines"))
     side = F.broadcast(side) if size <= BROADCAST_LINES else side
@@ -53,20 +73,23 @@ def drop_boilerplate(pages: DataFrame, *, site_col: str = "source", text_col: st
     return joined.withColumn("_kept", kept).drop("_site", "_lines")
 
 
-def op3_site_lines(spark, sf_dir: str) -> DataFrame:
-    """Every document without its source's boilerplate lines."""
-    out = drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+def _counted(out: DataFrame, *columns: str, text_col: str) -> DataFrame:
     text = F.array_join("_kept", "\n")
-    n = F.size(F.split("text", "\n")).cast("bigint")
+    n = F.size(F.split(text_col, "\n")).cast("bigint")
     return out.select(
-        "doc_id",
-        "source",
+        *columns,
         F.coalesce(n, F.lit(0)).alias("n_lines"),
         F.coalesce(n - F.size("_kept"), F.lit(0)).cast("bigint").alias("n_dropped"),
         F.sha2(F.coalesce(text, F.lit("")), 256).alias("kept_sha256"),
     )
 
 
+def op3_site_lines(spark, sf_dir: str) -> DataFrame:
+    """Every document without its source's boilerplate lines."""
+    out = drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return _counted(out, "doc_id", "source", text_col="text")
+
+
 OP3_SQL = f"""
 with totals as (select source, count(*) as pages from documents group by source),
 lines as (select source, unnest(list_distinct(string_split(text, chr(10)))) as line from documents),
