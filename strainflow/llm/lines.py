@@ -41,6 +41,13 @@ def _digest(line: Column) -> Column:
     return F.unhex(F.md5(line))
 
 
+def host(url: Column) -> Column:
+    """The host of a url in lower case, without user and port; null if there is none."""
+    named = F.regexp_extract(url, "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
+    found = F.lower(F.regexp_replace(F.regexp_replace(named, "^.*@", ""), ":[0-9]*$", ""))
+    return F.when(found != "", found)
+
+
 def tenth(n: Column, pages: Column) -> Column:
     return (pages >= MIN_PAGES) & (n > 1) & (n > pages * F.lit(MAX_RATIO))
 
@@ -90,6 +97,12 @@ def op3_site_lines(spark, sf_dir: str) -> DataFrame:
     return _counted(out, "doc_id", "source", text_col="text")
 
 
+def op3_host_lines(spark, sf_dir: str) -> DataFrame:
+    """Every web page without the boilerplate lines of its url's host."""
+    pages = table(spark, sf_dir, "pages").select("page_id", host(F.col("url")).alias("host"), "html")
+    return _counted(drop_boilerplate(pages, site="host", text_col="html", rule=usual), "page_id", "host", text_col="html")
+
+
 OP3_SQL = f"""
 with totals as (select source, count(*) as pages from documents group by source),
 lines as (select source, unnest(list_distinct(string_split(text, chr(10)))) as line from documents),
@@ -106,3 +119,21 @@ select doc_id, source, coalesce(len(lines), 0)::bigint as n_lines, coalesce(len(
        sha256(coalesce(array_to_string(good, chr(10)), '')) as kept_sha256
 from kept
 """
+
+OP3_HOST_SQL = f"""
+with named as (select page_id, html, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) as h from pages),
+sited as (select page_id, string_split(html, chr(10)) as lines, nullif(lower(regexp_replace(regexp_replace(h, '^.*@', ''), ':[0-9]*$', '')), '') as host from named),
+totals as (select host, count(*) as pages from sited group by host),
+each as (select host, unnest(list_distinct(lines)) as line from sited),
+often as (
+  select e.host, e.line from each e join totals t on e.host is not distinct from t.host
+  where trim(e.line, ' ') <> '' group by e.host, e.line, t.pages
+  having count(*) >= {LEAST} and pow(2::double, count(*) - 1) >= t.pages and count(*) > t.pages * {SHARE}::double),
+sets as (select host, list(line) as bad from often group by host),
+kept as (
+  select page_id, s.host, lines, list_filter(lines, lambda x: not list_contains(coalesce(b.bad, []), x)) as good
+  from sited s left join sets b on s.host is not distinct from b.host)
+select page_id, host, coalesce(len(lines), 0)::bigint as n_lines, coalesce(len(lines) - len(good), 0)::bigint as n_dropped,
+       sha256(coalesce(array_to_string(good, chr(10)), '')) as kept_sha256
+from kept
+"""

@@ -8,6 +8,7 @@ QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
     "op2_best_fit_shards": sharding.op2_best_fit_shards,
     "op3_site_lines": lines.op3_site_lines,
+    "op3_host_lines": lines.op3_host_lines,
     "op4_benchmark_windows": decontaminate.op4_benchmark_windows,
     "op5_suffix_dedup": suffixes.op5_suffix_dedup,
     "op6_toxic_lexicon": toxicity.op6_toxic_lexicon,
@@ -19,5 +20,6 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op3_site_lines": lines.OP3_SQL,
+    "op3_host_lines": lines.OP3_HOST_SQL,
     "op4_benchmark_windows": decontaminate.OP4_SQL,
 }

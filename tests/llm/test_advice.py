@@ -2,6 +2,23 @@
 
 from __future__ import annotations
 
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+from conftest import DATA, same  # noqa: E402
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
+def test_op3_hosts_sql(spark, scale):
+    from strainflow.llm import registry
+
+    folder = DATA.parent / scale
+    same(registry.QUERIES["op3_host_lines"](spark, str(folder)), registry.ORACLE_SQL["op3_host_lines"], folder)
+
 
 def test_op3_one_rate_goes_everywhere(spark):
     """A line on 4 % of each source's documents goes from all; lines of clean documents, and of one with five copies, stay."""
@@ -11,3 +28,17 @@ def test_op3_one_rate_goes_everywhere(spark):
     out = lines.drop_boilerplate(spark.createDataFrame(rows, "source int, k int, text string"), rule=lines.usual)
     got = {(r["source"], r["k"]): r["_kept"] for r in out.collect()}
     assert got == {(s, k): [x for x in t.split("\n") if x != "planted"] for s, k, t in rows}
+
+
+def test_op3_small_hosts(spark):
+    """Many small hosts, of which each has a line on all its pages: it goes from those of three pages or more."""
+    from strainflow.llm import lines
+
+    rows = [(f"HTTP://u@Host{h}.example:80/p?{k}", f"menu {h}\nown {h} {k}") for h in range(60) for k in range(1 + h % 9)] + [(None, "menu 8\nx"), ("no url", "menu 8\ny")]
+    frame = spark.createDataFrame(rows, "url string, text string")
+    got = {r["url"]: r["_kept"] for r in lines.drop_boilerplate(frame, site=lines.host(F.col("url")), rule=lines.usual).collect()}
+    sizes = {h: 1 + h % 9 for h in range(60)}
+    for url, text in rows:
+        menu, own = text.split("\n")
+        large = menu.startswith("menu") and url and url.startswith("HTTP") and sizes[int(menu[5:])] >= 3
+        assert got[url] == ([own] if large else [menu, own])
