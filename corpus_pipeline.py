@@ -34,16 +34,22 @@ def site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents connected by a similarity of 0.8 on five-word shingles, the one of least
-    doc_id stays (repeated rows once); documents without doc_id all stay."""
+    """Of rows connected by a similarity of 0.8 on five-word shingles, the one of least doc_id
+    stays (of several with that doc_id, one), and so does one of those without doc_id. Of rows
+    without words, repeated ones with a doc_id stay once."""
     release(spark)
-    found = ngram_join.link(docs, width=5, percent=80)
-    kept = found.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n"))
-    kept = materialize(kept, "kept")
-    out = docs.select(*COLUMNS).join(kept.select("_id"), F.col("doc_id") == F.col("_id"), "left_semi")
-    if kept.filter("_n > 1").limit(1).count():
-        out = out.dropDuplicates(["doc_id", "text"])
-    return out.union(docs.select(*COLUMNS).filter("doc_id is null"))
+    # doc_ids may be null or repeat: rows are told apart by a number that is written with them
+    keyed = materialize(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    found = ngram_join.link(keyed, id_col="_row", width=5, percent=80).withColumnRenamed("_row", "_id")
+    digest = F.xxhash64("text", "lang", "source")
+    rows = keyed.select("_row", "doc_id", digest.alias("digest"), F.sha2("text", 256).alias("sha")).join(found, F.col("_row") == F.col("_id"))
+    wordless, nameless = F.col("n_shingles") == 0, F.col("doc_id").isNull()
+    group = F.when(~wordless, F.col("component_id")).when(nameless, F.col("_row"))
+    same = F.when(wordless & ~nameless, F.struct("doc_id", "sha"))
+    first = F.min(F.struct("doc_id", "digest", "_row"))
+    kept = rows.groupBy(wordless.alias("w"), nameless.alias("n"), group.alias("g"), same.alias("s")).agg(first.alias("first"))
+    kept = materialize(kept.select(F.col("first._row").alias("_row")), "kept")
+    return keyed.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

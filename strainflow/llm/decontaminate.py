@@ -117,8 +117,8 @@ def _candidates(widths: list[int], packed: np.ndarray, reach: int, window: int,
 _FOUND = T.ArrayType(T.StructType([T.StructField("token", T.LongType()), T.StructField("at", T.IntegerType()), T.StructField("begin", T.IntegerType()), T.StructField("near", T.StringType())]))
 
 
-def match(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """(id_col, n_words, n_hit, items array<string>): a row for each row of docs."""
+def _matches(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
+    """(id, key, n_words) of each row of docs, and (key, items, n_hit) of each text with a hit."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     text = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -147,15 +147,23 @@ def match(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col
         F.collect_set(F.struct(begin.alias("a"), (begin + F.col("size") - 1).alias("b"))).alias("spans"),
     )
     hit = hit.select("key", "items", F.size(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["a"], s["b"]))))).cast("bigint").alias("n_hit"))
-    out = rows.select("id", "key", "n_words").join(hit, "key", "left")
+    return rows.select("id", "key", "n_words"), hit
+
+
+def match(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """(id_col, n_words, n_hit, items array<string>): a row for each row of docs."""
+    id_col = options.get("id_col", "doc_id")
+    rows, hit = _matches(docs, items, **options)
+    out = rows.join(hit, "key", "left")
     return out.select(F.col("id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of docs that contain no window of an item."""
-    id_col = options.get("id_col", "doc_id")
-    found = match(docs, items, **options).filter("n_hit > 0").select(F.col(id_col).alias("_hit")).distinct()
-    return docs.join(found, docs[id_col].eqNullSafe(found["_hit"]), "left_anti")
+    """The rows of docs that contain no window of an item, by their own texts, whatever their ids."""
+    text = F.col(options.get("text_col", "text")).cast("string")
+    hit = _matches(docs, items, **options)[1].select(F.col("key").alias("_hit"))
+    # the key that _candidates gives a text
+    return docs.join(hit, F.substring(F.unhex(F.sha2(text, 256)), 1, 16) == F.col("_hit"), "left_anti")
 
 
 def op4_benchmark_windows(spark, sf_dir: str) -> DataFrame:

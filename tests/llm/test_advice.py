@@ -42,3 +42,41 @@ def test_op3_small_hosts(spark):
         menu, own = text.split("\n")
         large = menu.startswith("menu") and url and url.startswith("HTTP") and sizes[int(menu[5:])] >= 3
         assert got[url] == ([own] if large else [menu, own])
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], SCHEMA)
+
+
+def _pairs(frame):
+    return sorted(((r["doc_id"], r["text"]) for r in frame.collect()), key=repr)
+
+
+def test_clean_judges_row_by_row(spark):
+    from strainflow.llm import decontaminate
+
+    item = "one two three four five six seven eight nine ten eleven é"
+    clean = [(None, "clean text"), (None, None), (7, "other clean text"), (8, "")]
+    bad = [(None, f"before {item}"), (7, f"{item.upper().replace('É', 'é')} after"), (7, item)]
+    got = decontaminate.clean(_frame(spark, clean + bad), spark.createDataFrame([(1, item)], "item_id int, text string"))
+    assert _pairs(got) == sorted(clean, key=repr)
+
+
+def test_near_copies_judges_row_by_row(spark, tmp_path):
+    import corpus_pipeline
+
+    def text(seed, last=""):
+        return " ".join(f"{seed}{k}" for k in range(60)) + last
+
+    rows = [
+        (None, text("a")), (None, text("a", " x")), (None, text("a", " y")),  # of these any one stays
+        (5, text("b")), (5, text("b", " x")),  # one of two with an id
+        (3, text("c")), (9, text("c", " x")), (9, text("d")),  # 9 goes as a copy of 3, not as d
+        (4, text("e")), (4, text("e")), (6, ""), (6, ""), (None, ""), (None, None), (6, "one"),
+    ]
+    got = _pairs(corpus_pipeline.near_copies(spark, _frame(spark, rows), str(tmp_path)))
+    short = [(i, (t or "")[:2] if t else t) for i, t in got]
+    assert sorted(short, key=repr) == sorted([(None, "a0"), (5, "b0"), (3, "c0"), (9, "d0"), (4, "e0"), (6, ""), (None, ""), (None, None), (6, "on")], key=repr)
