@@ -3,8 +3,14 @@
 Two isolates conflict if some column is S in one and R in the other. In order, an isolate joins
 the first class without a conflict, else it opens one. A class is kept as the union of its
 members' S and R columns, as bits: a conflict with a member is a conflict with the union. So the
-fold over a group carries two integers for each class. Groups are patient and year (bounded by
-what a patient has in a year), so a group in one task is small by nature.
+fold over a group carries two integers for each class.
+
+Isolates with the same S and R columns are in one class, that of the first of them: classes before
+it conflict with all of them, and the union of its own fits them, as it holds them. So Spark
+reduces a group, however large, to its distinct pairs of masks with their first and last place,
+only these are folded (at most 3 ^ columns of a group: 729 for six), and their classes are joined
+back. With dozens of columns the bound is the number of distinct isolates of a group, which is
+small for patient and year, the groups of the reference.
 """
 
 from __future__ import annotations
@@ -49,11 +55,17 @@ def classes(df: DataFrame, group: list[str], row_id: str, results: list[str], st
     positive and S otherwise. `order` must be total in a group. n_classes_reversed is what the
     opposite order would give."""
     cells = [F.col(c) for c in results] + [F.when(F.col(c) == "positive", "R").otherwise("S") for c in statuses]
-    item = F.struct(_key(order).alias("k"), F.col(row_id).alias("id"), bits(cells, "S").alias("s"), bits(cells, "R").alias("r"))
-    grouped = df.groupBy(*group).agg(F.array_sort(F.collect_list(item)).alias("_items"))
-    folded = grouped.withColumn("_given", _fold(F.col("_items"))).withColumn("_back", _fold(F.reverse("_items")))
-    out = folded.select(*group, F.size("_items").alias("n_docs"), F.array_max("_given").alias("n_classes"), F.array_max("_back").alias("n_classes_reversed"), F.explode(F.arrays_zip(F.col("_items.id").alias("id"), F.col("_given").alias("class_id"))).alias("x"))
-    return out.select(*group, F.col("x.id").alias(row_id), F.col("x.class_id").alias("class_id"), "n_docs", "n_classes", "n_classes_reversed")
+    keyed = df.select(*group, F.col(row_id).alias("_id"), bits(cells, "S").alias("_s"), bits(cells, "R").alias("_r"), _key(order).alias("_k"))
+    masks = keyed.groupBy(*group, "_s", "_r").agg(F.min("_k").alias("first"), F.max("_k").alias("last"), F.count("*").alias("n"))
+    item = lambda place: F.struct(F.col(place).alias("k"), F.col("_s").alias("s"), F.col("_r").alias("r"))
+    grouped = masks.groupBy(*group).agg(F.array_sort(F.collect_list(item("first"))).alias("_items"), F.array_sort(F.collect_list(item("last"))).alias("_lasts"), F.sum("n").cast("int").alias("n_docs"))
+    folded = grouped.withColumn("_given", _fold(F.col("_items"))).withColumn("_back", _fold(F.reverse("_lasts")))
+    each = F.explode(F.arrays_zip(F.col("_items.s").alias("s"), F.col("_items.r").alias("r"), F.col("_given").alias("class_id"))).alias("x")
+    found = folded.select(*[F.col(c).alias(f"_g{k}") for k, c in enumerate(group)], "n_docs", F.array_max("_given").alias("n_classes"), F.array_max("_back").alias("n_classes_reversed"), each)
+    same = (F.col("_s") == F.col("x.s")) & (F.col("_r") == F.col("x.r"))
+    for k, c in enumerate(group):
+        same &= F.col(c).eqNullSafe(F.col(f"_g{k}"))
+    return keyed.join(found, same).select(*group, F.col("_id").alias(row_id), F.col("x.class_id").alias("class_id"), "n_docs", "n_classes", "n_classes_reversed")
 
 
 def representatives(df: DataFrame, group: list[str], class_id: str, order: list[Column], statuses: list[str] = ()) -> DataFrame:
