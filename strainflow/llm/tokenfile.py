@@ -49,9 +49,7 @@ _NULL = -(1 << 63)
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(path)
 
 
 class Encoder:

@@ -80,3 +80,16 @@ def test_near_copies_judges_row_by_row(spark, tmp_path):
     got = _pairs(corpus_pipeline.near_copies(spark, _frame(spark, rows), str(tmp_path)))
     short = [(i, (t or "")[:2] if t else t) for i, t in got]
     assert sorted(short, key=repr) == sorted([(None, "a0"), (5, "b0"), (3, "c0"), (9, "d0"), (4, "e0"), (6, ""), (None, ""), (None, None), (6, "on")], key=repr)
+
+
+def test_op10_added_tokens_as_the_library_does(spark):
+    import numpy as np
+    import public_tokenizers
+    from strainflow.llm import tokenfile
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    texts = ["end <|endoftext|> x", "a<|endoftext|>b <|startoftext|>", "<|endoftext|><|endoftext|>", "<|endof text|>", "\x1c <|endoftext|>\t.", "plain"]
+    got = dict(map(tuple, tokenfile.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), path, end_id=None).collect()))
+    assert {k: np.frombuffer(v, "<u4").tolist() for k, v in got.items()} == {k: tok.encode(t, add_special_tokens=False).ids for k, t in enumerate(texts)}
