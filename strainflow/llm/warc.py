@@ -4,12 +4,15 @@ An ARC file begins with a filedesc record whose body names the version and the f
 header lines that follow; each record is a header line, as many bytes as its last field declares,
 and a line feed. The converter parses those, and synthesises what WARC needs and ARC lacks: record
 identifiers (from URL, date and position, so that a second run gives the same), ISO timestamps,
-types, and digests of block and payload. Among equal payloads the one of least key is a response,
-the others are revisits that name it.
+types, and digests of block and payload. An HTTP answer becomes a response; among equal payloads the
+one of least key is the response, the others are revisits that name it. Other blocks (dns, ftp)
+become resource records, whole, with the content type of their header line. The filedesc record
+becomes a warcinfo record that begins each file with that record's text.
 
-Archives are written record by record as gzip members by the tasks that hold the records, and read
-back as binary files of bounded size. Payloads are shuffled only where duplicates don't fit a
-broadcast of checked size.
+Pages are converted once; the converted records are written, and duplicates are found in their narrow
+columns. Archives are written record by record as gzip members by the tasks that hold the records,
+and read back as binary files of bounded size, those that the finished tasks have named. Payloads are
+shuffled only where duplicates don't fit a broadcast of checked size.
 
 Defined cases: a null html is an empty payload; a null url becomes about:blank, and white space in
 one is percent-encoded, since ARC parts its fields by spaces; a null page_id is a response and
@@ -31,8 +34,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strainflow.llm.common import new_folder, table, text_or_empty
-from strainflow.llm.files import whole_file
+from strainflow.llm.common import materialize, new_folder, table, text_or_empty
+from strainflow.llm.files import check_folder, only, whole_file
 from strainflow.llm.words import chunks
 
 #: Header lines of ARC by version (fixed by the format).
@@ -42,9 +45,13 @@ FIELDS = {
 }
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Compressed bytes after which a task begins another file.
-FILE_BYTES = 8 << 20
+FILE_BYTES = 128 << 20
 #: Payloads that occur more than once, up to which they are broadcast.
 BROADCAST_GROUPS = 50_000
+#: More files than this aren't broadcast.
+BROADCAST_FILES = 100_000
+#: Bytes of a file that are inflated at a time.
+PIECE = 64 << 10
 
 
 def digest(data: bytes) -> str:
@@ -61,14 +68,21 @@ def arc_file(name: str, version: int, records: list[tuple[str, str, str, str, by
     return b"".join(out)
 
 
-def arc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields and block of each record after the filedesc."""
+def arc_about(data: bytes) -> tuple[str, int]:
+    """The text of the filedesc record, and where the next record begins."""
     end = data.index(b"\n")
     first = data[:end].decode().split(" ")
     if not first[0].startswith("filedesc://"):
         raise ValueError("not an ARC file: no filedesc record")
-    about = data[end + 1 : end + 1 + int(first[-1])].decode().split("\n")
-    version, names, at = int(about[0].split(" ")[0]), about[1].split(" "), end + 1 + int(first[-1])
+    stop = end + 1 + int(first[-1])
+    return data[end + 1 : stop].decode(), stop
+
+
+def arc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Header fields and block of each record after the filedesc."""
+    text, at = arc_about(data)
+    about = text.split("\n")
+    version, names = int(about[0].split(" ")[0]), about[1].split(" ")
     if version not in FIELDS:
         raise ValueError(f"ARC version {version} is unknown")
     while True:
@@ -88,35 +102,42 @@ def arc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = end + 1 + size
 
 
+RECORDS = "url string, ip string, date string, kind string, type string, record_id string, about string, http binary, payload binary, payload_digest string"
+
+
 def convert(arcs: DataFrame, column: str = "arc") -> DataFrame:
-    """(url, ip, date, kind, record_id, http binary, payload binary, payload_digest) of each
-    record in a column of whole ARC files."""
+    """(url, ip, date, kind, type, record_id, about, http binary, payload binary, payload_digest) of
+    each record in a column of whole ARC files; type is response or resource, about the text of the
+    file's filedesc record."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data in batch.column(0):
-                rows = []
-                for at, (f, block) in enumerate(arc_records(data.as_py())):
-                    http, gap, payload = block.partition(b"\r\n\r\n") if block.startswith(b"HTTP/") else (b"", b"", block)
+                whole = data.as_py()
+                rows, about = [], arc_about(whole)[0]
+                for at, (f, block) in enumerate(arc_records(whole)):
+                    answer = block.startswith(b"HTTP/")
+                    http, gap, payload = block.partition(b"\r\n\r\n") if answer else (b"", b"", block)
                     date = f["Archive-date"].ljust(14, "0")
                     date = f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z"
                     id_ = uuid.uuid5(uuid.NAMESPACE_URL, f"{f['URL']} {date} {at} {hashlib.sha1(http).hexdigest()}")
-                    rows.append((f["URL"], f["IP-address"], date, f["Content-type"], f"<urn:uuid:{id_}>", http + gap, payload, digest(payload)))
-                kinds = [pa.string()] * 5 + [pa.binary(), pa.binary(), pa.string()]
-                names = ["url", "ip", "date", "kind", "record_id", "http", "payload", "payload_digest"]
-                yield pa.record_batch([pa.array([r[i] for r in rows], kinds[i]) for i in range(8)], names)
+                    rows.append((f["URL"], f["IP-address"], date, f["Content-type"], "response" if answer else "resource", f"<urn:uuid:{id_}>", about, http + gap, payload, digest(payload)))
+                kinds = [pa.string()] * 7 + [pa.binary(), pa.binary(), pa.string()]
+                names = ["url", "ip", "date", "kind", "type", "record_id", "about", "http", "payload", "payload_digest"]
+                yield pa.record_batch([pa.array([r[i] for r in rows], kinds[i]) for i in range(10)], names)
 
-    return arcs.select(column).mapInArrow(run, "url string, ip string, date string, kind string, record_id string, http binary, payload binary, payload_digest string")
+    return arcs.select(column).mapInArrow(run, RECORDS)
 
 
 def mark_revisits(records: DataFrame, key: str, least_bytes: int = 0) -> DataFrame:
-    """records with refers_to and refers_to_id, those of the response that a revisit repeats."""
-    size = F.octet_length("payload")
-    groups = records.filter(F.col(key).isNotNull() & (size >= least_bytes)).groupBy(F.col("payload_digest").alias("_d"), size.alias("_n"))
+    """records with refers_to and refers_to_id, those of the response that a revisit repeats. The
+    column payload_bytes tells sizes, so that no payload is read to find the groups."""
+    size = F.col("payload_bytes")
+    groups = records.filter(F.col(key).isNotNull() & (F.col("type") == "response") & (size >= least_bytes)).groupBy(F.col("payload_digest").alias("_d"), size.alias("_n"))
     first = groups.agg(F.count("*").alias("_copies"), F.min(F.struct(F.col(key).alias("key"), F.col("record_id").alias("id"))).alias("_first")).filter("_copies > 1").drop("_copies")
     few = first.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
     joined = records.join(F.broadcast(first) if few else first, (F.col("payload_digest") == F.col("_d")) & (size == F.col("_n")), "left")
-    again = F.col(key) > F.col("_first.key")
+    again = (F.col("type") == "response") & (F.col(key) > F.col("_first.key"))
     return joined.withColumns({"refers_to": F.when(again, F.col("_first.key")), "refers_to_id": F.when(again, F.col("_first.id"))}).drop("_d", "_n", "_first")
 
 
@@ -125,46 +146,68 @@ def warc_record(fields: list[tuple[str, str]], block: bytes) -> bytes:
     return b"WARC/1.1\r\n" + head.encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
-def write_warc(records: DataFrame, folder: str, key: str) -> DataFrame:
-    """Writes records (of mark_revisits) as .warc.gz files; (file, records, bytes) of each file."""
-    columns = ["url", "ip", "date", "record_id", "http", "payload", "payload_digest", key, "refers_to", "refers_to_id"]
+def fields_of(r: dict, key: str) -> tuple[list[tuple[str, str]], bytes]:
+    """Header fields and block of a record's WARC form."""
+    again = r["refers_to"] is not None
+    block = r["http"] if again else r["http"] + r["payload"]
+    fields = [("WARC-Type", "revisit" if again else r["type"]), ("WARC-Record-ID", r["record_id"]), ("WARC-Date", r["date"]), ("WARC-Target-URI", r["url"])]
+    kind = "application/http;msgtype=response" if r["type"] == "response" else r["kind"]
+    fields += [("WARC-IP-Address", r["ip"]), ("Content-Type", kind), ("WARC-Payload-Digest", f"sha1:{r['payload_digest']}"), ("WARC-Block-Digest", f"sha1:{digest(block)}")]
+    if again:
+        fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", r["refers_to_id"]), ("X-Refers-To-Key", str(r["refers_to"])), ("X-Payload-Bytes", str(r["payload_bytes"]))]
+    return fields + ([("X-Key", str(r[key]))] if r[key] is not None else []), block
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number, out, size = TaskContext.get().partitionId(), 0, [], 0
 
-        def flush():
-            name = f"part-{part:05d}-{number:05d}.warc.gz"
-            with whole_file(folder, name) as stream:
-                for x in out:
-                    stream.write(x)
-            return pa.record_batch([pa.array([name]), pa.array([len(out)], pa.int64()), pa.array([size], pa.int64())], ["file", "records", "bytes"])
+def _member(fields: list[tuple[str, str]], block: bytes) -> bytes:
+    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return packer.compress(warc_record(fields, block)) + packer.flush()
 
-        for batch in chunks(batches):
-            for r in batch.to_pylist():
-                again = r["refers_to"] is not None
-                block = r["http"] if again else r["http"] + r["payload"]
-                fields = [("WARC-Type", "revisit" if again else "response"), ("WARC-Record-ID", r["record_id"]), ("WARC-Date", r["date"]), ("WARC-Target-URI", r["url"])]
-                fields += [("WARC-IP-Address", r["ip"]), ("Content-Type", "application/http;msgtype=response"), ("WARC-Payload-Digest", f"sha1:{r['payload_digest']}"), ("WARC-Block-Digest", f"sha1:{digest(block)}")]
-                fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", r["refers_to_id"]), ("X-Refers-To-Key", str(r["refers_to"]))] if again else []
-                fields += [("X-Key", str(r[key]))] if r[key] is not None else []
-                packer = zlib.compressobj(6, zlib.DEFLATED, 31)
-                out.append(packer.compress(warc_record(fields, block)) + packer.flush())
-                size += len(out[-1])
-                if size >= FILE_BYTES:
-                    yield flush()
-                    number, out, size = number + 1, [], 0
-        if out:
-            yield flush()
+
+def write_warc(records: DataFrame, folder: str, key: str, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Writes records (of mark_revisits) as .warc.gz files; (file, records, bytes) of each file, once
+    its task has ended. A file begins with a warcinfo record of its first record's archive."""
+    check_folder(folder)
+    columns = ["url", "ip", "date", "kind", "type", "record_id", "about", "http", "payload", "payload_digest", "payload_bytes", key, "refers_to", "refers_to_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
+        rows = (row for batch in batches for some in chunks([batch]) for row in some.to_pylist())
+        row, number = next(rows, None), 0
+        while row is not None:
+            name = f"part-{part:06d}-{number:06d}-{attempt}.warc.gz"
+            with whole_file(folder, name) as stream:
+                about = row["about"].encode()
+                info = [("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"), ("WARC-Date", row["date"]), ("WARC-Filename", name), ("Content-Type", "text/plain")]
+                head = _member(info, about)
+                stream.write(head)
+                count, size = 0, len(head)
+                while row is not None and size < file_bytes:
+                    packed = _member(*fields_of(row, key))
+                    stream.write(packed)
+                    count, size, row = count + 1, size + len(packed), next(rows, None)
+            yield pa.record_batch([pa.array([name]), pa.array([count], pa.int64()), pa.array([size], pa.int64())], ["file", "records", "bytes"])
+            number += 1
 
     return records.select(*columns).mapInArrow(run, "file string, records bigint, bytes bigint")
 
 
+def _inflated(data: memoryview) -> Iterator[bytes]:
+    """Each gzip member; pieces are fed one by one, since what follows a member is copied."""
+    at = 0
+    while at < len(data):
+        member, out = zlib.decompressobj(31), []
+        while not member.eof:
+            if at >= len(data):
+                raise ValueError("a gzip member without its end")
+            out.append(member.decompress(data[at : at + PIECE]))
+            at += PIECE
+        at = min(at, len(data)) - len(member.unused_data)
+        yield b"".join(out)
+
+
 def warc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Header fields and block of each record in a file of gzip members."""
-    while data:
-        member = zlib.decompressobj(31)
-        record = member.decompress(data) + member.flush()
-        data = member.unused_data
+    for record in _inflated(memoryview(data)):
         head, _, rest = record.partition(b"\r\n\r\n")
         lines = head.decode().split("\r\n")
         if not lines[0].startswith("WARC/"):
@@ -176,27 +219,34 @@ def warc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         yield fields, rest[:size]
 
 
-def read_warc(spark, folder: str) -> DataFrame:
-    """(key, record_type, refers_to, payload_bytes, payload_digest) of each record in the files."""
+def payload_of(fields: dict[str, str], block: bytes) -> tuple[int, str]:
+    """Bytes and digest of a record's payload: what follows an answer's head, a resource's whole block."""
+    if fields["WARC-Type"] == "revisit":
+        return int(fields["X-Payload-Bytes"]), fields["WARC-Payload-Digest"].removeprefix("sha1:")
+    payload = block.partition(b"\r\n\r\n")[2] if fields["WARC-Type"] == "response" else block
+    return len(payload), digest(payload)
+
+
+def read_warc(spark, folder: str, files: DataFrame | None = None) -> DataFrame:
+    """(key, record_type, refers_to, payload_bytes, payload_digest) of each record but warcinfo in
+    all files, or in those that `files` (of write_warc()) names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string()]
+        names = ["key", "record_type", "refers_to", "payload_bytes", "payload_digest"]
         for batch in batches:
             for data in batch.column(0):
                 rows = []
-                # a memory view would keep the whole file anyway
-                for f, block in warc_records(data.as_py()):
-                    http, gap, payload = block.partition(b"\r\n\r\n")
-                    if f["WARC-Type"] == "revisit":
-                        size, sha = int(re.search(rb"\r\nContent-Length: (\d+)", http)[1]), f["WARC-Payload-Digest"].removeprefix("sha1:")
-                    else:
-                        size, sha = len(payload), digest(payload)
-                    key, to = f.get("X-Key"), f.get("X-Refers-To-Key")
-                    rows.append((key, f["WARC-Type"], to, size, sha))
-                kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string()]
-                yield pa.record_batch([pa.array([r[i] for r in rows], kinds[i]) for i in range(5)], ["key", "record_type", "refers_to", "payload_bytes", "payload_digest"])
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder)
-    return files.select("content").mapInArrow(run, "key string, record_type string, refers_to string, payload_bytes bigint, payload_digest string")
+                for f, block in warc_records(data.as_buffer()):
+                    if f["WARC-Type"] != "warcinfo":
+                        rows.append((f.get("X-Key"), f["WARC-Type"], f.get("X-Refers-To-Key"), *payload_of(f, block)))
+                    if len(rows) == 10_000:
+                        yield pa.record_batch([pa.array([r[i] for r in rows], kinds[i]) for i in range(5)], names)
+                        rows = []
+                yield pa.record_batch([pa.array([r[i] for r in rows], kinds[i]) for i in range(5)], names)
+
+    found = only(spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder), files, BROADCAST_FILES)
+    return found.select("content").mapInArrow(run, "key string, record_type string, refers_to string, payload_bytes bigint, payload_digest string")
 
 
 def arcs_of_pages(pages: DataFrame) -> DataFrame:
@@ -222,10 +272,10 @@ def op7_arc_to_warc(spark, sf_dir: str) -> DataFrame:
     """All pages through ARC files, the converter, and WARC files written and read back."""
     pages = table(spark, sf_dir, "pages")
     kind = dict(pages.dtypes)["page_id"]
-    records = convert(arcs_of_pages(pages))
     key = F.nullif(F.regexp_extract(F.col("http").cast("string"), r"\r\nX-Key: ([^\r]*)", 1), F.lit("")).cast(kind)
-    marked = mark_revisits(records.withColumn("key", key), "key")
+    records = convert(arcs_of_pages(pages)).withColumns({"key": key, "payload_bytes": F.octet_length("payload").cast("bigint")})
+    marked = mark_revisits(materialize(records, "arc-records"), "key")
     folder = new_folder(spark, "warc")
-    write_warc(marked, folder, "key").agg(F.sum("records")).collect()
-    back = read_warc(spark, folder)
+    files = materialize(write_warc(marked, folder, "key"), "warc-files")
+    back = read_warc(spark, folder, files)
     return back.select(F.col("key").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
