@@ -41,7 +41,6 @@ from strainflow.llm.common import materialize, table, text_or_empty
 from strainflow.llm.words import chunks
 
 MAX_ROWS = 20_000
-MAX_PATTERNS = 5_000
 #: Beginnings of words that are candidates.
 STEMS = range(4, 9)
 #: Least likelihood ratio (G squared) of a pattern, and least log odds.
@@ -110,20 +109,32 @@ class Lexicon:
                 excused.append((begin, end))
             elif begin not in best or weight > best[begin][1]:
                 best[begin] = (end, weight)
-        return [(a, b, w) for a, (b, w) in best.items() if not any(x <= a and a < y for x, y in excused)]
-
-    def features(self, text: str) -> tuple[float, float]:
+        # both by place: a match is excused if a phrase that begins before it or with it ends behind its begin
+        excused.sort()
+        out, at, reach = [], 0, -1
+        for a in sorted(best):
+            while at < len(excused) and excused[at][0] <= a:
+                reach, at = max(reach, excused[at][1]), at + 1
+            if a >= reach:
+                out.append((a, *best[a]))
+        return out
+
+    def features(self, folded: str) -> tuple[float, float]:
         """Summed weights, and the same for a thousand characters, both as logarithms."""
-        folded = fold(text)
         total = sum(w for _, _, w in self.matches(folded))
         return math.log1p(total), math.log1p(1000 * total / (len(folded) + 200))
 
     def score(self, text: str) -> float:
-        a, b = self.features(text)
+        a, b = self.features(fold(text))
         z = self.curve[0] + self.curve[1] * a + self.curve[2] * b
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in chunks(batches):
+        yield pa.record_batch([pa.array(list(map(fold, batch.column(0).to_pylist())), pa.string()), batch.column(1)], ["text", "label"])
+
+
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In how many toxic and clean documents of the partition each pattern is."""
     toxic, clean = Counter(), Counter()
@@ -134,7 +145,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in chunks(batches):
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words = set(fold(text).split())
+            words = set(text.split())
             found = {f" {w[:n]}" for w in words for n in STEMS if len(w) > n} | {f" {w} " for w in words}
             (toxic if label else clean).update(found)
         if len(toxic) + len(clean) > 1_000_000:
@@ -152,7 +163,7 @@ def _contexts(patterns: frozenset[str]):
         for batch in chunks(batches):
             found = set()
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = fold(text).split()
+                words = text.split()
                 for i, w in enumerate(words):
                     hit = [p for p in (f" {w[:n]}" for n in STEMS if len(w) > n) if p in patterns] + ([f" {w} "] if f" {w} " in patterns else [])
                     if hit:
@@ -173,9 +184,9 @@ def _select(counts, toxic_rows: int, clean_rows: int) -> dict[str, float]:
         g = 2 * (np.where(t > 0, t * np.log(t / (n * share)), 0) + np.where(c > 0, c * np.log(c / (n * (1 - share))), 0))
     odds = np.log((t + 0.5) / (toxic_rows + 1)) - np.log((c + 0.5) / (clean_rows + 1))
     good = (g >= EVIDENCE) & (odds >= ODDS)
-    rows = sorted(zip(counts["pattern"].to_numpy()[good], odds[good], (g * odds)[good], strict=True), key=lambda r: (-r[2], r[0]))[:MAX_PATTERNS]
+    rows = list(zip(counts["pattern"].to_numpy()[good], odds[good], strict=True))
     weights: dict[str, float] = {}
-    for pattern, weight, _ in sorted(rows, key=lambda r: (len(r[0].rstrip()), r[0])):
+    for pattern, weight in sorted(rows, key=lambda r: (len(r[0].rstrip()), r[0])):
         shorter = [weights[pattern[:k]] for k in range(2, len(pattern)) if pattern[:k] in weights]
         if not shorter or weight > max(shorter) + 1.0:
             weights[str(pattern)] = float(weight)
@@ -187,7 +198,7 @@ def _phrases(lexicon: Lexicon):
         for batch in chunks(batches):
             rows = []
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                folded, found = fold(text), set()
+                folded, found = text, set()
                 for a, _, _ in lexicon.matches(folded):
                     stop = folded.index(" ", a + 1)
                     after = folded.find(" ", stop + 1)
@@ -229,19 +240,20 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     # bounded by max_rows, so small enough to broadcast
     some = known.orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
     text = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("text"))
-    rows = materialize(text.join(F.broadcast(some), "_id").select("text", "label"), "labelled")
+    # folded once; what is counted below comes from these rows only, so max_rows bounds it
+    rows = materialize(text.join(F.broadcast(some), "_id").select("text", "label").mapInArrow(_folded, "text string, label int"), "labelled")
     size = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not size.get(1) or not size.get(0):
         return Lexicon()
     counts = rows.mapInArrow(_candidates, "pattern string, toxic bigint, clean bigint").groupBy("pattern").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     # what few toxic documents have can't be significant
-    strong = counts.filter((F.col("toxic") >= 3) & (F.col("toxic") * size[0] > F.col("clean") * size[1] * 8)).orderBy(F.desc("toxic"), "pattern").limit(20 * MAX_PATTERNS)
+    strong = counts.filter((F.col("toxic") >= 3) & (F.col("toxic") * size[0] > F.col("clean") * size[1] * 8))
     patterns = frozenset(r["pattern"] for r in strong.select("pattern").collect())
     near = rows.mapInArrow(_contexts(patterns), "pattern string, near bigint, label int").distinct()
     apart = near.groupBy("pattern").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("clean"))
     lexicon = Lexicon(_select(apart.toPandas(), size[1], size[0]))
     around = rows.mapInArrow(_phrases(lexicon), "pattern string, toxic bigint, clean bigint").groupBy("pattern").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    excused = around.filter("clean >= 3 and toxic = 0").orderBy(F.desc("clean"), "pattern").limit(MAX_PATTERNS).collect()
+    excused = around.filter("clean >= 3 and toxic = 0").collect()
     lexicon = Lexicon(lexicon.weights, frozenset(r["pattern"] for r in excused) | frozenset(fold(x) for x in exceptions))
     got = rows.mapInArrow(_features(lexicon), "a double, b double, label int").toPandas()
     beta = _logistic(got[["a", "b"]].to_numpy(float), got["label"].to_numpy(float))
