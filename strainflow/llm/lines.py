@@ -1,4 +1,4 @@
-"""Line dedup by site-relative frequency: a line that more than `max_ratio` of a site's pages
+"""Line dedup by site-relative frequency: a line that more than `share` of a site's pages
 contain is boilerplate of that site, and goes from all of them.
 
 Lines are counted by (site, 128 bits of the line's digest), each once a page, with partial sums
@@ -12,10 +12,9 @@ Defined cases: lines end at a line feed; the lines of a page that are kept are j
 feeds in their order. A null text stays null and a null site is a site of its own. Repeated rows
 are pages of their own. Blank lines stay. Other columns are passed through, whatever their names. An empty table gives an empty one.
 
-Two rules say which lines are boilerplate. `tenth`, that of OP3_SQL, wants over MAX_RATIO of the
-pages and leaves sites of fewer than MIN_PAGES pages alone. `usual` has no such switch: it wants
-over SHARE of the pages and a least number of pages that rises slowly with the site, so that small
-sites are judged too and a few copies of one page don't make its text boilerplate.
+Which lines are boilerplate is said by one ratio, `share`, and a least number of pages that rises
+slowly with the site, so that small sites are judged too and a few copies of one page don't make
+its text boilerplate.
 """
 
 from __future__ import annotations
@@ -27,8 +26,6 @@ from pyspark.sql import functions as F
 
 from strainflow.llm.common import materialize, table
 
-MAX_RATIO = 0.1
-MIN_PAGES = 10
 #: The one parameter of usual(): the widest gap of line shares between 1 and 3 % on sf0.1 (1.81 to 2.22 %).
 SHARE = 0.02
 #: The least pages with a line, on the smallest sites: two alike may be a page and its copy.
@@ -48,16 +45,12 @@ def host(url: Column) -> Column:
     return F.when(found != "", found)
 
 
-def tenth(n: Column, pages: Column) -> Column:
-    return (pages >= MIN_PAGES) & (n > 1) & (n > pages * F.lit(MAX_RATIO))
-
-
 def usual(n: Column, pages: Column, share: float = SHARE) -> Column:
     """Over `share` of the pages, and at least LEAST and 1 + log2(pages) of them."""
     return (n >= LEAST) & (F.pow(F.lit(2.0), n - 1) >= pages) & (n > pages * F.lit(share))
 
 
-def boilerplate(pages: DataFrame, site: Column, text: Column, rule: Callable[[Column, Column], Column] = tenth) -> DataFrame:
+def boilerplate(pages: DataFrame, site: Column, text: Column, rule: Callable[[Column, Column], Column] = usual) -> DataFrame:
     """(site, lines): the digests of each site's boilerplate lines, for sites that have any.
     rule(n, pages): whether a line on n of a site's pages is boilerplate; never if n is 1."""
     totals = pages.groupBy(site.alias("site")).agg(F.count("*").alias("pages"))
@@ -67,16 +60,17 @@ def boilerplate(pages: DataFrame, site: Column, text: Column, rule: Callable[[Co
     return often.groupBy(counted["site"].alias("site")).agg(F.collect_list("digest").alias("lines"))
 
 
-def drop_boilerplate(pages: DataFrame, *, site: Column | str = "source", text_col: str = "text", rule: Callable[[Column, Column], Column] = tenth) -> DataFrame:
+def drop_boilerplate(pages: DataFrame, *, site: Column | str = "source", text_col: str = "text", rule: Callable[[Column, Column], Column] = usual) -> DataFrame:
     """pages with a column `_kept` (array of the lines that stay; null for a null text)."""
     site, text = F.col(site) if isinstance(site, str) else site, F.col(text_col).cast("string")
     found = materialize(boilerplate(pages, site, text, rule), "boilerplate")
     size = found.agg(F.sum(F.size("lines"))).first()[0] or 0
-    side = found.select(F.col("site").alias("_site"), F.col("lines").alias("_lines"))
+    known = F.map_from_arrays("lines", F.array_repeat(F.lit(True), F.size("lines")))
+    side = found.select(F.col("site").alias("_site"), known.alias("_lines"))
     side = F.broadcast(side) if size <= BROADCAST_LINES else side
     joined = pages.join(side, site.eqNullSafe(F.col("_site")), "left")
     lines = F.split(text, "\n")
-    kept = F.when(F.col("_lines").isNull(), lines).otherwise(F.filter(lines, lambda line: ~F.array_contains(F.col("_lines"), _digest(line))))
+    kept = F.when(F.col("_lines").isNull(), lines).otherwise(F.filter(lines, lambda line: ~F.coalesce(F.element_at("_lines", _digest(line)), F.lit(False))))
     return joined.withColumn("_kept", kept).drop("_site", "_lines")
 
 
@@ -100,7 +94,7 @@ def op3_site_lines(spark, sf_dir: str) -> DataFrame:
 def op3_host_lines(spark, sf_dir: str) -> DataFrame:
     """Every web page without the boilerplate lines of its url's host."""
     pages = table(spark, sf_dir, "pages").select("page_id", host(F.col("url")).alias("host"), "html")
-    return _counted(drop_boilerplate(pages, site="host", text_col="html", rule=usual), "page_id", "host", text_col="html")
+    return _counted(drop_boilerplate(pages, site="host", text_col="html"), "page_id", "host", text_col="html")
 
 
 OP3_SQL = f"""
@@ -109,7 +103,7 @@ lines as (select source, unnest(list_distinct(string_split(text, chr(10)))) as l
 often as (
   select l.source, l.line from lines l join totals t on l.source is not distinct from t.source
   where trim(l.line, ' ') <> '' group by l.source, l.line, t.pages
-  having t.pages >= {MIN_PAGES} and count(*) > 1 and count(*) > t.pages * {MAX_RATIO}::double),
+  having count(*) >= {LEAST} and pow(2::double, count(*) - 1) >= t.pages and count(*) > t.pages * {SHARE}::double),
 sets as (select source, list(line) as bad from often group by source),
 kept as (
   select d.doc_id, d.source, string_split(d.text, chr(10)) as lines,
