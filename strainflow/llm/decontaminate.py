@@ -37,6 +37,8 @@ SHINGLE = 5
 BITS = 1 << 22
 #: An index of more windows isn't broadcast.
 BROADCAST_WINDOWS = 200_000
+#: More texts with a hit aren't broadcast; each has up to some kB of items.
+BROADCAST_TEXTS = 50_000
 
 
 def _windows(window: int, shingle: int):
@@ -147,7 +149,9 @@ def _matches(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_
         F.collect_set(F.struct(begin.alias("a"), (begin + F.col("size") - 1).alias("b"))).alias("spans"),
     )
     hit = hit.select("key", "items", F.size(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["a"], s["b"]))))).cast("bigint").alias("n_hit"))
-    return rows.select("id", "key", "n_words"), hit
+    # written, so that a text with many copies meets one row, broadcast or in a join that Spark splits
+    hit = materialize(hit, "hit-texts")
+    return rows.select("id", "key", "n_words"), F.broadcast(hit) if hit.limit(BROADCAST_TEXTS + 1).count() <= BROADCAST_TEXTS else hit
 
 
 def match(docs: DataFrame, items: DataFrame, **options) -> DataFrame:

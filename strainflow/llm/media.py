@@ -115,7 +115,8 @@ def interleave(docs: DataFrame, *, html_col: str = "html") -> DataFrame:
 def resolve(docs: DataFrame, media: DataFrame, *, id_col: str = "doc_id", digest_col: str = "digest") -> DataFrame:
     """A row for each part of each sequence, with the media table's columns beside references."""
     parts = docs.select(F.col(id_col), F.explode("sequence").alias("part")).select(id_col, "part.*")
-    known = media.dropDuplicates([digest_col]).withColumnRenamed(digest_col, "_digest")
+    # written, so that a digest with many references meets one row in a join that Spark splits
+    known = materialize(media.dropDuplicates([digest_col]).withColumnRenamed(digest_col, "_digest"), "media-rows")
     return parts.join(known, parts["digest"] == known["_digest"], "left").drop("_digest")
 
 
