@@ -233,15 +233,16 @@ def _area(scores, labels) -> float:
     return (rank[labels == 1].sum() - n1 * (n1 + 1) / 2) / (n1 * (len(labels) - n1))
 
 
-def test_op6_held_out(spark, queries):
-    folder = DATA.parent / "sf0.1"  # at sf0.01 only six held-out documents are toxic
+@pytest.mark.parametrize(("scale", "least"), [("sf0.01", 0.9), ("sf0.1", 0.95)])
+def test_op6_held_out(spark, queries, scale, least):
+    folder = DATA.parent / scale  # at sf0.01 only six held-out documents are toxic
     labels = {r["doc_id"]: r["toxic"] for r in pq.read_table(folder / "labels.parquet").to_pylist() if r["toxic"] is not None}
     got = [r for r in queries["op6_toxic_lexicon"](spark, str(folder)).collect()]
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in got)
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in got)
     some = [r for r in got if r["held_out"] and r["doc_id"] in labels]
     score, label = np.array([r["score"] for r in some]), np.array([labels[r["doc_id"]] for r in some])
-    assert label.sum() > 5 and _area(score, label) >= 0.95
+    assert label.sum() > 5 and _area(score, label) >= least
 
 
 def test_op6_edge(spark, edge, docs, queries):
@@ -259,6 +260,83 @@ def test_op6_folding_and_exceptions():
     assert lexicon.score("stup1d") > lexicon.score("") >= 0
 
 
+def test_op6_scores_by_naive_search(spark, edge, docs):
+    """score() against a search for each pattern at each place."""
+    import math
+
+    from strainflow.llm.common import table
+    from strainflow.llm.toxicity import fold, learn, score
+
+    lexicon = learn(table(spark, str(DATA.parent / "sf0.01"), "documents"), table(spark, str(DATA.parent / "sf0.01"), "labels"))
+    assert lexicon.weights
+    some = dict(list(lexicon.weights.items())[:40])
+    lexicon.weights, lexicon.exceptions = some, lexicon.exceptions | {f" so{p.rstrip()} " for p in list(some)[:3]}
+
+    def places(pattern, text):
+        return [k for k in range(len(text) - len(pattern) + 1) if text.startswith(pattern, k)]
+
+    texts = [t for _, t in docs if len(t or "") < 20_000] + [f"so{p} x{p}{p} end" for p in some]
+    wanted = []
+    for t in texts:
+        folded = fold(t or "")
+        at = {}
+        for p, w in some.items():
+            for k in places(p, folded):
+                at[k] = max(w, at.get(k, 0))
+        excused = [(k, k + len(x) - 1) for x in lexicon.exceptions if x not in some for k in places(x, folded)]
+        total = sum(w for k, w in at.items() if not any(a <= k < b for a, b in excused))
+        z = lexicon.curve[0] + lexicon.curve[1] * math.log1p(total) + lexicon.curve[2] * math.log1p(1000 * total / (len(folded) + 200))
+        wanted.append(1 / (1 + math.exp(-max(-30, min(30, z)))))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = [r["score"] for r in score(frame, lexicon).orderBy("doc_id").collect()]
+    assert len(got) == len(wanted) and all(abs(a - b) < 1e-9 for a, b in zip(got, wanted, strict=True))
+
+
+def test_op6_labels(spark):
+    """Null, repeated, unknown and absent labels, and clashing columns."""
+    from strainflow.llm.toxicity import learn, score
+
+    texts = [(k, f"w{k} zorkish v{k} here", "?") for k in range(60)] + [(k, f"nice plain words {k}", "?") for k in range(60, 400)] + [(None, None, "?")]
+    docs = spark.createDataFrame(texts, "doc_id int, text string, score string")
+    labels = [(k, 1 if k < 60 else 0, "?") for k in range(400)]
+    schema = "doc_id int, toxic int, text string"
+    plain = learn(docs, spark.createDataFrame(labels, schema))
+    odd = learn(docs, spark.createDataFrame(labels + [(k, 0, "?") for k in range(60)] + [(None, 1, "?"), (3, None, "?"), (99_999, 1, "?")], schema))
+    assert plain == odd and plain.weights
+    got = {r["doc_id"]: r["predicted"] for r in score(docs, plain).collect()}
+    assert all(got[k] == int(k < 60) for k in range(400)) and got[None] == 0
+    none = learn(docs, spark.createDataFrame([], schema))
+    assert not none.weights and {r["predicted"] for r in score(docs, none).collect()} == {0}
+
+
+def test_op4_benchmark_edges(spark):
+    """An empty benchmark; null items and texts, repeats and clashing columns."""
+    from strainflow.llm.decontaminate import match
+
+    docs = spark.createDataFrame([(1, "a b c"), (None, None), (2, "x")], "doc_id int, text string")
+    schema = "item_id int, text string, key string, n string"
+    assert {(r["doc_id"], r["n_hit"], len(r["items"])) for r in match(docs, spark.createDataFrame([], schema)).collect()} == {(1, 0, 0), (None, 0, 0), (2, 0, 0)}
+    items = spark.createDataFrame([(7, "B c", "?", "?"), (7, "B c", "?", "?"), (None, "a", "?", "?"), (8, None, "?", "?"), (9, "", "?", "?")], schema)
+    assert {(r["doc_id"], r["n_hit"], tuple(r["items"])) for r in match(docs, items).collect()} == {(1, 3, ("7",)), (None, 0, ()), (2, 0, ())}
+
+
+def test_op7_other_records(spark, tmp_path):
+    """Blocks that aren't HTTP answers keep all their bytes; the filedesc becomes warcinfo; files that no task named aren't read."""
+    from strainflow.llm import warc
+
+    blocks = [("dns:a", "text/dns", b"20010101\r\n\r\nrest of it\r\n\r\n"), ("http://b", "text/html", b"HTTP/1.0 200 OK\r\nX: y\r\n\r\nbody"), ("ftp://c", "text/plain", b"")]
+    arc = warc.arc_file("x.arc", 1, [(u, "1.2.3.4", "20010203040506", k, b) for u, k, b in blocks])
+    frame = spark.createDataFrame([(bytearray(arc),)], "arc binary")
+    records = warc.convert(frame).selectExpr("*", "url as key", "cast(octet_length(payload) as bigint) as payload_bytes")
+    files = warc.write_warc(warc.mark_revisits(records, "key"), str(tmp_path), "key").cache()
+    name = files.first()["file"]
+    (tmp_path / "stale.warc.gz").write_bytes((tmp_path / name).read_bytes())
+    got = {r["key"]: (r["record_type"], r["payload_bytes"], r["payload_digest"]) for r in warc.read_warc(spark, str(tmp_path), files).collect()}
+    assert got == {u: ("response" if b.startswith(b"HTTP") else "resource", len(p), warc.digest(p)) for u, k, b in blocks for p in [b.partition(b"\r\n\r\n")[2] if b.startswith(b"HTTP") else b]}
+    kinds = {f.get("WARC-Target-URI"): (f["WARC-Type"], f["Content-Type"], b) for f, b in warc.warc_records((tmp_path / name).read_bytes())}
+    assert kinds["dns:a"] == ("resource", "text/dns", blocks[0][2]) and kinds[None][0] == "warcinfo" and b"Archive-length" in kinds[None][2]
+
+
 def test_op7(spark, edge, queries):
     pages = [(r["page_id"], _raw(r["html"])) for r in pq.read_table(edge / "pages.parquet").to_pylist()]
     first: dict[bytes, int] = {}
@@ -294,6 +372,20 @@ def test_op8(spark, edge, docs, queries):
     assert all(len(x) == 1 for x in by.values())
 
 
+def test_op8_features(spark, edge, docs, queries):
+    """The stored form and the feature, from their definitions."""
+    wanted = []
+    for i, t in docs:
+        data = _raw(t).ljust(max(1, -(-len(_raw(t)) // 64)) * 64, b"\0")
+        stored = b"P5\n# bytes %d\n64 %d\n255\n" % (len(_raw(t)), len(data) // 64) + data
+        n, total, square, bins = len(data), sum(data), sum(b * b for b in data), [0] * 8
+        for b in data:
+            bins[b // 32] += 1
+        feature = f"64x{n // 64};mean={total * 1000 // n};var={(n * square - total * total) * 1000 // (n * n)};hist={','.join(map(str, bins))}"
+        wanted.append((i, len(stored), hashlib.sha256(stored).hexdigest(), feature))
+    assert _rows(queries["op8_media_sequences"](spark, str(edge)), "doc_id", "media_bytes", "media_sha256", "feature") == _sorted(wanted)
+
+
 def test_op8_sequences(spark):
     from strainflow.llm import media
 
@@ -362,7 +454,6 @@ def test_op10(spark, edge, docs, queries):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    tok.encode_special_tokens = True
     wanted, start = [], 0
     for i, t in sorted(docs, key=lambda r: (r[0] is not None, r[0] or 0)):
         ids = [*tok.encode(t or "", add_special_tokens=False).ids, 1]
@@ -400,7 +491,7 @@ def _without_boilerplate(rows: list[dict], lines) -> list[dict]:
         pages[r["source"]] += 1
         for x in set(r["text"].split("\n") if r["text"] is not None else []):
             often[r["source"], x] += 1
-    bad = {k for k, n in often.items() if k[1].strip(" ") and n > 1 and pages[k[0]] >= lines.MIN_PAGES and n > pages[k[0]] * lines.MAX_RATIO}
+    bad = {k for k, n in often.items() if k[1].strip(" ") and n >= lines.LEAST and 2 ** (n - 1) >= pages[k[0]] and n > pages[k[0]] * lines.SHARE}
     return [r | {"text": None if r["text"] is None else "\n".join(x for x in r["text"].split("\n") if (r["source"], x) not in bad)} for r in rows]
 
 
