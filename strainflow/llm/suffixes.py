@@ -4,19 +4,22 @@ document of smaller doc_id.
 Candidates. In each window of 50 bytes one of its 16-byte grams has the least hash: its anchor.
 Equal windows have the same anchor at the same place, so only runs of windows around equal anchors
 can be equal. A scan packs for each run the anchor's hash, a hash of the run's bytes and its place
-(about one run for 18 bytes), and deals them by anchor. Runs whose bytes some smaller doc_id has
-too are covered whole. Of anchors with several different runs, the bytes are fetched, and runs
-that share neither the half of a window left of the anchor nor the half right of it go.
+(about one run for 18 bytes), and deals them by anchor. Equal runs are reduced to the one of least
+doc_id there, which covers the others whole: groups of copies end here. Of anchors with several
+different runs, the bytes are fetched and dealt by the anchor and the bytes on one side of it, left
+for windows that reach far left and right for the others, so no anchor is a single group. Parts
+of runs of which all but a few bytes of a window are another run's too go on.
 
-Suffix arrays. What is left is concatenated in blocks, the anchor being one symbol of its group,
+Suffix arrays. These parts are concatenated in blocks, the anchor being one symbol of its group,
 and sorted by linear grouping construction (Baier 2016): suffixes are grouped by their Lyndon
 prefixes, groups in descending order split the groups of their previous-smaller suffixes, and then
 each group's order is emitted from the next smaller suffix, without recursive renaming. Suffixes
 that agree on a window's symbols are neighbours, and the least doc_id among them decides.
 
 All shuffles carry packed arrays by bucket: texts by a hash of doc_id, runs by a hash of the anchor.
-Buckets hold a bounded number of bytes or runs; only copies of one anchor's run exceed that, and
-they are reduced to 15 bytes each before the shuffle.
+Tasks take bucket after bucket from sorted partitions. A bucket holds a bounded number of bytes or
+runs, but for the copies of one run (15 bytes each, of which a scan's bucket has one for a
+document), and for different runs that share an anchor and the bytes on a side of it.
 
 Defined cases: matches are between rows of different doc_id, so equal doc_ids (repeated rows) never
 remove from each other; a null doc_id counts as greater than all; null and empty texts, and texts
@@ -26,6 +29,8 @@ run's hash within a bucket. Other columns are ignored. An empty table gives none
 
 from __future__ import annotations
 
+import itertools
+import operator
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,12 +41,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strainflow.llm.common import bounded_batches, materialize, parts_for, table, text_or_empty, total_bytes
-from strainflow.llm.words import _BYTE, BASE, mix, span_hashes
+from strainflow.llm.words import _BYTE, _INVERSE, BASE, mix, span_hashes
 
 WINDOW, GRAM = 50, 16
 _RUN = WINDOW - GRAM + 1  # grams in a window, windows around a gram
-_HALF = (WINDOW - GRAM) // 2
-TEXT_BUCKET, RUN_BUCKET = 12 << 20, 600_000
+_AROUND = WINDOW - GRAM  # bytes of a window besides its gram
+#: Windows by how many bytes they reach left of the anchor, this many lengths to a class; classes
+#: below _RIGHT are dealt by what is right of the anchor, the others by what is left of it.
+_CLASS, _RIGHT = 5, 3
+TEXT_BUCKET, RUN_BUCKET = 8 << 20, 300_000
 #: Symbols of one suffix array.
 BLOCK_SYMBOLS = 150_000
 _LAST = (1 << 63) - 1
@@ -64,7 +72,10 @@ def suffix_array(text: list[int]) -> list[int]:
     now = len(size) - 1
     while now >= 0:
         counts: dict[int, int] = {}
-        for i in sorted([i for i in members[now] if group[i] == now]):
+        # members ascend: previous smaller suffixes of a group's members ascend as these do
+        for i in members[now]:
+            if group[i] != now:
+                continue
             j = i - 1
             while j >= 0 and done[j]:
                 j = smaller[j]
@@ -74,23 +85,25 @@ def suffix_array(text: list[int]) -> list[int]:
                 counts[j] = counts.get(j, 0) + 1
         members[now] = []
         if counts:
-            split: dict[tuple[int, int], list[int]] = {}
+            # by how often, in lists that the counts bound, so that nothing is sorted
+            split: list[dict[int, list[int]]] = [{} for _ in range(max(counts.values()) + 1)]
             for j, c in counts.items():
-                split.setdefault((-c, group[j]), []).append(j)
-            for (_, g), part in sorted(split.items()) if len(split) > 1 else split.items():
-                if len(part) == size[g]:
-                    continue
-                new = len(size)
-                for j in part:
-                    group[j] = new
-                members.append(part)
-                size.append(len(part))
-                size[g] -= len(part)
-                below.append(g)
-                above.append(above[g])
-                if above[g] >= 0:
-                    below[above[g]] = new
-                above[g] = new
+                split[c].setdefault(group[j], []).append(j)
+            for layer in reversed(split):
+                for g, part in layer.items():
+                    if len(part) == size[g]:
+                        continue
+                    new = len(size)
+                    for j in part:
+                        group[j] = new
+                    members.append(part)
+                    size.append(len(part))
+                    size[g] -= len(part)
+                    below.append(g)
+                    above.append(above[g])
+                    if above[g] >= 0:
+                        below[above[g]] = new
+                    above[g] = new
         now = below[now]
     start, at, g = [0] * len(size), 0, group[n - 1]
     while g >= 0:
@@ -182,6 +195,12 @@ def _unpack(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ids, np.concatenate([[0], ends]), np.frombuffer(data, np.uint8)
 
 
+def _grouped(rows: Iterator[dict], name: str) -> Iterator[tuple[int, list[dict]]]:
+    """Rows that follow each other and agree on a column."""
+    for key, some in itertools.groupby(rows, key=operator.itemgetter(name)):
+        yield key, list(some)
+
+
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for k in range(batch.num_rows):
@@ -223,10 +242,7 @@ _FOUND = "bucket int, kind int, anchors int, first binary, size binary, at binar
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs covered whole (kind 0), and runs whose bytes must be compared (kind 1), by the
     bucket of their text."""
-    held: dict[int, list[dict]] = {}
-    for row in _rows(batches):
-        held.setdefault(row["anchors"], []).append(row)
-    for anchors, rows in held.items():
+    for anchors, rows in _grouped(_rows(batches), "anchors"):
         anchor, content = (np.concatenate([_from5(r[x]) for r in rows]) for x in ("anchor", "content"))
         first = np.concatenate([np.frombuffer(r["first"], np.uint32) for r in rows])
         size, at = (np.concatenate([np.frombuffer(r[x], np.uint8) for r in rows]) for x in ("size", "at"))
@@ -252,19 +268,61 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield pa.record_batch([pa.array([int(bucket[m[0]])], pa.int32()), pa.array([kind], pa.int32()), pa.array([anchors], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)], ["bucket", "kind", "anchors", "first", "size", "at", "anchor", "id"])
 
 
-_ASKED = "anchors int, bucket int, first binary, size binary, at binary, anchor binary, id binary, bytes binary"
+_ASKED = "anchors int, bucket int, first binary, size binary, at binary, side binary, code binary, id binary, bytes binary"
 
 
-def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed texts with what is asked of them, to the asked runs' bytes."""
-    for row in _rows(batches):
-        _, _, data = _unpack(row)
-        for ask in row["asked"]:
-            first, size = np.frombuffer(ask["first"], np.uint32).astype(np.int64), np.frombuffer(ask["size"], np.uint32).astype(np.int64)
-            ends = np.cumsum(size)
-            take = np.arange(ends[-1]) + np.repeat(first - (ends - size), size)
-            packed = [ask["first"], ask["size"], ask["at"], ask["anchor"], ask["id"], data[take].tobytes()]
-            yield pa.record_batch([pa.array([ask["anchors"]], pa.int32()), pa.array([row["bucket"]], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)], ["anchors", "bucket", "first", "size", "at", "anchor", "id", "bytes"])
+class Spans:
+    """Hashes of spans of some bytes."""
+
+    def __init__(self, data: np.ndarray):
+        n = len(data) + 1
+        power, back = np.full(n, BASE, np.uint64), np.full(n, _INVERSE, np.uint64)
+        power[0] = back[0] = 1
+        np.cumprod(power, out=power)
+        np.cumprod(back, out=back)
+        self.total, self.back = np.zeros(n, np.uint64), back
+        np.cumsum(_BYTE[data] * power[:-1], out=self.total[1:])
+
+    def __call__(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        return mix((self.total[stop] - self.total[start]) * self.back[start])
+
+
+def _gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    ends = np.cumsum(size)
+    return data[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)]
+
+
+def _fetch(buckets: int):
+    """Packed texts with what is asked of them, to the asked runs' bytes: those of windows that
+    reach far left of the anchor, dealt by the bytes left of it, and those of the others."""
+    left, right = _CLASS * _RIGHT, _AROUND - _CLASS * _RIGHT + 1  # bytes that all windows of a side reach
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            _, _, data = _unpack(row)
+            for ask in row["asked"]:
+                first, size = np.frombuffer(ask["first"], np.uint32).astype(np.int64), np.frombuffer(ask["size"], np.uint32).astype(np.int64)
+                at, id_, anchor = np.frombuffer(ask["at"], np.uint8).astype(np.int64), np.frombuffer(ask["id"], np.int64), _from5(ask["anchor"])
+                own = _gather(data, first, size)
+                start, hashes = np.cumsum(size) - size, Spans(own)
+                out = []
+                for side, fits, lo, hi, a, b in (
+                    (0, at + GRAM + right <= size, np.maximum(0, at - left + 1), size, at + GRAM, at + GRAM + right),
+                    (1, at >= left, np.zeros_like(at), np.minimum(size, at + GRAM + _AROUND - left), at - left, at),
+                ):
+                    k = np.flatnonzero(fits & (hi - lo >= WINDOW))
+                    code = mix(anchor[k] * np.uint64(BASE) + hashes((start + a)[k], (start + b)[k]) + np.uint64(side))
+                    out.append((code, (first + lo)[k], (hi - lo)[k], (at - lo)[k], np.full(len(k), side), id_[k], (start + lo)[k]))
+                code, where, n, at, side, id_, begin = (np.concatenate(x) for x in zip(*out, strict=True))
+                bucket = ((code >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                for c in np.flatnonzero(np.diff(edges)):
+                    m = order[edges[c] : edges[c + 1]]
+                    packed = [where[m].astype(np.uint32), n[m].astype(np.uint8), at[m].astype(np.uint8), side[m].astype(np.uint8), code[m], id_[m], _gather(own, begin[m], n[m])]
+                    yield pa.record_batch([pa.array([int(c)], pa.int32()), pa.array([row["bucket"]], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in packed)], ["anchors", "bucket", "first", "size", "at", "side", "code", "id", "bytes"])
+
+    return run
 
 
 def shared_windows(symbols: list[int], starts: np.ndarray, stops: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -288,55 +346,84 @@ def shared_windows(symbols: list[int], starts: np.ndarray, stops: np.ndarray, id
     return order[hit], piece[hit]
 
 
+def _several(code: np.ndarray) -> np.ndarray:
+    """Which codes occur more than once."""
+    _, inverse, count = np.unique(code, return_inverse=True, return_counts=True)
+    return count[inverse] > 1
+
+
+def _parts(code, size, at, side, start, data) -> list[np.ndarray]:
+    """Of runs dealt by their code: parts (run, begin, end in it) with windows of which all but
+    _CLASS - 1 bytes at the ends are another run's too."""
+    hashes, count = Spans(data), -(-(_AROUND + 1) // _CLASS)
+    kept = np.zeros((count + 1, len(code)), bool)
+    for j in range(count):
+        l, r = j * _CLASS, max(0, _AROUND - j * _CLASS - _CLASS + 1)
+        fits = np.flatnonzero((side == (j >= _RIGHT)) & (at >= l) & (size - at - GRAM >= r))
+        p = (start + at)[fits]
+        kept[j, fits] = _several(mix(code[fits] * np.uint64(BASE) + hashes(p - l, p)) * np.uint64(BASE) + hashes(p + GRAM, p + GRAM + r))
+    out = []
+    for a in range(count):
+        begins = kept[a] & ~kept[a - 1]  # kept[-1] is all False
+        for b in range(a, count):
+            run = np.flatnonzero(begins & kept[a : b + 1].all(axis=0) & ~kept[b + 1])
+            lo, hi = np.maximum(0, at[run] - b * _CLASS - _CLASS + 1), np.minimum(size[run], at[run] + GRAM + _AROUND - a * _CLASS)
+            out.append(np.stack([run, lo, hi]))
+    found = np.concatenate(out, axis=1)
+    return list(found[:, found[2] - found[1] >= WINDOW])
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of anchors with several different ones: what is covered in each (kind 0)."""
-    held: dict[int, list[dict]] = {}
-    for row in _rows(batches):
-        held.setdefault(row["anchors"], []).append(row)
-    for anchors, rows in held.items():
-        first, size = (np.concatenate([np.frombuffer(r[x], np.uint32) for r in rows]).astype(np.int64) for x in ("first", "size"))
-        at = np.concatenate([np.frombuffer(r["at"], np.uint8) for r in rows]).astype(np.int64)
-        anchor, id_ = np.concatenate([_from5(r["anchor"]) for r in rows]), np.concatenate([np.frombuffer(r["id"], np.int64) for r in rows])
+    """Runs that share an anchor and the bytes on a side of it: what is covered in each (kind 0)."""
+    for _, rows in _grouped(_rows(batches), "anchors"):
+        code, id_ = (np.concatenate([np.frombuffer(r[x], kind) for r in rows]) for x, kind in (("code", np.uint64), ("id", np.int64)))
+        first, size, at, side = (np.concatenate([np.frombuffer(r[x], kind) for r in rows]).astype(np.int64) for x, kind in (("first", np.uint32), ("size", np.uint8), ("at", np.uint8), ("side", np.uint8)))
         bucket = np.repeat([r["bucket"] for r in rows], [len(r["first"]) // 4 for r in rows])
         data = np.concatenate([np.frombuffer(r["bytes"], np.uint8) for r in rows])
         start = np.cumsum(size) - size
-        # runs that share a half window on a side with another run of the anchor
-        keep = {}
-        for side, lo, hi, fits in (("left", at - _HALF, at, at >= _HALF), ("right", at + GRAM, at + GRAM + _HALF, at + GRAM + _HALF <= size)):
-            half = np.where(fits, span_hashes(data, start + np.where(fits, lo, 0), start + np.where(fits, hi, 0)), np.uint64(0))
-            code = mix(anchor * np.uint64(BASE) + half)
-            _, inverse, count = np.unique(code, return_inverse=True, return_counts=True)
-            keep[side] = fits & (count[inverse] > 1)
-        chosen = np.flatnonzero(keep["left"] | keep["right"])
-        chosen = chosen[np.argsort(anchor[chosen], kind="stable")]
-        lo = np.where(keep["left"], 0, np.maximum(0, at - _HALF + 1))
-        hi = np.where(keep["right"], size, np.minimum(size, at + GRAM + _HALF))
-        out: dict[int, list[tuple[int, int]]] = {}
-
-        def flush(symbols, starts, stops, names, out=out, first=first, at=at, lo=lo, bucket=bucket, id_=id_):
-            where, piece = shared_windows(symbols, np.array(starts), np.array(stops), id_[names])
-            for p, k in zip(where.tolist(), piece.tolist(), strict=True):
-                x = names[k]
-                out.setdefault(int(bucket[x]), []).append((int(first[x] + lo[x]) + p - starts[k], WINDOW))
-
-        symbols, starts, stops, names, mark, last = [], [], [], [], 257, None
-        for x in chosen.tolist():
-            if anchor[x] != last:
-                if len(symbols) >= BLOCK_SYMBOLS:
-                    flush(symbols, starts, stops, names)
-                    symbols, starts, stops, names, mark = [], [], [], [], 257
-                mark, last = mark + 1, anchor[x]
-            a, p = int(start[x]), int(at[x])
-            starts.append(len(symbols))
-            symbols += [b + 1 for b in data[a + int(lo[x]) : a + p].tolist()] + [mark] + [b + 1 for b in data[a + p + GRAM : a + int(hi[x])].tolist()]
-            stops.append(len(symbols))
-            symbols.append(0)
-            names.append(x)
-        if symbols:
-            flush(symbols, starts, stops, names)
-        for b, spans in out.items():
-            x = np.array(spans, np.uint32)
-            yield pa.record_batch([pa.array([b], pa.int32()), pa.array([x[:, 0].tobytes()], pa.binary()), pa.array([x[:, 1].tobytes()], pa.binary())], ["bucket", "first", "size"])
+        some = np.flatnonzero(_several(code))
+        run, lo, hi = _parts(*(x[some] for x in (code, size, at, side, start)), data)
+        run = some[run]
+        order = np.argsort(code[run], kind="stable")
+        run, lo, hi = run[order], lo[order], hi[order]
+        if not len(run):
+            continue
+        new = np.ones(len(run), bool)
+        new[1:] = code[run][1:] != code[run][:-1]
+        mark = 257 + np.cumsum(new)
+        # a part is its bytes with the anchor as one symbol, and an end
+        left, length = at[run] - lo, hi - lo - GRAM + 2
+        total = np.cumsum(length)
+        heads = np.flatnonzero(new)
+        cuts = [0]
+        for h in [*heads[1:].tolist(), len(run)]:
+            if h == len(run) or total[h - 1] - (total[cuts[-1] - 1] if cuts[-1] else 0) >= BLOCK_SYMBOLS:
+                cuts.append(h)
+        found: list[list[np.ndarray]] = [[], []]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            n = length[a:b]
+            starts = np.cumsum(n) - n
+            pos, l, e = (np.arange(n.sum()) - np.repeat(starts, n)), np.repeat(left[a:b], n), np.repeat(n, n)
+            take = np.repeat((start[run] + lo)[a:b], n) + pos + np.where(pos > l, GRAM - 1, 0)
+            take[pos == e - 1] = 0
+            symbols = np.where(pos == e - 1, 0, np.where(pos == l, np.repeat(mark[a:b], n), data[take].astype(np.int64) + 1))
+            where, piece = shared_windows(symbols.tolist(), starts, starts + n - 1, id_[run[a:b]])
+            piece += a
+            found[0].append(bucket[run[piece]])
+            found[1].append((first[run] + lo)[piece] + where - (starts[piece - a]))
+        text, place = (np.concatenate(x) for x in found)
+        order = np.lexsort((place, text))
+        text, place = text[order], place[order]
+        # windows that begin one after the other are one span
+        new = np.ones(len(text), bool)
+        new[1:] = (text[1:] != text[:-1]) | (place[1:] - place[:-1] > 1)
+        begin = np.flatnonzero(new)
+        stop = np.concatenate([begin[1:], [len(text)]]) - 1 if len(text) else begin
+        text, begin, size = text[begin], place[begin], place[stop] - place[begin] + WINDOW
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(text)) + 1, [len(text)]])
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            if a < b:
+                yield pa.record_batch([pa.array([int(text[a])], pa.int32()), pa.array([begin[a:b].astype(np.uint32).tobytes()], pa.binary()), pa.array([size[a:b].astype(np.uint32).tobytes()], pa.binary())], ["bucket", "first", "size"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -371,10 +458,10 @@ def dedupe(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     id_ = F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST))
     rows = docs.select(F.pmod(F.xxhash64(id_), F.lit(texts)).cast("int").alias("bucket"), id_.alias("id"), text.alias("text"))
     packed = materialize(rows.repartition(texts, "bucket").mapInArrow(_pack, _PACKED), "texts")
-    found = materialize(packed.mapInArrow(_deal(anchors), _DEALT).repartition(anchors, "anchors").mapInArrow(_resolve, _FOUND), "runs")
+    found = materialize(packed.mapInArrow(_deal(anchors), _DEALT).repartition(anchors, "anchors").sortWithinPartitions("anchors").mapInArrow(_resolve, _FOUND), "runs")
     asked = found.filter("kind = 1").groupBy("bucket").agg(F.collect_list(F.struct("anchors", "first", "size", "at", "anchor", "id")).alias("asked"))
-    fetched = packed.join(asked, "bucket").select("bucket", "ids", "ends", "data", "asked").mapInArrow(_fetch, _ASKED)
-    compared = materialize(fetched.repartition(anchors, "anchors").mapInArrow(_compare, "bucket int, first binary, size binary"), "compared")
+    fetched = packed.join(asked, "bucket").select("bucket", "ids", "ends", "data", "asked").mapInArrow(_fetch(anchors), _ASKED)
+    compared = materialize(fetched.repartition(anchors, "anchors").sortWithinPartitions("anchors").mapInArrow(_compare, "bucket int, first binary, size binary"), "compared")
     covered = found.filter("kind = 0").select("bucket", "first", "size").union(compared).groupBy("bucket").agg(F.collect_list(F.struct("first", "size")).alias("covered"))
     out = packed.join(covered, "bucket", "left").select("ids", "ends", "data", "covered")
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))), T.StructField("kept", T.BinaryType())])
