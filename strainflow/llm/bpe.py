@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strainflow.llm.common import bounded_batches, materialize, table, text_or_empty, total_bytes
+from strainflow.llm.common import bounded_batches, materialize, short_plans, table, text_or_empty, total_bytes
 
 #: Bytes of words that a block of documents gathers before its distinct words are folded.
 BLOCK_BYTES = 24 << 20
@@ -112,15 +112,19 @@ class Vocabulary:
         slots, self.p, self.q = two_choice_table(pair_ids(ranks))
         self._slots = ",".join(map(str, slots))
 
-    def _joined(self, pair: Column) -> Column:
+    def _joined(self, slots: Column, pair: Column) -> Column:
         """The id that a pair of ids joins to, NEVER if none."""
-        # a literal once constants are folded
-        slots = F.split(F.lit(self._slots), ",").cast("array<bigint>")
         looks = F.array(F.get(slots, (pair % self.p).cast("int")), F.get(slots, (self.p + pair % self.q).cast("int")))
         hit = F.get(F.filter(looks, lambda x: F.shiftright(x, _SHIFT) == pair), F.lit(0))
         return F.coalesce(hit.bitwiseAND(F.lit((1 << _SHIFT) - 1).cast("bigint")), F.lit(NEVER).cast("bigint")).cast("int")
 
-    def fold(self, word: Column) -> Column:
+    def fold(self, words: Column) -> Column:
+        """The ids of each word of an array; the literal table is bound once for all of them."""
+        # a literal once constants are folded
+        slots = F.split(F.lit(self._slots), ",").cast("array<bigint>")
+        return F.get(F.transform(F.array(slots), lambda table: F.transform(words, lambda word: self._fold(table, word))), F.lit(0))
+
+    def _fold(self, slots: Column, word: Column) -> Column:
         """The ids of a word, given as the ids of its bytes: a fold over as many steps as
         merges are possible. The state holds the parts and the ranks of neighbouring parts."""
 
@@ -142,7 +146,7 @@ class Vocabulary:
                 F.flatten(
                     F.array(
                         F.slice(ranks, F.lit(1), F.greatest(at - 2, F.lit(0))),
-                        F.transform(near, self._joined),
+                        F.transform(near, lambda x: self._joined(slots, x)),
                         F.slice(ranks, at + 2, F.size(ranks)),
                     )
                 ).alias("ranks"),
@@ -154,7 +158,7 @@ class Vocabulary:
             return F.when(least < NEVER, F.get(F.transform(F.array(at), lambda at: merge(state, at)), F.lit(0))).otherwise(state)
 
         rest = F.slice(word, F.lit(2), F.size(word))
-        ranks = F.transform(rest, lambda b, i: self._joined(pair(F.get(word, i), b)))
+        ranks = F.transform(rest, lambda b, i: self._joined(slots, pair(F.get(word, i), b)))
         return F.aggregate(rest, F.struct(word.alias("parts"), ranks.alias("ranks")), step, lambda state: state["parts"])
 
 
@@ -298,7 +302,7 @@ def _head(split: DataFrame, vocabulary: Vocabulary, max_fold: int, most: int):
             yield pa.record_batch([batch.column(0), inner], ["word", "bytes"])
 
     dealt = often.repartition(spark.sparkContext.defaultParallelism, "word").mapInArrow(as_ids, "word string, bytes array<int>")
-    got = materialize(dealt.select("word", vocabulary.fold(F.col("bytes")).alias("ids")), "head").toArrow().combine_chunks()
+    got = materialize(dealt.select("word", F.get(vocabulary.fold(F.array("bytes")), F.lit(0)).alias("ids")), "head").toArrow().combine_chunks()
     if not got.num_rows:
         return None
     word, ids = got.column("word").combine_chunks(), got.column("ids").combine_chunks()
@@ -314,11 +318,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, *, id_col: str
     `after` is a function over Arrow batches (id, ids) and the columns that it makes of ids; it
     runs in the worker that puts the ids together, so that they need not pass another one."""
     bounded_batches(docs.sparkSession)
+    short_plans(docs.sparkSession)
     text = text_or_empty(text_col)
     split = docs.select(F.col(id_col).alias("id"), F.regexp_extract_all(text, F.lit(java_pattern(pattern)), F.lit(0)).alias("found"), text.alias("text"))
     head = _head(split, vocabulary, max_fold_bytes, head_words)
     blocks = split.select("id", "found").mapInArrow(_blocks(vocabulary.byte_ids, max_fold_bytes, block_bytes, head), "words array<array<int>>, docs binary, fold boolean")
-    folded = blocks.select(F.when(F.col("fold"), F.transform("words", vocabulary.fold)).otherwise(F.col("words")).alias("words"), "docs", "fold")
+    folded = blocks.select(F.when(F.col("fold"), vocabulary.fold(F.col("words"))).otherwise(F.col("words")).alias("words"), "docs", "fold")
     kind = docs.schema[id_col].dataType
     finish, columns = after or (lambda batches: batches, "ids array<int>")
     assemble = _assemble(vocabulary.path, vocabulary.byte_ids, head)
