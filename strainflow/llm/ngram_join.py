@@ -3,19 +3,21 @@
 1. Each text's set of shingle hashes (64 bits) and its digest: equal sets are one set from here
    on. The same scan counts shingles in a sketch of fixed size, which makes the global order:
    rarest first. Any order gives the same links; this one keeps common passages out of prefixes.
-2. If two sets link, their prefixes (the first n - ceil(t * n) + 1 in that order) share a shingle.
-   Prefixes are dealt by shingle; sets that share one and whose sizes can link are chained.
-   Chains make clusters: no link leaves a cluster, and sets alone in theirs are done.
-3. Clusters are joined in blocks of BLOCK_SETS, each with two sets of its cluster that all blocks
-   hold. A block's sets go into a prefix tree, ordered by frequency in the block so that near
-   copies share long paths; a set walks the tree counting overlap once for all sets below, and
-   leaves subtrees whose remaining lengths can't reach the overlap that a link needs, or that
-   hold only sets already connected to it.
-4. Of clusters that need several blocks, sets outside the largest component so far meet all other
-   blocks in the same way. Only links between components are emitted, enough to connect them.
-
-Memory: a task holds two blocks. No cluster, bucket or component is gathered whole. Sets are
-known by 64 bits of a digest, as shingles are.
+2. If two sets link, their prefixes (the first n - ceil(t * n) + 1 in that order) share a shingle,
+   and their sizes are in the same or in neighbouring bands. Prefix entries are reduced to one set
+   for each shingle and band before the shuffle, and those that share a shingle and are a band
+   apart at most are chained. Chains make clusters: no link leaves a cluster, and sets alone in
+   theirs are done.
+3. A cluster's sets go into a prefix tree in the global order, read from its common end so that
+   near copies share long paths; a set walks the tree counting overlap once for all sets below,
+   and leaves subtrees whose remaining lengths can't reach the overlap that a link needs.
+4. Clusters beyond BLOCK_SETS sets or BLOCK_TOKENS shingles are split by size band and, within it,
+   into blocks; two sets of a band are in all its blocks. Sets outside the cluster's largest component
+   so far then meet the blocks, of their band and its neighbours, in which some set shares a shingle
+   of their prefix. Only links between components are emitted, enough to connect them.
+
+Memory: a task holds two blocks, bounded by sets and by shingles. No cluster, bucket or component
+is gathered whole. Sets are known by 64 bits of a digest, as shingles are.
 
 Defined cases: null and empty texts, or texts without words, have an empty set (n_shingles 0) and
 are their own component; equal texts and repeated rows share a component; a null doc_id takes the
@@ -24,7 +26,7 @@ least doc_id of its component, or null. Other columns are ignored. An empty tabl
 
 from __future__ import annotations
 
-from collections import Counter
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +42,10 @@ from strainflow.llm.words import NOT_SPACE, chunks, words
 
 SKETCH_BITS = 20
 SLICE_BITS = 16
-BLOCK_SETS = 500
+#: What a block of a cluster holds at most: sets, and shingles in all.
+BLOCK_SETS, BLOCK_TOKENS = 2000, 1 << 22
+#: Tables of large clusters or of their blocks with more rows aren't broadcast.
+BROADCAST_ROWS = 100_000
 #: Prefix entries that one task groups.
 BUCKET_ENTRIES = 400_000
 
@@ -101,58 +106,85 @@ def _ordered(tokens: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return tokens[np.argsort(rank[(tokens & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)], kind="stable")]
 
 
+def _band_width(percent: int) -> float:
+    """Sizes that can link are less than one band apart, so in the same or in neighbouring bands."""
+    return 1.001 * max(0.01, math.log(100 / percent))
+
+
 def _prefixes(width: int, percent: int, buckets: int, rank):
-    """Prefix entries of each distinct set of the partition, packed by bucket of the shingle."""
+    """Prefix entries of the partition's distinct sets, packed by bucket of the shingle: for each
+    shingle and size band one set; the others that have both are tied to it by an edge (a, b)."""
+    names = ["bucket", "token", "key", "band", "a", "b"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, held, size = set(), [], 0
 
         def flush():
             token = np.concatenate([t for t, _, _ in held])
-            key = np.repeat(np.array([k for _, k, _ in held], np.int64), [len(t) for t, _, _ in held])
-            n = np.repeat(np.array([n for _, _, n in held], np.int32), [len(t) for t, _, _ in held])
-            order = np.argsort(token)
-            token, key, n = token[order], key[order], n[order]
+            lengths = [len(t) for t, _, _ in held]
+            key = np.repeat(np.array([k for _, k, _ in held], np.int64), lengths)
+            band = np.repeat(np.array([n for _, _, n in held], np.int32), lengths)
+            order = np.lexsort((band, token))
+            token, key, band = token[order], key[order], band[order]
+            new = np.ones(len(token), bool)
+            new[1:] = (token[1:] != token[:-1]) | (band[1:] != band[:-1])
+            first = np.flatnonzero(new)
+            head = key[first][np.cumsum(new) - 1]
+            tied = np.flatnonzero(head != key)
+            pairs = np.unique(np.stack([head[tied], key[tied]]), axis=1)
+            token, key, band = token[first], key[first], band[first]
             bucket = ((token >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             cut = np.searchsorted(bucket, np.arange(buckets + 1))
             full = np.flatnonzero(np.diff(cut))
-            packed = [[x[cut[b] : cut[b + 1]].tobytes() for b in full] for x in (token, key, n)]
-            return pa.record_batch([pa.array(full.astype(np.int32)), *(pa.array(p, pa.binary()) for p in packed)], ["bucket", "token", "key", "n"])
+            packed = [[x[cut[b] : cut[b + 1]].tobytes() for b in full] for x in (token, key, band)]
+            none = pa.nulls(len(full), pa.binary())
+            yield pa.record_batch([pa.array(full.astype(np.int32)), *(pa.array(p, pa.binary()) for p in packed), none, none], names)
+            for k in range(0, pairs.shape[1], 50_000):
+                none = pa.nulls(1, pa.binary())
+                some = [pa.array([x[k : k + 50_000].tobytes()], pa.binary()) for x in pairs]
+                yield pa.record_batch([pa.array([int(pairs[0, k]) % buckets], pa.int32()), none, none, none, *some], names)
 
         for batch in chunks(batches):
             for tokens in row_sets(batch.column(0), width):
                 if len(tokens) and (key := _key(tokens)) not in seen:
                     seen.add(key)
                     part = _ordered(tokens, rank.value)[: _prefix(len(tokens), percent)]
-                    held.append((part, key, len(tokens)))
+                    held.append((part, key, int(math.log(len(tokens)) / _band_width(percent))))
                     size += len(part)
-            if size >= 2_000_000:
-                yield flush()
-                held, size = [], 0
+            if size >= 1_000_000:
+                yield from flush()
+                seen, held, size = set(), [], 0
         if held:
-            yield flush()
+            yield from flush()
 
     return run
 
 
-def _chains(percent: int):
-    """Pairs of sets next to each other by size among those that share a prefix shingle."""
+_PACKED = "bucket int, token binary, key binary, band binary, a binary, b binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
-        for batch in batches:
-            for bucket, *x in zip(*(batch.column(i) for i in range(4)), strict=True):
-                held.setdefault(bucket.as_py(), []).append(tuple(v.as_py() for v in x))
-        for parts in held.values():
-            token, key, n = (np.frombuffer(b"".join(p[i] for p in parts), kind) for i, kind in enumerate((np.uint64, np.int64, np.int32)))
-            order = np.lexsort((key, n, token))
-            token, key, n = token[order], key[order], n[order].astype(np.int64)
-            near = (token[1:] == token[:-1]) & (key[1:] != key[:-1]) & (100 * n[:-1] >= percent * n[1:])
-            pairs = np.unique(np.stack([key[:-1][near], key[1:][near]]), axis=1)
-            for k in range(0, pairs.shape[1], 50_000):
-                yield pa.record_batch([pa.array(pairs[0, k : k + 50_000]), pa.array(pairs[1, k : k + 50_000])], ["a", "b"])
 
-    return run
+def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of sets next to each other by band among those that share a prefix shingle, and the
+    edges that were found before the shuffle."""
+    held: dict[int, list] = {}
+
+    def out(a: np.ndarray, b: np.ndarray):
+        for k in range(0, len(a), 50_000):
+            yield pa.record_batch([pa.array(a[k : k + 50_000]), pa.array(b[k : k + 50_000])], ["a", "b"])
+
+    for batch in batches:
+        for bucket, *x, a, b in zip(*(batch.column(i) for i in range(6)), strict=True):
+            if a.is_valid:
+                yield from out(np.frombuffer(a.as_py(), np.int64), np.frombuffer(b.as_py(), np.int64))
+            else:
+                held.setdefault(bucket.as_py(), []).append(tuple(v.as_py() for v in x))
+    for bucket in list(held):
+        parts = held.pop(bucket)
+        token, key, band = (np.frombuffer(b"".join(p[i] for p in parts), kind) for i, kind in enumerate((np.uint64, np.int64, np.int32)))
+        order = np.lexsort((key, band, token))
+        token, key, band = token[order], key[order], band[order]
+        near = (token[1:] == token[:-1]) & (key[1:] != key[:-1]) & (band[1:] - band[:-1] <= 1)
+        yield from out(*np.unique(np.stack([key[:-1][near], key[1:][near]]), axis=1))
 
 
 class Tree:
@@ -160,9 +192,9 @@ class Tree:
     first token, sets that end here, fewest and most tokens below it]."""
 
     def __init__(self):
-        self.root = [(), {}, [], 1 << 60, 0]
+        self.root = [np.zeros(0, np.uint64), {}, [], 1 << 60, 0]
 
-    def add(self, tokens: tuple, name: int) -> None:
+    def add(self, tokens: np.ndarray, name: int) -> None:
         node, at = self.root, 0
         while True:
             left = len(tokens) - at
@@ -170,45 +202,50 @@ class Tree:
             if not left:
                 node[2].append(name)
                 return
-            child = node[1].get(tokens[at])
+            begin = int(tokens[at])
+            child = node[1].get(begin)
             if child is None:
-                node[1][tokens[at]] = [tokens[at:], {}, [name], 0, 0]
+                node[1][begin] = [tokens[at:], {}, [name], 0, 0]
                 return
-            edge, k = child[0], 1
+            edge = child[0]
             most = min(len(edge), left)
-            while k < most and edge[k] == tokens[at + k]:
-                k += 1
+            other = edge[:most] != tokens[at : at + most]
+            k = int(other.argmax()) if other.any() else most
             if k < len(edge):
                 low, high = child[3] + len(edge) - k, child[4] + len(edge) - k
                 child[0], rest = edge[k:], child
-                child = [edge[:k], {edge[k]: rest}, [], low, high]
-                node[1][edge[0]] = child
+                child = [edge[:k], {int(edge[k]): rest}, [], low, high]
+                node[1][begin] = child
             node, at = child, at + k
 
-    def links(self, tokens: tuple, percent: int, connected) -> Iterator[int]:
-        """Names of sets y with 100 * overlap >= percent * union, but for subtrees that hold only
-        sets for which connected(name) holds."""
-        own, n = set(tokens), len(tokens)
+    def links(self, tokens: np.ndarray, percent: int, connected) -> Iterator[int]:
+        """Names of sets y with 100 * overlap >= percent * union for which connected(name) doesn't hold."""
+        own, n = np.sort(tokens), len(tokens)
+
+        def hopeless(overlap: int, depth: int, low: int, high: int) -> bool:
+            # the most that any set below can still share, at the size where that helps most
+            best = overlap + min(n - overlap, high)
+            size = max(depth + low, depth - overlap + best)
+            return 100 * best < percent * (n + size - best)
+
         stack = [(self.root, 0, 0)]
         while stack:
             node, depth, overlap = stack.pop()
-            edge = node[0]
-            depth += len(edge)
-            overlap += len(own.intersection(edge))
-            # the most that any set below can still share, at the size where that helps most
-            low = depth + node[3]
-            best = overlap + min(n - overlap, node[4])
-            size = max(low, depth - overlap + best)
-            if 100 * best < percent * (n + size - best):
-                continue
             for name in node[2]:
                 if 100 * overlap >= percent * (n + depth - overlap) and not connected(name):
                     yield name
-            stack += [(child, depth, overlap) for child in node[1].values()]
+            for child in node[1].values():
+                edge, low, high = child[0], child[3], child[4]
+                if hopeless(overlap, depth, len(edge) + low, len(edge) + high):
+                    continue
+                shared = overlap + int((own[np.minimum(np.searchsorted(own, edge), n - 1)] == edge).sum())
+                if not hopeless(shared, depth + len(edge), low, high):
+                    stack.append((child, depth + len(edge), shared))
 
 
 def join_block(sets: dict[int, np.ndarray], probes: list[int], component: dict[int, int], percent: int) -> list[tuple[int, int]]:
-    """Links from probes to sets that connect what `component` has apart: a spanning forest."""
+    """Links from probes to sets that connect what `component` has apart: a spanning forest. The
+    sets' tokens are in the global order."""
     parent = {k: k for k in set(component.values())}
 
     def root(name: int) -> int:
@@ -218,16 +255,11 @@ def join_block(sets: dict[int, np.ndarray], probes: list[int], component: dict[i
             x = parent[x]
         return x
 
-    often = Counter()
-    for x in sets.values():
-        often.update(x.tolist())
-    place = {t: i for i, (t, _) in enumerate(sorted(often.items(), key=lambda y: (-y[1], y[0])))}
-    ordered = {k: tuple(sorted(map(place.__getitem__, x.tolist()))) for k, x in sets.items()}
     tree, out = Tree(), []
     for name in sorted(sets):
-        tree.add(ordered[name], name)
+        tree.add(sets[name][::-1], name)
     for name in sorted(probes):
-        for other in tree.links(ordered[name], percent, lambda y, name=name: root(y) == root(name)):
+        for other in tree.links(sets[name], percent, lambda y, name=name: root(y) == root(name)):
             a, b = root(name), root(other)
             if a != b:
                 parent[max(a, b)] = min(a, b)
@@ -267,6 +299,71 @@ def _in_groups(rows: DataFrame, percent: int) -> DataFrame:
     return dealt.select("group", "key", "component", "probe", "tokens").mapInArrow(_blocks(percent), "a bigint, b bigint")
 
 
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def _parts(block_sets: int):
+    """How many blocks hold `sets` sets of `size` shingles in all."""
+    return F.greatest(F.ceil(F.col("sets") / block_sets), F.ceil(F.col("size") / BLOCK_TOKENS)).cast("int")
+
+
+def _dealt(parts: str, seed: int):
+    return F.pmod(F.xxhash64("key", F.lit(seed)), F.col(parts)).cast("int")
+
+
+def _prefix_tokens(percent: int):
+    """Rows (key, cluster, band, block, rest, tokens), to the tokens of their prefixes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            some = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(5)]
+            yield pa.record_batch([*batch.columns[:5], pa.array([x[: _prefix(len(x), percent)] for x in some], pa.list_(pa.int64()))], [*batch.schema.names[:5], "tokens"])
+
+    return run
+
+
+def _links_of(sets: DataFrame, percent: int, block_sets: int) -> DataFrame:
+    """(a, b): links that connect the sets (key, n, tokens, cluster) of each component."""
+    name = lambda *c: F.concat_ws("/", *c)
+    whole, probe = F.col("key").alias("component"), F.lit(True).alias("probe")
+    totals = (F.count("*").alias("sets"), F.sum("n").alias("size"))
+    large = materialize(sets.groupBy("cluster").agg(*totals).filter((F.col("sets") > block_sets) | (F.col("size") > BLOCK_TOKENS)), "large-clusters")
+    own = sets.join(_small(large), "cluster", "left_anti").select(name("cluster").alias("group"), "key", whole, probe, "tokens")
+    if not large.limit(1).count():
+        return materialize(_in_groups(own, percent), "links")
+
+    big = sets.join(_small(large.select("cluster")), "cluster").withColumn("band", F.floor(F.log("n") / _band_width(percent)).cast("int"))
+    cells = big.groupBy("cluster", "band").agg(*totals, F.min("key").alias("k0"), F.max("key").alias("k1"))
+    cells = materialize(cells.withColumn("blocks", _parts(block_sets)).drop("sets", "size"), "cells")
+    placed = materialize(big.join(_small(cells), ["cluster", "band"]).withColumn("block", _dealt("blocks", 7)), "placed-sets")
+    group = name("cluster", "band", "block").alias("group")
+    ends = placed.filter("blocks > 1 and (key = k0 or key = k1)").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    within = placed.select(group, "key", whole, probe, "tokens").union(ends.select(group, "key", whole, F.lit(False), "tokens"))
+    links = materialize(_in_groups(own.union(within), percent), "links")
+
+    known = components(links, "linked")
+    labelled = placed.join(known, F.col("key") == F.col("node"), "left").withColumn("component", F.coalesce("root", "key"))
+    labelled = materialize(labelled.select("key", "n", "tokens", "cluster", "band", "block", "component"), "labelled-sets")
+    parts = labelled.groupBy("cluster", "component").agg(F.count("*").alias("m"))
+    main = parts.groupBy("cluster").agg(F.max(F.struct("m", "component")).alias("m")).select("cluster", F.col("m.component").alias("main"))
+    marked = labelled.join(_small(main), "cluster").select("key", "cluster", "band", "block", (F.col("component") != F.col("main")).alias("rest"), "tokens")
+    entries = marked.mapInArrow(_prefix_tokens(percent), "key bigint, cluster bigint, band int, block int, rest boolean, tokens array<bigint>")
+    entries = materialize(entries.withColumn("token", F.explode("tokens")).drop("tokens"), "large-prefixes")
+    at = ["cluster", "target", "block"]
+    there = entries.select("token", "cluster", F.col("band").alias("target"), "block").distinct()
+    asking = entries.filter("rest").select("key", "cluster", "band", "token").join(there, ["cluster", "token"]).filter("abs(band - target) <= 1")
+    asking = materialize(asking.select("key", *at).distinct(), "asking")
+    probes = labelled.select("key", "n", "tokens", "component")
+    chunked = asking.join(probes.select("key", "n"), "key").groupBy(*at).agg(*totals).select(*at, _parts(block_sets).alias("chunks"))
+    chunked = materialize(chunked, "chunks")
+    asked = name("cluster", "target", "block", "chunk").alias("group")
+    asking = asking.join(_small(chunked), at).withColumn("chunk", _dealt("chunks", 11)).select(asked, "key").join(probes, "key")
+    meets = labelled.withColumnRenamed("band", "target").join(_small(chunked), at).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    across = asking.select("group", "key", "component", probe, "tokens").union(meets.select(asked, "key", "component", F.lit(False), "tokens"))
+    return materialize(links.union(_in_groups(across, percent)), "all-links")
+
+
 def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, block_sets: int = BLOCK_SETS) -> DataFrame:
     """(id_col, n_shingles, component_id): a row for each row of docs; two documents link when
     100 * shared shingles >= percent * all shingles of both."""
@@ -287,8 +384,8 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wid
 
     entries = rows.filter("n > 0").agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).first()[0] or 0
     buckets = parts_for(entries, BUCKET_ENTRIES)
-    packed = text.select("text").mapInArrow(_prefixes(width, percent, buckets, shared), "bucket int, token binary, key binary, n binary")
-    chained = packed.repartition(buckets, "bucket").mapInArrow(_chains(percent), "a bigint, b bigint")
+    packed = text.select("text").mapInArrow(_prefixes(width, percent, buckets, shared), _PACKED)
+    chained = packed.repartition(buckets, "bucket").mapInArrow(_chains, "a bigint, b bigint")
     cluster = materialize(components(chained, "clusters").select(F.col("node").alias("key"), F.col("root").alias("cluster")), "cluster")
 
     # sets of clusters, from the one document of least id (or any, where ids are null) that has each
@@ -299,39 +396,16 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wid
     def tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             sets = row_sets(batch.column(0), width)
-            yield pa.record_batch([pa.array([_key(s) if len(s) else None for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["key", "tokens"])
+            keys = [_key(s) if len(s) else None for s in sets]
+            ordered = [_ordered(s, shared.value).tobytes() for s in sets]
+            yield pa.record_batch([pa.array(keys, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(ordered, pa.binary())], ["key", "n", "tokens"])
 
     some = text.join(wanted.select("_id").distinct(), F.col("id") == F.col("_id"), "left_semi")
     if nameless:
         some = some.union(text.filter("id is null"))
-    sets = some.select("text").mapInArrow(tokens_of, "key bigint, tokens binary").join(cluster, "key")
+    sets = some.select("text").mapInArrow(tokens_of, "key bigint, n bigint, tokens binary").join(cluster, "key")
     sets = materialize(sets.dropDuplicates(["key"]) if nameless else sets, "cluster-sets")
-
-    sizes = cluster.groupBy("cluster").agg(F.count("*").alias("size"))
-    blocks = F.ceil(F.col("size") / block_sets).cast("int")
-    placed = sets.join(sizes.withColumn("blocks", blocks), "cluster").withColumn("block", F.pmod(F.xxhash64("key", F.lit(7)), F.col("blocks")).cast("int"))
-    name = lambda *c: F.concat_ws("/", *c)
-    own = placed.select(name("cluster", "block").alias("group"), "key", F.col("key").alias("component"), F.lit(True).alias("probe"), "tokens")
-    large = placed.filter("blocks > 1")
-    least = cluster.join(sizes.filter(F.col("size") > block_sets), "cluster").groupBy("cluster").agg(F.min("key").alias("k0"), F.max("key").alias("k1"))
-    held = large.join(least, "cluster").filter("key = k0 or key = k1").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    others = held.select(name("cluster", "block").alias("group"), "key", F.col("key").alias("component"), F.lit(False).alias("probe"), "tokens")
-    links = materialize(_in_groups(own.union(others), percent), "links")
-
-    if sizes.filter(F.col("size") > block_sets).limit(1).count():
-        known = components(links, "linked")
-        labelled = large.join(known, F.col("key") == F.col("node"), "left").withColumn("component", F.coalesce("root", "key")).drop("node", "root")
-        labelled = materialize(labelled, "labelled-sets")
-        parts = labelled.groupBy("cluster", "component").agg(F.count("*").alias("n"))
-        main = parts.groupBy("cluster").agg(F.max(F.struct("n", "component")).alias("m")).select(F.col("cluster").alias("_c"), F.col("m.component").alias("_main"))
-        rest = labelled.join(main, F.col("cluster") == F.col("_c")).filter(F.col("component") != F.col("_main"))
-        chunk = F.ceil(F.count("*").over(_by("cluster")) / block_sets).cast("int")
-        rest = rest.withColumn("chunks", chunk).withColumn("chunk", F.pmod(F.xxhash64("key", F.lit(11)), F.col("chunks")).cast("int"))
-        asking = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        asking = asking.select(name("cluster", "other", "chunk").alias("group"), "key", "component", F.lit(True).alias("probe"), "tokens")
-        asked = labelled.join(rest.select("cluster", "chunks").distinct(), "cluster").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        asked = asked.select(name("cluster", "block", "chunk").alias("group"), "key", "component", F.lit(False).alias("probe"), "tokens")
-        links = materialize(links.union(_in_groups(asking.union(asked), percent)), "all-links")
+    links = _links_of(sets, percent, block_sets)
 
     root = components(links, "joined").select(F.col("node").alias("key"), "root")
     classes = rows.filter("key is not null").groupBy("key").agg(F.min("id").alias("rep")).join(root, "key", "left").withColumn("root", F.coalesce("root", "key"))
@@ -341,12 +415,6 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wid
     return out.select(F.col("id").alias(id_col), F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
-def _by(column: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(column)
-
-
 def op9_ngram_tree_join(spark, sf_dir: str) -> DataFrame:
     """All documents by four-word shingles and a similarity of 0.85."""
     return link(table(spark, sf_dir, "documents"), width=4, percent=85)

@@ -7,8 +7,11 @@ doc_id, number of ids, frame, offset in the frame, all signed 64-bit; first the
 before the file). Last comes the seek table of the Zstandard Seekable Format, a skippable frame:
 compressed size, size and checksum (low 32 bits of xxHash64 of the contents) of each frame.
 
-Rows are dealt to files by ranges of doc_id, so one file's documents precede the next one's; the
-ids before a file come from the files' totals, one number for each file.
+Rows are dealt to tasks by ranges of doc_id, and a task begins another file after FILE_BYTES, so
+one file's documents precede the next one's; the ids before a file come from the files' totals,
+summed in two levels. Readers take the files that the write names, so that what a lost or repeated
+attempt left behind isn't read. A reader of all documents gets a file as one row, so an executor
+must hold a few times FILE_BYTES.
 
 Defined cases: a null text is empty and has only the end id; null doc_ids come first, as the
 order of Spark has them; equal doc_ids keep an order by their text. An empty table gives no rows.
@@ -17,105 +20,175 @@ order of Spark has them; equal doc_ids keep an order by their text. An empty tab
 from __future__ import annotations
 
 import functools
+import itertools
+import json
 import re
 import struct
-import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strainflow.llm.common import materialize, new_folder, parts_for, table, text_or_empty, total_bytes
-from strainflow.llm.files import whole_file
+from strainflow.llm.files import check_folder, only, whole_file
 from strainflow.llm.words import chunks
 
 END_ID = 1
 FRAME_BYTES = 256 << 10
-#: Text that a task encodes into one file.
-FILE_TEXT_BYTES = 16 << 20
-#: Distinct chunks that a task remembers before it forgets all.
-CACHE_CHUNKS = 1 << 19
+#: Text that a task encodes, and compressed bytes after which it begins another file.
+TASK_TEXT_BYTES, FILE_BYTES = 64 << 20, 128 << 20
+#: Distinct chunks, and pieces of them, whose ids a worker process remembers.
+CACHE = 500_000
+#: Files whose totals are summed by one task of the second level.
+FILES_PER_GROUP = 1000
+#: More files than this aren't broadcast.
+BROADCAST_FILES = 100_000
 #: Fixed by the Zstandard Seekable Format.
 SKIPPABLE, SEEKABLE, HAS_CHECKSUM = 0x184D2A5E, 0x8F92EAB1, 1 << 7
 _NULL = -(1 << 63)
 
 
-@functools.lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
 class Encoder:
     """Texts to ids with the tokenizers library. The vocabulary drops white space and never looks
-    across it, so a text is the sum of its white-space-free chunks, each encoded once."""
+    across it, so a text is the sum of its chunks between white space, and a chunk of ASCII the sum of
+    the matches of the vocabulary's own pattern. Each distinct one is encoded once while it is in a
+    cache, on which no result depends. Texts with an added token's characters are encoded whole."""
 
-    #: What Python's split() parts at, and the vocabulary doesn't.
-    ODD = re.compile("[\x1c-\x1f]")
+    def __init__(self, path: str, cache: int = CACHE):
+        from tokenizers import Tokenizer
 
-    def __init__(self, path: str):
-        self.tokenizer = _tokenizer(path)
-        self.cache: dict[str, bytes] = {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.most = cache
+        self.chunks: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.pattern, added = piece_pattern(json.loads(self.tokenizer.to_str()))
+        self.odd = "|".join(map(re.escape, added)) or "$^"
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        parted = [None if self.ODD.search(t) else t.split() for t in texts]
-        cache = self.cache
-        if len(cache) > CACHE_CHUNKS:
-            cache.clear()
-        new = list({c for p in parted if p for c in p} - cache.keys())
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, cache: dict[str, bytes], new: list[str]) -> None:
         for k in range(0, len(new), 10_000):
             some = new[k : k + 10_000]
             cache.update(zip(some, self.whole(some), strict=True))
-        return [self.whole([t])[0] if p is None else b"".join([cache[c] for c in p]) for t, p in zip(texts, parted, strict=True)]
+
+    def _trim(self, cache: dict[str, bytes]) -> None:
+        """Forgets the older half of a full cache."""
+        if len(cache) > self.most:
+            for key in list(itertools.islice(cache, len(cache) - self.most // 2)):
+                del cache[key]
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct chunks."""
+        self._trim(self.chunks), self._trim(self.pieces)
+        chunks, pieces = self.chunks, self.pieces
+        new = [w for w in words if w not in chunks]
+        plain = [c for c in new if c.isascii()] if self.pattern else []
+        split = [self.pattern.findall(c) for c in map(str.lower, plain)] if plain else []
+        self._learn(chunks, [c for c in new if not c.isascii()] if self.pattern else new)
+        self._learn(pieces, list(set(itertools.chain.from_iterable(split)) - pieces.keys()))
+        piece = pieces.__getitem__
+        for c, p in zip(plain, split, strict=True):
+            chunks[c] = piece(p[0]) if len(p) == 1 else b"".join(map(piece, p))
+        return [chunks[w] for w in words]
+
+    def __call__(self, texts: pa.Array, end: int | None = None) -> pa.Array:
+        """Binary ids of each text, and the end id."""
+        odd = np.flatnonzero(pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False))
+        whole = dict(zip(odd.tolist(), self.whole(texts.take(pa.array(odd)).to_pylist()) if len(odd) else [], strict=True))
+        parted = pc.ascii_split_whitespace(pc.if_else(pc.match_substring_regex(texts, self.odd), "", texts) if len(odd) else texts)
+        coded = parted.flatten().dictionary_encode()
+        known = self._ids(coded.dictionary.to_pylist())
+        values, sizes = np.frombuffer(b"".join(known), "<u4"), np.array([len(x) // 4 for x in known], np.int64)
+        starts, at = np.cumsum(sizes) - sizes, coded.indices.to_numpy(zero_copy_only=False)
+        n = sizes[at]
+        ends = np.cumsum(n)
+        ids = values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[at] - (ends - n), n)]
+        stops = np.concatenate([[0], ends])[parted.offsets.to_numpy()[1:] - parted.offsets[0].as_py()].astype(np.int64)
+        if end is not None:
+            ids, stops = np.insert(ids, stops, end), stops + np.arange(1, len(stops) + 1)
+        out = pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((4 * np.concatenate([[0], stops])).astype(np.int32)), pa.py_buffer(ids.astype("<u4"))])
+        if not whole:
+            return out
+        tail = b"" if end is None else struct.pack("<I", end)
+        return pa.array([whole[k] + tail if k in whole else x for k, x in enumerate(out.to_pylist())], pa.binary())
+
+
+def piece_pattern(vocabulary: dict) -> tuple[re.Pattern | None, list[str]]:
+    """What parts a lower-cased ASCII chunk as the vocabulary does: its own pattern with classes of
+    ASCII, if its steps are those that this knows; and its added tokens."""
+    added = [x["content"] for x in vocabulary["added_tokens"]]
+    steps, parts = (x and (x.get("normalizers") or x.get("pretokenizers") or [x]) for x in (vocabulary["normalizer"], vocabulary["pre_tokenizer"]))
+    known = [x["type"] for x in steps or []] == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in parts or []] == ["Split", "ByteLevel"]
+    if not known or steps[1]["pattern"] != {"Regex": "\\s+"} or parts[0]["behavior"] != "Removed" or not parts[0]["invert"]:
+        return None, added
+    classes = parts[0]["pattern"]["Regex"].replace("[^\\s\\p{L}\\p{N}]", "[^\\sa-z0-9]").replace("\\p{L}", "a-z").replace("\\p{N}", "0-9")
+    return (None if "\\p" in classes else re.compile(classes)), added
+
+
+@functools.lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One for a worker process, whose tasks share its cache."""
+    return Encoder(path)
 
 
 def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int | None = END_ID) -> DataFrame:
     """(id_col, ids binary): little-endian ids of each text, and the end id."""
-    end = b"" if end_id is None else struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
-        for batch in chunks(batches, 1000):
-            ids = [x + end for x in encoder(batch.column(1).to_pylist())]
-            yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary())], [id_col, "ids"])
+        to_ids = encoder(path)
+        for batch in chunks(batches, 4000, 4 << 20):
+            yield pa.record_batch([batch.column(0), to_ids(batch.column(1), end_id)], [id_col, "ids"])
 
     kind = docs.select(id_col).dtypes[0][1]
     return docs.select(F.col(id_col), text_or_empty(text_col).alias("text")).mapInArrow(run, f"`{id_col}` {kind}, ids binary")
 
 
-def write_file(stream, rows: Iterator[tuple[int | None, bytes]]) -> int:
-    """Writes one file of (doc_id, ids) and returns its number of ids."""
-    packer, table_, index, total = zstandard.ZstdCompressor(level=3, write_content_size=True), [], [], 0
+class Writer:
+    """One file of (doc_id, ids), written to a stream."""
+
+    def __init__(self, stream):
+        self.stream, self.packer = stream, zstandard.ZstdCompressor(level=3, write_content_size=True)
+        self.seek, self.index, self.held = [], [], []
+        self.size = self.ids = self.written = 0
 
-    def frame(data: bytes) -> None:
-        packed = packer.compress(data)
-        stream.write(packed)
-        table_.append(struct.pack("<III", len(packed), len(data), xxhash.xxh64(data).intdigest() & 0xFFFFFFFF))
+    def _frame(self, data: bytes) -> None:
+        packed = self.packer.compress(data)
+        self.stream.write(packed)
+        self.written += len(packed)
+        self.seek.append(struct.pack("<III", len(packed), len(data), xxhash.xxh64(data).intdigest() & 0xFFFFFFFF))
 
-    held, size = [], 0
+    def add(self, id_: int | None, ids: bytes) -> None:
+        self.index.append((_NULL if id_ is None else id_, len(ids) // 4, len(self.seek), self.size))
+        self.held.append(ids)
+        self.size += len(ids)
+        self.ids += len(ids) // 4
+        if self.size >= FRAME_BYTES:
+            self._frame(b"".join(self.held))
+            self.held, self.size = [], 0
+
+    def close(self) -> None:
+        if self.held:
+            self._frame(b"".join(self.held))
+        self._frame(np.array(self.index, "<i8").reshape(-1, 4).tobytes())
+        seek = b"".join(self.seek) + struct.pack("<IBI", len(self.seek), HAS_CHECKSUM, SEEKABLE)
+        self.stream.write(struct.pack("<II", SKIPPABLE, len(seek)) + seek)
+
+
+def write_file(stream, rows: Iterator[tuple[int | None, bytes]]) -> int:
+    """Writes one file of (doc_id, ids) and returns its number of ids."""
+    writer = Writer(stream)
     for id_, ids in rows:
-        index.append((_NULL if id_ is None else id_, len(ids) // 4, len(table_), size))
-        held.append(ids)
-        size += len(ids)
-        total += len(ids) // 4
-        if size >= FRAME_BYTES:
-            frame(b"".join(held))
-            held, size = [], 0
-    if held:
-        frame(b"".join(held))
-    frame(np.array(index, "<i8").reshape(-1, 4).tobytes())
-    seek = b"".join(table_) + struct.pack("<IBI", len(table_), HAS_CHECKSUM, SEEKABLE)
-    stream.write(struct.pack("<II", SKIPPABLE, len(seek)) + seek)
-    return total
+        writer.add(id_, ids)
+    writer.close()
+    return writer.ids
 
 
 class Reader:
@@ -150,31 +223,32 @@ class Reader:
                 yield (None if id_ == _NULL else id_), data[offset : offset + 4 * n]
 
 
-def write(tokens: DataFrame, folder: str, id_col: str = "doc_id") -> DataFrame:
-    """Writes tokens, whose partitions are ranges of id_col, as a file each; (file, part, ids)."""
+def write(tokens: DataFrame, folder: str, id_col: str = "doc_id", file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Writes tokens, whose partitions are ranges of id_col, as files of about file_bytes at most;
+    (file, part, number, ids) of each, once its task has ended."""
+    check_folder(folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        first = next((b for b in batches if b.num_rows), None)
-        if first is None:
-            return
-        name = f"part-{part:06d}.tokens.zst"
-
-        def rows():
-            for batch in [first]:
-                yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-            for batch in chunks(batches, 1000):
-                yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-
-        with whole_file(folder, name) as stream:
-            total = write_file(stream, rows())
-        yield pa.record_batch([pa.array([name]), pa.array([part], pa.int32()), pa.array([total], pa.int64())], ["file", "part", "ids"])
-
-    return tokens.select(F.col(id_col).cast("bigint"), "ids").mapInArrow(run, "file string, part int, ids bigint")
-
-
-def read(spark, folder: str) -> DataFrame:
-    """(file, number, doc_id, ids binary): all documents of all files; number counts in a file."""
+        part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
+        rows = (row for batch in batches for some in chunks([batch], 1000) for row in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True))
+        row, number = next(rows, None), 0
+        while row is not None:
+            name = f"part-{part:06d}-{number:06d}-{attempt}.tokens.zst"
+            with whole_file(folder, name) as stream:
+                writer = Writer(stream)
+                while row is not None and writer.written < file_bytes:
+                    writer.add(*row)
+                    row = next(rows, None)
+                writer.close()
+            yield pa.record_batch([pa.array([name]), pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([writer.ids], pa.int64())], ["file", "part", "number", "ids"])
+            number += 1
+
+    return tokens.select(F.col(id_col).cast("bigint"), "ids").mapInArrow(run, "file string, part int, number int, ids bigint")
+
+
+def read(spark, folder: str, files: DataFrame | None = None) -> DataFrame:
+    """(file, number, doc_id, ids binary): all documents of all files, or of those that `files`
+    (of write()) names; number counts in a file."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,25 +268,24 @@ def read(spark, folder: str) -> DataFrame:
         n = len(rows)
         return pa.record_batch([pa.array([name] * n), pa.array(range(number, number + n), pa.int64()), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["file", "number", "doc_id", "ids"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tokens.zst").load(folder)
-    return files.select("path", "content").mapInArrow(run, "file string, number bigint, doc_id bigint, ids binary")
-
+    found = only(spark.read.format("binaryFile").option("pathGlobFilter", "*.tokens.zst").load(folder), files, BROADCAST_FILES)
+    return found.select("path", "content").mapInArrow(run, "file string, number bigint, doc_id bigint, ids binary")
 
-def starts(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of read()'s rows."""
-    from pyspark.sql import Window
 
-    rows = materialize(docs.select("file", "number", "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")), "token-rows")
-    # a row for each file, whose names ascend as their documents do
-    files = rows.groupBy("file").agg(F.sum("n_tokens").alias("n")).orderBy("file").collect()
-    before, total = [], 0
-    for r in files:
-        before.append((r["file"], total))
-        total += r["n"]
-    offsets = docs.sparkSession.createDataFrame(before, "file string, before bigint")
+def starts(docs: DataFrame, files: DataFrame) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of read()'s rows; files are those of write()."""
+    rows = docs.select("file", "number", "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+    rows = materialize(rows, "token-rows")
+    before = lambda w: F.coalesce(F.sum("ids").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    grouped = files.withColumn("group", F.floor(F.col("part") / FILES_PER_GROUP))
+    # a row for each thousand parts
+    groups = grouped.groupBy("group").agg(F.sum("ids").alias("ids")).select("group", before(Window.orderBy("group")).alias("_group"))
+    offsets = grouped.withColumn("_file", before(Window.partitionBy("group").orderBy("part", "number"))).join(groups, "group")
+    offsets = materialize(offsets.select("file", (F.col("_file") + F.col("_group")).alias("before")), "file-offsets")
     running = Window.partitionBy("file").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
-    out = rows.withColumn("_in", F.coalesce(F.sum("n_tokens").over(running), F.lit(0))).join(F.broadcast(offsets), "file")
-    return out.select("doc_id", (F.col("before") + F.col("_in")).alias("start"), "n_tokens", "ids_crc32")
+    within = rows.withColumn("_in", F.coalesce(F.sum("n_tokens").over(running), F.lit(0)))
+    few = offsets.limit(BROADCAST_FILES + 1).count() <= BROADCAST_FILES
+    return within.join(F.broadcast(offsets) if few else offsets, "file").select("doc_id", (F.col("before") + F.col("_in")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def op10_token_frames(spark, sf_dir: str) -> DataFrame:
@@ -220,8 +293,8 @@ def op10_token_frames(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    parts = parts_for(total_bytes(docs, F.col("text")), FILE_TEXT_BYTES)
+    parts = parts_for(total_bytes(docs, F.col("text")), TASK_TEXT_BYTES)
     ordered = docs.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     folder = new_folder(spark, "tokens")
-    write(encode(ordered, public_tokenizers.path("word_bpe_49k.json")), folder).agg(F.sum("ids")).collect()
-    return starts(read(spark, folder))
+    files = materialize(write(encode(ordered, public_tokenizers.path("word_bpe_49k.json")), folder), "token-files")
+    return starts(read(spark, folder, files), files)

@@ -86,7 +86,7 @@ def span_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.nda
     return mix((total[stop] - total[start]) * back[start] + (stop - start).astype(np.uint64))
 
 
-def chunks(batches, rows: int = 400, most: int = 8 << 20):
+def chunks(batches, rows: int = 400, most: int = 2 << 20):
     """Slices of Arrow batches of bounded bytes (a single longer row is a slice of its own)."""
     for batch in batches:
         k = 0
