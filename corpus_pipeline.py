@@ -8,36 +8,54 @@ written before the next stage begins: the tables that it reads are then deleted.
 
 from __future__ import annotations
 
+import functools
+import threading
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strainflow.llm import bpe, decontaminate, lines, ngram_join, toxicity
-from strainflow.llm.common import bounded_batches, materialize, release, table
+from strainflow.llm.common import bounded_batches, delete, materialize, new_path, scratch, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+_last = threading.local()
+
+
+def _stage(stage: Callable) -> Callable:
+    """The stage, which first deletes what the stage before it in this thread wrote for itself."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if getattr(_last, "scratch", None):
+            _last.scratch.release(spark)
+        bounded_batches(spark)
+        with scratch() as _last.scratch:
+            return stage(spark, docs, sf_dir)
+
+    return run
 
 
+@_stage
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the lexicon, learned from labels outside the held-out fold, calls toxic go."""
-    release(spark)
-    bounded_batches(spark)
     lexicon = toxicity.learn(docs, table(spark, sf_dir, "labels").filter(~toxicity.held_out()))
     return toxicity.score(docs.select(*COLUMNS), lexicon).filter("predicted = 0").select(*COLUMNS)
 
 
+@_stage
 def site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that over a tenth of a source's documents contain go; every document stays."""
-    release(spark)
+    """Boilerplate lines of a source's documents go, by the one ratio of lines.usual; every document stays."""
     out = lines.drop_boilerplate(docs.select(*COLUMNS))
     text = F.array_join("_kept", "\n")
     return out.select("doc_id", text.alias("text"), "lang", "source", F.char_length(text).cast("bigint").alias("n_chars"))
 
 
+@_stage
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of rows connected by a similarity of 0.8 on five-word shingles, the one of least doc_id
     stays (of several with that doc_id, one), and so does one of those without doc_id. Of rows
     without words, repeated ones with a doc_id stay once."""
-    release(spark)
     # doc_ids may be null or repeat: rows are told apart by a number that is written with them
     keyed = materialize(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "keyed")
     found = ngram_join.link(keyed, id_col="_row", width=5, percent=80).withColumnRenamed("_row", "_id")
@@ -52,18 +70,17 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keyed.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
+@_stage
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a window of a benchmark item go."""
-    release(spark)
-    bounded_batches(spark)
     return decontaminate.clean(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
+@_stage
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256) of each document."""
     import public_tokenizers
 
-    release(spark)
     vocabulary = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     ids = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN)
     return bpe.decode(ids, vocabulary).select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -76,7 +93,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
+        path = new_path(spark, f"pipeline-{name}", keep=True)
+        docs = written(stage(spark, docs, sf_dir), path)
+        if before:
+            delete(spark, before)
+        before = path
     return docs
