@@ -10,13 +10,15 @@
    theirs are done.
 3. A cluster's sets go into a prefix tree in the global order, read from its common end so that
    near copies share long paths; a set walks the tree counting overlap once for all sets below,
-   and leaves subtrees whose remaining lengths can't reach the overlap that a link needs.
+   a level of the tree at a time, and leaves subtrees whose remaining lengths can't reach the
+   overlap that a link needs.
 4. Clusters beyond BLOCK_SETS sets or BLOCK_TOKENS shingles are split by size band and, within it,
    into blocks; two sets of a band are in all its blocks. Sets outside the cluster's largest component
-   so far then meet the blocks, of their band and its neighbours, in which some set shares a shingle
-   of their prefix. Only links between components are emitted, enough to connect them.
+   so far then go into trees that the sets of their band and its neighbours stream past, in parts in
+   which some set shares a shingle of their prefix. Sets that are alike below the threshold in great
+   numbers are the dear case: a group of g of them costs g * g / 2000 reads of a set. Only links between components are emitted, enough to connect them.
 
-Memory: a task holds two blocks, bounded by sets and by shingles. No cluster, bucket or component
+Memory: a task holds one tree, bounded by sets and by shingles. No cluster, bucket or component
 is gathered whole. Sets are known by 64 bits of a digest, as shingles are.
 
 Defined cases: null and empty texts, or texts without words, have an empty set (n_shingles 0) and
@@ -43,7 +45,9 @@ from strainflow.llm.words import NOT_SPACE, chunks, words
 SKETCH_BITS = 20
 SLICE_BITS = 16
 #: What a block of a cluster holds at most: sets, and shingles in all.
-BLOCK_SETS, BLOCK_TOKENS = 2000, 1 << 22
+BLOCK_SETS, BLOCK_TOKENS = 500, 1 << 20
+#: Trees of sets that other sets stream past, and these streams, are so many times a block.
+TREE_BLOCKS, STREAM_BLOCKS = 4, 8
 #: Tables of large clusters or of their blocks with more rows aren't broadcast.
 BROADCAST_ROWS = 100_000
 #: Prefix entries that one task groups.
@@ -218,94 +222,145 @@ class Tree:
                 node[1][begin] = child
             node, at = child, at + k
 
-    def links(self, tokens: np.ndarray, percent: int, connected) -> Iterator[int]:
-        """Names of sets y with 100 * overlap >= percent * union for which connected(name) doesn't hold."""
-        own, n = np.sort(tokens), len(tokens)
 
-        def hopeless(overlap: int, depth: int, low: int, high: int) -> bool:
+class FlatTree:
+    """A tree's nodes in arrays, level by level, for walks that handle a level at a time."""
+
+    def __init__(self, tree: Tree):
+        nodes, parents, self.levels, at = [tree.root], [0], [], 0
+        while at < len(nodes):
+            stop = len(nodes)
+            self.levels.append((at, stop))
+            for k in range(at, stop):
+                children = list(nodes[k][1].values())
+                nodes += children
+                parents += [k] * len(children)
+            at = stop
+        self.parent = np.array(parents, np.int64)
+        size = np.array([len(x[0]) for x in nodes], np.int64)
+        self.stop = np.cumsum(size)
+        self.start = self.stop - size
+        self.depth = size.copy()
+        for a, b in self.levels[1:]:
+            self.depth[a:b] += self.depth[self.parent[a:b]]
+        self.low, self.high = np.array([x[3] for x in nodes], np.int64), np.array([x[4] for x in nodes], np.int64)
+        self.names = [x[2] for x in nodes]
+        self.ends = np.array([bool(x[2]) for x in nodes])
+        tokens = np.concatenate([x[0] for x in nodes])
+        self.known, self.token = np.unique(tokens, return_inverse=True)
+        self.mine = np.zeros(len(self.known), bool)
+
+    def links(self, tokens: np.ndarray, percent: int) -> Iterator[int]:
+        """Names of sets y with 100 * overlap >= percent * union."""
+        if not len(self.known):
+            return
+        n = len(tokens)
+        at = np.minimum(np.searchsorted(self.known, tokens), len(self.known) - 1)
+        at = at[self.known[at] == tokens]
+        self.mine[at] = True
+        total = np.concatenate([[0], np.cumsum(self.mine[self.token])])
+        self.mine[at] = False
+        overlap, alive = total[self.stop] - total[self.start], np.zeros(len(self.parent), bool)
+        for a, b in self.levels:
+            if a:
+                overlap[a:b] += overlap[self.parent[a:b]]
             # the most that any set below can still share, at the size where that helps most
-            best = overlap + min(n - overlap, high)
-            size = max(depth + low, depth - overlap + best)
-            return 100 * best < percent * (n + size - best)
-
-        stack = [(self.root, 0, 0)]
-        while stack:
-            node, depth, overlap = stack.pop()
-            for name in node[2]:
-                if 100 * overlap >= percent * (n + depth - overlap) and not connected(name):
-                    yield name
-            for child in node[1].values():
-                edge, low, high = child[0], child[3], child[4]
-                if hopeless(overlap, depth, len(edge) + low, len(edge) + high):
-                    continue
-                shared = overlap + int((own[np.minimum(np.searchsorted(own, edge), n - 1)] == edge).sum())
-                if not hopeless(shared, depth + len(edge), low, high):
-                    stack.append((child, depth + len(edge), shared))
-
-
-def join_block(sets: dict[int, np.ndarray], probes: list[int], component: dict[int, int], percent: int) -> list[tuple[int, int]]:
-    """Links from probes to sets that connect what `component` has apart: a spanning forest. The
-    sets' tokens are in the global order."""
-    parent = {k: k for k in set(component.values())}
-
-    def root(name: int) -> int:
-        x = component[name]
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
+            best = overlap[a:b] + np.minimum(n - overlap[a:b], self.high[a:b])
+            size = np.maximum(self.depth[a:b] + self.low[a:b], self.depth[a:b] - overlap[a:b] + best)
+            alive[a:b] = 100 * best >= percent * (n + size - best)
+            if a:
+                alive[a:b] &= alive[self.parent[a:b]]
+            if not alive[a:b].any():
+                break
+        hit = alive & self.ends
+        hit &= 100 * overlap >= percent * (n + self.depth - overlap)
+        for node in np.flatnonzero(hit).tolist():
+            yield from self.names[node]
+
+
+class Block:
+    """Sets in a tree, and sets that walk it; `found` has the links that connect what the given
+    components have apart, a spanning forest. Tokens are in the global order."""
+
+    def __init__(self, percent: int):
+        self.percent, self.tree, self.flat = percent, Tree(), None
+        self.component: dict[int, int] = {}
+        self.parent: dict[int, int] = {}
+        self.found: list[tuple[int, int]] = []
+
+    def _root(self, name: int) -> int:
+        x = self.component[name]
+        while self.parent[x] != x:
+            self.parent[x] = self.parent[self.parent[x]]
+            x = self.parent[x]
         return x
 
-    tree, out = Tree(), []
-    for name in sorted(sets):
-        tree.add(sets[name][::-1], name)
-    for name in sorted(probes):
-        for other in tree.links(sets[name], percent, lambda y, name=name: root(y) == root(name)):
-            a, b = root(name), root(other)
+    def _known(self, name: int, component: int) -> None:
+        self.component.setdefault(name, component)
+        self.parent.setdefault(component, component)
+
+    def add(self, name: int, component: int, tokens: np.ndarray) -> None:
+        if name not in self.component:
+            self._known(name, component)
+            self.tree.add(tokens[::-1], name)
+
+    def walk(self, name: int, component: int, tokens: np.ndarray) -> None:
+        self.flat = self.flat or FlatTree(self.tree)
+        self._known(name, component)
+        for other in self.flat.links(tokens, self.percent):
+            a, b = self._root(name), self._root(other)
             if a != b:
-                parent[max(a, b)] = min(a, b)
-                out.append((name, other))
-    return out
+                self.parent[max(a, b)] = min(a, b)
+                self.found.append((name, other))
+
+
+#: What a set is to its group: in the tree and walking it, in the tree only, walking only.
+BOTH, STAYS, WALKS = 0, 1, 2
 
 
 def _blocks(percent: int):
-    """Rows (group, key, component, probe, tokens), sorted by group, to links."""
+    """Rows (group, key, component, role, tokens), sorted by group and role, to links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, sets, probes, component = None, {}, [], {}
+        now, block, own = None, Block(percent), []
 
         def out():
-            found = join_block(sets, probes, component, percent)
-            return pa.record_batch([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["a", "b"])
+            for x in own:
+                block.walk(*x)
+            return pa.record_batch([pa.array([x[0] for x in block.found], pa.int64()), pa.array([x[1] for x in block.found], pa.int64())], ["a", "b"])
 
         for batch in batches:
-            for group, key, comp, probe, tokens in zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4), strict=True):
-                if group != now and sets:
-                    yield out()
-                    sets, probes, component = {}, [], {}
-                now = group
-                if key not in sets:
-                    sets[key], component[key] = np.frombuffer(tokens.as_py(), np.uint64), comp
-                if probe and key not in probes[-1:]:
-                    probes.append(key)
-        if sets:
+            for group, key, comp, role, tokens in zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4), strict=True):
+                if group != now:
+                    if now is not None:
+                        yield out()
+                    now, block, own = group, Block(percent), []
+                tokens = np.frombuffer(tokens.as_py(), np.uint64)
+                if role == WALKS:
+                    block.walk(key, comp, tokens)
+                elif key not in block.component:
+                    block.add(key, comp, tokens)
+                    if role == BOTH:
+                        own.append((key, comp, tokens))
+        if now is not None:
             yield out()
 
     return run
 
 
 def _in_groups(rows: DataFrame, percent: int) -> DataFrame:
-    """rows (group string, key, component, probe, tokens), a task to many groups, to links (a, b)."""
-    dealt = rows.repartition("group").sortWithinPartitions("group", "key", F.desc("probe"))
-    return dealt.select("group", "key", "component", "probe", "tokens").mapInArrow(_blocks(percent), "a bigint, b bigint")
+    """rows (group string, key, component, role, tokens), a task to many groups, to links (a, b)."""
+    dealt = rows.repartition("group").sortWithinPartitions("group", "role", "key")
+    return dealt.select("group", "key", "component", "role", "tokens").mapInArrow(_blocks(percent), "a bigint, b bigint")
 
 
 def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def _parts(block_sets: int):
-    """How many blocks hold `sets` sets of `size` shingles in all."""
-    return F.greatest(F.ceil(F.col("sets") / block_sets), F.ceil(F.col("size") / BLOCK_TOKENS)).cast("int")
+def _parts(block_sets: int, times: int = 1):
+    """How many parts of so many blocks hold `sets` sets of `size` shingles in all."""
+    return F.greatest(F.ceil(F.col("sets") / (times * block_sets)), F.ceil(F.col("size") / (times * BLOCK_TOKENS))).cast("int")
 
 
 def _dealt(parts: str, seed: int):
@@ -326,41 +381,43 @@ def _prefix_tokens(percent: int):
 def _links_of(sets: DataFrame, percent: int, block_sets: int) -> DataFrame:
     """(a, b): links that connect the sets (key, n, tokens, cluster) of each component."""
     name = lambda *c: F.concat_ws("/", *c)
-    whole, probe = F.col("key").alias("component"), F.lit(True).alias("probe")
+    role = lambda x: F.lit(x).alias("role")
+    whole = F.col("key").alias("component")
     totals = (F.count("*").alias("sets"), F.sum("n").alias("size"))
     large = materialize(sets.groupBy("cluster").agg(*totals).filter((F.col("sets") > block_sets) | (F.col("size") > BLOCK_TOKENS)), "large-clusters")
-    own = sets.join(_small(large), "cluster", "left_anti").select(name("cluster").alias("group"), "key", whole, probe, "tokens")
+    own = sets.join(_small(large), "cluster", "left_anti").select(name("cluster").alias("group"), "key", whole, role(BOTH), "tokens")
     if not large.limit(1).count():
         return materialize(_in_groups(own, percent), "links")
 
     big = sets.join(_small(large.select("cluster")), "cluster").withColumn("band", F.floor(F.log("n") / _band_width(percent)).cast("int"))
     cells = big.groupBy("cluster", "band").agg(*totals, F.min("key").alias("k0"), F.max("key").alias("k1"))
-    cells = materialize(cells.withColumn("blocks", _parts(block_sets)).drop("sets", "size"), "cells")
-    placed = materialize(big.join(_small(cells), ["cluster", "band"]).withColumn("block", _dealt("blocks", 7)), "placed-sets")
+    cells = materialize(cells.withColumns({"blocks": _parts(block_sets), "streams": _parts(block_sets, STREAM_BLOCKS)}).drop("sets", "size"), "cells")
+    placed = big.join(_small(cells), ["cluster", "band"]).withColumns({"block": _dealt("blocks", 7), "stream": _dealt("streams", 13)})
+    placed = materialize(placed, "placed-sets")
     group = name("cluster", "band", "block").alias("group")
     ends = placed.filter("blocks > 1 and (key = k0 or key = k1)").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    within = placed.select(group, "key", whole, probe, "tokens").union(ends.select(group, "key", whole, F.lit(False), "tokens"))
+    within = placed.select(group, "key", whole, role(BOTH), "tokens").union(ends.select(group, "key", whole, role(STAYS), "tokens"))
     links = materialize(_in_groups(own.union(within), percent), "links")
 
     known = components(links, "linked")
     labelled = placed.join(known, F.col("key") == F.col("node"), "left").withColumn("component", F.coalesce("root", "key"))
-    labelled = materialize(labelled.select("key", "n", "tokens", "cluster", "band", "block", "component"), "labelled-sets")
+    labelled = materialize(labelled.select("key", "n", "tokens", "cluster", "band", "stream", "component"), "labelled-sets")
     parts = labelled.groupBy("cluster", "component").agg(F.count("*").alias("m"))
     main = parts.groupBy("cluster").agg(F.max(F.struct("m", "component")).alias("m")).select("cluster", F.col("m.component").alias("main"))
-    marked = labelled.join(_small(main), "cluster").select("key", "cluster", "band", "block", (F.col("component") != F.col("main")).alias("rest"), "tokens")
-    entries = marked.mapInArrow(_prefix_tokens(percent), "key bigint, cluster bigint, band int, block int, rest boolean, tokens array<bigint>")
+    marked = labelled.join(_small(main), "cluster").select("key", "cluster", "band", "stream", (F.col("component") != F.col("main")).alias("rest"), "tokens")
+    entries = marked.mapInArrow(_prefix_tokens(percent), "key bigint, cluster bigint, band int, stream int, rest boolean, tokens array<bigint>")
     entries = materialize(entries.withColumn("token", F.explode("tokens")).drop("tokens"), "large-prefixes")
-    at = ["cluster", "target", "block"]
-    there = entries.select("token", "cluster", F.col("band").alias("target"), "block").distinct()
+    at = ["cluster", "target", "stream"]
+    there = entries.select("token", "cluster", F.col("band").alias("target"), "stream").distinct()
     asking = entries.filter("rest").select("key", "cluster", "band", "token").join(there, ["cluster", "token"]).filter("abs(band - target) <= 1")
     asking = materialize(asking.select("key", *at).distinct(), "asking")
     probes = labelled.select("key", "n", "tokens", "component")
-    chunked = asking.join(probes.select("key", "n"), "key").groupBy(*at).agg(*totals).select(*at, _parts(block_sets).alias("chunks"))
+    chunked = asking.join(probes.select("key", "n"), "key").groupBy(*at).agg(*totals).select(*at, _parts(block_sets, TREE_BLOCKS).alias("chunks"))
     chunked = materialize(chunked, "chunks")
-    asked = name("cluster", "target", "block", "chunk").alias("group")
+    asked = name("cluster", "target", "stream", "chunk").alias("group")
     asking = asking.join(_small(chunked), at).withColumn("chunk", _dealt("chunks", 11)).select(asked, "key").join(probes, "key")
     meets = labelled.withColumnRenamed("band", "target").join(_small(chunked), at).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    across = asking.select("group", "key", "component", probe, "tokens").union(meets.select(asked, "key", "component", F.lit(False), "tokens"))
+    across = asking.select("group", "key", "component", role(STAYS), "tokens").union(meets.select(asked, "key", "component", role(WALKS), "tokens"))
     return materialize(links.union(_in_groups(across, percent)), "all-links")
 
 

@@ -43,9 +43,9 @@ from strainflow.llm.words import chunks
 END_ID = 1
 FRAME_BYTES = 256 << 10
 #: Text that a task encodes, and compressed bytes after which it begins another file.
-TASK_TEXT_BYTES, FILE_BYTES = 64 << 20, 128 << 20
+TASK_TEXT_BYTES, FILE_BYTES = 24 << 20, 128 << 20
 #: Distinct chunks, and pieces of them, whose ids a worker process remembers.
-CACHE = 500_000
+CACHE = 600_000
 #: Files whose totals are summed by one task of the second level.
 FILES_PER_GROUP = 1000
 #: More files than this aren't broadcast.
