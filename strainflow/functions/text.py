@@ -64,9 +64,10 @@ def sir(x: Column) -> Column:
 
 
 def activity_code(x: Column) -> Column:
-    """All-digit codes with two digits at least."""
+    """All-digit codes as whole numbers of two digits at least."""
     code = trim_or_null(x)
-    return F.when(code.rlike("^[0-9]$"), F.concat(F.lit("0"), code)).otherwise(code)
+    digits = F.regexp_replace(code, "^0+(?=[0-9])", "")
+    return F.when(code.rlike("^[0-9]+$"), F.when(F.length(digits) < 2, F.concat(F.lit("0"), digits)).otherwise(digits)).otherwise(code)
 
 
 def discipline_code(x: Column) -> Column:

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 
 def date(x: Column) -> Column:
-    """Year-first or day-first text as a date; null if it is neither."""
-    return F.coalesce(F.try_to_date(x, "yyyy-MM-dd"), F.try_to_date(x, "dd/MM/yyyy"))
+    """Year-first or day-first text, or days since 1970, as a date. Other text raises when it is used."""
+    text = F.nullif(F.trim(x.cast("string")), F.lit(""))
+    days = F.when(text.rlike("^-?[0-9]{1,6}$"), F.date_add(F.lit("1970-01-01").cast("date"), text.try_cast("int")))
+    found = F.coalesce(F.try_to_date(text, "yyyy-MM-dd"), F.try_to_date(text, "dd/MM/yyyy"), days)
+    return F.when(found.isNull() & text.isNotNull(), F.raise_error(F.concat(F.lit("not a date: "), text)).cast("date")).otherwise(found)
 
 
 def seconds(x: Column) -> Column:

@@ -80,8 +80,11 @@ def proportions(evaluated: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def incidence(evaluated: DataFrame, specs: list[Indicator], denominator: DataFrame, year: str, per: int = 1000) -> DataFrame:
-    """Resistant isolates for each indicator and denominator year, also where there are none, per
+    """Raises for a specification that evaluate() had to leave out, since its 0 would be no count.
+    Resistant isolates for each indicator and denominator year, also where there are none, per
     `per` nights; null if there are no nights. denominator: (calendar_year, nights)."""
+    if blocked := [f"{s.id}: {'; '.join(p)}" for s in specs if (p := validate(s, evaluated.columns))]:
+        raise ValueError(f"indicators that can't be computed: {' / '.join(blocked[:10])}")
     ids = F.explode(F.array(*[F.lit(s.id) for s in specs]))
     spine = denominator.select("calendar_year", "nights", ids.alias("indicator_id"))
     counts = evaluated.groupBy("indicator_id", F.col(year).alias("_year")).agg(F.count("*").alias("n"), F.count_if(F.col("indicator_result") == "R").alias("r")).withColumnRenamed("indicator_id", "_id")

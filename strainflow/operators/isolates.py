@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -10,13 +10,11 @@ def diagnostic_documents(df: DataFrame, patient: str, stay: str, document: str,
     """Drops a whole document if any of its rows isn't diagnostic. A document is known by
     patient, stay and document, but by patient and document where a row of that pair lacks the
     stay; rows without patient or document stand for themselves."""
-    bad = ~F.coalesce(diagnostic, F.lit(False))
-    pair = Window.partitionBy(patient, document)
-    lacks = F.max(F.col(stay).isNull()).over(pair)
-    marked = df.withColumn("_bad", bad).withColumn("_stay", F.when(~lacks, F.col(stay)))
-    known = F.col(patient).isNotNull() & F.col(document).isNotNull()
-    whole = F.max("_bad").over(Window.partitionBy(patient, document, "_stay"))
-    return marked.withColumn("_drop", F.when(known, whole).otherwise(F.col("_bad"))).filter(~F.col("_drop")).drop("_bad", "_stay", "_drop")
+    bad, known = ~F.coalesce(diagnostic, F.lit(False)), F.col(patient).isNotNull() & F.col(document).isNotNull()
+    documents = df.filter(known).groupBy(F.col(patient).alias("_p"), F.col(document).alias("_d"))
+    marked = documents.agg(F.bool_or(F.col(stay).isNull()).alias("_lacks"), F.bool_or(bad).alias("_bad"), F.collect_set(F.when(bad, F.col(stay))).alias("_stays")).filter("_bad")
+    gone = (F.col(patient) == F.col("_p")) & (F.col(document) == F.col("_d")) & (F.col("_lacks") | F.array_contains("_stays", F.col(stay)))
+    return df.filter(known | ~bad).join(marked, gone, "left_anti")
 
 
 def last_value(value: Column, order: Column) -> Column:

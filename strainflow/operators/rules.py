@@ -42,7 +42,7 @@ def species(df: DataFrame, column: str, rules: list[tuple[str, str | None, str]]
     choice ("ou", "et/ou") are ambiguous and stay without a name."""
     label = X.squish(F.col(column))
     pairs = [(p, name) for p, name, _ in rules]
-    unsure = label.rlike(r"(?iu)(^|\s)(et/)?ou(\s|$)")
+    unsure = label.rlike(r"(?iU)\bou\b")
     taxon = F.when(unsure, "ambiguous").otherwise(F.coalesce(first_match(label, [(p, t) for p, _, t in rules]), F.lit("bacterium")))
     out = df.withColumn("taxon_type", taxon).withColumn("_named", F.when(~unsure, first_match(label, pairs)))
     bacterium = F.col("taxon_type") == "bacterium"
@@ -52,6 +52,15 @@ def species(df: DataFrame, column: str, rules: list[tuple[str, str | None, str]]
     return out.withColumn("bact_norm", F.coalesce("_named", made)).drop("_named")
 
 
+def antibiotics(df: DataFrame, column: str, kind: str, rules: list[tuple[str, str]]) -> DataFrame:
+    """df with atb_norm, atb_matched and atb_match_origin: the first rule of (pattern, name) that the
+    folded label matches, for rows whose kind is SIR."""
+    named = F.when(F.col(kind) == "SIR", first_match(X.antibiotic_label(F.col(column)), rules))
+    out = df.withColumn("atb_norm", named)
+    hit = F.col("atb_norm").isNotNull()
+    return out.withColumns({"atb_matched": hit, "atb_match_origin": F.when(hit, "explicit")})
+
+
 def expand(df: DataFrame, column: str, classes: dict[str, list[str]]) -> DataFrame:
     """df with a row for each member of the class in column; other values stay."""
     if not classes:

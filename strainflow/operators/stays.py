@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strainflow.functions.text import collapse
@@ -27,11 +27,11 @@ EMERGENCY_UNITS = ["URGE", "URGP"]
 
 def prefer_source(df: DataFrame, keys: list[str], source: str, better: str = "C", worse: str = "DW") -> DataFrame:
     """Drops rows of the worse source where a row of the same complete key is of the better."""
-    complete = F.lit(True)
-    for k in keys:
-        complete = complete & F.col(k).isNotNull()
-    has = F.bool_or(F.coalesce(F.col(source) == better, F.lit(False))).over(Window.partitionBy(*keys))
-    return df.withColumn("_has", has).filter(~(complete & F.col("_has") & F.coalesce(F.col(source) == worse, F.lit(False)))).drop("_has")
+    better_rows = df.filter(F.col(source) == better).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).distinct()
+    on = df[source] == worse
+    for i, k in enumerate(keys):
+        on &= df[k] == F.col(f"_k{i}")  # incomplete keys equal none
+    return df.join(better_rows, on, "left_anti")
 
 
 def clip(df: DataFrame, entry: str, exit_: str, start: Column, end: Column) -> DataFrame:

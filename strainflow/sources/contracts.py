@@ -68,6 +68,7 @@ WIDE = Contract(
     grain=tuple(KEY),
 )
 DENOMINATOR = Contract("nights by year", {"calendar_year": "int", "hospital_nights": "bigint"}, not_null=("calendar_year", "hospital_nights"), whole=("hospital_nights",), not_negative=("hospital_nights",), grain=("calendar_year",))
+# Statuses and reasons of a unit's scope.
 _STATUS = ("eligible_ta_de", "excluded_ta", "excluded_de_domain", "review_unmapped_uf", "review_unmapped_de", "review_missing_sample_uf")
 _REASON = ("eligible_ta_de", "ta_not_03_20", "ta_03_20_de_domain_not_included", "uf_absent_from_consores_structure", "ta_03_20_unmapped_de", "missing_sample_uf")
 SCOPE = Contract(
@@ -79,6 +80,49 @@ SCOPE = Contract(
 )
 
 
+def violations(df: DataFrame, contract: Contract) -> DataFrame:
+    """(check_name, n): how many rows break each check of values, and how many keys of the grain
+    repeat; one aggregate for the values and one for the grain, nothing collected."""
+    checks = contract._checks()
+    one = df.agg(*[F.count_if(F.coalesce(v, F.lit(False))).alias(f"c{k}") for k, v in enumerate(checks.values())])
+    out = one.select(F.explode(F.array(*[F.struct(F.lit(name).alias("check_name"), F.col(f"c{k}").alias("n")) for k, name in enumerate(checks)])).alias("x")).select("x.*")
+    if contract.grain:
+        repeated = df.groupBy(*contract.grain).agg(F.count("*").alias("_n")).filter("_n > 1")
+        out = out.union(repeated.agg(F.lit("grain: not unique").alias("check_name"), F.count("*").alias("n")))
+    return out
+
+
+def validate_bundle(tables: dict[str, DataFrame], contracts: dict[str, Contract], meta: dict | None = None, required_meta: dict | None = None) -> tuple[list[str], list[str]]:
+    """(errors, warnings) of a bundle: tables that it lacks, each table against its contract, entries
+    of the manifest that differ from what is required, and row counts that it states ("<name>.rows")."""
+    errors, warnings = [f"{name}: no such table" for name in contracts if name not in tables], [f"{name}: not in the contract" for name in tables if name not in contracts]
+    for name, contract in contracts.items():
+        if name in tables:
+            wrong, odd = contract.validate(tables[name])
+            errors, warnings = errors + [f"{name}: {x}" for x in wrong], warnings + [f"{name}: {x}" for x in odd]
+    meta = meta or {}
+    errors += [f"meta {k}: {meta.get(k)!r}, not {v!r}" for k, v in (required_meta or {}).items() if meta.get(k) != v]
+    for name, df in tables.items():
+        stated = meta.get(f"{name}.rows")
+        if stated is not None and (found := df.count()) != stated:
+            errors.append(f"{name}: {found} rows, not {stated}")
+    return errors, warnings
+
+
+def report(errors: list[str], warnings: list[str], most: int = 10) -> str:
+    """A validation's findings as text, the first of each kind."""
+    lines = ["valid" if not errors else f"{len(errors)} errors", *[f"- {x}" for x in errors[:most]], f"{len(warnings)} warnings", *[f"- {x}" for x in warnings[:most]]]
+    return "\n".join(lines)
+
+
+def validated(tables: dict[str, DataFrame], contracts: dict[str, Contract], meta: dict | None = None, required_meta: dict | None = None) -> dict[str, DataFrame]:
+    """The tables with the columns of their contracts; raises if there are errors."""
+    errors, warnings = validate_bundle(tables, contracts, meta, required_meta)
+    if errors:
+        raise ValueError(report(errors, warnings))
+    return {name: contract.select(tables[name]) for name, contract in contracts.items()}
+
+
 def differences(a: DataFrame, b: DataFrame, ignore: tuple[str, ...] = ()) -> DataFrame:
     """Rows, with their columns as JSON, that only one side has (side a or b), repeats counted."""
     columns = sorted(set(a.columns) - set(ignore))

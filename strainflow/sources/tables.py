@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 import os
 import re
 
@@ -49,14 +50,16 @@ def write_bundle(spark: SparkSession, folder: str, tables: dict[str, DataFrame],
     fs, root = _path(spark, folder)
     if fs.exists(root) and not force:
         raise FileExistsError(f"{folder} exists")
-    if fs.exists(root):
-        fs.delete(root, True)
+    target, folder = root, f"{folder.rstrip('/')}.{uuid.uuid4().hex[:8]}"
     for name, df in tables.items():
         df.write.parquet(f"{folder}/{name}")
     stamp = {name: fingerprint(spark.read.parquet(f"{folder}/{name}")) for name in tables}
     line = spark.createDataFrame([(json.dumps({"meta": meta, "tables": stamp}, sort_keys=True),)], "value string")
     line.coalesce(1).write.text(f"{folder}/_draft")
     fs.rename(_path(spark, f"{folder}/_draft")[1], _path(spark, f"{folder}/manifest")[1])
+    if fs.exists(target):
+        fs.delete(target, True)
+    fs.rename(_path(spark, folder)[1], target)
 
 
 def read_bundle(spark: SparkSession, folder: str, check: bool = True) -> tuple[dict[str, DataFrame], dict]:
