@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strainflow.llm.common import bounded_batches, materialize, parts_for, table
+from strainflow.llm.common import bounded_batches, delete, materialize, new_path, parts_for, table, written
 from strainflow.llm.components import components
 from strainflow.llm.words import NOT_SPACE, chunks, words
 
@@ -393,7 +393,8 @@ def _links_of(sets: DataFrame, percent: int, block_sets: int) -> DataFrame:
     cells = big.groupBy("cluster", "band").agg(*totals, F.min("key").alias("k0"), F.max("key").alias("k1"))
     cells = materialize(cells.withColumns({"blocks": _parts(block_sets), "streams": _parts(block_sets, STREAM_BLOCKS)}).drop("sets", "size"), "cells")
     placed = big.join(_small(cells), ["cluster", "band"]).withColumns({"block": _dealt("blocks", 7), "stream": _dealt("streams", 13)})
-    placed = materialize(placed, "placed-sets")
+    path = new_path(sets.sparkSession, "placed-sets")
+    placed = written(placed, path)
     group = name("cluster", "band", "block").alias("group")
     ends = placed.filter("blocks > 1 and (key = k0 or key = k1)").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     within = placed.select(group, "key", whole, role(BOTH), "tokens").union(ends.select(group, "key", whole, role(STAYS), "tokens"))
@@ -402,6 +403,7 @@ def _links_of(sets: DataFrame, percent: int, block_sets: int) -> DataFrame:
     known = components(links, "linked")
     labelled = placed.join(known, F.col("key") == F.col("node"), "left").withColumn("component", F.coalesce("root", "key"))
     labelled = materialize(labelled.select("key", "n", "tokens", "cluster", "band", "stream", "component"), "labelled-sets")
+    delete(sets.sparkSession, path)
     parts = labelled.groupBy("cluster", "component").agg(F.count("*").alias("m"))
     main = parts.groupBy("cluster").agg(F.max(F.struct("m", "component")).alias("m")).select("cluster", F.col("m.component").alias("main"))
     marked = labelled.join(_small(main), "cluster").select("key", "cluster", "band", "stream", (F.col("component") != F.col("main")).alias("rest"), "tokens")
@@ -461,8 +463,10 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wid
     if nameless:
         some = some.union(text.filter("id is null"))
     sets = some.select("text").mapInArrow(tokens_of, "key bigint, n bigint, tokens binary").join(cluster, "key")
-    sets = materialize(sets.dropDuplicates(["key"]) if nameless else sets, "cluster-sets")
+    path = new_path(spark, "cluster-sets")
+    sets = written(sets.dropDuplicates(["key"]) if nameless else sets, path)
     links = _links_of(sets, percent, block_sets)
+    delete(spark, path)
 
     root = components(links, "joined").select(F.col("node").alias("key"), "root")
     classes = rows.filter("key is not null").groupBy("key").agg(F.min("id").alias("rep")).join(root, "key", "left").withColumn("root", F.coalesce("root", "key"))
