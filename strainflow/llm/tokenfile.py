@@ -45,7 +45,7 @@ FRAME_BYTES = 256 << 10
 #: Text that a task encodes, and compressed bytes after which it begins another file.
 TASK_TEXT_BYTES, FILE_BYTES = 24 << 20, 128 << 20
 #: Distinct chunks, and pieces of them, whose ids a worker process remembers.
-CACHE = 600_000
+CACHE = 300_000
 #: Files whose totals are summed by one task of the second level.
 FILES_PER_GROUP = 1000
 #: More files than this aren't broadcast.
@@ -146,6 +146,7 @@ def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
         to_ids = encoder(path)
         for batch in chunks(batches, 4000, 4 << 20):
             yield pa.record_batch([batch.column(0), to_ids(batch.column(1), end_id)], [id_col, "ids"])
+            pa.default_memory_pool().release_unused()
 
     kind = docs.select(id_col).dtypes[0][1]
     return docs.select(F.col(id_col), text_or_empty(text_col).alias("text")).mapInArrow(run, f"`{id_col}` {kind}, ids binary")
