@@ -22,6 +22,7 @@ from __future__ import annotations
 import functools
 import itertools
 import json
+import os
 import re
 import struct
 from array import array
@@ -55,29 +56,45 @@ SKIPPABLE, SEEKABLE, HAS_CHECKSUM = 0x184D2A5E, 0x8F92EAB1, 1 << 7
 _NULL = -(1 << 63)
 
 
+#: Printable ASCII and the letters of Latin-1: NFC leaves them, and their classes are known.
+_LATIN = "[!-~À-ÖØ-öø-ÿ]+"
+_LETTERS = "a-zß-öø-ÿ"
+
+
 class Encoder:
     """Texts to ids with the tokenizers library. The vocabulary drops white space and never looks
-    across it, so a text is the sum of its chunks between white space, and a chunk of ASCII the sum of
-    the matches of the vocabulary's own pattern. Each distinct one is encoded once while it is in a
-    cache, on which no result depends. Texts with an added token's characters are encoded whole."""
+    across it, so a text is the sum of its chunks between white space, and a chunk of ASCII and Latin-1
+    letters the sum of the matches of the vocabulary's own pattern, which the library's model takes as
+    they are. Each distinct one is encoded once while it is in a cache, on which no result depends.
+    Texts with an added token's characters are encoded whole."""
 
     def __init__(self, path: str, cache: int = CACHE):
+        # tasks are the parallelism; the library's threads would only wait for each other
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.most = cache
         self.chunks: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
-        self.pattern, added = piece_pattern(json.loads(self.tokenizer.to_str()))
+        self.pattern = piece_pattern(self.tokenizer)
+        self.symbols = latin_symbols() if self.pattern else {}
+        added = (x.content for x in self.tokenizer.get_added_tokens_decoder().values())
         self.odd = "|".join(map(re.escape, added)) or "$^"
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, cache: dict[str, bytes], new: list[str]) -> None:
+    def _learn_chunks(self, new: list[str]) -> None:
         for k in range(0, len(new), 10_000):
             some = new[k : k + 10_000]
-            cache.update(zip(some, self.whole(some), strict=True))
+            self.chunks.update(zip(some, self.whole(some), strict=True))
+
+    def _learn_pieces(self, new: list[str]) -> None:
+        tokens, symbols = self.model.tokenize, self.symbols
+        for piece in new:
+            self.pieces[piece] = b"" if piece == "\n" else array("I", [t.id for t in tokens(piece if piece.isascii() else piece.translate(symbols))]).tobytes()
 
     def _trim(self, cache: dict[str, bytes]) -> None:
         """Forgets the older half of a full cache."""
@@ -85,19 +102,31 @@ class Encoder:
             for key in list(itertools.islice(cache, len(cache) - self.most // 2)):
                 del cache[key]
 
-    def _ids(self, words: list[str]) -> list[bytes]:
-        """The ids of distinct chunks."""
-        self._trim(self.chunks), self._trim(self.pieces)
-        chunks, pieces = self.chunks, self.pieces
-        new = [w for w in words if w not in chunks]
-        plain = [c for c in new if c.isascii()] if self.pattern else []
-        split = [self.pattern.findall(c) for c in map(str.lower, plain)] if plain else []
-        self._learn(chunks, [c for c in new if not c.isascii()] if self.pattern else new)
-        self._learn(pieces, list(set(itertools.chain.from_iterable(split)) - pieces.keys()))
-        piece = pieces.__getitem__
-        for c, p in zip(plain, split, strict=True):
-            chunks[c] = piece(p[0]) if len(p) == 1 else b"".join(map(piece, p))
-        return [chunks[w] for w in words]
+    def _recall(self, cache: dict[str, bytes], names: list[str], learn) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all names in one array, and how many each has."""
+        self._trim(cache)
+        learn([x for x in names if x not in cache])
+        known = list(map(cache.__getitem__, names))
+        return np.frombuffer(b"".join(known), "<u4"), np.fromiter(map(len, known), np.int64, len(known)) // 4
+
+    def _ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of distinct chunks in some order, and the place of each one's first and its number."""
+        latin = pc.match_substring_regex(words, f"^{_LATIN}$").to_numpy(zero_copy_only=False) if self.pattern else np.zeros(len(words), bool)
+        starts, sizes = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        others, plain = np.flatnonzero(~latin), np.flatnonzero(latin)
+        ids, n = self._recall(self.chunks, words.take(pa.array(others)).to_pylist(), self._learn_chunks)
+        starts[others], sizes[others] = np.cumsum(n) - n, n
+        if not len(plain):
+            return ids, starts, sizes
+        # one list of pieces for all chunks, with a line end after each
+        flat = self.pattern.findall("\n".join([*words.take(pa.array(plain)).to_pylist(), ""]).lower())
+        coded = pa.array(flat, pa.string()).dictionary_encode()
+        names, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        values, n = self._recall(self.pieces, names, self._learn_pieces)
+        values, ends = gathered(values, n, at)
+        stops = ends[at == names.index("\n")]
+        starts[plain], sizes[plain] = len(ids) + np.concatenate([[0], stops[:-1]]), np.diff(stops, prepend=0)
+        return np.concatenate([ids, values]), starts, sizes
 
     def __call__(self, texts: pa.Array, end: int | None = None) -> pa.Array:
         """Binary ids of each text, and the end id."""
@@ -105,12 +134,8 @@ class Encoder:
         whole = dict(zip(odd.tolist(), self.whole(texts.take(pa.array(odd)).to_pylist()) if len(odd) else [], strict=True))
         parted = pc.ascii_split_whitespace(pc.if_else(pc.match_substring_regex(texts, self.odd), "", texts) if len(odd) else texts)
         coded = parted.flatten().dictionary_encode()
-        known = self._ids(coded.dictionary.to_pylist())
-        values, sizes = np.frombuffer(b"".join(known), "<u4"), np.array([len(x) // 4 for x in known], np.int64)
-        starts, at = np.cumsum(sizes) - sizes, coded.indices.to_numpy(zero_copy_only=False)
-        n = sizes[at]
-        ends = np.cumsum(n)
-        ids = values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[at] - (ends - n), n)]
+        values, starts, sizes = self._ids(coded.dictionary)
+        ids, ends = gathered(values, sizes, coded.indices.to_numpy(zero_copy_only=False), starts)
         stops = np.concatenate([[0], ends])[parted.offsets.to_numpy()[1:] - parted.offsets[0].as_py()].astype(np.int64)
         if end is not None:
             ids, stops = np.insert(ids, stops, end), stops + np.arange(1, len(stops) + 1)
@@ -121,16 +146,35 @@ class Encoder:
         return pa.array([whole[k] + tail if k in whole else x for k, x in enumerate(out.to_pylist())], pa.binary())
 
 
-def piece_pattern(vocabulary: dict) -> tuple[re.Pattern | None, list[str]]:
-    """What parts a lower-cased ASCII chunk as the vocabulary does: its own pattern with classes of
-    ASCII, if its steps are those that this knows; and its added tokens."""
-    added = [x["content"] for x in vocabulary["added_tokens"]]
-    steps, parts = (x and (x.get("normalizers") or x.get("pretokenizers") or [x]) for x in (vocabulary["normalizer"], vocabulary["pre_tokenizer"]))
+def gathered(values: np.ndarray, sizes: np.ndarray, at: np.ndarray, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """values' pieces of these sizes in the order of `at`, and where each ends."""
+    starts, n = np.cumsum(sizes) - sizes if starts is None else starts, sizes[at]
+    ends = np.cumsum(n)
+    return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[at] - (ends - n), n)], ends
+
+
+def piece_pattern(tokenizer) -> re.Pattern | None:
+    """What parts a lower-cased chunk of ASCII and Latin-1 letters as the vocabulary does: its own
+    pattern with these classes, if its steps are those that this knows."""
+    from tokenizers.models import BPE
+
+    steps, parts = (x and json.loads(x.__getstate__()) for x in (tokenizer.normalizer, tokenizer.pre_tokenizer))
+    steps, parts = (x and (x.get("normalizers") or x.get("pretokenizers") or [x]) for x in (steps, parts))
     known = [x["type"] for x in steps or []] == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in parts or []] == ["Split", "ByteLevel"]
-    if not known or steps[1]["pattern"] != {"Regex": "\\s+"} or parts[0]["behavior"] != "Removed" or not parts[0]["invert"]:
-        return None, added
-    classes = parts[0]["pattern"]["Regex"].replace("[^\\s\\p{L}\\p{N}]", "[^\\sa-z0-9]").replace("\\p{L}", "a-z").replace("\\p{N}", "0-9")
-    return (None if "\\p" in classes else re.compile(classes)), added
+    if not known or not isinstance(tokenizer.model, BPE) or steps[1]["pattern"] != {"Regex": "\\s+"}:
+        return None
+    if parts[0]["behavior"] != "Removed" or not parts[0]["invert"] or parts[1]["use_regex"] or parts[1]["add_prefix_space"]:
+        return None
+    classes = parts[0]["pattern"]["Regex"].replace("\\p{L}", _LETTERS).replace("\\p{N}", "0-9")
+    return None if "\\p" in classes else re.compile(classes + "|\n")
+
+
+def latin_symbols() -> dict[int, str]:
+    """The letters of Latin-1 as the library's byte level writes their bytes."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    level = ByteLevel(add_prefix_space=False, use_regex=False)
+    return {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
 
 
 @functools.lru_cache(maxsize=2)
