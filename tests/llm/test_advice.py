@@ -93,3 +93,25 @@ def test_op10_added_tokens_as_the_library_does(spark):
     texts = ["end <|endoftext|> x", "a<|endoftext|>b <|startoftext|>", "<|endoftext|><|endoftext|>", "<|endof text|>", "\x1c <|endoftext|>\t.", "plain"]
     got = dict(map(tuple, tokenfile.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), path, end_id=None).collect()))
     assert {k: np.frombuffer(v, "<u4").tolist() for k, v in got.items()} == {k: tok.encode(t, add_special_tokens=False).ids for k, t in enumerate(texts)}
+
+
+def test_token_ids_of_any_characters():
+    """Pieces by the library's model, in a small cache, are what the library makes of whole texts."""
+    import random
+    from array import array
+
+    import public_tokenizers
+    import pyarrow as pa
+
+    from strainflow.llm.tokenfile import Encoder
+
+    coder = Encoder(public_tokenizers.path("word_bpe_49k.json"), cache=50)
+    rnd = random.Random(3)
+    wide = [chr(c) for c in range(0x300)] + list("́İ中٣ⅷ가\U0001f600 \t\n's't'll") * 3
+    latin = [chr(c) for c in range(0x21, 0x100)]
+    texts = ["".join(rnd.choices(some, k=rnd.randint(0, 25))) for some in (wide, latin) for _ in range(2000)]
+    texts += ["", " \n", "a <|endoftext|> b", "\x00\x1c\x7f", "ÉCHEA×ß,"]
+    for k in range(0, len(texts), 700):
+        some = texts[k : k + 700]
+        want = [array("I", e.ids + [1]).tobytes() for e in coder.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        assert coder(pa.array(some), 1).to_pylist() == want
