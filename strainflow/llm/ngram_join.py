@@ -238,8 +238,6 @@ class FlatTree:
             at = stop
         self.parent = np.array(parents, np.int64)
         size = np.array([len(x[0]) for x in nodes], np.int64)
-        self.stop = np.cumsum(size)
-        self.start = self.stop - size
         self.depth = size.copy()
         for a, b in self.levels[1:]:
             self.depth[a:b] += self.depth[self.parent[a:b]]
@@ -247,8 +245,12 @@ class FlatTree:
         self.names = [x[2] for x in nodes]
         self.ends = np.array([bool(x[2]) for x in nodes])
         tokens = np.concatenate([x[0] for x in nodes])
-        self.known, self.token = np.unique(tokens, return_inverse=True)
-        self.mine = np.zeros(len(self.known), bool)
+        order = np.argsort(tokens, kind="stable")
+        tokens = tokens[order]
+        new = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, np.int64)
+        # known[i] stands on the edges of nodes where[first[i] : first[i + 1]]
+        self.known, self.first = tokens[new], np.append(new, len(tokens))
+        self.where = np.repeat(np.arange(len(nodes), dtype=np.int32), size)[order]
 
     def links(self, tokens: np.ndarray, percent: int) -> Iterator[int]:
         """Names of sets y with 100 * overlap >= percent * union."""
@@ -257,15 +259,16 @@ class FlatTree:
         n = len(tokens)
         at = np.minimum(np.searchsorted(self.known, tokens), len(self.known) - 1)
         at = at[self.known[at] == tokens]
-        self.mine[at] = True
-        total = np.concatenate([[0], np.cumsum(self.mine[self.token])])
-        self.mine[at] = False
-        overlap, alive = total[self.stop] - total[self.start], np.zeros(len(self.parent), bool)
+        if 100 * len(at) < percent * n:  # too few tokens are in the tree at all
+            return
+        begin, times = self.first[at], self.first[at + 1] - self.first[at]
+        spots = np.repeat(begin - np.cumsum(times) + times, times) + np.arange(times.sum())
+        overlap, alive = np.bincount(self.where[spots], minlength=len(self.parent)), np.zeros(len(self.parent), bool)
         for a, b in self.levels:
             if a:
                 overlap[a:b] += overlap[self.parent[a:b]]
             # the most that any set below can still share, at the size where that helps most
-            best = overlap[a:b] + np.minimum(n - overlap[a:b], self.high[a:b])
+            best = overlap[a:b] + np.minimum(len(at) - overlap[a:b], self.high[a:b])
             size = np.maximum(self.depth[a:b] + self.low[a:b], self.depth[a:b] - overlap[a:b] + best)
             alive[a:b] = 100 * best >= percent * (n + size - best)
             if a:
@@ -378,8 +381,9 @@ def _prefix_tokens(percent: int):
     return run
 
 
-def _links_of(sets: DataFrame, percent: int, block_sets: int) -> DataFrame:
-    """(a, b): links that connect the sets (key, n, tokens, cluster) of each component."""
+def _links_of(sets: DataFrame, path: str, percent: int, block_sets: int) -> DataFrame:
+    """(a, b): links that connect the sets (key, n, tokens, cluster) of each component; sets are
+    the table at path, which goes once it is read."""
     name = lambda *c: F.concat_ws("/", *c)
     role = lambda x: F.lit(x).alias("role")
     whole = F.col("key").alias("component")
@@ -387,23 +391,26 @@ def _links_of(sets: DataFrame, percent: int, block_sets: int) -> DataFrame:
     large = materialize(sets.groupBy("cluster").agg(*totals).filter((F.col("sets") > block_sets) | (F.col("size") > BLOCK_TOKENS)), "large-clusters")
     own = sets.join(_small(large), "cluster", "left_anti").select(name("cluster").alias("group"), "key", whole, role(BOTH), "tokens")
     if not large.limit(1).count():
-        return materialize(_in_groups(own, percent), "links")
+        links = materialize(_in_groups(own, percent), "links")
+        delete(sets.sparkSession, path)
+        return links
 
     big = sets.join(_small(large.select("cluster")), "cluster").withColumn("band", F.floor(F.log("n") / _band_width(percent)).cast("int"))
     cells = big.groupBy("cluster", "band").agg(*totals, F.min("key").alias("k0"), F.max("key").alias("k1"))
     cells = materialize(cells.withColumns({"blocks": _parts(block_sets), "streams": _parts(block_sets, STREAM_BLOCKS)}).drop("sets", "size"), "cells")
     placed = big.join(_small(cells), ["cluster", "band"]).withColumns({"block": _dealt("blocks", 7), "stream": _dealt("streams", 13)})
-    path = new_path(sets.sparkSession, "placed-sets")
-    placed = written(placed, path)
+    placed_path = new_path(sets.sparkSession, "placed-sets")
+    placed = written(placed, placed_path)
     group = name("cluster", "band", "block").alias("group")
     ends = placed.filter("blocks > 1 and (key = k0 or key = k1)").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     within = placed.select(group, "key", whole, role(BOTH), "tokens").union(ends.select(group, "key", whole, role(STAYS), "tokens"))
     links = materialize(_in_groups(own.union(within), percent), "links")
+    delete(sets.sparkSession, path)
 
     known = components(links, "linked")
     labelled = placed.join(known, F.col("key") == F.col("node"), "left").withColumn("component", F.coalesce("root", "key"))
     labelled = materialize(labelled.select("key", "n", "tokens", "cluster", "band", "stream", "component"), "labelled-sets")
-    delete(sets.sparkSession, path)
+    delete(sets.sparkSession, placed_path)
     parts = labelled.groupBy("cluster", "component").agg(F.count("*").alias("m"))
     main = parts.groupBy("cluster").agg(F.max(F.struct("m", "component")).alias("m")).select("cluster", F.col("m.component").alias("main"))
     marked = labelled.join(_small(main), "cluster").select("key", "cluster", "band", "stream", (F.col("component") != F.col("main")).alias("rest"), "tokens")
@@ -465,8 +472,7 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wid
     sets = some.select("text").mapInArrow(tokens_of, "key bigint, n bigint, tokens binary").join(cluster, "key")
     path = new_path(spark, "cluster-sets")
     sets = written(sets.dropDuplicates(["key"]) if nameless else sets, path)
-    links = _links_of(sets, percent, block_sets)
-    delete(spark, path)
+    links = _links_of(sets, path, percent, block_sets)
 
     root = components(links, "joined").select(F.col("node").alias("key"), "root")
     classes = rows.filter("key is not null").groupBy("key").agg(F.min("id").alias("rep")).join(root, "key", "left").withColumn("root", F.coalesce("root", "key"))
