@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strainflow.llm import bpe, decontaminate, lines, media, ngram_join, sharding, suffixes, tokenfile, toxicity, warc
+from strainflow.llm import audit, bpe, decontaminate, lines, media, ngram_join, ppm, resampling, sharding, suffixes, tokenfile, toxicity, warc
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -16,10 +16,15 @@ QUERIES = {
     "op8_media_sequences": media.op8_media_sequences,
     "op9_ngram_tree_join": ngram_join.op9_ngram_tree_join,
     "op10_token_frames": tokenfile.op10_token_frames,
+    "op11_ppm_score": ppm.op11_ppm_score,
+    "op12_crc_resampling": resampling.op12_crc_resampling,
+    "op13_filter_audit": audit.op13_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_site_lines": lines.OP3_SQL,
     "op3_host_lines": lines.OP3_HOST_SQL,
     "op4_benchmark_windows": decontaminate.OP4_SQL,
+    "op12_crc_resampling": resampling.OP12_SQL,
+    "op13_filter_audit": audit.OP13_SQL,
 }
