@@ -79,6 +79,8 @@ def representatives(df: DataFrame, group: list[str], class_id: str, order: list[
 
 
 def stay_rank(df: DataFrame, group: list[str], stay: str, order: list[Column], out: str) -> DataFrame:
-    """df with the rank of each stay in its group, by the stay's first row in order."""
+    """df with the rank of each stay in its group, by the stay's first row in order; rows without a
+    stay have none."""
     first = F.min(_key(order)).over(Window.partitionBy(*group, stay))
-    return df.withColumn("_at", first).withColumn(out, F.dense_rank().over(Window.partitionBy(*group).orderBy("_at", stay))).drop("_at")
+    among = F.dense_rank().over(Window.partitionBy(*group, F.col(stay).isNull()).orderBy("_at", stay))
+    return df.withColumn("_at", first).withColumn(out, F.when(F.col(stay).isNotNull(), among)).drop("_at")

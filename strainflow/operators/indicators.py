@@ -57,14 +57,18 @@ def result(spec: Indicator, columns: list[str]) -> Column:
     return F.when(F.coalesce(F.array_contains(F.array(*cells), "R"), F.lit(False)), "R").when(F.coalesce(*cells).isNull(), "O").otherwise("S")
 
 
+def _typed(spec: Indicator, scope: str, sample_type: str) -> Column:
+    """Whether an isolate's sample type is one of the indicator's, which holds for all in the global scope."""
+    return F.lit(True) if scope == "global" or not spec.sample_types else F.coalesce(F.col(sample_type).isin(*spec.sample_types), F.lit(False))
+
+
 def evaluate(isolates: DataFrame, specs: list[Indicator], scope: str, sample_type: str) -> DataFrame:
     """isolates with a row for each indicator that applies: indicator_id and indicator_result. The
     catalogue is an array of expressions, so isolates are read once however many there are."""
     columns, items = isolates.columns, []
     for s in specs:
         if scope in s.scopes and not validate(s, columns):
-            typed = F.lit(True) if scope == "global" or not s.sample_types else F.coalesce(F.col(sample_type).isin(*s.sample_types), F.lit(False))
-            items.append(F.when(organism_filter(s) & typed, F.struct(F.lit(s.id).alias("id"), result(s, columns).alias("result"))))
+            items.append(F.when(organism_filter(s) & _typed(s, scope, sample_type), F.struct(F.lit(s.id).alias("id"), result(s, columns).alias("result"))))
     if not items:
         return isolates.limit(0).withColumns({"indicator_id": F.lit(""), "indicator_result": F.lit("")})
     out = isolates.withColumn("_x", F.explode(F.array_compact(F.array(*items))))
@@ -79,6 +83,19 @@ def proportions(evaluated: DataFrame, keys: list[str]) -> DataFrame:
     return out.withColumn("n_tested", tested).withColumn("pct_resistant", F.when(tested > 0, 100.0 * F.col("n_resistant") / tested))
 
 
+def scoped_proportions(isolates: DataFrame, specs: list[Indicator], year: str, sample_type: str) -> DataFrame:
+    """proportions() of all scopes, with the column `scope`: isolates are read once. A scope without
+    sample types has a null one."""
+    rows = isolates
+    for scope in SCOPES:
+        items = [s for s in specs if scope in s.scopes and not validate(s, isolates.columns)]
+        cells = [F.when(organism_filter(s) & _typed(s, scope, sample_type), F.struct(F.lit(s.id).alias("id"), result(s, isolates.columns).alias("result"), F.lit(scope).alias("scope"))) for s in items]
+        rows = rows.withColumn(f"_x{scope}", F.array(*cells).cast("array<struct<id:string,result:string,scope:string>>"))
+    each = rows.select(year, sample_type, F.explode(F.array_compact(F.concat(*[F.col(f"_x{scope}") for scope in SCOPES]))).alias("x"))
+    shown = each.select(year, F.when(F.col("x.scope") == "by_type", F.col(sample_type)).alias(sample_type), F.col("x.id").alias("indicator_id"), F.col("x.result").alias("indicator_result"), F.col("x.scope").alias("scope"))
+    return proportions(shown, ["scope", year, sample_type])
+
+
 def incidence(evaluated: DataFrame, specs: list[Indicator], denominator: DataFrame, year: str, per: int = 1000) -> DataFrame:
     """Raises for a specification that evaluate() had to leave out, since its 0 would be no count.
     Resistant isolates for each indicator and denominator year, also where there are none, per

@@ -31,12 +31,32 @@ def one_value(value: Column, order: Column, name: str) -> Column:
     return F.when(F.count_distinct(value) > 1, F.raise_error(F.lit(f"different values of {name} in a group"))).otherwise(first_value(value, order))
 
 
+#: What a packed cell's last two bits say; a fixed order.
+CODES = ["S", "R", "ZIT"]
+
+
+def packed(value: Column, order: Column) -> Column:
+    """A result (S, R or ZIT; null stays null) and its place in one number: the order in the high bits,
+    the value's code in the low ones, so that the largest is the last. order: whole numbers from 0
+    below 2 ** 61. Other values raise. unpacked() gives the value."""
+    code = F.raise_error(F.concat(F.lit("not a susceptibility result: "), value)).cast("bigint")
+    for k, name in enumerate(CODES, 1):
+        code = F.when(value == name, F.lit(k).cast("bigint")).otherwise(code)
+    return F.when(value.isNotNull(), F.shiftleft(order.cast("bigint"), 2).bitwiseOR(code))
+
+
+def unpacked(cell: Column) -> Column:
+    return F.get(F.array(*map(F.lit, CODES)), cell.bitwiseAND(3).cast("int") - 1)
+
+
 def widen(df: DataFrame, keys: list[str], name: str, value: str, names: list[str], order: Column, extra: dict[str, Column] | None = None) -> DataFrame:
     """A row for each key: a column for each of names with the last value in order, further
-    aggregates, and nb_resultats, the number of S and R."""
-    cells = [last_value(F.when(F.col(name) == n, F.col(value)), order).alias(n) for n in names]
+    aggregates, and nb_resultats, the number of S and R. Cells are packed numbers, so Spark adds them
+    up in a hash table before the shuffle; order is as packed() takes it."""
+    cells = [F.max(F.when(F.col("_slot") == k, F.col("_cell"))).alias(n) for k, n in enumerate(names, 1)]
     more = [c.alias(k) for k, c in (extra or {}).items()]
-    wide = df.groupBy(*keys).agg(*cells, *more)
+    slot = F.array_position(F.array(*map(F.lit, names)), F.col(name)).cast("int")
+    wide = df.withColumns({"_cell": packed(F.col(value), order), "_slot": slot}).groupBy(*keys).agg(*cells, *more).withColumns({n: unpacked(F.col(f"`{n}`")) for n in names})
     return wide.withColumn("nb_resultats", completeness(names))
 
 

@@ -27,7 +27,10 @@ def document_scope(df: DataFrame, keys: list[str], analysis: Column, screening:
 
 
 def raw_dataset(df: DataFrame, patient: str, stay: str, day: str) -> DataFrame:
-    """df with the year in which its stay begins and the year of its own day."""
+    """df with the year in which its stay begins and the year of its own day. A row without a day
+    raises when the result is used."""
+    text = F.lit(f"a row without {day}")
+    df = df.filter(F.when(F.to_date(day).isNull(), F.raise_error(text).cast("boolean")).otherwise(True))
     first = df.groupBy(F.col(patient).alias("_p"), F.col(stay).alias("_s")).agg(F.min(F.to_date(day)).alias("_first"))
     out = df.join(first, df[patient].eqNullSafe(F.col("_p")) & df[stay].eqNullSafe(F.col("_s")))
     return out.withColumns({"stay_start_year": F.year("_first"), "dedup_year": F.year(F.to_date(day))}).drop("_p", "_s", "_first")
@@ -35,8 +38,8 @@ def raw_dataset(df: DataFrame, patient: str, stay: str, day: str) -> DataFrame:
 
 def ranks(df: DataFrame, group: list[str], stay: str, document: str, order: list[Column], given: str | None = None) -> DataFrame:
     """df with evt_order, the rank of its stay in the group by the stay's first row in order, and
-    elt_order, the rank of its document in the stay by the document's first row. A given stay
-    order wins where it isn't null. Groups are those of one patient and year."""
+    elt_order, the rank of its document in the stay by the document's first row; null for rows
+    without one. A given stay order wins where it isn't null. Groups are those of one patient and year."""
     out = dedup.stay_rank(df, group, stay, order, "evt_order")
     if given:
         out = out.withColumn("evt_order", F.coalesce(given, "evt_order"))
@@ -59,7 +62,7 @@ def check_scopes(df: DataFrame, found: DataFrame, row_id: str, results: list[str
     cells = [F.col(c) for c in results]
     masks = df.select(row_id, dedup.bits(cells, "S").alias("_s"), dedup.bits(cells, "R").alias("_r"))
     groups = [c for c in found.columns if c.startswith("group_")]
-    each = found.join(masks, row_id).groupBy("scope", *groups, "class_id").agg(F.bit_or("_s").alias("s"), F.bit_or("_r").alias("r"), F.count("*").alias("n"), F.first("n_classes_reversed").alias("back"))
+    each = found.join(masks, row_id).groupBy("scope", *groups, "class_id").agg(F.bit_or("_s").alias("s"), F.bit_or("_r").alias("r"), F.count("*").alias("n"), F.max("n_classes_reversed").alias("back"))
     return each.groupBy("scope").agg(
         F.sum("n").alias("n_rows"),
         F.count("*").alias("n_classes"),

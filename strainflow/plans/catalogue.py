@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from strainflow.functions import text as X
 from strainflow.functions import time as D
 from strainflow.operators import attribution, dedup, indicators, isolates, phenotype, quality, rules, stays
+from strainflow.operators.numbering import numbered
 from strainflow.sources import contracts
+from strainflow.sources.stage import staged
 
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"]
@@ -24,9 +26,10 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def observations(spark: SparkSession, d: str) -> DataFrame:
-    """Long observations: a result of an antibiotic for a species in a document."""
-    line, order = _t(spark, d, "lineitem"), _t(spark, d, "orders")
+def observations(spark: SparkSession, d: str, line: DataFrame | None = None) -> DataFrame:
+    """Long observations: a result of an antibiotic for a species in a document, of order lines or of
+    those given (with their number as row_order)."""
+    given, line, order = line, line or _t(spark, d, "lineitem"), _t(spark, d, "orders")
     part, supplier = _t(spark, d, "part"), _t(spark, d, "supplier")
     joined = line.join(order, line["l_orderkey"] == order["o_orderkey"]).join(part, line["l_partkey"] == part["p_partkey"]).join(supplier, line["l_suppkey"] == supplier["s_suppkey"])
     raw = F.when(F.col("l_returnflag") == "A", " s ").when(F.col("l_returnflag") == "N", "i").otherwise(F.col("l_returnflag"))
@@ -39,13 +42,24 @@ def observations(spark: SparkSession, d: str) -> DataFrame:
         F.col("s_nationkey").alias("species"),
         F.col("p_type").alias("antibiotic"),
         X.sir(raw).alias("result"),
-        F.struct(*ORDER).alias("row_order"),
+        *(["row_order"] if given else []),
         "l_quantity",
     )
 
 
+def numbered_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Order lines with their numbers in ORDER: which of two results of a cell is the last."""
+    return numbered(_t(spark, d, "lineitem").select(*ORDER, "l_returnflag", "l_linestatus"), ORDER, "row_order")
+
+
 def wide(spark: SparkSession, d: str) -> DataFrame:
-    return isolates.widen(observations(spark, d), KEYS, "antibiotic", "result", TYPES, F.col("row_order"), {"quantity": isolates.first_value(F.col("l_quantity"), F.col("row_order"))})
+    rows, order = observations(spark, d, numbered_lines(spark, d)), F.col("row_order")
+    return isolates.widen(rows, KEYS, "antibiotic", "result", TYPES, order, {"quantity": isolates.first_value(F.col("l_quantity"), order)})
+
+
+def isolates_with_ids(spark: SparkSession, d: str) -> DataFrame:
+    """The wide table with year and id, written once for plans that read it several times."""
+    return staged(wide(spark, d).withColumns({"year": F.year("day"), "id": F.concat_ws("/", *KEYS)}), "isolates")
 
 
 _OBS = f"""obs as (
@@ -69,45 +83,58 @@ def screening_exclusion(spark, d):
     return kept.groupBy("patient", "document").agg(F.count("*").alias("n_rows"), F.sum("l_quantity").alias("quantity"))
 
 
+#: Isolates are compared within a patient, a year and a species.
+GROUP = ["patient", "year", "species"]
+ISOLATE_ORDER = ["day", "stay", "document", "sample_type", "species"]
+
+
 def _classes(spark, d):
-    w = wide(spark, d).join(_t(spark, d, "customer").select(F.col("c_custkey").alias("patient"), F.col("c_nationkey").alias("nation")), "patient")
-    w = w.withColumns({"year": F.year("day"), "id": F.concat_ws("/", *KEYS[1:])})
-    order = [F.col(c) for c in ("day", "stay", "document", "sample_type", "species")]
-    return w, dedup.classes(w, ["nation", "year"], "id", TYPES, [], order)
+    w = isolates_with_ids(spark, d)
+    return w, dedup.classes(w, GROUP, "id", TYPES, [], [F.col(c) for c in ISOLATE_ORDER])
+
+
+def _representatives(spark, d):
+    w, found = _classes(spark, d)
+    order = [-F.col("nb_resultats"), *map(F.col, ISOLATE_ORDER)]
+    return dedup.representatives(w.join(found.drop(*GROUP), "id"), GROUP, "class_id", order)
 
 
 def first_fit_classes(spark, d):
-    return _classes(spark, d)[1].select("nation", "year", "id", "class_id", "n_docs", "n_classes")
+    return _classes(spark, d)[1].select(*GROUP, "id", "class_id", "n_docs", "n_classes")
 
 
 def class_representatives(spark, d):
-    w, found = _classes(spark, d)
-    joined = w.join(found, ["nation", "year", "id"])
-    order = [-F.col("nb_resultats"), F.col("day"), F.col("stay"), F.col("document"), F.col("sample_type"), F.col("species")]
-    return dedup.representatives(joined, ["nation", "year"], "class_id", order).select("nation", "year", "class_id", "id", "nb_resultats", *TYPES)
+    return _representatives(spark, d).select(*GROUP, "class_id", "id", "nb_resultats", *TYPES)
 
 
 _BIT = lambda v: " + ".join(f"""(case when "{t}" = '{v}' then {1 << k} else 0 end)""" for k, t in enumerate(TYPES))
-_FIRST_FIT = f"""{_WIDE},
-iso as (
-  select c_nationkey as nation, year(day) as year, concat_ws('/', stay, document, day, sample_type, species) as id, ({_BIT('S')})::bigint as s, ({_BIT('R')})::bigint as r,
-         row_number() over (partition by c_nationkey, year(day) order by day, stay, document, sample_type, species) as rn, w.*
-  from wide w join customer on patient = c_custkey),
+_ID = f"concat_ws('/', {', '.join(KEYS)})"
+
+
+def first_fit_sql(group: str, back: bool = False) -> str:
+    """CTEs iso and fold: isolates with their place in the group's order (or in the opposite one), and
+    the class that each gets, one place after the other in all groups at once."""
+    order = ", ".join(f"{c} desc" if back else c for c in ISOLATE_ORDER)
+    return f"""{_WIDE},
+iso as (select {group} as grp, year(day) as year, {_ID} as id, ({_BIT('S')})::bigint as s, ({_BIT('R')})::bigint as r,
+         row_number() over (partition by {group} order by {order}) as rn, w.* from wide w),
 fold as (
-  select nation, year, rn, id, 1 as class_id, [s] as cs, [r] as cr from iso where rn = 1
+  select grp, rn, id, 1 as class_id, [s] as cs, [r] as cr from iso where rn = 1
   union all
-  select nation, year, rn, id, spot, case when spot > len(cs) then list_append(cs, s) else list_transform(cs, lambda x, i: case when i = spot then x | s else x end) end,
+  select grp, rn, id, spot, case when spot > len(cs) then list_append(cs, s) else list_transform(cs, lambda x, i: case when i = spot then x | s else x end) end,
          case when spot > len(cr) then list_append(cr, r) else list_transform(cr, lambda x, i: case when i = spot then x | r else x end) end
-  from (select i.nation, i.year, i.rn, i.id, f.cs, f.cr, i.s, i.r,
+  from (select i.grp, i.rn, i.id, f.cs, f.cr, i.s, i.r,
                coalesce(nullif(list_position(list_transform(f.cs, lambda x, k: ((x & i.r) | (f.cr[k] & i.s)) = 0), true), 0), len(f.cs) + 1)::int as spot
-        from fold f join iso i on i.nation = f.nation and i.year = f.year and i.rn = f.rn + 1))"""
-_FIRST_FIT_SQL = f"""with recursive {_FIRST_FIT}
-select nation, year, id, class_id, count(*) over (partition by nation, year) as n_docs, max(class_id) over (partition by nation, year) as n_classes from fold"""
-_REPRESENTATIVES_SQL = f"""with recursive {_FIRST_FIT}
-select nation, year, class_id, id, nb_resultats, {', '.join(f'"{t}"' for t in TYPES)} from (
-  select f.nation, f.year, f.class_id, f.id, i.nb_resultats, {', '.join(f'i."{t}"' for t in TYPES)},
-         row_number() over (partition by f.nation, f.year, f.class_id order by i.nb_resultats desc, i.day, i.stay, i.document, i.sample_type, i.species) as k
-  from fold f join iso i on f.nation = i.nation and f.year = i.year and f.rn = i.rn) where k = 1"""
+        from fold f join iso i on i.grp = f.grp and i.rn = f.rn + 1))"""
+
+
+_GROUP_SQL = "(patient || '/' || year(day) || '/' || species)"
+_FIRST_FIT_SQL = f"""with recursive {first_fit_sql(_GROUP_SQL)}
+select patient, year, species, id, class_id, count(*) over (partition by grp) as n_docs, max(class_id) over (partition by grp) as n_classes from fold f join iso i using (grp, rn, id)"""
+_KEPT_SQL = f"""{first_fit_sql(_GROUP_SQL)}, kept as (
+  select i.*, class_id, row_number() over (partition by grp, class_id order by nb_resultats desc, {', '.join(ISOLATE_ORDER)}) as k from fold f join iso i using (grp, rn, id))"""
+_REPRESENTATIVES_SQL = f"""with recursive {_KEPT_SQL}
+select patient, year, species, class_id, id, nb_resultats, {', '.join(f'"{t}"' for t in TYPES)} from kept where k = 1"""
 
 
 def unit_attribution(spark, d):
@@ -223,13 +250,7 @@ def _named(spark, d):
 
 
 def proportion_panel(spark, d):
-    out = None
-    for scope in ("global", "by_type"):
-        keys = ["year"] + (["sample_type"] if scope == "by_type" else [])
-        one = indicators.proportions(indicators.evaluate(_named(spark, d), _specs(), scope, "sample_type"), keys).withColumn("scope", F.lit(scope))
-        one = one if scope == "by_type" else one.withColumn("sample_type", F.lit(None).cast("string"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    return indicators.scoped_proportions(_named(spark, d), _specs(), "year", "sample_type")
 
 
 def incidence_panel(spark, d):
@@ -258,18 +279,11 @@ from n cross join (select unnest(['any_r', 'flagged', 'other']) as i) left join
 
 def resistance_panel(spark, d):
     """The flagship: observations to isolates, first-fit classes, representatives, yearly shares."""
-    w, found = _classes(spark, d)
-    joined = w.join(found, ["nation", "year", "id"])
-    order = [-F.col("nb_resultats"), F.col("day"), F.col("stay"), F.col("document"), F.col("sample_type"), F.col("species")]
-    kept = dedup.representatives(joined, ["nation", "year"], "class_id", order)
     spec = [indicators.Indicator("any_r", "class_any_r", ("ECONOMY", "LARGE", "MEDIUM"))]
-    return indicators.proportions(indicators.evaluate(kept, spec, "global", "sample_type"), ["year"])
+    return indicators.proportions(indicators.evaluate(_representatives(spark, d), spec, "global", "sample_type"), ["year"])
 
 
-_PANEL_SQL = f"""with recursive {_FIRST_FIT}, kept as (
-  select i.*, row_number() over (partition by f.nation, f.year, f.class_id order by i.nb_resultats desc, i.day, i.stay, i.document, i.sample_type, i.species) as k
-  from fold f join iso i on f.nation = i.nation and f.year = i.year and f.rn = i.rn),
-res as (select year, {_ANY} as x from kept where k = 1)
+_PANEL_SQL = f"""with recursive {_KEPT_SQL}, res as (select year, {_ANY} as x from kept where k = 1)
 select 'any_r' as indicator_id, year, {_COUNTS}, n_resistant + n_susceptible as n_tested, case when n_resistant + n_susceptible > 0 then 100.0 * n_resistant / (n_resistant + n_susceptible) end::double as pct_resistant from res group by year"""
 
 _ROLES = {"oxacilline": "ECONOMY", "cefoxitine": "LARGE", "amoxicilline_ampicilline": "MEDIUM", "cefotaxime": "PROMO", "ceftazidime": "SMALL", "ofloxacine": "STANDARD"}

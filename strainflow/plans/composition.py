@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strainflow.operators import dedup, episodes, joins, rules, runtime, stays
-from strainflow.plans.catalogue import _FIRST_FIT, KEYS, TYPES, _t, observations, wide
+from strainflow.plans.catalogue import GROUP, ISOLATE_ORDER, KEYS, TYPES, _t, first_fit_sql, isolates_with_ids, observations
 from strainflow.sources import contracts
 
 _UNITS = {"1-URGENT": ("03", "CHIRURGIE"), "2-HIGH": ("03", None), "3-MEDIUM": ("20", "AUTRE"), "4-NOT SPECIFIED": ("11", "CHIRURGIE")}
@@ -168,7 +168,8 @@ def stay_years(spark, d):
 
 
 def stay_and_document_ranks(spark, d):
-    rows = _documents(spark, d).select("patient", "day", F.col("own").alias("document"), (F.col("own") % 4).alias("stay")).distinct().withColumn("year", F.year("day"))
+    stay = F.when(F.col("own") % 9 != 0, F.col("own") % 4)
+    rows = _documents(spark, d).select("patient", "day", F.col("own").alias("document"), stay.alias("stay")).distinct().withColumn("year", F.year("day"))
     out = runtime.ranks(rows, ["patient", "year"], "stay", "document", [F.col("day"), F.col("document")])
     return out.select("patient", "year", "stay", "document", "evt_order", "elt_order")
 
@@ -179,33 +180,48 @@ def extended_panel(spark, d):
     return joins.inherit_panel(panel, _t(spark, d, "nation").select(F.col("n_nationkey").cast("int").alias("species")), "species", 3)
 
 
+SCOPES = {"global": GROUP, "by_type": [*GROUP, "sample_type"]}
+
+
+def _scoped(spark, d):
+    w = isolates_with_ids(spark, d)
+    return w, runtime.scoped_classes(w, SCOPES, "id", TYPES, [], [F.col(c) for c in ISOLATE_ORDER])
+
+
 def dedup_two_scopes(spark, d):
-    w = wide(spark, d).withColumns({"year": F.year("day"), "id": runtime.isolate_id([F.col(c) for c in KEYS])})
-    order = [F.col(c) for c in ("day", "stay", "document", "sample_type", "species")]
-    found = runtime.scoped_classes(w, {"global": ["patient", "year"], "by_type": ["patient", "year", "sample_type"]}, "id", TYPES, [], order)
-    return runtime.check_scopes(w, found, "id", TYPES).drop("n_classes_reversed")
+    """Each isolate's class among those of its patient, year and species, and among those of its sample type too."""
+    return _scoped(spark, d)[1].select("scope", "id", "class_id", "n_docs", "n_classes")
 
 
-def reversed_classes(spark, d):
-    """n_classes_reversed of patient and year, against a fold in the opposite order."""
-    w = wide(spark, d).withColumns({"year": F.year("day"), "id": runtime.isolate_id([F.col(c) for c in KEYS])})
-    order = [F.col(c) for c in ("day", "stay", "document", "sample_type", "species")]
-    found = dedup.classes(w, ["patient", "year"], "id", TYPES, [], order)
-    return found.groupBy("patient", "year").agg(F.min("n_classes").alias("n_classes"), F.min("n_classes_reversed").alias("n_classes_reversed"))
+def scope_checks(spark, d):
+    """Rows, classes and conflicts of both scopes, of their classes and of one class for each group, which has conflicts."""
+    w, found = _scoped(spark, d)
+    both = found.select("*", F.lit("first_fit").alias("kind")).unionByName(found.withColumns({"class_id": F.lit(1), "kind": F.lit("one_class")}))
+    named = both.withColumn("scope", F.concat_ws(" ", "kind", "scope")).drop("kind")
+    return runtime.check_scopes(w, named, "id", TYPES).drop("n_classes_reversed")
 
 
-def _fit(group: str, back: bool = False) -> str:
-    sql = _FIRST_FIT.replace("c_nationkey as nation", f"{group} as nation").replace("partition by c_nationkey", f"partition by {group}")
-    return sql.replace("order by day, stay, document, sample_type, species) as rn", "order by day desc, stay desc, document desc, sample_type desc, species desc) as rn") if back else sql
+def reversed_classes(spark, d):
+    """n_classes_reversed of patient, year and species, against a fold in the opposite order."""
+    found = dedup.classes(isolates_with_ids(spark, d), GROUP, "id", TYPES, [], [F.col(c) for c in ISOLATE_ORDER])
+    return found.groupBy(*GROUP).agg(F.min("n_classes").alias("n_classes"), F.min("n_classes_reversed").alias("n_classes_reversed"))
 
 
+_GROUPS_SQL = {"global": "(patient || '/' || year(day) || '/' || species)", "by_type": "(patient || '/' || year(day) || '/' || species || '/' || sample_type)"}
 _TWO_SQL = " union all ".join(
-    f"""select * from (with recursive {_fit(group)} select '{scope}' as scope, (select count(*) from fold) as n_rows, count(*) as n_classes, 0::bigint as n_conflicts from (select distinct nation, year, class_id from fold))"""
-    for scope, group in (("global", "patient::varchar"), ("by_type", "(patient || '/' || sample_type)"))
+    f"""select * from (with recursive {first_fit_sql(group)} select '{scope}' as scope, id, class_id, count(*) over (partition by grp) as n_docs, max(class_id) over (partition by grp) as n_classes from fold)"""
+    for scope, group in _GROUPS_SQL.items()
+)
+_CONFLICT = " or ".join(f"""(bool_or("{t}" = 'S') and bool_or("{t}" = 'R'))""" for t in TYPES)
+_CHECKS_SQL = " union all ".join(
+    f"""select * from (with recursive {first_fit_sql(group)}, c as (select grp, {class_} as class_id, count(*) as n, coalesce({_CONFLICT}, false) as bad from fold join iso using (grp, rn, id) group by 1, 2)
+  select '{kind} {scope}' as scope, sum(n)::bigint as n_rows, count(*) as n_classes, count(*) filter (bad) as n_conflicts from c having count(*) > 0)"""
+    for scope, group in _GROUPS_SQL.items()
+    for kind, class_ in (("first_fit", "class_id"), ("one_class", "1"))
 )
-_BACK_SQL = f"""select a.nation as patient, a.year, a.n as n_classes, b.n as n_classes_reversed
-from (with recursive {_fit('patient')} select nation, year, max(class_id) as n from fold group by 1, 2) a
-join (with recursive {_fit('patient', True)} select nation, year, max(class_id) as n from fold group by 1, 2) b on a.nation = b.nation and a.year = b.year"""
+_BACK_SQL = f"""select a.patient, a.year, a.species, a.n as n_classes, b.n as n_classes_reversed
+from (with recursive {first_fit_sql(_GROUPS_SQL['global'])} select grp, patient, year, species, max(class_id) as n from fold join iso using (grp, rn, id) group by all) a
+join (with recursive {first_fit_sql(_GROUPS_SQL['global'], True)} select grp, max(class_id) as n from fold group by 1) b using (grp)"""
 
 _ANTIBIOTICS = [("^promo|^small", "petit"), ("large", "grand"), ("^eco", "economique")]
 
@@ -224,7 +240,7 @@ def contract_violations(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     unit_stay_audit, episode_perimeter, nights_by_groupings, sample_scope, exposure_check, annual_nights, exposure_years_missing, shared_stay_ids, sample_stay_status,
-    resolved_stays, document_scopes, screening_rows, stay_years, stay_and_document_ranks, extended_panel, dedup_two_scopes, reversed_classes, antibiotic_names, contract_violations,
+    resolved_stays, document_scopes, screening_rows, stay_years, stay_and_document_ranks, extended_panel, dedup_two_scopes, scope_checks, reversed_classes, antibiotic_names, contract_violations,
 )}
 
 ORACLE_SQL = {
@@ -247,14 +263,15 @@ ORACLE_SQL = {
     "document_scopes": f"with {_DOCS_SQL}, s as (select patient, document, bool_or(antibiotic in ('PROMO', 'SMALL')) as is_screening, bool_or(result = 'R') as has_results from obs group by 1, 2) select is_screening, has_results, count(*) as n from s group by 1, 2",
     "screening_rows": f"with {_DOCS_SQL}, s as (select *, case when own % 3 <> 0 then own else -1 end as stay from obs), k as (select distinct patient, stay from s where l_quantity >= 49) select case when k.patient is null then 'lacking' else 'having' end as side, count(*) as n, sum(l_quantity) as quantity from s left join k on s.patient = k.patient and s.stay = k.stay group by 1",
     "stay_years": f"with {_DOCS_SQL}, s as (select *, min(day) over (partition by patient, own % 5) as f from obs) select year(f)::int as stay_start_year, year(day)::int as dedup_year, count(*) as n from s group by 1, 2",
-    "stay_and_document_ranks": f"""with {_DOCS_SQL}, s as (select distinct patient, day, own as document, own % 4 as stay, year(day)::int as year from obs),
+    "stay_and_document_ranks": f"""with {_DOCS_SQL}, s as (select distinct patient, day, own as document, case when own % 9 <> 0 then own % 4 end as stay, year(day)::int as year from obs),
       f as (select *, min((day, document)) over (partition by patient, year, stay) as a, min((day, document)) over (partition by patient, year, stay, document) as b from s)
-      select patient, year, stay, document, dense_rank() over (partition by patient, year order by a, stay)::int as evt_order, dense_rank() over (partition by patient, year, stay order by b, document)::int as elt_order from f""",
+      select patient, year, stay, document, case when stay is not null then dense_rank() over (partition by patient, year, stay is null order by a, stay) end::int as evt_order, dense_rank() over (partition by patient, year, stay order by b, document)::int as elt_order from f""",
     "extended_panel": """with p as (select distinct s_nationkey::int as species, p_type as antibiotic from lineitem join supplier on l_suppkey = s_suppkey join part on l_partkey = p_partkey where s_nationkey < 6)
       select * from p union all select n_nationkey::int, antibiotic from nation, p where species = 3 and n_nationkey not in (select species from p)""",
     "contract_violations": f"""with {_UNIT_SQL}, v as (select count(*) filter (uf is null) as a, count(*) filter (um = 'P') as b, (select count(*) from (select uf from rows_ group by uf having count(*) > 1)) as c from rows_)
       select unnest([a, b, c]) as n from v""",
     "dedup_two_scopes": _TWO_SQL,
+    "scope_checks": _CHECKS_SQL,
     "reversed_classes": _BACK_SQL,
     "antibiotic_names": """with l as (select upper(p_type[1]) || lower(p_type[2:]) as label, case when p_partkey % 4 <> 0 then 'SIR' end as kind from part),
       m as (select *, case when kind is null then null when label like 'Promo%' or label like 'Small%' then 'petit' when label like 'Large%' then 'grand' when label like 'Eco%' then 'economique' end as atb_norm from l)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from strainflow.functions import text as X
 from strainflow.operators import attribution, dedup, phenotype, stays
-from strainflow.plans import catalogue, composition
+from strainflow import plans
+from strainflow.plans import catalogue
 from strainflow.sources import contracts, tables
 
 
@@ -30,7 +31,7 @@ def test_entry_without_training_data(monkeypatch):
 
     found = importlib.util.find_spec
     monkeypatch.setattr(importlib.util, "find_spec", lambda name, *a: None if name in ("strainflow.llm", "corpus_pipeline") else found(name, *a))
-    assert __spark_entry__.queries().keys() == (catalogue.QUERIES | composition.QUERIES).keys()
+    assert __spark_entry__.queries().keys() == plans.QUERIES.keys()
 
 
 def _one(spark, *columns):
