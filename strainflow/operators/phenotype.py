@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strainflow.functions.text import phenotype_text
+from strainflow.sources.stage import staged
 
 #: Strongest first.
 PRIORITY = ["positive", "negative", "unknown", "no_signal"]
@@ -25,11 +27,45 @@ BLSE_EXACT = [
     (None, ["isolat et commentaire germe"], "producteur de blse", "positive"),
     (None, ["isolat et commentaire germe"], "non producteur de blse", "negative"),
 ]
-# Fixed values: (pattern, pattern that forbids it or null) by status, for other lines.
+@dataclass(frozen=True)
+class Line:
+    """A condition on a line's value: it is one of `equals`, or it contains all patterns of `matches`
+    and none of `lacks`."""
+
+    matches: tuple[str, ...] = ()
+    lacks: tuple[str, ...] = ()
+    equals: tuple[str, ...] = ()
+
+    def holds(self, value: Column) -> Column:
+        out = value.isin(*self.equals) if self.equals else F.lit(True)
+        for p in self.matches:
+            out &= value.rlike(p)
+        for p in self.lacks:
+            out &= ~value.rlike(p)
+        return out
+
+
+# What other extended-spectrum lines say, by status.
 BLSE_LOOSE = {
-    "unknown": [(r"\bcote blse\b", None), ("cote blse et carba|cote carba et blse", None), (r"\bblse uniquement\b", None), (r"^(?=.*\bblse\b)(?=.*(e\.coli|kleb|enterobacter|hormaechei|aerogenes|baumanii|baumannii|pseudomonas|citrobacter|serratia|morganella|proteus))", None)],
-    "negative": [("^absence de blse", None), (r"\bnon producteur de blse\b", None), ("^blse-$", None)],
-    "positive": [("^presence de blse", None), ("^presence blse$", None), (r"(^|\b)producteur de blse\b", r"\bnon producteur de blse\b"), ("souche egalement productrice de blse", None), ("egalement producteur de blse", None), (r"^(blse\+|producteur de blse\.)$", None)],
+    "unknown": [
+        Line(matches=(r"\bcote blse\b",)),
+        Line(matches=("cote blse et carba|cote carba et blse",)),
+        Line(matches=(r"\bblse uniquement\b",)),
+        Line(matches=(r"\bblse\b", r"e\.coli|kleb|enterobacter|hormaechei|aerogenes|baumanii|baumannii|pseudomonas|citrobacter|serratia|morganella|proteus")),
+    ],
+    "negative": [
+        Line(matches=("^absence de blse",)),
+        Line(matches=(r"\bnon producteur de blse\b",)),
+        Line(equals=("blse-",)),
+    ],
+    "positive": [
+        Line(matches=("^presence de blse",)),
+        Line(matches=("^presence blse$",)),
+        Line(matches=(r"(^|\b)producteur de blse\b",), lacks=(r"\bnon producteur de blse\b",)),
+        Line(matches=("souche egalement productrice de blse",)),
+        Line(matches=("egalement producteur de blse",)),
+        Line(equals=("blse+", "producteur de blse.")),
+    ],
 }
 # The same for carbapenemase lines.
 CARBA_EXACT = [
@@ -47,9 +83,25 @@ CARBA_EXACT = [
     ("resultat carba par methode immunologique", ["neg/pos", "resultat"], "negative", "negative"),
 ]
 CARBA_LOOSE = {
-    "unknown": [(r"\bcote carba\b", None), ("cote blse et carba|cote carba et blse", None), ("sur le cote", None), (r"^(?=.*(carba|carbapen))(?=.*(e\.coli|kleb|enterobacter|hormaechei|aerogenes|baumanii|baumannii|pseudomonas))", None)],
-    "negative": [("^absence de carba", None), (r"\bcarba neg\b", None), ("^carba-$", None), ("non producteur de carbapen", None)],
-    "positive": [("producteur de carbapen", "non producteur de carbapen"), ("production de carbapen", None), ("^presence de carba", None), ("^(oxa-48|vim|ndm|oxa-23)$", None), ("^souche productrice de carbapen", None)],
+    "unknown": [
+        Line(matches=(r"\bcote carba\b",)),
+        Line(matches=("cote blse et carba|cote carba et blse",)),
+        Line(matches=("sur le cote",)),
+        Line(matches=("carba|carbapen", r"e\.coli|kleb|enterobacter|hormaechei|aerogenes|baumanii|baumannii|pseudomonas")),
+    ],
+    "negative": [
+        Line(matches=("^absence de carba",)),
+        Line(matches=(r"\bcarba neg\b",)),
+        Line(equals=("carba-",)),
+        Line(matches=("non producteur de carbapen",)),
+    ],
+    "positive": [
+        Line(matches=("producteur de carbapen",), lacks=("non producteur de carbapen",)),
+        Line(matches=("production de carbapen",)),
+        Line(matches=("^presence de carba",)),
+        Line(equals=("oxa-48", "vim", "ndm", "oxa-23")),
+        Line(matches=("^souche productrice de carbapen",)),
+    ],
 }
 
 
@@ -66,8 +118,7 @@ def classify(analysis: Column, label: Column, value: Column, exact: list, loose:
         test = label.isin(labels) & (value == v) & (F.lit(True) if a is None else analysis == a)
         out = F.when(test, status) if out is None else out.when(test, status)
     for status in ("unknown", "negative", "positive"):
-        tests = [value.rlike(p) & (F.lit(True) if no is None else ~value.rlike(no)) for p, no in loose[status]]
-        out = out.when(reduce(lambda a, b: a | b, tests), status)
+        out = out.when(reduce(lambda a, b: a | b, [line.holds(value) for line in loose[status]]), status)
     return out
 
 
@@ -92,3 +143,28 @@ def any_positive(status: Column) -> Column:
 
 def as_result(status: Column) -> Column:
     return F.when(status == "positive", "R").otherwise("S")
+
+
+def line_statuses(lines: DataFrame, analysis: str, label: str, value: str) -> DataFrame:
+    """lines with blse_line and carbapenemase_line, null where a line says nothing. Lines repeat, so
+    different ones are classified once each and joined back; nulls match nulls."""
+    text = [analysis, label, value]
+    side = lines.select(*[F.col(c).alias(f"_{c}") for c in text]).distinct()
+    folded = [phenotype_text(F.col(f"_{c}")) for c in text]
+    known = side.withColumns({f"_f{k}": c for k, c in enumerate(folded)})
+    cells = [F.col(f"_f{k}") for k in range(3)]
+    known = known.select(*[f"_{c}" for c in text], blse(*cells).alias("blse_line"), carbapenemase(*cells).alias("carbapenemase_line"))
+    # most lines say nothing: only those that do are joined. Written first, since the filter would
+    # have Spark evaluate both ladders twice
+    known = staged(known, "lines").filter("blse_line is not null or carbapenemase_line is not null")
+    on = F.lit(True)
+    for c in text:
+        on &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return lines.join(known, on, "left").drop(*[f"_{c}" for c in text])
+
+
+def lookup(lines: DataFrame, keys: list[str], analysis: str, label: str, value: str) -> DataFrame:
+    """(keys, blse_status_row, carbapenemase_status_row, blse_flag, carbapenemase_flag): the strongest
+    status of each isolate's lines."""
+    found = line_statuses(lines, analysis, label, value).groupBy(*keys).agg(strongest(F.col("blse_line")).alias("blse_status_row"), strongest(F.col("carbapenemase_line")).alias("carbapenemase_status_row"))
+    return found.withColumns({"blse_flag": F.col("blse_status_row") == "positive", "carbapenemase_flag": F.col("carbapenemase_status_row") == "positive"})

@@ -5,7 +5,7 @@ size estimate allows it)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strainflow.functions import text as X
@@ -81,3 +81,32 @@ def lookup(df: DataFrame, column: str, pairs: DataFrame, key: str, value: str, o
     side = mapping(pairs, key, value).select(F.col(key).alias("_key"), F.col(value).alias("_value"))
     joined = df.join(side, F.col(column) == F.col("_key"), "left")
     return joined.withColumns({out: F.col("_value"), f"{out}_unmapped": F.col(column).isNotNull() & F.col("_key").isNull()}).drop("_key", "_value")
+
+
+def audit_key(x: Column) -> Column:
+    """A label as decisions know it: without accents, in upper case, with single spaces."""
+    return F.upper(X.to_ascii(X.squish(x)))
+
+
+def decided(labels: DataFrame, label: str, patterns: list[tuple[str, str]], decisions: DataFrame) -> DataFrame:
+    """(label, key, n_patterns, n_targets, candidates, candidate_state, mapping_state, target) of each
+    different label. All patterns are tried on the label's key, in no order: one target, of however
+    many patterns, is taken; several are none. A decision about a key (key, action, target) goes
+    before: `map` to its target, or `defer`, which leaves the label without one but known. Repeated keys,
+    other actions and a map without target raise when the result is used."""
+    own = labels.select(X.squish(F.col(label)).alias(label)).filter(F.col(label).isNotNull()).distinct().withColumn("key", audit_key(F.col(label)))
+    hits = F.array_compact(F.array(*[F.when(F.col("key").rlike(p), F.lit(t)) for p, t in patterns]).cast("array<string>"))
+    targets = F.array_sort(F.array_distinct(hits))
+    own = own.withColumns({"_n": F.size(hits), "_targets": targets}).withColumn("_k", F.size("_targets"))
+    action = F.lower(X.squish(F.col("action")))
+    side = decisions.select(audit_key(F.col("key")).alias("_key"), action.alias("_action"), X.squish(F.col("target")).alias("_target"))
+    side = side.withColumn("_same", F.count("*").over(Window.partitionBy("_key")))
+    wrong = F.when(F.col("_same") > 1, "two decisions for").when(~F.coalesce(F.col("_action").isin("map", "defer"), F.lit(False)), "neither map nor defer:").when((F.col("_action") == "map") & F.col("_target").isNull(), "a map without target:")
+    side = side.filter(F.when(wrong.isNotNull(), F.raise_error(F.concat_ws(" ", wrong, F.col("_key"))).cast("boolean")).otherwise(True))
+    joined = own.join(side, F.col("key").eqNullSafe(F.col("_key")), "left")
+    n, k, only = F.col("_n"), F.col("_k"), F.get("_targets", F.lit(0))
+    state = F.when(n == 0, "unmatched").when((k == 1) & (n == 1), "one_pattern_one_target").when(k == 1, "multiple_patterns_same_target").otherwise("multiple_canonical_targets")
+    mapping_state = F.when(F.col("_action") == "map", "reviewed_override").when(F.col("_action") == "defer", "review_deferred").otherwise(state)
+    target = F.when(F.col("_action") == "map", F.col("_target")).when(F.col("_action").isNull() & (k == 1), only)
+    listed = F.nullif(F.array_join("_targets", " | "), F.lit(""))
+    return joined.select(label, "key", n.alias("n_patterns"), k.alias("n_targets"), listed.alias("candidates"), state.alias("candidate_state"), mapping_state.alias("mapping_state"), target.alias("target"))

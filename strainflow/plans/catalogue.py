@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from strainflow.functions import text as X
 from strainflow.functions import time as D
-from strainflow.operators import attribution, dedup, indicators, isolates, phenotype, quality, rules, stays
+from strainflow.operators import attribution, dedup, indicators, isolates, quality, rules, stays
 from strainflow.operators.numbering import numbered
 from strainflow.sources import contracts
 from strainflow.sources.stage import staged
@@ -344,26 +344,6 @@ def dictionary_lookup(spark, d):
     return found.groupBy("name", "name_unmapped").agg(F.count("*").alias("n"))
 
 
-_LINES = [("Recherche BLSE", "résultat", "Positive"), ("recherche blse", "resultat", "non effectuée"), ("x", "BLSE", "présence de BLSE ++"), ("x", "y", "non producteur de blse"), ("x", "y", "kleb blse uniquement"), ("recherche carba", "resultat", "negative"), ("x", "y", "OXA-48"), ("x", "y", "rien"), (None, None, " N/A ")]
-
-
-def phenotype_collapse(spark, d):
-    lines = phenotype.normalized(spark.createDataFrame([(k, *x) for k, x in enumerate(_LINES)], "kind int, analysis string, label string, value string"), "analysis", "label", "value")
-    text = [F.col(c) for c in ("analysis", "label", "value")]
-    # few distinct lines: each is classified once, and joined to its occurrences
-    known = lines.select("kind", phenotype.blse(*text).alias("b"), phenotype.carbapenemase(*text).alias("c"))
-    rows = _t(spark, d, "lineitem").select("l_orderkey", (F.col("l_partkey") % len(_LINES)).cast("int").alias("kind")).join(F.broadcast(known), "kind")
-    each = rows.groupBy("l_orderkey").agg(phenotype.strongest(F.col("b")).alias("blse"), phenotype.strongest(F.col("c")).alias("carba"), phenotype.any_positive(F.col("b")).alias("blse_any"))
-    return each.groupBy("blse", "carba", "blse_any").agg(F.count("*").alias("n"))
-
-
-_PHENOTYPE_SQL = """
-with r as (select l_orderkey, case l_partkey % 9 when 0 then 3 when 1 then 1 when 2 then 3 when 3 then 2 when 4 then 1 else 0 end as b, case l_partkey % 9 when 5 then 2 when 6 then 3 else 0 end as c from lineitem),
-e as (select l_orderkey, max(b) as b, max(c) as c from r group by 1),
-n as (select ['no_signal', 'unknown', 'negative', 'positive'] as v)
-select v[b + 1] as blse, v[c + 1] as carba, case when b = 3 then 'positive' else 'negative' end as blse_any, count(*) as n from e, n group by all"""
-
-
 def text_functions(spark, d):
     t = _t(spark, d, "documents").select("doc_id", F.col("text").alias("x"), "source")
     return t.select("doc_id", F.sha2(X.strip_accents(F.col("x")), 256).alias("plain"), F.sha2(X.squish(F.col("x")), 256).alias("squished"), F.sha2(X.slug(F.col("x")), 256).alias("slug"), X.discipline_code(F.concat(F.lit("00"), F.regexp_replace("source", "src", ""))).alias("code"), F.size(X.values(F.replace("x", F.lit(" "), F.lit("|")))).alias("n_parts"))
@@ -399,7 +379,7 @@ def regression_gate(spark, d):
     return contracts.differences(supplier, other).groupBy("side").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (resistance_panel, wide_isolates, screening_exclusion, first_fit_classes, class_representatives, unit_attribution, nights_by_year_and_unit, exact_days_by_year, stay_bounds, stay_validation_metrics, source_preference, unit_scope_summary, administrative_status, nights_reconciliation, proportion_panel, incidence_panel, density_quantile, plausibility_summary, species_names, sample_type_candidates, class_expansion, dictionary_lookup, phenotype_collapse, text_functions, local_times, regression_gate)}
+QUERIES = {f.__name__: f for f in (resistance_panel, wide_isolates, screening_exclusion, first_fit_classes, class_representatives, unit_attribution, nights_by_year_and_unit, exact_days_by_year, stay_bounds, stay_validation_metrics, source_preference, unit_scope_summary, administrative_status, nights_reconciliation, proportion_panel, incidence_panel, density_quantile, plausibility_summary, species_names, sample_type_candidates, class_expansion, dictionary_lookup, text_functions, local_times, regression_gate)}
 
 ORACLE_SQL: dict[str, str] = {
     "resistance_panel": _PANEL_SQL,
@@ -434,7 +414,6 @@ ORACLE_SQL: dict[str, str] = {
     "sample_type_candidates": _SAMPLE_TYPE_SQL,
     "class_expansion": "select a as antibiotic, count(*) as n, sum(p_partkey)::bigint as keys from (select p_partkey, unnest(case p_type when 'PROMO' then ['promo_a', 'promo_b', 'promo_c'] when 'SMALL' then ['small_a', 'small_b'] else [p_type] end) as a from part) group by 1",
     "dictionary_lookup": "select n_name as name, n_name is null as name_unmapped, count(*) as n from customer left join (select * from nation where n_nationkey % 4 <> 0) on c_nationkey = n_nationkey group by 1, 2",
-    "phenotype_collapse": _PHENOTYPE_SQL,
     "text_functions": _TEXT_SQL,
     "local_times": _TIME_SQL,
     "regression_gate": "select unnest(['a', 'b']) as side, (select count(*) from supplier where s_suppkey % 10 = 3) as n",
