@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from strainflow.operators import indicators, phenotype, rules, specs, stays
 from strainflow.plans.catalogue import _COUNTS, _INCIDENCE_SQL, _RESULTS, TYPES, _intervals, _named, _t
 
-_K = F.col("p_partkey")
 _PICKS = {
     "wave": ["1", "1", "2", "one", " 1"],
     "enabled": ["yes", "TRUE", "no", "1", "y", None],
@@ -35,11 +34,11 @@ def _pick(values: list, at):
 def raw_catalogue(spark: SparkSession, d: str) -> DataFrame:
     """A catalogue with a row for each part, in text; each column repeats with a period of its own, and
     the indices move on with the part's size, so that columns meet in many combinations."""
-    part = _t(spark, d, "part")
-    at = lambda c: (_K + F.floor(_K / 7) * len(c) + F.col("p_size")) % len(_PICKS[c])
+    part, k = _t(spark, d, "part"), F.col("p_partkey")
+    at = lambda c: (k + F.floor(k / 7) * len(c) + F.col("p_size")) % len(_PICKS[c])
     columns = {c: _pick(v, at(c)) for c, v in _PICKS.items()}
-    n = F.concat(F.lit("ind_"), F.when(_K % 40 == 3, _K - 1).otherwise(_K).cast("string"))
-    columns |= {"indicator_id": n, "display_order": (_K % 90).cast("string"), "organism_section": F.lit("s"), "organism_label": F.col("p_brand"), "organism_filter_type": F.lit("bact_norm"), "report_taxon_label": F.col("p_type"), "indicator_label": F.col("p_name"), "notes": F.when(_K % 3 == 0, "noted")}
+    n = F.concat(F.lit("ind_"), F.when(k % 40 == 3, k - 1).otherwise(k).cast("string"))
+    columns |= {"indicator_id": n, "display_order": (k % 90).cast("string"), "organism_section": F.lit("s"), "organism_label": F.col("p_brand"), "organism_filter_type": F.lit("bact_norm"), "report_taxon_label": F.col("p_type"), "indicator_label": F.col("p_name"), "notes": F.when(k % 3 == 0, "noted")}
     return part.select(*[v.alias(k) for k, v in columns.items()])
 
 
@@ -147,7 +146,7 @@ _DECISIONS = [("small  ring ", "map", " other "), ("red RING", "defer", None), (
 def label_decisions(spark, d):
     """Part names by unordered patterns and decisions about some of them."""
     decisions = spark.createDataFrame(_DECISIONS, "key string, action string, target string")
-    part = _t(spark, d, "part").select(F.concat(F.lit(" "), F.when(_K % 2 == 0, F.initcap("p_name")).otherwise(F.replace("p_name", F.lit("e"), F.lit("é"))), F.lit("  ")).alias("label"))
+    part = _t(spark, d, "part").select(F.concat(F.lit(" "), F.when(F.col("p_partkey") % 2 == 0, F.initcap("p_name")).otherwise(F.replace("p_name", F.lit("e"), F.lit("é"))), F.lit("  ")).alias("label"))
     return rules.decided(part, "label", _PATTERNS, decisions)
 
 
