@@ -20,6 +20,20 @@ def seconds(x: Column) -> Column:
     return F.when(part(2) != "", part(1).try_cast("int") * 3600 + part(2).try_cast("int") * 60 + F.coalesce(part(3).try_cast("int"), F.lit(0)))
 
 
+def sort_key(x: Column) -> Column:
+    """Times in mixed forms as text that sorts: the first H:MM or H:MM:SS in x as HH:MM:SS, else x itself
+    in its place among texts. Tokens that are no time of day, such as 25:00, stay as they are."""
+    plain = F.nullif(F.regexp_replace(x.cast("string"), r"^\s+|\s+$", ""), F.lit(""))
+    plain = F.when(~plain.isin("NA", "N/A"), plain)
+    found = F.regexp_extract(plain, r"([0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?)", 1)
+    token = F.when(found != "", found).otherwise(plain)
+    part = lambda k: F.regexp_extract(token, r"^([0-9]{1,2}):([0-9]{2})(?::([0-9]{2}))?$", k)
+    hour, minute, second = (F.nullif(part(k), F.lit("")).try_cast("int") for k in (1, 2, 3))
+    second = F.coalesce(second, F.lit(0))
+    good = (hour < 24) & (minute < 60) & (second < 62)
+    return F.when(good, F.format_string("%02d:%02d:%02d", hour, minute, second)).otherwise(token)
+
+
 def clock_status(day: Column, second: Column, zone: str = "Europe/Paris") -> Column:
     """missing_date_or_time, invalid_time_of_day, nonexistent_local_time, ambiguous_local_time or
     valid: what a wall clock in the zone says of that moment."""

@@ -4,7 +4,7 @@ that raise do so in the plan, when the result is used, and nothing is collected
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -28,12 +28,11 @@ def lacking(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def unique(df: DataFrame, keys: list[str]) -> DataFrame:
-    """df as a row for each key; a key with several rows raises when the result is used."""
-    rest = [c for c in df.columns if c not in keys]
-    grouped = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.first(F.struct(*rest) if rest else F.lit(0)).alias("_row"))
+    """df, whose keys are there once each; a key with several rows raises when the result is used. Rows
+    are counted within their key as they lie for a join by it."""
     text = F.concat(F.lit(f"several rows for a key of {', '.join(keys)}: "), F.to_json(F.struct(*keys)))
-    checked = grouped.withColumn("_ok", F.when(F.col("_n") > 1, F.raise_error(text).cast("boolean")).otherwise(True)).filter("_ok")
-    return checked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    counted = df.withColumn("_n", F.count("*").over(Window.partitionBy(*keys)))
+    return counted.filter(F.when(F.col("_n") > 1, F.raise_error(text).cast("boolean")).otherwise(True)).drop("_n")
 
 
 def many_to_one(df: DataFrame, other: DataFrame, keys: list[str], required: bool = False) -> DataFrame:
@@ -85,9 +84,15 @@ def annual_exposure(exposure: DataFrame, kept: Column) -> DataFrame:
 
 
 def inherit_panel(panel: DataFrame, species: DataFrame, key: str, model: str) -> DataFrame:
-    """panel with what the model species has for each of the species that it doesn't list."""
-    own = panel.filter(F.col(key) == model).drop(key)
-    return panel.unionByName(lacking(species.select(key).distinct(), panel, [key]).join(F.broadcast(own)))
+    """panel with what the model species has for each of the species that it doesn't list: a join by
+    the model's name, so neither side must be small. A panel without the model raises when a species
+    needs it."""
+    others = lacking(species.select(key).distinct(), panel, [key]).withColumn("_model", F.lit(model))
+    own = panel.select(F.col(key).alias("_own"), *[c for c in panel.columns if c != key])
+    joined = others.join(own, F.col("_model").cast(panel.schema[key].dataType) == F.col("_own"), "left")
+    text = F.lit(f"the panel has no {key} {model}")
+    joined = joined.filter(F.when(F.col("_own").isNull(), F.raise_error(text).cast("boolean")).otherwise(True))
+    return panel.unionByName(joined.drop("_model", "_own"))
 
 
 def missing_years(df: DataFrame, denominator: DataFrame, year: str = "calendar_year") -> DataFrame:
