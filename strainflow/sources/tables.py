@@ -57,9 +57,14 @@ def write_bundle(spark: SparkSession, folder: str, tables: dict[str, DataFrame],
     line = spark.createDataFrame([(json.dumps({"meta": meta, "tables": stamp}, sort_keys=True),)], "value string")
     line.coalesce(1).write.text(f"{folder}/_draft")
     fs.rename(_path(spark, f"{folder}/_draft")[1], _path(spark, f"{folder}/manifest")[1])
-    if fs.exists(target):
-        fs.delete(target, True)
+    # the old bundle goes aside first, so that one of the two is always there
+    aside = _path(spark, f"{folder}.old")[1]
+    had = fs.exists(target)
+    if had:
+        fs.rename(target, aside)
     fs.rename(_path(spark, folder)[1], target)
+    if had:
+        fs.delete(aside, True)
 
 
 def read_bundle(spark: SparkSession, folder: str, check: bool = True) -> tuple[dict[str, DataFrame], dict]:
