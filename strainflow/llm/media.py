@@ -10,7 +10,9 @@ Payloads are stored as 8-bit grey PGM images, 64 samples wide, losslessly.
 
 Defined cases: null and empty HTML give an empty sequence; a reference whose digest no media row
 has stays, with null media columns; equal digests in the media table count once; captions may be
-null. Text in script and style is left out. Repeated rows stay rows of their own.
+null. Text in script and style is left out. Repeated rows stay rows of their own. A caption is that of
+the innermost open figure, for its references that have none of their own figure; one that is left open
+ends with the figure or where another block begins; one outside of figures is text.
 """
 
 from __future__ import annotations
@@ -33,52 +35,67 @@ from strainflow.llm.words import chunks
 
 WIDTH = 64
 SCHEME = "sha256:"
-PART = T.StructType([T.StructField("position", T.IntegerType()), T.StructField("kind", T.StringType()), T.StructField("text", T.StringType()), T.StructField("digest", T.StringType()), T.StructField("caption", T.StringType())])
+PART = T.StructType([T.StructField("position", T.IntegerType()), T.StructField("kind", T.StringType()), T.StructField("text", T.StringType()), T.StructField("digest", T.StringType()), T.StructField("caption", T.StringType()), T.StructField("url", T.StringType())])
 
 
 class _Sequence(HTMLParser):
     BREAKS = frozenset("p div li h1 h2 h3 h4 h5 h6 br figure table tr section article figcaption".split())
+    MEDIA = frozenset("img video audio source".split())
 
-    def __init__(self):
+    def __init__(self, every: bool):
         super().__init__(convert_charrefs=True)
         self.parts: list[dict] = []
+        self._every = every
         self._text: list[str] = []
-        self._caption: list[str] | None = None
-        self._figure: int | None = None
+        self._caption: list[str] | None = None  # of the innermost open figure
+        self._figures: list[int] = []  # where the open figures begin
+        self._named: set[int] = set()  # parts whose caption a figure has given
         self._skip = 0
 
     def _flush(self) -> None:
         text = " ".join("".join(self._text).split())
         self._text = []
         if text:
-            self.parts.append({"kind": "text", "text": text, "digest": None, "caption": None})
+            self.parts.append({"kind": "text", "text": text, "digest": None, "caption": None, "url": None})
+
+    def _end_caption(self) -> None:
+        if self._caption is None:
+            return
+        caption, self._caption = " ".join("".join(self._caption).split()), None
+        for k in range(self._figures[-1], len(self.parts)):
+            if self.parts[k]["kind"] == "media" and k not in self._named:
+                self.parts[k]["caption"] = caption
+                self._named.add(k)
 
     def handle_starttag(self, tag, attrs):
-        if tag in self.BREAKS or tag in ("img", "video", "audio", "source"):
+        if tag in self.BREAKS and "".join(self._caption or ()).strip():
+            self._end_caption()  # it was left open
+        if tag in self.BREAKS or tag in self.MEDIA:
             self._flush()
         if tag in ("script", "style"):
             self._skip += 1
         elif tag == "figure":
-            self._figure = len(self.parts)
-        elif tag == "figcaption":
+            self._end_caption()
+            self._figures.append(len(self.parts))
+        elif tag == "figcaption" and self._figures:
             self._caption = []
-        elif tag in ("img", "video", "audio", "source"):
+        elif tag in self.MEDIA:
             found = dict(attrs)
-            if (found.get("src") or "").startswith(SCHEME):
-                self.parts.append({"kind": "media", "text": None, "digest": found["src"][len(SCHEME) :], "caption": found.get("alt")})
+            url = found.get("src") or ""
+            digest = url[len(SCHEME) :] if url.startswith(SCHEME) else None
+            if digest is not None or (self._every and url):
+                self.parts.append({"kind": "media", "text": None, "digest": digest, "caption": found.get("alt"), "url": url})
 
     def handle_endtag(self, tag):
         if tag in ("script", "style"):
             self._skip = max(0, self._skip - 1)
-        elif tag == "figcaption" and self._caption is not None:
-            caption = " ".join("".join(self._caption).split())
-            for part in self.parts[self._figure or 0 :]:
-                if part["kind"] == "media":
-                    part["caption"] = caption
-            self._caption = None
+        elif tag == "figcaption":
+            self._flush()
+            self._end_caption()
         elif tag == "figure":
             self._flush()
-            self._figure = None
+            self._end_caption()
+            del self._figures[-1:]
         elif tag in self.BREAKS:
             self._flush()
 
@@ -89,24 +106,26 @@ class _Sequence(HTMLParser):
     def close(self):
         super().close()
         self._flush()
+        self._end_caption()
         return [p | {"position": i} for i, p in enumerate(self.parts)]
 
 
-def sequence_of(page: str | None) -> list[dict]:
-    parser = _Sequence()
+def sequence_of(page: str | None, every: bool = False) -> list[dict]:
+    parser = _Sequence(every)
     parser.feed(page or "")
     return parser.close()
 
 
-def interleave(docs: DataFrame, *, html_col: str = "html") -> DataFrame:
-    """docs with a column `sequence`: array of (position, kind, text, digest, caption)."""
+def interleave(docs: DataFrame, *, html_col: str = "html", every: bool = False) -> DataFrame:
+    """docs with a column `sequence`: array of (position, kind, text, digest, caption, url). With `every`,
+    references that name no digest are kept too, by their url and a null digest."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     at, kind = docs.columns.index(html_col), to_arrow_type(T.ArrayType(PART))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            found = [sequence_of(x) for x in batch.column(at).to_pylist()]
+            found = [sequence_of(x, every) for x in batch.column(at).to_pylist()]
             yield pa.record_batch([*batch.columns, pa.array(found, kind)], [*batch.schema.names, "sequence"])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("sequence", T.ArrayType(PART))]))

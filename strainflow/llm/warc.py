@@ -15,9 +15,11 @@ and read back as binary files of bounded size, those that the finished tasks hav
 shuffled only where duplicates don't fit a broadcast of checked size.
 
 Defined cases: a null html is an empty payload; a null url becomes about:blank, and white space in
-one is percent-encoded, since ARC parts its fields by spaces; a null page_id is a response and
+one is percent-encoded, since ARC parts its fields by spaces (of a header line with more of them, the first
+belong to the URL); an answer's head ends at the first blank line, of CRLF or bare line feeds, and an
+answer without one is a resource; a null page_id is a response and
 never referred to; repeated rows with the least page_id are all responses. A truncated or
-malformed ARC record raises. An empty table gives an empty one; other columns are ignored.
+malformed ARC record raises, or is kept as a reject. An empty table gives an empty one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,6 +46,8 @@ FIELDS = {
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: The blank line after an answer's head.
+BLANK = b"\r\n\r\n"
 #: Compressed bytes after which a task begins another file.
 FILE_BYTES = 128 << 20
 #: Payloads that occur more than once, up to which they are broadcast.
@@ -54,6 +58,14 @@ BROADCAST_FILES = 100_000
 PIECE = 64 << 10
 
 
+class DamagedError(ValueError):
+    """A record that can't be read; at: its place in the file."""
+
+    def __init__(self, text: str, at: int):
+        super().__init__(text)
+        self.at = at
+
+
 def digest(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
@@ -68,6 +80,25 @@ def arc_file(name: str, version: int, records: list[tuple[str, str, str, str, by
     return b"".join(out)
 
 
+def encoded(url: str) -> str:
+    """A URL whose white space is percent-encoded."""
+    return re.sub(r"\s", lambda m: "".join(f"%{b:02X}" for b in m[0].encode()), url)
+
+
+def unpacked(data: bytes) -> bytes:
+    """An ARC file's bytes, of gzip members if it begins as one."""
+    return b"".join(_inflated(memoryview(data))) if data[:2] == b"\x1f\x8b" else data
+
+
+def parted(block: bytes) -> tuple[bytes, bytes] | None:
+    """Head (with its blank line) and payload of an HTTP answer, whose lines end in CRLF or in bare line
+    feeds; None if it has no blank line or is no answer."""
+    if not block.startswith(b"HTTP/"):
+        return None
+    ends = [at + len(gap) for gap in (b"\r\n\r\n", b"\n\n") if (at := block.find(gap)) >= 0]
+    return (block[: min(ends)], block[min(ends) :]) if ends else None
+
+
 def arc_about(data: bytes) -> tuple[str, int]:
     """The text of the filedesc record, and where the next record begins."""
     end = data.index(b"\n")
@@ -90,14 +121,19 @@ def arc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
             at += 1
         if at >= len(data):
             return
-        end = data.index(b"\n", at)
-        values = data[at:end].decode().split(" ")
+        end = data.find(b"\n", at)
+        if end < 0:
+            raise DamagedError("an ARC header line without its end", at)
+        # from the right: a URL may hold blanks
+        values = data[at:end].decode("utf-8", "replace").rstrip("\r").rsplit(" ", len(names) - 1)
         if len(values) != len(names):
-            raise ValueError(f"an ARC header line of {len(values)} fields, not {len(names)}")
+            raise DamagedError(f"an ARC header line of {len(values)} fields, not {len(names)}", at)
         fields = dict(zip(names, values, strict=True))
+        if not fields["Archive-length"].isdigit():
+            raise DamagedError(f"an ARC record of length {fields['Archive-length']}", at)
         size = int(fields["Archive-length"])
         if end + 1 + size > len(data):
-            raise ValueError("an ARC record ends before its declared length")
+            raise DamagedError("an ARC record ends before its declared length", at)
         yield fields, data[end + 1 : end + 1 + size]
         at = end + 1 + size
 
@@ -105,23 +141,33 @@ def arc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 RECORDS = "url string, ip string, date string, kind string, type string, record_id string, about string, http binary, payload binary, payload_digest string"
 
 
-def convert(arcs: DataFrame, column: str = "arc") -> DataFrame:
+def convert(arcs: DataFrame, column: str = "arc", rejects: bool = False) -> DataFrame:
     """(url, ip, date, kind, type, record_id, about, http binary, payload binary, payload_digest) of
-    each record in a column of whole ARC files; type is response or resource, about the text of the
-    file's filedesc record."""
+    each record in a column of whole ARC files, plain or of gzip members; type is response or
+    resource, about the text of the file's filedesc record. White space in a URL is percent-encoded.
+    With `rejects`, a damaged record doesn't raise: it and what follows it in its file, which can't
+    be parted, are one row of type reject, whose about says why and where."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data in batch.column(0):
-                whole = data.as_py()
-                rows, about = [], arc_about(whole)[0]
-                for at, (f, block) in enumerate(arc_records(whole)):
-                    answer = block.startswith(b"HTTP/")
-                    http, gap, payload = block.partition(b"\r\n\r\n") if answer else (b"", b"", block)
-                    date = f["Archive-date"].ljust(14, "0")
-                    date = f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z"
-                    id_ = uuid.uuid5(uuid.NAMESPACE_URL, f"{f['URL']} {date} {at} {hashlib.sha1(http).hexdigest()}")
-                    rows.append((f["URL"], f["IP-address"], date, f["Content-type"], "response" if answer else "resource", f"<urn:uuid:{id_}>", about, http + gap, payload, digest(payload)))
+                rows, whole, about = [], b"", ""
+                try:
+                    whole = unpacked(data.as_py())
+                    about = arc_about(whole)[0]
+                    for at, (f, block) in enumerate(arc_records(whole)):
+                        http, payload = parted(block) or (b"", block)
+                        date = f["Archive-date"].ljust(14, "0")
+                        date = f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z"
+                        url = encoded(f["URL"])
+                        id_ = uuid.uuid5(uuid.NAMESPACE_URL, f"{url} {date} {at} {hashlib.sha1(http.removesuffix(BLANK)).hexdigest()}")
+                        rows.append((url, f["IP-address"], date, f["Content-type"], "response" if http else "resource", f"<urn:uuid:{id_}>", about, http, payload, digest(payload)))
+                except (ValueError, zlib.error) as e:
+                    if not rejects:
+                        raise
+                    at = getattr(e, "at", 0)
+                    rest = whole[at:] or data.as_py()
+                    rows.append((None, None, None, None, "reject", None, f"{e} at byte {at}", b"", rest, digest(rest)))
                 kinds = [pa.string()] * 7 + [pa.binary(), pa.binary(), pa.string()]
                 names = ["url", "ip", "date", "kind", "type", "record_id", "about", "http", "payload", "payload_digest"]
                 yield pa.record_batch([pa.array([r[i] for r in rows], kinds[i]) for i in range(10)], names)
@@ -223,7 +269,7 @@ def payload_of(fields: dict[str, str], block: bytes) -> tuple[int, str]:
     """Bytes and digest of a record's payload: what follows an answer's head, a resource's whole block."""
     if fields["WARC-Type"] == "revisit":
         return int(fields["X-Payload-Bytes"]), fields["WARC-Payload-Digest"].removeprefix("sha1:")
-    payload = block.partition(b"\r\n\r\n")[2] if fields["WARC-Type"] == "response" else block
+    payload = (parted(block) or (b"", block))[1] if fields["WARC-Type"] == "response" else block
     return len(payload), digest(payload)
 
 
@@ -260,7 +306,7 @@ def arcs_of_pages(pages: DataFrame) -> DataFrame:
                 body = r["html"].encode()
                 key = "" if r["key"] is None else f"X-Key: {r['key']}\r\n"
                 http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n{key}Content-Length: {len(body)}\r\n\r\n".encode()
-                url = re.sub(r"\s", lambda m: "".join(f"%{b:02X}" for b in m[0].encode()), r["url"]) or "about:blank"
+                url = encoded(r["url"]) or "about:blank"
                 records.append((url, "0.0.0.0", "20000101000000", "text/html", http + body))
             yield pa.record_batch([pa.array([arc_file(f"pages-{part}-{number}.arc", 1 + number % 2, records)], pa.binary())], ["arc"])
 
