@@ -109,8 +109,3 @@ def incidence(evaluated: DataFrame, specs: list[Indicator], denominator: DataFra
     r = F.coalesce("r", F.lit(0))
     return out.select("indicator_id", "calendar_year", "nights", F.coalesce("n", F.lit(0)).alias("n_isolates"), r.alias("n_resistant"), F.when(F.col("nights") > 0, float(per) * r / F.col("nights")).alias("density"))
 
-
-def coverage(specs: list[Indicator], columns: list[str]) -> list[tuple[str, str, str]]:
-    """(id, status, problems) of each specification."""
-    found = [(s, validate(s, columns)) for s in specs]
-    return [(s.id, "executable" if not p else "blocked", "; ".join(p)) for s, p in found]

@@ -26,11 +26,6 @@ def first_value(value: Column, order: Column) -> Column:
     return F.min_by(value, F.when(value.isNotNull(), order))
 
 
-def one_value(value: Column, order: Column, name: str) -> Column:
-    """Aggregate: the first value that isn't null; raises if a group has different ones."""
-    return F.when(F.count_distinct(value) > 1, F.raise_error(F.lit(f"different values of {name} in a group"))).otherwise(first_value(value, order))
-
-
 #: What a packed cell's last two bits say; a fixed order.
 CODES = ["S", "R", "ZIT"]
 
@@ -65,7 +60,10 @@ def completeness(names: list[str]) -> Column:
     return sum((F.coalesce(F.col(n).isin("S", "R"), F.lit(False)).cast("int") for n in names), F.lit(0))
 
 
-def result_columns(df: DataFrame, candidates: list[str]) -> list[str]:
-    """The candidates that have a value, and only S, R or ZIT."""
-    counts = df.agg(*[F.struct(F.count(c).alias("n"), F.count_if(~F.col(c).isin("S", "R", "ZIT")).alias("odd")).alias(c) for c in candidates]).first()
-    return [c for c in candidates if counts[c]["n"] and not counts[c]["odd"]]
+def result_columns(df: DataFrame, candidates: list[str] | None = None, known: list[str] = ()) -> list[str]:
+    """The candidates (all text columns unless given) that have a value, and only S, R or ZIT; one
+    aggregate. What a manifest names (`known`) goes first, if it is there."""
+    names = candidates if candidates is not None else [c for c, kind in df.dtypes if kind == "string"]
+    counts = df.agg(*[F.struct(F.count(f"`{c}`").alias("n"), F.count_if(~F.col(f"`{c}`").isin(CODES)).alias("odd")).alias(c) for c in names]).first() if names else {}
+    found = [c for c in names if counts[c]["n"] and not counts[c]["odd"]]
+    return [c for c in known if c in found] + [c for c in found if c not in known]

@@ -227,10 +227,12 @@ def administrative_status(spark, d):
 
 
 def nights_reconciliation(spark, d):
-    split = stays.nights_by_year(_intervals(spark, d), "entry", "exit")
-    a = split.filter("calendar_year > 1996").groupBy("calendar_year").agg(F.sum("nights").alias("n"))
-    b = split.filter("unit % 3 = 0 and calendar_year < 2001").groupBy("calendar_year").agg(F.sum("nights").alias("n"))
-    return stays.reconcile(a, b, "calendar_year", "n")
+    """Nights by year from intervals cut at new year, against a count of the nights themselves, one by one."""
+    rows = _intervals(spark, d)
+    cut = stays.nights_by_year(rows, "entry", "exit").groupBy("calendar_year").agg(F.sum("nights").alias("n"))
+    first, last = F.to_date("entry"), F.date_sub(F.to_date("exit"), 1)
+    nights = rows.filter(first <= last).select(F.explode(F.sequence(first, last)).alias("night")).select(F.year("night").alias("calendar_year"))
+    return stays.reconcile(cut, nights.groupBy("calendar_year").agg(F.count("*").alias("n")), "calendar_year", "n")
 
 
 def _specs() -> list[indicators.Indicator]:
@@ -301,6 +303,13 @@ _QC_SQL = f"""with {_NAMED}, q as (select
 select count(*) as n_rows, count(*) filter (a or b or c) as n_excluded, 100.0::double * count(*) filter (a or b or c) / count(*) as pct_excluded,
   count(*) filter (a) as qc_saureus_oxa_cefox_discordance, count(*) filter (b) as qc_enterobacterales_amoxampi_s_c3g_r, 0::bigint as qc_enterobacterales_nalidixic_s_fq_r, count(*) filter (c) as qc_klebsiella_enterobacter_amoxampi_s from q"""
 
+def plausible_isolates(spark, d):
+    """Isolates by species and year that no plausibility rule takes away."""
+    name = F.when(F.col("species") == 1, "staphylococcus_aureus").when(F.col("species") == 5, "klebsiella_pneumoniae").otherwise(F.col("bact_norm"))
+    kept = quality.plausible(quality.flagged(_named(spark, d).withColumn("bact_norm", name), _ROLES))
+    return kept.groupBy("species", "year").agg(F.count("*").alias("n"))
+
+
 _SPECIES = [(r"(?i)\bwidget\b", None, "ambiguous"), (r"(?i)^red\s+ring\b", "rubrum_annulus", "bacterium"), (r"(?i)^(large|small)\b", None, "bacterium"), (r"(?i)gear", None, "morphotype")]
 
 
@@ -333,6 +342,11 @@ select p_name, len(hits)::int as n_patterns, len(t)::int as n_targets, nullif(ar
   case when len(hits) = 0 then 'unmatched' when len(t) > 1 then 'conflict' when len(hits) > 1 then 'multiple_same_target' else 'one_pattern' end as status from k"""
 
 
+def first_rules(spark, d):
+    """The number of the first rule that each part name meets, and how many names meet it."""
+    return _t(spark, d, "part").groupBy(rules.matched_rule(F.col("p_name"), _SAMPLE_TYPES).alias("rule")).agg(F.count("*").alias("n"), F.count_distinct("p_name").alias("n_names"))
+
+
 def class_expansion(spark, d):
     rows = _t(spark, d, "part").select("p_partkey", F.col("p_type").alias("antibiotic"))
     return rules.expand(rows, "antibiotic", {"PROMO": ["promo_a", "promo_b", "promo_c"], "SMALL": ["small_a", "small_b"]}).groupBy("antibiotic").agg(F.count("*").alias("n"), F.sum("p_partkey").alias("keys"))
@@ -379,7 +393,7 @@ def regression_gate(spark, d):
     return contracts.differences(supplier, other).groupBy("side").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (resistance_panel, wide_isolates, screening_exclusion, first_fit_classes, class_representatives, unit_attribution, nights_by_year_and_unit, exact_days_by_year, stay_bounds, stay_validation_metrics, source_preference, unit_scope_summary, administrative_status, nights_reconciliation, proportion_panel, incidence_panel, density_quantile, plausibility_summary, species_names, sample_type_candidates, class_expansion, dictionary_lookup, text_functions, local_times, regression_gate)}
+QUERIES = {f.__name__: f for f in (resistance_panel, wide_isolates, screening_exclusion, first_fit_classes, class_representatives, unit_attribution, nights_by_year_and_unit, exact_days_by_year, stay_bounds, stay_validation_metrics, source_preference, unit_scope_summary, administrative_status, nights_reconciliation, proportion_panel, incidence_panel, density_quantile, plausibility_summary, plausible_isolates, species_names, sample_type_candidates, first_rules, class_expansion, dictionary_lookup, text_functions, local_times, regression_gate)}
 
 ORACLE_SQL: dict[str, str] = {
     "resistance_panel": _PANEL_SQL,
@@ -404,12 +418,15 @@ ORACLE_SQL: dict[str, str] = {
     "unit_scope_summary": _SCOPE_SQL,
     "administrative_status": f"""with {_INTERVALS}, x as (select patient, stay, nullif(array_to_string(list_sort(list(distinct case when unit % 5 = 0 then null when unit % 2 = 0 then 'H' else 'E' end) filter (unit % 5 <> 0)), '|'), '') as statuses from iv group by 1, 2)
       select *, case when statuses is null then 'no_usable_status' when statuses = 'H' then 'eligible' when statuses = 'E' then 'external' else 'mixed' end as stay_status from x""",
-    "nights_reconciliation": f"""with {_NIGHTS}, p as (select y, sum(nights)::bigint as n from yn where nights > 0 and y > 1996 group by 1), q as (select y, sum(nights)::bigint as n from yn where nights > 0 and unit % 3 = 0 and y < 2001 group by 1)
+    "nights_reconciliation": f"""with {_NIGHTS}, p as (select y, sum(nights)::bigint as n from yn where nights > 0 group by 1),
+      q as (select year(night)::int as y, count(*) as n from (select unnest(generate_series(entry::date::timestamp, exit::date - interval 1 day, interval 1 day)) as night from iv where entry::date < exit::date) group by 1)
       select coalesce(p.y, q.y) as calendar_year, coalesce(p.n, 0) as a, coalesce(q.n, 0) as b, coalesce(p.n, 0) - coalesce(q.n, 0) as difference from p full join q on p.y = q.y""",
     "proportion_panel": _PROPORTION_SQL,
     "incidence_panel": _INCIDENCE_SQL,
     "density_quantile": f"select indicator_id, quantile_cont(density, 0.975) as limit_975, max(density) as most from ({_INCIDENCE_SQL}) group by 1",
     "plausibility_summary": _QC_SQL,
+    "plausible_isolates": _QC_SQL[: _QC_SQL.index("\nselect count(*) as n_rows")].replace("from named)", ", species, year from named)") + " select species, year::int as year, count(*) as n from q where not (a or b or c) group by 1, 2",
+    "first_rules": "select case when p_name ilike '%ring%' then 0 when p_name ilike '%red%' then 1 when p_name ilike '%small%' then 2 when p_name ilike '%blue%' then 3 end::int as rule, count(*) as n, count(distinct p_name) as n_names from part group by 1",
     "species_names": _SPECIES_SQL,
     "sample_type_candidates": _SAMPLE_TYPE_SQL,
     "class_expansion": "select a as antibiotic, count(*) as n, sum(p_partkey)::bigint as keys from (select p_partkey, unnest(case p_type when 'PROMO' then ['promo_a', 'promo_b', 'promo_c'] when 'SMALL' then ['small_a', 'small_b'] else [p_type] end) as a from part) group by 1",

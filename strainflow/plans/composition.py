@@ -122,7 +122,9 @@ exposure as (select calendar_year, uf, ta, domain, sum(k)::bigint as exposure_va
 
 
 def exposure_years_missing(spark, d):
-    return joins.missing_years(_exposure(spark, d), _exposure(spark, d).filter("calendar_year % 3 = 0"))
+    """Years of shipped lines in which no order was placed."""
+    lines = _t(spark, d, "lineitem").select(F.year("l_shipdate").alias("calendar_year"))
+    return joins.missing_years(lines, _t(spark, d, "orders").select(F.year("o_orderdate").alias("calendar_year")))
 
 
 def shared_stay_ids(spark, d):
@@ -235,7 +237,7 @@ def contract_violations(spark, d):
     """The scope contract over all units' rows, whose unit may be missing and repeats."""
     rows = unit_rows(spark, d).withColumn("scope_status", F.when(F.col("um") == "P", "unheard_of").otherwise(F.col("scope_status")))
     named = rows.select(F.col("uf").alias("SEJUF"), F.col("is_eligible").alias("sample_uf_is_eligible_by_ta_de"), F.col("scope_status").alias("sample_uf_ta_de_status"), F.col("scope_reason").alias("sample_uf_ta_de_reason"))
-    return contracts.violations(named, contracts.SCOPE).filter("n > 0").select("n")
+    return contracts.violations(named, contracts.SCOPE)
 
 
 QUERIES = {f.__name__: f for f in (
@@ -255,7 +257,7 @@ ORACLE_SQL = {
       select count(*) filter (s.uf is null) as n_absent, count(*) filter (s.uf is not null and not (coalesce(e.ta = s.ta, false) and coalesce(e.domain = s.domain, false))) as n_mismatched,
         count(*) filter (s.uf is not null and s.is_eligible <> coalesce(e.ta in ('03', '20'), false)) as n_wrong_eligibility from e left join s on e.uf = s.uf""",
     "annual_nights": f"with {_EXPOSURE_SQL} select calendar_year, sum(exposure_value)::int as hospital_nights from exposure where ta in ('03', '20') and domain = 'CHIRURGIE' group by 1",
-    "exposure_years_missing": f"with {_EXPOSURE_SQL} select distinct calendar_year from exposure where calendar_year % 3 <> 0",
+    "exposure_years_missing": "select distinct year(l_shipdate)::int as calendar_year from lineitem where year(l_shipdate) not in (select year(o_orderdate) from orders)",
     "shared_stay_ids": f"with {_UNIT_SQL}, s as (select patient, case when patient % 4 = 0 then (patient * 10 + stay) % 100 else patient * 10 + stay end as stay from rows_) select stay, count(distinct patient) as n_patients, count(distinct patient) > 1 as is_shared from s where stay is not null group by 1",
     "sample_stay_status": f"""with {_UNIT_SQL}, s as (select patient, coalesce(stay, -1) as stay, string_agg(distinct case when uf = '1-URGENT' then 'E' else 'H' end, '' order by case when uf = '1-URGENT' then 'E' else 'H' end) as l from rows_ where patient % 3 <> 0 group by 1, 2)
       select coalesce(case l when 'H' then 'eligible' when 'E' then 'external' when 'EH' then 'mixed' end, 'no_pmsi_match') as stay_status, count(*) as n from rows_ r left join s on r.patient = s.patient and coalesce(r.stay, -1) = s.stay group by 1""",
@@ -269,7 +271,7 @@ ORACLE_SQL = {
     "extended_panel": """with p as (select distinct s_nationkey::int as species, p_type as antibiotic from lineitem join supplier on l_suppkey = s_suppkey join part on l_partkey = p_partkey where s_nationkey < 6)
       select * from p union all select n_nationkey::int, antibiotic from nation, p where species = 3 and n_nationkey not in (select species from p)""",
     "contract_violations": f"""with {_UNIT_SQL}, v as (select count(*) filter (uf is null) as a, count(*) filter (um = 'P') as b, (select count(*) from (select uf from rows_ group by uf having count(*) > 1)) as c from rows_)
-      select unnest([a, b, c]) as n from v""",
+      select unnest(['SEJUF: is null', 'sample_uf_is_eligible_by_ta_de: is null', 'sample_uf_ta_de_status: not one of the allowed values', 'sample_uf_ta_de_reason: not one of the allowed values', 'grain: not unique']) as check_name, unnest([a, 0, b, 0, c]) as n from v""",
     "dedup_two_scopes": _TWO_SQL,
     "scope_checks": _CHECKS_SQL,
     "reversed_classes": _BACK_SQL,

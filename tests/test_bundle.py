@@ -188,8 +188,18 @@ def test_numbers_over_any_ranges(spark, ranges):
     assert numbering.numbered(rows.limit(0), ["v"], "n").count() == 0
 
 
-def test_packed_cells():
-    assert isolates.CODES == ["S", "R", "ZIT"]
+def test_columns_that_hold_results(spark):
+    frame = spark.createDataFrame([("S", None, "x", 1, "R"), ("ZIT", None, "S", 2, None)], "a string, b string, c string, d int, e string")
+    assert isolates.result_columns(frame) == ["a", "e"] and isolates.result_columns(frame, known=["e", "z"]) == ["e", "a"]
+    assert isolates.result_columns(frame, ["c", "e"]) == ["e"] and isolates.result_columns(frame.select("d")) == []
+
+
+def test_packed_cells_keep_the_last(spark):
+    frame = spark.createDataFrame([(5, "S"), (7, None), (6, "ZIT"), (2**60, "R")], "o bigint, v string")
+    cells = frame.select(isolates.packed(F.col("v"), F.col("o")).alias("c"))
+    assert [r[0] for r in cells.orderBy(F.desc_nulls_last("c")).select(isolates.unpacked(F.col("c"))).collect()] == ["R", "ZIT", "S", None]
+    with pytest.raises(Exception, match="not a susceptibility result: I"):
+        frame.select(isolates.packed(F.lit("I"), F.col("o"))).collect()
 
 
 def test_classes_of_two_species_and_scopes(spark):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strainflow.functions import text as X
 from strainflow.functions import time as D
-from strainflow.operators import episodes, indicators, joins, rules, runtime
+from strainflow.operators import episodes, indicators, joins, rules, runtime, stays
 from strainflow.plans import composition
 
 
@@ -62,7 +62,9 @@ def test_blocked_indicators_raise(spark):
         indicators.incidence(evaluated, [spec], spark.createDataFrame([(2024, 5)], "calendar_year int, nights int"), "year")
 
 
-def test_emergency_only_and_status(spark):
+def test_shared_stays_and_emergency_only(spark):
+    units = spark.createDataFrame([(["URGE"],), (["URGE", "URGP"],), (["URGE", "INTB"],), ([],)], "u array<string>")
+    assert [r[0] for r in units.select(stays.only_emergency(F.col("u"))).collect()] == [True, True, False, False]
     rows = spark.createDataFrame([(1, 1), (2, 1), (3, 2)], "patient int, stay int")
     assert {(r["stay"], r["n_patients"], r["is_shared"]) for r in episodes.shared_stays(rows).collect()} == {(1, 2, True), (2, 1, False)}
 
