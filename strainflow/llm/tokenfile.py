@@ -14,7 +14,8 @@ attempt left behind isn't read. A reader of all documents gets a file as one row
 must hold a few times FILE_BYTES.
 
 Defined cases: a null text is empty and has only the end id; null doc_ids come first, as the
-order of Spark has them; equal doc_ids keep an order by their text. An empty table gives no rows.
+order of Spark has them; equal doc_ids keep an order by a hash of
+their text, by which they may lie in several files. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -339,7 +340,8 @@ def op10_token_frames(spark, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     parts = parts_for(total_bytes(docs, F.col("text")), TASK_TEXT_BYTES)
-    ordered = docs.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
+    # the hash parts rows of one doc_id, or of none
+    ordered = docs.repartitionByRange(parts, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     folder = new_folder(spark, "tokens")
     files = materialize(write(encode(ordered, public_tokenizers.path("word_bpe_49k.json")), folder), "token-files")
     return starts(read(spark, folder, files), files)

@@ -81,3 +81,25 @@ def test_every_reference_is_kept(spark):
     frame = spark.createDataFrame([(1, page)], "doc_id int, html string")
     parts = media.resolve(media.interleave(frame, every=True), spark.createDataFrame([("q", 5)], "digest string, n int")).orderBy("position").collect()
     assert [(r["kind"], r["url"], r["digest"], r["caption"], r["n"]) for r in parts] == [("text", None, None, None, None), ("media", "http://z/1", None, "z", None), ("media", "sha256:q", "q", None, 5)]
+
+
+def test_op10_rows_without_ids_lie_in_several_ranges(spark, tmp_path):
+    """Rows without doc_id, or of one doc_id, keep one order and are dealt by their texts."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from strainflow.llm import registry, tokenfile
+
+    texts = [f"text number {k} " * 40 for k in range(300)]
+    pq.write_table(pa.table({"doc_id": pa.array([None] * 150 + [7] * 150, pa.int64()), "text": texts}), tmp_path / "documents.parquet")
+    got = registry.QUERIES["op10_token_frames"](spark, str(tmp_path)).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == [None] * 150 + [7] * 150
+    before = 0
+    for r in got:
+        assert r["start"] == before
+        before += r["n_tokens"]
+    docs = spark.createDataFrame([(7, t) for t in texts], "doc_id bigint, text string")
+    from pyspark.sql import functions as F
+
+    parts = docs.repartitionByRange(6, "doc_id", F.xxhash64("text")).withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+    assert len(parts) > 3 and tokenfile.END_ID == 1
