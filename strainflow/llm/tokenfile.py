@@ -20,6 +20,8 @@ their text, by which they may lie in several files. An empty table gives no rows
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
 import itertools
 import json
@@ -47,7 +49,7 @@ FRAME_BYTES = 256 << 10
 #: Text that a task encodes, and compressed bytes after which it begins another file.
 TASK_TEXT_BYTES, FILE_BYTES = 24 << 20, 128 << 20
 #: Distinct chunks, and pieces of them, whose ids a worker process remembers.
-CACHE = 300_000
+CACHE = 150_000
 #: Files whose totals are summed by one task of the second level.
 FILES_PER_GROUP = 1000
 #: More files than this aren't broadcast.
@@ -139,8 +141,13 @@ class Encoder:
         ids, ends = gathered(values, sizes, coded.indices.to_numpy(zero_copy_only=False), starts)
         stops = np.concatenate([[0], ends])[parted.offsets.to_numpy()[1:] - parted.offsets[0].as_py()].astype(np.int64)
         if end is not None:
-            ids, stops = np.insert(ids, stops, end), stops + np.arange(1, len(stops) + 1)
-        out = pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((4 * np.concatenate([[0], stops])).astype(np.int32)), pa.py_buffer(ids.astype("<u4"))])
+            stops = stops + np.arange(1, len(stops) + 1)
+            room = np.full(len(ids) + len(stops), end, "<u4")
+            own = np.ones(len(room), bool)
+            own[stops - 1] = False
+            room[own] = ids
+            ids = room
+        out = pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((4 * np.concatenate([[0], stops])).astype(np.int32)), pa.py_buffer(ids.astype("<u4", copy=False))])
         if not whole:
             return out
         tail = b"" if end is None else struct.pack("<I", end)
@@ -151,7 +158,10 @@ def gathered(values: np.ndarray, sizes: np.ndarray, at: np.ndarray, starts: np.n
     """values' pieces of these sizes in the order of `at`, and where each ends."""
     starts, n = np.cumsum(sizes) - sizes if starts is None else starts, sizes[at]
     ends = np.cumsum(n)
-    return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[at] - (ends - n), n)], ends
+    # half the memory of 64-bit places: a batch has no 2 ** 31 ids
+    places = np.repeat((starts[at] - (ends - n)).astype(np.int32), n)
+    places += np.arange(len(places), dtype=np.int32)
+    return values[places], ends
 
 
 def piece_pattern(tokenizer) -> re.Pattern | None:
@@ -178,6 +188,13 @@ def latin_symbols() -> dict[int, str]:
     return {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
 
 
+def give_back() -> None:
+    """Free memory that Arrow and the C library keep goes back to the system, where it can."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One for a worker process, whose tasks share its cache."""
@@ -191,7 +208,7 @@ def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
         to_ids = encoder(path)
         for batch in chunks(batches, 4000, 4 << 20):
             yield pa.record_batch([batch.column(0), to_ids(batch.column(1), end_id)], [id_col, "ids"])
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     kind = docs.select(id_col).dtypes[0][1]
     return docs.select(F.col(id_col), text_or_empty(text_col).alias("text")).mapInArrow(run, f"`{id_col}` {kind}, ids binary")
