@@ -10,8 +10,9 @@
    theirs are done.
 3. A cluster's sets go into a prefix tree in the global order, read from its common end so that
    near copies share long paths; a set walks the tree counting overlap once for all sets below,
-   a level of the tree at a time, and leaves subtrees whose remaining lengths can't reach the
-   overlap that a link needs.
+   a level of the live nodes at a time. An edge is read only where the set's tokens from there on
+   and the lengths below can still reach the overlap that a link needs, and where some set below
+   isn't known to be of the walking set's component.
 4. Clusters beyond BLOCK_SETS sets or BLOCK_TOKENS shingles are split by size band and, within it,
    into blocks; two sets of a band are in all its blocks. Sets outside the cluster's largest component
    so far then go into trees that the sets of their band and its neighbours stream past, in parts in
@@ -224,69 +225,118 @@ class Tree:
 
 
 class FlatTree:
-    """A tree's nodes in arrays, level by level, for walks that handle a level at a time."""
+    """A tree's nodes in arrays, level by level. Shingles are known by their place in the order of
+    the paths, so that what a set has left from some place on is a matter of two numbers."""
 
-    def __init__(self, tree: Tree):
-        nodes, parents, self.levels, at = [tree.root], [0], [], 0
+    def __init__(self, tree: Tree, rank: np.ndarray):
+        nodes, parents, children, self.levels, at = [tree.root], [0], [], [], 0
         while at < len(nodes):
             stop = len(nodes)
             self.levels.append((at, stop))
             for k in range(at, stop):
-                children = list(nodes[k][1].values())
-                nodes += children
-                parents += [k] * len(children)
+                nodes[k] = self._stepped(nodes[k])
+                below = list(nodes[k][1].values())
+                children.append((len(nodes), len(below)))
+                nodes += below
+                parents += [k] * len(below)
             at = stop
         self.parent = np.array(parents, np.int64)
-        size = np.array([len(x[0]) for x in nodes], np.int64)
-        self.depth = size.copy()
+        self.child, self.children = np.array(children, np.int64).T
+        self.edge = np.array([len(x[0]) for x in nodes], np.int64)
+        self.begin = np.cumsum(self.edge) - self.edge
+        self.depth = self.edge.copy()
         for a, b in self.levels[1:]:
             self.depth[a:b] += self.depth[self.parent[a:b]]
         self.low, self.high = np.array([x[3] for x in nodes], np.int64), np.array([x[4] for x in nodes], np.int64)
         self.names = [x[2] for x in nodes]
         self.ends = np.array([bool(x[2]) for x in nodes])
-        tokens = np.concatenate([x[0] for x in nodes])
-        order = np.argsort(tokens, kind="stable")
-        tokens = tokens[order]
-        new = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, np.int64)
-        # known[i] stands on the edges of nodes where[first[i] : first[i + 1]]
-        self.known, self.first = tokens[new], np.append(new, len(tokens))
-        self.where = np.repeat(np.arange(len(nodes), dtype=np.int32), size)[order]
-
-    def links(self, tokens: np.ndarray, percent: int) -> Iterator[int]:
-        """Names of sets y with 100 * overlap >= percent * union."""
+        self.known, values = np.unique(np.concatenate([x[0] for x in nodes]), return_inverse=True)
+        # paths begin at the common end: the reverse of (count in the sketch, value)
+        order = np.argsort(rank[(self.known & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)], kind="stable")[::-1]
+        self.place = np.empty(len(order), np.int64)
+        self.place[order] = np.arange(len(order))
+        self.tokens = self.place[values].astype(np.int32)
+        self.mark = np.zeros(len(self.known), np.uint8)
+        self.named = np.repeat(np.arange(len(nodes)), [len(x) for x in self.names])
+        self.all_names = [x for some in self.names for x in some]
+        self.least, self.most = np.zeros(len(nodes), np.int64), np.ones(len(nodes), np.int64)
+
+    @staticmethod
+    def _stepped(node: list) -> list:
+        """The node with only the first step of a long edge, so that walks can leave within it."""
+        edge, below, names, low, high = node
+        step = max(32, len(edge) // 8)
+        if len(edge) <= step:
+            return node
+        rest = edge[step:]
+        return [edge[:step], {int(rest[0]): [rest, below, names, low, high]}, [], low + len(rest), high + len(rest)]
+
+    def label(self, labels: list[int]) -> None:
+        """Each node's least and greatest label of the sets below it; labels are those of all_names."""
+        bounds = np.iinfo(np.int64)
+        self.least, self.most = np.full(len(self.names), bounds.max), np.full(len(self.names), bounds.min)
+        np.minimum.at(self.least, self.named, labels)
+        np.maximum.at(self.most, self.named, labels)
+        for a, b in reversed(self.levels[1:]):
+            np.minimum.at(self.least, self.parent[a:b], self.least[a:b])
+            np.maximum.at(self.most, self.parent[a:b], self.most[a:b])
+
+    def links(self, tokens: np.ndarray, percent: int, label: int | None = None) -> list[int]:
+        """Names of sets y with 100 * overlap >= percent * union, without those in subtrees that
+        have one label only, the given one."""
+        n, out = len(tokens), []
         if not len(self.known):
-            return
-        n = len(tokens)
+            return out
         at = np.minimum(np.searchsorted(self.known, tokens), len(self.known) - 1)
-        at = at[self.known[at] == tokens]
+        at = np.sort(self.place[at[self.known[at] == tokens]])
         if 100 * len(at) < percent * n:  # too few tokens are in the tree at all
-            return
-        begin, times = self.first[at], self.first[at + 1] - self.first[at]
-        spots = np.repeat(begin - np.cumsum(times) + times, times) + np.arange(times.sum())
-        overlap, alive = np.bincount(self.where[spots], minlength=len(self.parent)), np.zeros(len(self.parent), bool)
-        for a, b in self.levels:
-            if a:
-                overlap[a:b] += overlap[self.parent[a:b]]
-            # the most that any set below can still share, at the size where that helps most
-            best = overlap[a:b] + np.minimum(len(at) - overlap[a:b], self.high[a:b])
-            size = np.maximum(self.depth[a:b] + self.low[a:b], self.depth[a:b] - overlap[a:b] + best)
-            alive[a:b] = 100 * best >= percent * (n + size - best)
-            if a:
-                alive[a:b] &= alive[self.parent[a:b]]
-            if not alive[a:b].any():
+            return out
+
+        def live(overlap: np.ndarray, left: np.ndarray, depth: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+            """Where the most that a set below can still share makes a link, at the size where it helps most."""
+            best = overlap + np.minimum(left, high)
+            size = np.maximum(depth + low, depth - overlap + best)
+            return 100 * best >= percent * (n + size - best)
+
+        self.mark[at] = 1
+        nodes, overlap = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        while len(nodes):
+            times = self.children[nodes]
+            ends = np.cumsum(times)
+            below = np.repeat(self.child[nodes] - ends + times, times) + np.arange(ends[-1])
+            overlap = np.repeat(overlap, times)
+            edge = self.edge[below]
+            # before an edge is read: the set's tokens from the edge's first on are all that is left
+            left = len(at) - np.searchsorted(at, self.tokens[self.begin[below]])
+            keep = live(overlap, left, self.depth[below] - edge, edge + self.low[below], edge + self.high[below])
+            if label is not None:
+                keep &= (self.least[below] != label) | (self.most[below] != label)
+            below, overlap, edge = below[keep], overlap[keep], edge[keep]
+            if not len(below):
                 break
-        hit = alive & self.ends
-        hit &= 100 * overlap >= percent * (n + self.depth - overlap)
-        for node in np.flatnonzero(hit).tolist():
-            yield from self.names[node]
+            ends = np.cumsum(edge)
+            spots = np.arange(ends[-1], dtype=np.int32)
+            spots += np.repeat((self.begin[below] - ends + edge).astype(np.int32), edge)
+            shared = self.mark.take(self.tokens.take(spots))
+            overlap = overlap + np.add.reduceat(shared, ends - edge, dtype=np.int32)
+            depth = self.depth[below]
+            hit = self.ends[below] & (100 * overlap >= percent * (n + depth - overlap))
+            for node in below[hit].tolist():
+                out += self.names[node]
+            left = len(at) - np.searchsorted(at, self.tokens[self.begin[below] + edge - 1], "right")
+            keep = (self.children[below] > 0) & live(overlap, left, depth, self.low[below], self.high[below])
+            nodes, overlap = below[keep], overlap[keep]
+        self.mark[at] = 0
+        return out
 
 
 class Block:
     """Sets in a tree, and sets that walk it; `found` has the links that connect what the given
-    components have apart, a spanning forest. Tokens are in the global order."""
+    components have apart, a spanning forest. Tokens are in the global order. A walk passes by
+    subtrees whose sets were all of its component when the tree was labelled last."""
 
-    def __init__(self, percent: int):
-        self.percent, self.tree, self.flat = percent, Tree(), None
+    def __init__(self, percent: int, rank: np.ndarray):
+        self.percent, self.rank, self.tree, self.flat, self.labelled = percent, rank, Tree(), None, 0
         self.component: dict[int, int] = {}
         self.parent: dict[int, int] = {}
         self.found: list[tuple[int, int]] = []
@@ -308,9 +358,14 @@ class Block:
             self.tree.add(tokens[::-1], name)
 
     def walk(self, name: int, component: int, tokens: np.ndarray) -> None:
-        self.flat = self.flat or FlatTree(self.tree)
         self._known(name, component)
-        for other in self.flat.links(tokens, self.percent):
+        if self.flat is None:
+            self.flat = FlatTree(self.tree, self.rank)
+            self.flat.label([self._root(x) for x in self.flat.all_names])
+        elif 32 * (len(self.found) - self.labelled) > len(self.flat.all_names):
+            self.flat.label([self._root(x) for x in self.flat.all_names])
+            self.labelled = len(self.found)
+        for other in self.flat.links(tokens, self.percent, self._root(name)):
             a, b = self._root(name), self._root(other)
             if a != b:
                 self.parent[max(a, b)] = min(a, b)
@@ -321,11 +376,11 @@ class Block:
 BOTH, STAYS, WALKS = 0, 1, 2
 
 
-def _blocks(percent: int):
+def _blocks(percent: int, rank):
     """Rows (group, key, component, role, tokens), sorted by group and role, to links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, block, own = None, Block(percent), []
+        now, block, own = None, Block(percent, rank.value), []
 
         def out():
             for x in own:
@@ -337,7 +392,7 @@ def _blocks(percent: int):
                 if group != now:
                     if now is not None:
                         yield out()
-                    now, block, own = group, Block(percent), []
+                    now, block, own = group, Block(percent, rank.value), []
                 tokens = np.frombuffer(tokens.as_py(), np.uint64)
                 if role == WALKS:
                     block.walk(key, comp, tokens)
@@ -351,10 +406,10 @@ def _blocks(percent: int):
     return run
 
 
-def _in_groups(rows: DataFrame, percent: int) -> DataFrame:
+def _in_groups(rows: DataFrame, percent: int, rank) -> DataFrame:
     """rows (group string, key, component, role, tokens), a task to many groups, to links (a, b)."""
     dealt = rows.repartition("group").sortWithinPartitions("group", "role", "key")
-    return dealt.select("group", "key", "component", "role", "tokens").mapInArrow(_blocks(percent), "a bigint, b bigint")
+    return dealt.select("group", "key", "component", "role", "tokens").mapInArrow(_blocks(percent, rank), "a bigint, b bigint")
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -381,7 +436,7 @@ def _prefix_tokens(percent: int):
     return run
 
 
-def _links_of(sets: DataFrame, path: str, percent: int, block_sets: int) -> DataFrame:
+def _links_of(sets: DataFrame, path: str, percent: int, block_sets: int, rank) -> DataFrame:
     """(a, b): links that connect the sets (key, n, tokens, cluster) of each component; sets are
     the table at path, which goes once it is read."""
     name = lambda *c: F.concat_ws("/", *c)
@@ -391,7 +446,7 @@ def _links_of(sets: DataFrame, path: str, percent: int, block_sets: int) -> Data
     large = materialize(sets.groupBy("cluster").agg(*totals).filter((F.col("sets") > block_sets) | (F.col("size") > BLOCK_TOKENS)), "large-clusters")
     own = sets.join(_small(large), "cluster", "left_anti").select(name("cluster").alias("group"), "key", whole, role(BOTH), "tokens")
     if not large.limit(1).count():
-        links = materialize(_in_groups(own, percent), "links")
+        links = materialize(_in_groups(own, percent, rank), "links")
         delete(sets.sparkSession, path)
         return links
 
@@ -404,7 +459,7 @@ def _links_of(sets: DataFrame, path: str, percent: int, block_sets: int) -> Data
     group = name("cluster", "band", "block").alias("group")
     ends = placed.filter("blocks > 1 and (key = k0 or key = k1)").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     within = placed.select(group, "key", whole, role(BOTH), "tokens").union(ends.select(group, "key", whole, role(STAYS), "tokens"))
-    links = materialize(_in_groups(own.union(within), percent), "links")
+    links = materialize(_in_groups(own.union(within), percent, rank), "links")
     delete(sets.sparkSession, path)
 
     known = components(links, "linked")
@@ -427,7 +482,7 @@ def _links_of(sets: DataFrame, path: str, percent: int, block_sets: int) -> Data
     asking = asking.join(_small(chunked), at).withColumn("chunk", _dealt("chunks", 11)).select(asked, "key").join(probes, "key")
     meets = labelled.withColumnRenamed("band", "target").join(_small(chunked), at).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     across = asking.select("group", "key", "component", role(STAYS), "tokens").union(meets.select(asked, "key", "component", role(WALKS), "tokens"))
-    return materialize(links.union(_in_groups(across, percent)), "all-links")
+    return materialize(links.union(_in_groups(across, percent, rank)), "all-links")
 
 
 def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, block_sets: int = BLOCK_SETS) -> DataFrame:
@@ -472,7 +527,7 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wid
     sets = some.select("text").mapInArrow(tokens_of, "key bigint, n bigint, tokens binary").join(cluster, "key")
     path = new_path(spark, "cluster-sets")
     sets = written(sets.dropDuplicates(["key"]) if nameless else sets, path)
-    links = _links_of(sets, path, percent, block_sets)
+    links = _links_of(sets, path, percent, block_sets, shared)
 
     root = components(links, "joined").select(F.col("node").alias("key"), "root")
     classes = rows.filter("key is not null").groupBy("key").agg(F.min("id").alias("rep")).join(root, "key", "left").withColumn("root", F.coalesce("root", "key"))

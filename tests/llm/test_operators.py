@@ -450,6 +450,61 @@ def test_op9_small_blocks(spark, block_sets):
     assert _rows(got, "doc_id", "n_shingles", "component_id") == _sorted(_components(rows, 3, 60))
 
 
+def _alike_sets(rng, n: int, rank) -> list[np.ndarray]:
+    from strainflow.llm import ngram_join
+
+    bases = [np.unique(rng.integers(0, 2**63, 300).astype(np.uint64)) for _ in range(3)]
+    out = []
+    for i in range(n):
+        kept = bases[i % 3][rng.random(300) > rng.choice([0, 0.02, 0.1, 0.3])]
+        out.append(ngram_join._ordered(np.unique(np.append(kept, rng.integers(0, 2**63, rng.integers(0, 8)).astype(np.uint64))), rank))
+    return out
+
+
+@pytest.mark.parametrize("percent", [60, 80, 100])
+def test_op9_walk(percent):
+    """A walk finds what every pair compared finds; a labelled one leaves out its own label only."""
+    from strainflow.llm import ngram_join
+
+    rng = np.random.default_rng(4)
+    rank = rng.integers(0, 9, 1 << ngram_join.SKETCH_BITS)
+    sets = _alike_sets(rng, 90, rank)
+    tree = ngram_join.Tree()
+    for i, tokens in enumerate(sets):
+        tree.add(tokens[::-1], i)
+    flat = ngram_join.FlatTree(tree, rank)
+    wanted = [[j for j, y in enumerate(sets) if 100 * len(np.intersect1d(x, y)) >= percent * len(np.union1d(x, y))] for x in sets]
+    assert [sorted(flat.links(x, percent)) for x in sets] == wanted
+    flat.label([i % 3 for i in flat.all_names])
+    for i, x in enumerate(sets):
+        assert {j for j in wanted[i] if j % 3 != i % 3} <= set(flat.links(x, percent, i % 3)) <= set(wanted[i])
+
+
+def test_op9_forest():
+    """Links of a block connect what all links connect, however often the tree is labelled."""
+    from strainflow.llm import ngram_join
+
+    rng = np.random.default_rng(6)
+    rank = rng.integers(0, 9, 1 << ngram_join.SKETCH_BITS)
+    sets = _alike_sets(rng, 200, rank)
+    block = ngram_join.Block(85, rank)
+    for i, tokens in enumerate(sets):
+        block.add(i, i, tokens)
+    for i, tokens in enumerate(sets):
+        block.walk(i, i, tokens)
+
+    def roots(pairs):
+        root = list(range(len(sets)))
+        for _ in sets:
+            for a, b in pairs:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    every = [(i, j) for i, x in enumerate(sets) for j, y in enumerate(sets[:i]) if 100 * len(np.intersect1d(x, y)) >= 85 * len(np.union1d(x, y))]
+    assert roots(block.found) == roots(every)
+    assert len(block.found) == len(sets) - len(set(roots(every)))
+
+
 def test_op10(spark, edge, docs, queries):
     from tokenizers import Tokenizer
 
