@@ -16,7 +16,8 @@
 4. Clusters beyond BLOCK_SETS sets or BLOCK_TOKENS shingles are split by size band and, within it,
    into blocks; two sets of a band are in all its blocks. Sets outside the cluster's largest component
    so far then go into trees that the sets of their band and its neighbours stream past, in parts in
-   which some set shares a shingle of their prefix. Sets that are alike below the threshold in great
+   which some set shares a shingle of their prefix; sets whose prefixes share shingles with their own
+   component only stay away. Sets that are alike below the threshold in great
    numbers are the dear case: a group of g of them costs g * g / 2000 reads of a set. Only links between components are emitted, enough to connect them.
 
 Memory: a task holds one tree, bounded by sets and by shingles. No cluster, bucket or component
@@ -426,12 +427,12 @@ def _dealt(parts: str, seed: int):
 
 
 def _prefix_tokens(percent: int):
-    """Rows (key, cluster, band, block, rest, tokens), to the tokens of their prefixes."""
+    """Rows (key, cluster, band, stream, rest, component, tokens), to the tokens of their prefixes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            some = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(5)]
-            yield pa.record_batch([*batch.columns[:5], pa.array([x[: _prefix(len(x), percent)] for x in some], pa.list_(pa.int64()))], [*batch.schema.names[:5], "tokens"])
+            some = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(6)]
+            yield pa.record_batch([*batch.columns[:6], pa.array([x[: _prefix(len(x), percent)] for x in some], pa.list_(pa.int64()))], batch.schema.names)
 
     return run
 
@@ -468,9 +469,15 @@ def _links_of(sets: DataFrame, path: str, percent: int, block_sets: int, rank) -
     delete(sets.sparkSession, placed_path)
     parts = labelled.groupBy("cluster", "component").agg(F.count("*").alias("m"))
     main = parts.groupBy("cluster").agg(F.max(F.struct("m", "component")).alias("m")).select("cluster", F.col("m.component").alias("main"))
-    marked = labelled.join(_small(main), "cluster").select("key", "cluster", "band", "stream", (F.col("component") != F.col("main")).alias("rest"), "tokens")
-    entries = marked.mapInArrow(_prefix_tokens(percent), "key bigint, cluster bigint, band int, stream int, rest boolean, tokens array<bigint>")
-    entries = materialize(entries.withColumn("token", F.explode("tokens")).drop("tokens"), "large-prefixes")
+    marked = labelled.join(_small(main), "cluster").select("key", "cluster", "band", "stream", (F.col("component") != F.col("main")).alias("rest"), "component", "tokens")
+    entries = marked.mapInArrow(_prefix_tokens(percent), "key bigint, cluster bigint, band int, stream int, rest boolean, component bigint, tokens array<bigint>")
+    prefixes_path = new_path(sets.sparkSession, "large-prefixes")
+    entries = written(entries.withColumn("token", F.explode("tokens")).drop("tokens"), prefixes_path)
+    # a link between components shares a shingle of both prefixes, so one that several components have
+    ends = entries.groupBy("cluster", "token").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
+    entries = materialize(entries.join(ends.filter("c0 != c1"), ["cluster", "token"], "left_semi").drop("component"), "shared-prefixes")
+    delete(sets.sparkSession, prefixes_path)
+    meeting = entries.select(F.col("key").alias("_key")).distinct()
     at = ["cluster", "target", "stream"]
     there = entries.select("token", "cluster", F.col("band").alias("target"), "stream").distinct()
     asking = entries.filter("rest").select("key", "cluster", "band", "token").join(there, ["cluster", "token"]).filter("abs(band - target) <= 1")
@@ -480,7 +487,8 @@ def _links_of(sets: DataFrame, path: str, percent: int, block_sets: int, rank) -
     chunked = materialize(chunked, "chunks")
     asked = name("cluster", "target", "stream", "chunk").alias("group")
     asking = asking.join(_small(chunked), at).withColumn("chunk", _dealt("chunks", 11)).select(asked, "key").join(probes, "key")
-    meets = labelled.withColumnRenamed("band", "target").join(_small(chunked), at).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    walking = labelled.join(meeting, F.col("key") == F.col("_key"), "left_semi")
+    meets = walking.withColumnRenamed("band", "target").join(_small(chunked), at).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     across = asking.select("group", "key", "component", role(STAYS), "tokens").union(meets.select(asked, "key", "component", role(WALKS), "tokens"))
     return materialize(links.union(_in_groups(across, percent, rank)), "all-links")
 
