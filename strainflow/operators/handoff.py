@@ -6,12 +6,13 @@ is used, and nothing is collected for it."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strainflow.functions import text as X
 from strainflow.functions import time as D
-from strainflow.operators import isolates, stays
+from strainflow.operators import isolates, joins, stays
+from strainflow.sources import validation
 from strainflow.sources.contracts import ANTIBIOTICS, KEY, WIDE
 
 #: Names that the column of diagnostic rows may have; a fixed order.
@@ -197,3 +198,35 @@ def bundle(wide: DataFrame, units: DataFrame, *, nights: DataFrame | None = None
         tables = {"exposure": exposure_table(exposure, profiles or PROFILES)}
     required = {"contract_version": "v2" if exposure is None else "v3", "sejuf_semantics": "hospitalization_unit_at_sampling"}
     return {"sir_wide": wide, "sample_scope_reference": scope} | tables, wide_meta(wide, source, required)
+
+
+def to_version2(spark: SparkSession, tables: dict[str, DataFrame], meta: dict, profile: str = "midnight_presence") -> tuple[dict[str, DataFrame], dict]:
+    """(tables, manifest) of version 2 from those of version 3: the wide table as it is, of the scope what
+    version 2 knows, and nights by year of the profile in eligible units. A bundle that its checks find
+    fault with raises, with every fault; its report, as long as the list of checks, is read for that."""
+    faults = validation.bundle_report(spark, tables, meta).filter("n > 0").collect()
+    if faults:
+        raise ValueError("not a valid bundle: " + "; ".join(f"{r['table_name']}, {r['check_name']} ({r['n']}): {', '.join(r['examples'])}" for r in faults))
+    # checked: codes and domains of an exposure are those of its unit, and its eligibility follows from them
+    counts = (F.col("denominator_profile_id") == profile) & (F.col("exposure_unit") == PROFILES[profile])
+    counts &= F.col("CODE_TA").isin(stays.ACTIVITIES) & F.col("de_domain_ref").isin(stays.DOMAINS)
+    nights = joins.annual_exposure(tables["exposure"], counts).withColumn("hospital_nights", F.col("hospital_nights").cast("bigint"))
+    wide = tables["sir_wide"]
+    scope = tables["sample_scope_reference"].select("SEJUF", "sample_uf_is_eligible_by_ta_de", "sample_uf_ta_de_status", "sample_uf_ta_de_reason")
+    kept = {k: meta[k] for k in ("artifact_version", "created_at")}
+    required = kept | {"contract_version": "v2", "sejuf_semantics": meta["sejuf_semantics"]}
+    return {"sir_wide": wide, "sample_scope_reference": scope, "denominator": nights}, wide_meta(wide, "external_handoff_v3_projection", required)
+
+
+#: A scope's columns, from the names that older exports gave them.
+LEGACY_SCOPE = {"SEJUF": "SEJUF", "CODE_TA": "sample_CODE_TA", "CODE_DE": "sample_CODE_DE", "de_domain_ref": "sample_de_domain_ref", "uf_is_eligible_by_ta_de": "sample_uf_is_eligible_by_ta_de", "uf_ta_de_status": "sample_uf_ta_de_status", "uf_ta_de_reason": "sample_uf_ta_de_reason"}
+LEGACY_NIGHTS = {"calendar_year": "calendar_year", "hospital_nights_provisional": "hospital_nights"}
+
+
+def modern(table: DataFrame, legacy: dict[str, str]) -> DataFrame:
+    """A table of an older export with today's column names, and only those; one that lacks a column of
+    the older form stays as it is, for the checks of its contract to judge."""
+    if not set(legacy) <= set(table.columns):
+        return table
+    flag = lambda c: F.col(c).cast("boolean") if "is_eligible" in c else F.col(c)
+    return table.select(*[flag(old).alias(new) for old, new in legacy.items()])

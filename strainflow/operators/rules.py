@@ -61,6 +61,39 @@ def antibiotics(df: DataFrame, column: str, kind: str, rules: list[tuple[str, st
     return out.withColumns({"atb_matched": hit, "atb_match_origin": F.when(hit, "explicit")})
 
 
+def taxonomy(df: DataFrame, column: str, rules: list[tuple[str, str | None, str, str | None, str | None, str | None]]) -> DataFrame:
+    """df with taxon_type, bact_genus, bact_family, bact_order, bact_norm and bact_matched. The first rule
+    (pattern, name, taxon type, genus, family, order) that the label meets says what it knows: family and
+    order come from rules alone, the genus of a bacterium from its name or its label, too, and its name
+    from genus and epithet. Ambiguous labels have no taxonomy. Matched is what isn't noise and has a
+    genus; without a label nothing is."""
+    label = X.squish(F.col(column))
+    unsure = label.rlike(r"(?iU)\bou\b")
+    rule = F.when(~unsure, matched_rule(label, [(r[0], None) for r in rules]))
+    said = lambda k: F.get(F.array(*[F.lit(r[k]) for r in rules]).cast("array<string>"), F.col("_rule"))
+    out = df.withColumns({"_label": label, "_unsure": F.coalesce(unsure, F.lit(False)), "_rule": rule})
+    taxon = F.when(F.col("_unsure"), "ambiguous").otherwise(F.coalesce(said(2), F.lit("bacterium")))
+    out = out.withColumns({"taxon_type": taxon, "bact_genus": said(3), "bact_family": said(4), "bact_order": said(5), "bact_norm": said(1)})
+    bacterium = F.col("taxon_type") == "bacterium"
+    out = out.withColumn("bact_genus", F.coalesce("bact_genus", F.when(bacterium, F.coalesce(F.initcap(F.split("bact_norm", "_")[0]), X.genus(F.col("_label"))))))
+    made = F.when(bacterium & F.col("bact_genus").isNotNull(), X.species_name(F.col("bact_genus"), X.epithet(F.col("_label"))))
+    matched = (F.col("taxon_type") != "noise") & F.col("bact_genus").isNotNull()
+    return out.withColumns({"bact_norm": F.coalesce("bact_norm", made), "bact_matched": matched}).drop("_label", "_unsure", "_rule")
+
+
+def families(df: DataFrame, table: list[tuple[str | None, str | None, str | None]], name: str = "atb_norm") -> DataFrame:
+    """df with atb_family and atb_subfamily of its antibiotic, from (antibiotic, family, subfamily); the first
+    of several entries for an antibiotic holds, and one without a name is left out."""
+    first: dict[str, tuple[str | None, str | None]] = {}
+    for key, *rest in table:
+        if key is not None:
+            first.setdefault(key, tuple(rest))
+    if not first:
+        return df.withColumns({c: F.lit(None).cast("string") for c in ("atb_family", "atb_subfamily")})
+    pair = lambda k: F.create_map(*[F.lit(x).cast("string") for key, v in first.items() for x in (key, v[k])])
+    return df.withColumns({c: F.try_element_at(pair(k), F.col(name)) for k, c in enumerate(("atb_family", "atb_subfamily"))})
+
+
 def expand(df: DataFrame, column: str, classes: dict[str, list[str]]) -> DataFrame:
     """df with a row for each member of the class in column; other values stay."""
     if not classes:
