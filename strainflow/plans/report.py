@@ -129,7 +129,14 @@ def legacy_scope_report(spark, d):
     return out.filter("n > 0").withColumn("examples", F.array_join("examples", ", "))
 
 
-QUERIES = {f.__name__: f for f in (proportion_cells, type_cells, incidence_cells, report_labels, species_taxonomy, antibiotic_families, projected_nights, legacy_scope_report)}
+def legacy_wide_report(spark, d):
+    """What is wrong with a manifest that states one row and two columns that aren't there."""
+    meta = {"artifact_version": 3, "sir_wide_n_rows": 1, "sir_wide_n_eltid": 7, "atb_cols": ["cefotaxime", "unheard_of", "another"], "phenotype_flag_cols": ["blse_flag"]}
+    out = validation.legacy_report(spark, B.contract_isolates(spark, d), meta)
+    return out.withColumn("examples", F.array_join("examples", ", "))
+
+
+QUERIES = {f.__name__: f for f in (proportion_cells, type_cells, incidence_cells, report_labels, species_taxonomy, antibiotic_families, projected_nights, legacy_scope_report, legacy_wide_report)}
 
 ORACLE_SQL = {
     "proportion_cells": f"with p as (select * exclude (sample_type) from ({_PROPORTION_SQL}) where scope = 'global'), {_placed_sql('year')} select *, {_CELL} from q",
@@ -143,4 +150,10 @@ ORACLE_SQL = {
     "projected_nights": f"with {B.EXPOSURE_SQL} select calendar_year, sum(exposure_value)::bigint as hospital_nights from exposure where CODE_TA in ('03', '20') and de_domain_ref = 'CHIRURGIE' group by 1",
     "legacy_scope_report": f"""with {B.SCOPE_SQL}, bad as (select SEJUF, row_number() over (order by SEJUF) as k from scope where SEJUF like '%7')
       select * from (select 'scope' as table_name, 'sample_uf_ta_de_reason: is null' as check_name, count(*) as n, string_agg(SEJUF, ', ' order by SEJUF) filter (k <= 10) as examples from bad) where n > 0""",
+    "legacy_wide_report": f"""with {B.WIDE_SQL}, n as (select count(*) as r, count(distinct ELTID) as e from w), b as (
+        select 'meta: missing' as check_name, 2 as n, 'created_at, filtre_atb' as examples union all select 'atb_cols: no such column', 2, 'another, unheard_of'
+        union all select unnest(['supported_atb_cols: no such column', 'phenotype_status_cols: no such column', 'phenotype_flag_cols: no such column', 'column: missing']), 0, ''
+        union all select 'sir_wide_n_rows: not as stated', (r <> 1)::int, case when r <> 1 then r || ', not 1' else '' end from n
+        union all select 'sir_wide_n_eltid: not as stated', (e <> 7)::int, case when e <> 7 then e || ', not 7' else '' end from n)
+      select 'sir_wide' as table_name, check_name, n::bigint as n, examples from b""",
 }

@@ -191,6 +191,26 @@ def bundle_report(spark: SparkSession, tables: dict[str, DataFrame], meta: dict
     return report(spark, [_found(spark, stated), *found], names, most)
 
 
+#: What the manifest of an older wide table must say, and its lists of columns that the table must have.
+LEGACY_FIELDS = ["artifact_version", "created_at", "sir_wide_n_rows", "sir_wide_n_eltid", "atb_cols", "filtre_atb"]
+LEGACY_LISTS = ["atb_cols", "supported_atb_cols", "phenotype_status_cols", "phenotype_flag_cols"]
+
+
+def legacy_report(spark: SparkSession, wide: DataFrame, meta: dict, most: int = MOST) -> DataFrame:
+    """The report of a wide table that has a manifest but no contract: fields that the manifest lacks, columns
+    that it names and the table lacks, and the numbers of rows and documents that it states."""
+    table = "sir_wide"
+    stated = [(table, "meta: missing", k) for k in LEGACY_FIELDS if k not in meta]
+    stated += [(table, f"{k}: no such column", c) for k in LEGACY_LISTS for c in meta.get(k) or [] if c not in wide.columns]
+    names = [(table, "meta: missing"), *((table, f"{k}: no such column") for k in LEGACY_LISTS), (table, "sir_wide_n_rows: not as stated"), (table, "sir_wide_n_eltid: not as stated"), (table, "column: missing")]
+    known = "ELTID" in wide.columns
+    if not known and "sir_wide_n_eltid" in meta:
+        stated.append((table, "column: missing", "ELTID"))
+    counted = wide if known else wide.withColumn("ELTID", F.lit(None).cast("string"))
+    found = counts(table, counted, meta if known else {k: v for k, v in meta.items() if k != "sir_wide_n_eltid"})
+    return report(spark, [_found(spark, stated), found], names, most)
+
+
 RUNTIME_SCOPE = ["PATID", "EVTID", "ELTID", "SEJUF", "sample_uf_is_eligible_by_ta_de", "sample_uf_ta_de_status", "sample_uf_ta_de_reason"]
 
 

@@ -78,3 +78,13 @@ def test_modern_names(spark):
     old = spark.createDataFrame([(2024, 7, "x")], "calendar_year int, hospital_nights_provisional int, more string")
     assert handoff.modern(old, handoff.LEGACY_NIGHTS).collect() == [(2024, 7)]
     assert handoff.modern(old.drop("calendar_year"), handoff.LEGACY_NIGHTS).columns == ["hospital_nights_provisional", "more"]
+
+
+def test_legacy_report(spark):
+    wide = spark.createDataFrame([("a", "S"), ("a", "R"), (None, "S")], "ELTID string, cefotaxime string")
+    meta = {"artifact_version": 1, "created_at": "x", "sir_wide_n_rows": 3, "sir_wide_n_eltid": 2, "atb_cols": ["cefotaxime"], "filtre_atb": []}
+    faults = lambda df, m: {r["check_name"]: r["examples"] for r in validation.legacy_report(spark, df, m).filter("n > 0").collect()}
+    assert faults(wide, meta) == {}  # a missing document counts as one
+    assert faults(wide, meta | {"sir_wide_n_rows": 4, "supported_atb_cols": ["x"]}) == {"sir_wide_n_rows: not as stated": ["3, not 4"], "supported_atb_cols: no such column": ["x"]}
+    assert faults(wide.drop("ELTID"), meta) == {"column: missing": ["ELTID"]}
+    assert faults(wide.limit(0), {}) == {"meta: missing": sorted(validation.LEGACY_FIELDS)}
