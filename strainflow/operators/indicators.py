@@ -109,3 +109,11 @@ def incidence(evaluated: DataFrame, specs: list[Indicator], denominator: DataFra
     r = F.coalesce("r", F.lit(0))
     return out.select("indicator_id", "calendar_year", "nights", F.coalesce("n", F.lit(0)).alias("n_isolates"), r.alias("n_resistant"), F.when(F.col("nights") > 0, float(per) * r / F.col("nights")).alias("density"))
 
+
+def published_incidence(panel: DataFrame, year: str, excluded: list[int]) -> DataFrame:
+    """incidence()'s rows outside the excluded years; of those left, one without positive nights, or with a
+    negative or missing density, raises when the result is used."""
+    kept = panel.filter(~F.col(year).isin(excluded) | F.col(year).isNull()) if excluded else panel
+    good = (F.col("nights") > 0) & (F.col("density") >= 0)
+    text = F.concat(F.lit("an incidence without nights or density: "), F.to_json(F.struct("indicator_id", year)))
+    return kept.filter(F.when(F.coalesce(good, F.lit(False)), True).otherwise(F.raise_error(text).cast("boolean")))

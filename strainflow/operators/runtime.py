@@ -74,3 +74,14 @@ def check_scopes(df: DataFrame, found: DataFrame, row_id: str, results: list[str
 def isolate_id(parts: list[Column]) -> Column:
     """An id of an isolate that has none, from its keys; nulls count as NA."""
     return F.concat_ws("_", *[F.coalesce(p.cast("string"), F.lit("NA")) for p in parts])
+
+
+def populations(stages: dict[str, DataFrame]) -> DataFrame:
+    """(stage, stage_place, n_rows): how many rows each stage left, in one job; an empty stage has 0."""
+    counts = [df.agg(F.lit(name).alias("stage"), F.lit(k).alias("stage_place"), F.count("*").alias("n_rows")) for k, (name, df) in enumerate(stages.items(), 1)]
+    if not counts:
+        raise ValueError("no stages")
+    out = counts[0]
+    for more in counts[1:]:
+        out = out.union(more)
+    return out

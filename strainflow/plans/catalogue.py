@@ -303,11 +303,14 @@ _QC_SQL = f"""with {_NAMED}, q as (select
 select count(*) as n_rows, count(*) filter (a or b or c) as n_excluded, 100.0::double * count(*) filter (a or b or c) / count(*) as pct_excluded,
   count(*) filter (a) as qc_saureus_oxa_cefox_discordance, count(*) filter (b) as qc_enterobacterales_amoxampi_s_c3g_r, 0::bigint as qc_enterobacterales_nalidixic_s_fq_r, count(*) filter (c) as qc_klebsiella_enterobacter_amoxampi_s from q"""
 
+def plausible_rows(spark, d):
+    name = F.when(F.col("species") == 1, "staphylococcus_aureus").when(F.col("species") == 5, "klebsiella_pneumoniae").otherwise(F.col("bact_norm"))
+    return quality.plausible(quality.flagged(_named(spark, d).withColumn("bact_norm", name), _ROLES))
+
+
 def plausible_isolates(spark, d):
     """Isolates by species and year that no plausibility rule takes away."""
-    name = F.when(F.col("species") == 1, "staphylococcus_aureus").when(F.col("species") == 5, "klebsiella_pneumoniae").otherwise(F.col("bact_norm"))
-    kept = quality.plausible(quality.flagged(_named(spark, d).withColumn("bact_norm", name), _ROLES))
-    return kept.groupBy("species", "year").agg(F.count("*").alias("n"))
+    return plausible_rows(spark, d).groupBy("species", "year").agg(F.count("*").alias("n"))
 
 
 _SPECIES = [(r"(?i)\bwidget\b", None, "ambiguous"), (r"(?i)^red\s+ring\b", "rubrum_annulus", "bacterium"), (r"(?i)^(large|small)\b", None, "bacterium"), (r"(?i)gear", None, "morphotype")]

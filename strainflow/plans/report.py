@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strainflow.functions import labels
-from strainflow.operators import handoff, report, rules
+from strainflow.operators import handoff, indicators, report, rules, runtime
 from strainflow.plans import bundle as B
-from strainflow.plans.catalogue import _INCIDENCE_SQL, _PROPORTION_SQL, _t, incidence_panel, proportion_panel
+from strainflow.plans.catalogue import _INCIDENCE_SQL, _NAMED, _PROPORTION_SQL, ORACLE_SQL as _CATALOGUE_SQL, _named, _t, incidence_panel, plausible_rows, proportion_panel
 from strainflow.sources import validation
 from strainflow.sources.stage import staged
 
@@ -136,7 +136,18 @@ def legacy_wide_report(spark, d):
     return out.withColumn("examples", F.array_join("examples", ", "))
 
 
-QUERIES = {f.__name__: f for f in (proportion_cells, type_cells, incidence_cells, report_labels, species_taxonomy, antibiotic_families, projected_nights, legacy_scope_report, legacy_wide_report)}
+def published_incidence(spark, d):
+    """The yearly incidences without the first and the last year."""
+    return indicators.published_incidence(incidence_panel(spark, d), "calendar_year", [1992, 1998])
+
+
+def populations(spark, d):
+    """Isolates before and after the plausibility rules, and those of a species."""
+    named = _named(spark, d)
+    return runtime.populations({"analytic_scope": named, "after_plausibility_qc": plausible_rows(spark, d), "species_5": named.filter("species = 5"), "no_species": named.filter("species < 0")})
+
+
+QUERIES = {f.__name__: f for f in (proportion_cells, type_cells, incidence_cells, report_labels, species_taxonomy, antibiotic_families, projected_nights, legacy_scope_report, legacy_wide_report, published_incidence, populations)}
 
 ORACLE_SQL = {
     "proportion_cells": f"with p as (select * exclude (sample_type) from ({_PROPORTION_SQL}) where scope = 'global'), {_placed_sql('year')} select *, {_CELL} from q",
@@ -156,4 +167,7 @@ ORACLE_SQL = {
         union all select 'sir_wide_n_rows: not as stated', (r <> 1)::int, case when r <> 1 then r || ', not 1' else '' end from n
         union all select 'sir_wide_n_eltid: not as stated', (e <> 7)::int, case when e <> 7 then e || ', not 7' else '' end from n)
       select 'sir_wide' as table_name, check_name, n::bigint as n, examples from b""",
+    "published_incidence": f"select * from ({_INCIDENCE_SQL}) where calendar_year not in (1992, 1998)",
+    "populations": f"""with a as (with {_NAMED} select count(*) as n, count(*) filter (species = 5) as f, count(*) filter (species < 0) as z from named), b as (select sum(n)::bigint as n from ({_CATALOGUE_SQL["plausible_isolates"]}))
+      select unnest(['analytic_scope', 'after_plausibility_qc', 'species_5', 'no_species']) as stage, unnest([1, 2, 3, 4]) as stage_place, unnest([a.n, b.n, a.f, a.z]) as n_rows from a, b""",
 }

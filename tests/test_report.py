@@ -7,7 +7,7 @@ from conftest import DATA, same
 from pyspark.sql import functions as F
 
 from strainflow.functions import labels
-from strainflow.operators import handoff, report, rules
+from strainflow.operators import handoff, indicators, report, rules, runtime
 from strainflow.plans import report as plan
 from strainflow.sources import validation
 
@@ -88,3 +88,20 @@ def test_legacy_report(spark):
     assert faults(wide, meta | {"sir_wide_n_rows": 4, "supported_atb_cols": ["x"]}) == {"sir_wide_n_rows: not as stated": ["3, not 4"], "supported_atb_cols: no such column": ["x"]}
     assert faults(wide.drop("ELTID"), meta) == {"column: missing": ["ELTID"]}
     assert faults(wide.limit(0), {}) == {"meta: missing": sorted(validation.LEGACY_FIELDS)}
+
+
+def test_published_incidence(spark):
+    panel = spark.createDataFrame([("a", 2021, 10.0, 1.0), ("a", 2022, 10.0, 2.0), ("b", 2023, None, None), ("b", 2024, 0.0, None)], "indicator_id string, calendar_year int, nights double, density double")
+    kept = indicators.published_incidence(panel, "calendar_year", [2021, 2023, 2024])
+    assert [r["calendar_year"] for r in kept.collect()] == [2022]
+    for left_in in ([2021], [2024], []):
+        with pytest.raises(Exception, match="an incidence without nights or density"):
+            indicators.published_incidence(panel, "calendar_year", left_in).collect()
+    assert indicators.published_incidence(panel.limit(0), "calendar_year", [2021]).collect() == []
+
+
+def test_populations(spark):
+    got = runtime.populations({"all": spark.range(5), "none": spark.range(0)}).collect()
+    assert [tuple(r) for r in got] == [("all", 1, 5), ("none", 2, 0)]
+    with pytest.raises(ValueError, match="no stages"):
+        runtime.populations({})
