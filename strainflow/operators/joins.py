@@ -96,5 +96,6 @@ def inherit_panel(panel: DataFrame, species: DataFrame, key: str, model: str) ->
 
 
 def missing_years(df: DataFrame, denominator: DataFrame, year: str = "calendar_year") -> DataFrame:
-    """Years of df that the denominator lacks."""
-    return df.select(year).filter(F.col(year).isNotNull()).subtract(denominator.select(year))
+    """Years of df that the denominator lacks. Both are reduced to their years before they meet: a join
+    by year of the rows themselves would have one task for each year."""
+    return df.select(year).filter(F.col(year).isNotNull()).distinct().subtract(denominator.select(year).distinct())

@@ -88,3 +88,11 @@ def test_bundles(spark, tmp_path):
     assert new["denominator"].count() == 1 and meta["v"] == 2
     with pytest.raises(FileExistsError):
         tables.write_bundle(spark, folder, {"denominator": nights}, {})
+
+
+def test_years_meet_once_each(spark):
+    """Both sides of the join by year hold each year once, and years of nights and of lines are judged."""
+    many = spark.createDataFrame([(y,) for y in (1996, 1997, 1997, None)], "calendar_year int")
+    plan = joins.missing_years(many, many.filter("calendar_year = 1997"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan[plan.index("LeftAnti") :].count("Aggregate [calendar_year") == 2
+    assert composition.exposure_years_missing(spark, str(DATA)).count() > 0
