@@ -5,19 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from strainflow.functions.text import BLANKS
 
-def date(x: Column) -> Column:
-    """Year-first or day-first text, or days since 1970, as a date. Other text raises when it is used."""
+
+def tried_date(x: Column) -> Column:
+    """Year-first or day-first text, or days since 1970, as a date; null for other text. A format is
+    tried on texts that have its separator, since each failed try costs a row its exceptions."""
     text = F.nullif(F.trim(x.cast("string")), F.lit(""))
     days = F.when(text.rlike("^-?[0-9]{1,6}$"), F.date_add(F.lit("1970-01-01").cast("date"), text.try_cast("int")))
-    found = F.coalesce(F.try_to_date(text, "yyyy-MM-dd"), F.try_to_date(text, "dd/MM/yyyy"), days)
+    return F.coalesce(F.when(text.contains("-"), F.try_to_date(text, "yyyy-MM-dd")), F.when(text.contains("/"), F.try_to_date(text, "dd/MM/yyyy")), days)
+
+
+def date(x: Column) -> Column:
+    """tried_date(); other text raises when it is used."""
+    text, found = F.nullif(F.trim(x.cast("string")), F.lit("")), tried_date(x)
     return F.when(found.isNull() & text.isNotNull(), F.raise_error(F.concat(F.lit("not a date: "), text)).cast("date")).otherwise(found)
 
 
 def seconds(x: Column) -> Column:
-    """H:MM or H:MM:SS as seconds of the day."""
-    part = lambda k: F.regexp_extract(x, r"^\s*([0-9]{1,2}):([0-9]{2})(?::([0-9]{2}))?\s*$", k)
-    return F.when(part(2) != "", part(1).try_cast("int") * 3600 + part(2).try_cast("int") * 60 + F.coalesce(part(3).try_cast("int"), F.lit(0)))
+    """H:MM or H:MM:SS as seconds of the day. One pattern; the parts of what fits it are cut at the colons."""
+    text = F.btrim(x, F.lit(BLANKS))
+    hour, last = F.substring_index(text, ":", 1), F.substring_index(text, ":", -1)
+    minute = F.substring_index(F.substring_index(text, ":", 2), ":", -1)
+    second = F.when(F.length(text) > F.length(hour) + 3, last.try_cast("int")).otherwise(0)
+    return F.when(text.rlike(r"^[0-9]{1,2}:[0-9]{2}(:[0-9]{2})?$"), hour.try_cast("int") * 3600 + minute.try_cast("int") * 60 + second)
 
 
 def sort_key(x: Column) -> Column:

@@ -6,6 +6,8 @@ is used, and nothing is collected for it."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from strainflow.functions import time as D
 from strainflow.operators import isolates, joins, stays
 from strainflow.sources import validation
 from strainflow.sources.contracts import ANTIBIOTICS, KEY, WIDE
+from strainflow.sources.stage import staged
 
 #: Names that the column of diagnostic rows may have; a fixed order.
 DIAGNOSTIC = ["ratb_diagnostic_scope", "diagnostic_scope", "is_diagnostic"]
@@ -32,8 +35,8 @@ def first_of(df: DataFrame, names: list[str]) -> str | None:
     return next((c for c in names if c in df.columns), None)
 
 
-def mapped(df: DataFrame, column: str, pairs: DataFrame, key: str, value: str, out: str, gaps: bool = False) -> DataFrame:
-    """df with `out`, what pairs maps the trimmed column to. A value that pairs lacks raises, and so do
+def mapped(df: DataFrame, column: str, pairs: DataFrame, key: str, value: str, out: str, gaps: bool = False, shaped: Callable[[Column], Column] = lambda v: v) -> DataFrame:
+    """df with `out`, what pairs maps the trimmed column to, as `shaped` makes it. A value that pairs lacks raises, and so do
     a key with different values and, unless gaps are allowed, a key without one."""
     side = pairs.select(X.trim_or_null(F.col(key)).alias("_key"), X.trim_or_null(F.col(value)).alias("_value")).filter("_key is not null").distinct()
     side = side.withColumn("_n", F.count("*").over(Window.partitionBy("_key")))
@@ -41,18 +44,16 @@ def mapped(df: DataFrame, column: str, pairs: DataFrame, key: str, value: str, o
     if not gaps:
         side = checked(side, F.col("_value").isNull(), F.concat(F.lit(f"no value of {value} for "), F.col("_key")))
     own = df.withColumn("_own", X.trim_or_null(F.col(column)))
-    joined = own.join(side.select("_key", "_value"), F.col("_own") == F.col("_key"), "left")
+    joined = own.join(side.select("_key", shaped(F.col("_value")).alias("_value")), F.col("_own") == F.col("_key"), "left")
     unmapped = F.raise_error(F.concat(F.lit(f"{column} isn't mapped: "), F.col("_own"))).cast("string")
     value_ = F.when(F.col("_own").isNotNull() & F.col("_key").isNull(), unmapped).otherwise(F.col("_value"))
     return joined.withColumn(out, value_).drop("_own", "_key", "_value")
 
 
-def _status(df: DataFrame, column: str | None) -> Column:
-    """Aggregate: a number of _RANK, the strongest status of a group."""
-    if column is None:
-        return F.max(F.lit(0))
-    plain = X.phenotype_text(F.col(column))
-    rank = F.raise_error(F.concat(F.lit(f"{column}: not a status: "), F.col(column))).cast("int")
+def _status(column: str) -> Column:
+    """Aggregate: a number of _RANK, the strongest status of a group, of phenotype_text()."""
+    plain = F.col(column)
+    rank = F.raise_error(F.concat(F.lit(f"{column}: not a status: "), plain)).cast("int")
     for k, name in enumerate(_RANK):
         rank = F.when(plain == name, k).otherwise(rank)
     return F.max(F.when(plain.isNull(), 0).otherwise(rank))
@@ -68,26 +69,40 @@ def wide_isolates(observations: DataFrame, bacteria: DataFrame, sample_types: Da
     has one unit and one time, of whichever row has them. Cells hold the last result in order. names:
     the antibiotic columns.
 
-    Cells and statuses are numbers, and a unit is known by a hash until the rows are added up, so one
+    Cleaned texts are written once (stage.staged). Cells and statuses are numbers, and a unit is known by a hash until the rows are added up, so one
     hash aggregate makes the table. If no row is left the table is empty."""
     scope = first_of(observations, DIAGNOSTIC)
     if lacks := [c for c in ("PATID", "ELTID", "DATEPRELEV", "SEJUF", "bacteria_local", "sample_type_local", "antibiotic_local", "sir_result", order) if c not in observations.columns] + ([] if scope else [DIAGNOSTIC[0]]):
         raise ValueError(f"observations lack {', '.join(lacks)}")
     text = lambda c: X.trim_or_null(F.col(c)) if c else F.lit(None).cast("string")
-    shown = X.flag(F.col(scope).cast("string"))
-    obs = checked(observations.withColumn("_shown", shown), F.col("_shown").isNull(), f"{scope} must say true or false")
-    obs = obs.withColumns({"PATID": text("PATID"), "EVTID": text(first_of(observations, ["EVTID"])), "ELTID": text("ELTID")})
+    time, statuses = first_of(observations, ["HEUREPRELEV"]), {c: first_of(observations, [c, c.removesuffix("_row")]) for c in ("blse_status_row", "carbapenemase_status_row")}
+    date, day = D.tried_date(F.col("DATEPRELEV")), F.nullif(F.trim(F.col("DATEPRELEV").cast("string")), F.lit(""))
+    seconds, hour = (D.seconds(F.col(time).cast("string")), X.trim_or_null(F.col(time).cast("string"))) if time else (F.lit(None).cast("int"), text(None))
+    clean = observations.select(
+        *[text(c).alias(c) for c in ("PATID", "ELTID", "bacteria_local", "sample_type_local", "antibiotic_local")],
+        text(first_of(observations, ["EVTID"])).alias("EVTID"),
+        date.alias("DATEPRELEV"),
+        F.when(date.isNull(), day).alias("_odd_day"),
+        seconds.alias("_time"),
+        F.when(seconds.isNull(), hour).alias("_odd_time"),
+        X.flag(F.col(scope).cast("string")).alias("_shown"),
+        text(first_of(observations, ["souche_id", "isolate_local_id"])).alias("_souche"),
+        text("SEJUF").alias("_unit"),
+        X.sir(F.col("sir_result")).alias("_sir"),
+        *[(X.phenotype_text(F.col(of)) if of else F.lit(None).cast("string")).alias(c) for c, of in statuses.items()],
+        F.col(order).alias("_order"),
+    )
+    # written, since filters would be moved below the projection and take its expressions with them, again and again
+    clean = staged(clean, "observations")
+    obs = checked(clean, F.col("_shown").isNull(), f"{scope} must say true or false")
     obs = isolates.diagnostic_documents(obs, "PATID", "EVTID", "ELTID", F.col("_shown"))
-    time = first_of(observations, ["HEUREPRELEV"])
-    seconds = D.seconds(F.col(time).cast("string")) if time else F.lit(None).cast("int")
-    obs = obs.withColumns({"DATEPRELEV": D.date(F.col("DATEPRELEV")), "_time": seconds, "_souche": text(first_of(observations, ["souche_id", "isolate_local_id"])), "_unit": text("SEJUF")})
-    if time:
-        obs = checked(obs, text(time).isNotNull() & F.col("_time").isNull(), F.concat(F.lit("not a time: "), F.col(time)))
+    obs = checked(obs, F.col("_odd_day").isNotNull(), F.concat(F.lit("not a date: "), F.col("_odd_day")))
+    obs = checked(obs, F.col("_odd_time").isNotNull(), F.concat(F.lit("not a time: "), F.col("_odd_time")))
     obs = mapped(obs, "bacteria_local", bacteria, "bacteria_local", "bact_norm", "bact_norm")
-    obs = mapped(obs, "sample_type_local", sample_types, "sample_type_local", "naturepvt_norm", "_type", gaps=True)
+    obs = mapped(obs, "sample_type_local", sample_types, "sample_type_local", "naturepvt_norm", "_type", gaps=True, shaped=lambda v: F.lower(X.to_ascii(v)))
     obs = mapped(obs, "antibiotic_local", antibiotics, "antibiotic_local", "atb_norm", "_atb")
     obs = checked(obs, ~F.col("_atb").isin(names), F.concat(F.lit("not an antibiotic column: "), F.col("_atb")))
-    obs = obs.withColumns({"naturepvt_norm": F.lower(X.to_ascii(F.col("_type"))), "_sir": X.sir(F.col("sir_result"))})
+    obs = obs.withColumnRenamed("_type", "naturepvt_norm")
     derived = F.concat_ws("__", F.lit("derived"), F.coalesce("naturepvt_norm", F.lit("missing_sample_type")), "bact_norm")
     obs = obs.withColumn("souche_id", F.coalesce("_souche", derived))
     for c in REQUIRED:
@@ -95,11 +110,10 @@ def wide_isolates(observations: DataFrame, bacteria: DataFrame, sample_types: Da
     obs = obs.withColumn("_code", F.xxhash64("_unit"))
     code = F.when(F.col("_unit").isNotNull(), F.col("_code"))
     spread = {"_code_min": F.min(code), "_code_max": F.max(code), "HEUREPRELEV": F.min("_time"), "_time_max": F.max("_time")}
-    statuses = {c: _status(obs, first_of(obs, [c, c.removesuffix("_row")])) for c in ("blse_status_row", "carbapenemase_status_row")}
-    out = isolates.widen(obs, KEY, "_atb", "_sir", names, F.col(order), spread | statuses)
+    out = isolates.widen(obs, KEY, "_atb", "_sir", names, F.col("_order"), spread | {c: _status(c) for c in statuses})
     out = checked(out, F.col("_code_min") != F.col("_code_max"), "different values of SEJUF in an isolate")
     out = checked(out, F.col("HEUREPRELEV") != F.col("_time_max"), "different values of HEUREPRELEV in an isolate")
-    units = observations.select(text("SEJUF").alias("SEJUF")).filter("SEJUF is not null").distinct().withColumn("_hash", F.xxhash64("SEJUF"))
+    units = clean.select(F.col("_unit").alias("SEJUF")).filter("SEJUF is not null").distinct().withColumn("_hash", F.xxhash64("SEJUF"))
     units = checked(units.withColumn("_n", F.count("*").over(Window.partitionBy("_hash"))), F.col("_n") > 1, "two units have one hash").drop("_n")
     out = out.join(units, F.col("_code_min") == F.col("_hash"), "left")
     for c in statuses:

@@ -52,8 +52,7 @@ def contract_isolates(spark: SparkSession, d: str) -> DataFrame:
     """wide_contract(), with dates."""
     species = _t(spark, d, "nation").select(F.col("n_name").alias("bacteria_local"), F.concat(F.lower("n_name"), F.lit("_spp")).alias("bact_norm"))
     maps = _pairs(spark, _TYPES, "sample_type_local", "naturepvt_norm"), _pairs(spark, _MOLECULES, "antibiotic_local", "atb_norm")
-    # written once, as a site's export is a table
-    return handoff.wide_isolates(staged(site_observations(spark, d), "site"), species, *maps)
+    return handoff.wide_isolates(site_observations(spark, d), species, *maps)
 
 
 def wide_contract(spark, d):

@@ -228,3 +228,22 @@ def test_null_stays_have_no_rank_and_days_are_needed(spark):
     assert got == {1: (None, 1), 2: (1, 1), 3: (2, 1)}
     with pytest.raises(Exception, match="a row without day"):
         runtime.raw_dataset(spark.createDataFrame([("p", "s", None)], "patient string, stay string, day date"), "patient", "stay", "day").collect()
+
+
+def test_cleaned_once(spark):
+    """The plan of the wide table cleans no text of the observations and parses no date: these are written before."""
+    plan = bundle.contract_isolates(spark, str(DATA))._jdf.queryExecution().optimizedPlan().toString()
+    assert "gettimestamp" not in plan.lower() and "HEUREPRELEV#" not in plan.split("Relation", 1)[1]
+
+
+def test_times_and_blanks(spark):
+    from pyspark.sql import functions as F
+
+    from strainflow.functions import text as X
+    from strainflow.functions import time as D
+
+    texts = [" 9:05", "10:30:15 ", "\t1:02:03\n", "9:5", "1:2:3", "x", " ", None, "2024-01-31", " 31/01/2024 ", "19753", "1-2"]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").orderBy("k")
+    assert [r[0] for r in frame.select(D.seconds(F.col("t"))).collect()][:8] == [32700, 37815, 3723, None, None, None, None, None]
+    assert [str(r[0]) for r in frame.select(D.tried_date(F.col("t"))).collect()][8:] == ["2024-01-31", "2024-01-31", "2024-01-31", "None"]
+    assert [r[0] for r in frame.select(X.trim_or_null(F.col("t"))).collect()][2:7] == ["1:02:03", "9:5", "1:2:3", "x", None]
