@@ -95,3 +95,14 @@ def test_delimited(spark, tmp_path):
     (tmp_path / "a.csv").write_text("﻿a;b\n1; x \n2;\n")
     got = tables.read_delimited(spark, f"file://{tmp_path}/a.csv")
     assert [tuple(r) for r in got.select("a", "b").orderBy("a").collect()] == [("1", "x"), ("2", None)]
+
+
+def test_tables_of_a_task_are_bounded(spark):
+    """Partitions of an aggregate with as many groups as rows grow in number with the rows."""
+    from strainflow.sources.stage import ROWS, dealt
+
+    frame = spark.range(10)
+    assert dealt(frame, 10, "id").rdd.getNumPartitions() == 4
+    assert dealt(frame, 9 * ROWS + 1, "id").rdd.getNumPartitions() == 10
+    for query in (catalogue.nights_by_year_and_unit, catalogue.wide_isolates):
+        assert "REPARTITION_BY_NUM" in query(spark, str(DATA))._jdf.queryExecution().executedPlan().toString()
