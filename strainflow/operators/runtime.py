@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strainflow.operators import dedup
+from strainflow.sources.stage import dealt
 
 
 def resolve_stays(df: DataFrame, patient: str, document: str, stay: str) -> DataFrame:
@@ -47,27 +48,30 @@ def ranks(df: DataFrame, group: list[str], stay: str, document: str, order: list
 
 
 def scoped_classes(df: DataFrame, scopes: dict[str, list[str]], row_id: str, results: list[str], statuses: list[str], order: list[Column]) -> DataFrame:
-    """(scope, row_id, class_id, n_docs, n_classes, n_classes_reversed) for each scope's groups. Each
-    scope's other groups are null, so one fold serves all scopes."""
-    names = list(dict.fromkeys(c for group in scopes.values() for c in group))
-    each = F.explode(F.array(*[F.struct(F.lit(s).alias("scope"), *[(F.col(c) if c in group else F.lit(None)).cast("string").alias(f"_g_{c}") for c in names]) for s, group in scopes.items()]))
-    rows = df.withColumn("_x", each).select("*", "_x.*").drop("_x")
-    found = dedup.classes(rows, ["scope", *[f"_g_{c}" for c in names]], row_id, results, statuses, order)
-    return found.withColumnsRenamed({f"_g_{c}": f"group_{c}" for c in names})
-
-
-def check_scopes(df: DataFrame, found: DataFrame, row_id: str, results: list[str]) -> DataFrame:
-    """For each scope: rows, classes, classes with an S and an R in one column (must be 0), and
-    classes in the opposite order. A conflict of two members is one of the unions of their cells."""
-    cells = [F.col(c) for c in results]
-    masks = df.select(row_id, dedup.bits(cells, "S").alias("_s"), dedup.bits(cells, "R").alias("_r"))
-    groups = [c for c in found.columns if c.startswith("group_")]
-    each = found.join(masks, row_id).groupBy("scope", *groups, "class_id").agg(F.bit_or("_s").alias("s"), F.bit_or("_r").alias("r"), F.count("*").alias("n"), F.max("n_classes_reversed").alias("back"))
-    return each.groupBy("scope").agg(
+    """(scope, row_id, class_id, n_docs, n_classes, n_classes_reversed, susceptible, resistant) for each
+    scope's groups, and the groups as group_ columns. Each scope's other groups are null, so one fold
+    serves all scopes."""
+    names = dict.fromkeys(c for group in scopes.values() for c in group)
+    return dedup.scoped(df, scopes, row_id, results, statuses, order).withColumnsRenamed({c: f"group_{c}" for c in names})
+
+
+def check_scopes(found: DataFrame, rows: int) -> DataFrame:
+    """For each scope of scoped_classes(): rows, classes, classes with an S and an R in one column (must be
+    0), and classes in the opposite order; n_groups and n_group_conflicts are the same of whole groups. A
+    conflict of two members is one of the unions of their cells. rows: about how many found has."""
+    own = ["scope", *[c for c in found.columns if c.startswith("group_")]]
+    clash = F.count_if(F.col("s").bitwiseAND(F.col("r")) != 0)
+    # classes lie with their group: one shuffle
+    each = dealt(found.select(*own, "class_id", "n_classes_reversed", "susceptible", "resistant"), rows, *own)
+    each = each.groupBy(*own, "class_id").agg(F.bit_or("susceptible").alias("s"), F.bit_or("resistant").alias("r"), F.count("*").alias("n"), F.max("n_classes_reversed").alias("back"))
+    groups = each.groupBy(*own).agg(F.sum("n").alias("n"), F.count("*").alias("n_classes"), clash.alias("n_conflicts"), F.bit_or("s").alias("s"), F.bit_or("r").alias("r"), F.max("back").alias("back"))
+    return groups.groupBy("scope").agg(
         F.sum("n").alias("n_rows"),
-        F.count("*").alias("n_classes"),
-        F.count_if(F.col("s").bitwiseAND(F.col("r")) != 0).alias("n_conflicts"),
-        F.sum(F.when(F.col("class_id") == 1, F.col("back"))).alias("n_classes_reversed"),
+        F.sum("n_classes").alias("n_classes"),
+        F.sum("n_conflicts").alias("n_conflicts"),
+        F.sum("back").alias("n_classes_reversed"),
+        F.count("*").alias("n_groups"),
+        clash.alias("n_group_conflicts"),
     )
 
 

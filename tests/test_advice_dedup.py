@@ -37,3 +37,14 @@ def test_only_distinct_masks_are_folded(spark, monkeypatch):
         given, back = (_first_fit([r[2:5] for r in x]) for x in (some, some[::-1]))
         wanted += [(g, r[1], c, len(some), max(given), max(back)) for r, c in zip(some, given, strict=True)]
     assert sorted(map(tuple, got), key=lambda r: r[1]) == sorted(wanted, key=lambda r: r[1])
+
+
+def test_only_groups_with_conflicts_are_folded(spark, monkeypatch):
+    """A group whose columns hold no S beside an R is one class without a fold; the others have the fold's classes."""
+    fold = dedup._fold
+    both = lambda items: F.aggregate(items, F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(x["s"])).bitwiseAND(F.aggregate(items, F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(x["r"])))
+    monkeypatch.setattr(dedup, "_fold", lambda items: F.when(both(items) != 0, fold(items)).otherwise(F.raise_error(F.lit("a group without a conflict is folded")).cast("array<int>")))
+    rows = [("a", 1, "S", None), ("a", 2, None, "R"), ("a", 3, "S", "R"), (None, 4, "S", None), (None, 5, "R", None), ("b", 6, "ZIT", None)]
+    frame = spark.createDataFrame(rows, "grp string, id int, x string, y string")
+    got = dedup.classes(frame, ["grp"], "id", ["x", "y"], [], [F.col("id")]).collect()
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == [("a", 1, 1, 3, 1, 1), ("a", 2, 1, 3, 1, 1), ("a", 3, 1, 3, 1, 1), (None, 4, 1, 2, 2, 2), (None, 5, 2, 2, 2, 2), ("b", 6, 1, 1, 1, 1)]
