@@ -12,7 +12,7 @@ from strainflow.functions import text as X
 from strainflow.functions import time as D
 from strainflow.operators import joins, numbering, phenotype, rules, runtime
 from strainflow.operators.handoff import checked
-from strainflow.sources.stage import staged
+from strainflow.sources.stage import dealt, staged
 from strainflow.sources.validation import signal_breaches
 
 DOCUMENT = ["PATID", "EVTID", "ELTID"]
@@ -58,7 +58,7 @@ def panel(observed: DataFrame, r: Rules) -> DataFrame:
     return joins.inherit_panel(pairs, joins.having(observed, orders, ["bact_norm"]), "bact_norm", r.model)
 
 
-def handoff(raw: DataFrame, start: Column, end: Column, r: Rules, source: str = "source_row_order") -> dict[str, DataFrame]:
+def handoff(raw: DataFrame, start: Column, end: Column, r: Rules, source: str = "source_row_order", n_rows: int | None = None) -> dict[str, DataFrame]:
     """The blocks microbiology_observations, bacteria_mapping, sample_type_mapping, antibiotic_mapping, and
     sample_context, sample_type_review, document_scope, signals and audit.
 
@@ -66,46 +66,49 @@ def handoff(raw: DataFrame, start: Column, end: Column, r: Rules, source: str =
     LBLRES, STRRES, IDENTIFICATION, NATUREPVT; TRI and `source`, the row's number in the export
     (operators.numbering gives one). Samples in [start, end) count. A row without patient, document or
     day raises, and so do a stay that can't be told, two contexts of a document, results that are
-    none, and phenotype signals of no isolate."""
+    none, and phenotype signals of no isolate. n_rows: about how many rows raw has, if that is known.
+
+    Rows are dealt by patient and document and written once, with cleaned labels and what is known of
+    their documents, so that no later step joins all rows again."""
     dated = raw.withColumn("DATEPRELEV", D.date(F.col("DATEPRELEV")))
     dated = checked(dated, F.col("DATEPRELEV").isNull(), "DATEPRELEV is missing")
     inside = dated.withColumns({c: _label(c) for c in DOCUMENT}).filter((F.col("DATEPRELEV") >= start) & (F.col("DATEPRELEV") < end))
     for c in ("PATID", "ELTID"):
         inside = checked(inside, F.col(c).isNull(), f"{c} is missing")
     inside = inside.withColumn("_lacked", F.col("EVTID").isNull())
-    rows = staged(runtime.resolve_stays(inside, "PATID", "ELTID", "EVTID"), "laboratory")
-    is_sir = F.coalesce(F.upper(_label("LBLRES")) == "SIR", F.lit(False))
-    scope = runtime.document_scope(rows, DOCUMENT, F.col("TYPEANA"), r.screening, is_sir)
-    screening = scope.filter("is_screening")
-    diagnostic = joins.lacking(rows, screening, DOCUMENT)
-    kinds = {"TIME": D.seconds(F.col("HEUREPRELEV").cast("string")), "UM": _label("SEJUM"), "UF": _label("SEJUF")}
-    sir = rows.filter(is_sir).withColumns(kinds)
+    if n_rows:
+        inside = dealt(inside, n_rows, "PATID", "ELTID")
+    named = runtime.marked_documents(runtime.resolve_stays(inside, "PATID", "ELTID", "EVTID"), DOCUMENT, F.col("TYPEANA"), r.screening, F.coalesce(F.upper(_label("LBLRES")) == "SIR", F.lit(False)))
+    labels = {c: _label(of) for c, of in (("UM", "SEJUM"), ("UF", "SEJUF"), ("souche_id", "DLVL"), ("bacteria_local", "IDENTIFICATION"), ("sample_type_local", "NATUREPVT"), ("antibiotic_local", "LBLANA"))}
+    labels |= {"TIME": D.seconds(F.col("HEUREPRELEV").cast("string")), "sir_result": F.when(F.col("is_result"), X.sir(F.col("STRRES")))}
+    rows = named.withColumns(labels).select(*DOCUMENT, "DATEPRELEV", "HEUREPRELEV", *labels, "LBLANA", "LBLRES", "STRRES", "TRI", source, "_lacked", "is_result", "is_screening", "has_results")
+    rows = staged(rows, "laboratory")
+    is_sir, scope = F.col("is_result"), rows.groupBy(*DOCUMENT).agg(F.bool_or("is_screening").alias("is_screening"), F.bool_or("has_results").alias("has_results"))
+    diagnostic, sir = rows.filter("not is_screening"), rows.filter("is_result")
     context = sir.select(*DOCUMENT, "DATEPRELEV", F.col("TIME").alias("HEUREPRELEV"), F.col("UM").alias("SEJUM"), F.col("UF").alias("SEJUF")).distinct()
 
-    marked = joins.many_to_one(sir, scope.select(*DOCUMENT, "is_screening"), DOCUMENT)
-    observations = marked.select(
+    observations = sir.select(
         *DOCUMENT,
         "DATEPRELEV",
-        F.col("HEUREPRELEV"),
+        "HEUREPRELEV",
         F.col("UM").alias("microbiology_SEJUM"),
         F.col("UF").alias("microbiology_SEJUF"),
         F.col("UF").alias("SEJUF"),
-        _label("DLVL").alias("souche_id"),
-        _label("IDENTIFICATION").alias("bacteria_local"),
-        _label("NATUREPVT").alias("sample_type_local"),
-        _label("LBLANA").alias("antibiotic_local"),
+        "souche_id",
+        "bacteria_local",
+        "sample_type_local",
+        "antibiotic_local",
         F.col("STRRES").alias("sir_result_source"),
-        X.sir(F.col("STRRES")).alias("sir_result"),
+        "sir_result",
         (~F.col("is_screening")).alias("ratb_diagnostic_scope"),
         F.col("TRI").alias("source_tri"),
         F.col(source).alias("source_row_order"),
     )
     observations = checked(observations, ~F.col("sir_result").isin("S", "R", "ZIT"), F.concat(F.lit("not a susceptibility result: "), F.col("sir_result")))
     shown = observations.filter("ratb_diagnostic_scope")
-    review = rules.decided(shown, "sample_type_local", r.sample_types, r.decisions)
+    review = staged(rules.decided(shown, "sample_type_local", r.sample_types, r.decisions), "sample-types")
     types = review.select("sample_type_local", F.lower(X.to_ascii(F.col("target"))).alias("naturepvt_norm"))
-    labelled = diagnostic.withColumns({"bacteria_local": _label("IDENTIFICATION"), "sample_type_local": _label("NATUREPVT"), "souche_id": _label("DLVL")})
-    names = staged(_classified(labelled, r), "species")
+    names = staged(_classified(diagnostic, r), "species")
     pairs = panel(names.select("bact_norm").filter("bact_norm is not null").distinct(), r)
     known = shown.select("antibiotic_local").distinct().withColumn("kind", F.lit("SIR"))
     drugs = rules.antibiotics(known, "antibiotic_local", "kind", r.antibiotics).select("antibiotic_local", "atb_norm")
@@ -122,12 +125,15 @@ def handoff(raw: DataFrame, start: Column, end: Column, r: Rules, source: str =
     supported = staged(ordered, "supported")
 
     coarse = [c for c in ISOLATE if c not in ("naturepvt_norm", "bact_norm")]
-    lines = joins.having(labelled, supported, coarse).join(side(names, "bacteria_local"), F.col("bacteria_local") == F.col("_of"), "left").drop("_of")
+    # lines that say nothing are left out first: an isolate without a line that does has no signal. Written,
+    # since Spark would move the join with isolates below the filter
+    told = phenotype.line_statuses(diagnostic, "LBLANA", "LBLRES", "STRRES").filter("blse_line is not null or carbapenemase_line is not null")
+    lines = staged(told.select(*coarse, "bacteria_local", "sample_type_local", "blse_line", "carbapenemase_line"), "said")
+    lines = joins.having(lines, supported, coarse).join(side(names, "bacteria_local"), F.col("bacteria_local") == F.col("_of"), "left").drop("_of")
     lines = lines.join(side(types, "sample_type_local"), F.col("sample_type_local") == F.col("_of"), "left").drop("_of")
-    said = staged(phenotype.line_statuses(lines, "LBLANA", "LBLRES", "STRRES"), "phenotypes")
-    signals = said.filter("blse_line is not null or carbapenemase_line is not null")
+    signals = staged(lines.select(*ISOLATE, "blse_line", "carbapenemase_line"), "phenotypes")
     lost = signal_breaches("signals", signals, supported, ISOLATE)
-    statuses = said.groupBy(*ISOLATE).agg(phenotype.strongest(F.col("blse_line")).alias(STATUSES[0]), phenotype.strongest(F.col("carbapenemase_line")).alias(STATUSES[1]))
+    statuses = signals.groupBy(*ISOLATE).agg(phenotype.strongest(F.col("blse_line")).alias(STATUSES[0]), phenotype.strongest(F.col("carbapenemase_line")).alias(STATUSES[1]))
     out = joins.many_to_one(supported, statuses, ISOLATE).withColumns({c: F.coalesce(c, F.lit("no_signal")) for c in STATUSES})
     out = checked(out, F.col(STATUSES[0]) == "unknown", "a BLSE status can't be unknown")
     columns = ["microbiology_SEJUM", "microbiology_SEJUF", "SEJUF", "souche_id", "bacteria_local", "sample_type_local", "antibiotic_local_source", "antibiotic_local", "sir_result_source", "sir_result", "ratb_diagnostic_scope", *STATUSES, "atb_match_origin", "source_tri", "source_row_order", "handoff_row_order"]
@@ -146,7 +152,7 @@ def handoff(raw: DataFrame, start: Column, end: Column, r: Rules, source: str =
         dated.agg(F.count("*").alias("raw_rows_received"), F.count_if(F.col("DATEPRELEV") < start).alias("raw_rows_before_target_period"), F.count_if(F.col("DATEPRELEV") >= end).alias("raw_rows_at_or_after_target_end")),
         rows.agg(F.count("*").alias("raw_rows_in_target_period"), F.count_if(is_sir).alias("sir_rows_before_screening"), F.count_if(F.col("_lacked") & F.col("EVTID").isNotNull()).alias("rows_evtid_filled_from_document")),
         scope.agg(F.count_if("is_screening").alias("screening_document_occurrences_all_raw"), F.count_if(F.col("is_screening") & F.col("has_results")).alias("screening_document_occurrences_with_sir"), F.count_if(F.col("EVTID").isNull()).alias("document_occurrences_without_evtid")),
-        joins.having(rows, screening, DOCUMENT).agg(F.count("*").alias("screening_rows_all_raw"), F.count_if(is_sir).alias("screening_sir_rows")),
+        rows.filter("is_screening").agg(F.count("*").alias("screening_rows_all_raw"), F.count_if(is_sir).alias("screening_sir_rows")),
         count(supported, "diagnostic_rows_with_supported_species_atb"),
         count(types, "sample_type_labels_unresolved", F.col("naturepvt_norm").isNull()),
         count(signals, "phenotype_signal_rows"),

@@ -12,12 +12,21 @@ from strainflow.sources.stage import dealt
 
 def resolve_stays(df: DataFrame, patient: str, document: str, stay: str) -> DataFrame:
     """df with missing stay ids filled where the rows of the document name one. A missing one where
-    they name several raises when the result is used."""
-    named = df.groupBy(F.col(patient).alias("_p"), F.col(document).alias("_d")).agg(F.count_distinct(stay).alias("_n"), F.min(stay).alias("_s"), F.bool_or(F.col(stay).isNull()).alias("_gap"))
-    text = F.concat_ws(" ", F.lit("rows without a stay of a document with several:"), "_p", "_d")
-    named = named.filter(F.when(F.col("_gap") & (F.col("_n") > 1), F.raise_error(text).cast("boolean")).otherwise(F.col("_gap") & (F.col("_n") == 1)))
-    joined = df.join(named, df[patient].eqNullSafe(F.col("_p")) & df[document].eqNullSafe(F.col("_d")), "left")
-    return joined.withColumn(stay, F.coalesce(stay, "_s")).drop("_p", "_d", "_n", "_s", "_gap")
+    they name several raises when the result is used. Rows lie by patient and document for it once."""
+    whole = Window.partitionBy(patient, document)
+    named = df.withColumns({"_least": F.min(stay).over(whole), "_most": F.max(stay).over(whole)})
+    text = F.concat_ws(" ", F.lit("rows without a stay of a document with several:"), patient, document)
+    unclear = F.col(stay).isNull() & (F.col("_least") != F.col("_most"))
+    named = named.filter(F.when(unclear, F.raise_error(text).cast("boolean")).otherwise(True))
+    return named.withColumn(stay, F.coalesce(stay, "_least")).drop("_least", "_most")
+
+
+def marked_documents(df: DataFrame, keys: list[str], analysis: Column, screening: list[str], is_result: Column) -> DataFrame:
+    """df with is_result, and document_scope()'s is_screening and has_results of its row's document."""
+    whole = Window.partitionBy(*keys)
+    marks = {"is_screening": F.bool_or("_screens").over(whole), "has_results": F.bool_or("is_result").over(whole)}
+    told = df.withColumns({"_screens": F.coalesce(analysis.isin(screening), F.lit(False)), "is_result": F.coalesce(is_result, F.lit(False))})
+    return told.withColumns(marks).drop("_screens")
 
 
 def document_scope(df: DataFrame, keys: list[str], analysis: Column, screening: list[str], is_result: Column) -> DataFrame:

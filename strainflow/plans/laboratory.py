@@ -52,7 +52,7 @@ def site_rules(spark: SparkSession, d: str) -> laboratory.Rules:
 
 
 def _made(spark, d) -> dict[str, DataFrame]:
-    return laboratory.handoff(raw_export(spark, d), F.lit("1996-01-01").cast("date"), F.lit("1999-01-01").cast("date"), site_rules(spark, d))
+    return laboratory.handoff(raw_export(spark, d), F.lit("1996-01-01").cast("date"), F.lit("1999-01-01").cast("date"), site_rules(spark, d), n_rows=_t(spark, d, "lineitem").count())
 
 
 def laboratory_audit(spark, d):

@@ -9,7 +9,7 @@ from conftest import DATA, same
 from pyspark.sql import functions as F
 
 from strainflow.functions import time as D
-from strainflow.operators import handoff, joins, laboratory
+from strainflow.operators import handoff, joins, laboratory, runtime
 from strainflow.plans import laboratory as plans
 
 
@@ -99,3 +99,12 @@ def test_unique_keeps_rows_as_they_are(spark):
 def test_time_keys_sort(spark):
     frame = spark.createDataFrame([(t,) for t in ("9:05", "at 10:30:15", "N/A", " ", "25:00", "soon", None)], "t string")
     assert [r[0] for r in frame.select(D.sort_key(F.col("t"))).collect()] == ["09:05:00", "10:30:15", None, None, "25:00", "soon", None]
+
+
+def test_documents_are_marked_where_rows_lie(spark):
+    """Stays and screening documents are found by windows over one shuffle, and what a phenotype line says before it meets isolates."""
+    rows = _export(spark)
+    plan = runtime.marked_documents(runtime.resolve_stays(rows, "PATID", "ELTID", "EVTID"), laboratory.DOCUMENT, F.col("TYPEANA"), ["SCREENING"], F.col("LBLRES") == "SIR")
+    assert "Join" not in plan._jdf.queryExecution().optimizedPlan().toString()
+    shown = laboratory.handoff(rows, *_year(), _rules(spark))["sample_context"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in shown and "regexp_replace" not in shown
