@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strainflow.functions import time as D
 from strainflow.operators import handoff, laboratory
-from strainflow.plans.catalogue import ORDER, _t, numbered_lines
+from strainflow.plans.catalogue import ORDER, _t, dealt_lines
 
 _MOLECULES = {"cefotaxime": "^promo", "c3g": "^large", "oxacilline": "^medium", "ciprofloxacine": "^standard", "vancomycine": "^small"}
 _EXPANSION = {"c3g": ["cefotaxime", "ceftazidime", "ceftriaxone"]}
@@ -17,7 +17,7 @@ _TYPES = [("^F", "urines"), ("F.?$", "urines"), ("O", "sang")]
 
 def raw_export(spark: SparkSession, d: str) -> DataFrame:
     """Order lines as a laboratory's export: results of antibiotics, and phenotype lines among them."""
-    line, order = numbered_lines(spark, d), _t(spark, d, "orders")
+    line, order = dealt_lines(spark, d), _t(spark, d, "orders")
     part, supplier, nation = _t(spark, d, "part"), _t(spark, d, "supplier"), _t(spark, d, "nation")
     rows = line.join(order, line["l_orderkey"] == order["o_orderkey"]).join(part, line["l_partkey"] == part["p_partkey"]).join(supplier, line["l_suppkey"] == supplier["s_suppkey"])
     rows = rows.join(nation, rows["s_nationkey"] == nation["n_nationkey"])

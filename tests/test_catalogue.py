@@ -106,3 +106,14 @@ def test_tables_of_a_task_are_bounded(spark):
     assert dealt(frame, 9 * ROWS + 1, "id").rdd.getNumPartitions() == 10
     for query in (catalogue.nights_by_year_and_unit, catalogue.wide_isolates):
         assert "REPARTITION_BY_NUM" in query(spark, str(DATA))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tasks_hold_no_more_of_larger_tables(spark, monkeypatch):
+    """Numbering, the join with orders and the wide table's groups take as many partitions as rows ask for."""
+    from strainflow.sources import stage
+
+    monkeypatch.setattr(stage, "ROWS", 500)
+    n = -(-catalogue._t(spark, str(DATA), "lineitem").count() // 500)
+    assert n > 4 and len(catalogue.numbered_lines(spark, str(DATA)).select("row_order").inputFiles()) == n
+    plan = catalogue.wide(spark, str(DATA))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(f", {n}\n") == 2, plan
