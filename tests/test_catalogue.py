@@ -117,3 +117,12 @@ def test_tasks_hold_no_more_of_larger_tables(spark, monkeypatch):
     assert n > 4 and len(catalogue.numbered_lines(spark, str(DATA)).select("row_order").inputFiles()) == n
     plan = catalogue.wide(spark, str(DATA))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(f", {n}\n") == 2, plan
+
+
+def test_stays_in_units_are_joined_in_as_many_partitions_as_rows_ask_for(spark, monkeypatch):
+    from strainflow.sources import stage
+
+    monkeypatch.setattr(stage, "ROWS", 500)
+    n = -(-catalogue._t(spark, str(DATA), "lineitem").count() // 500)
+    plan = catalogue._intervals(spark, str(DATA))._jdf.queryExecution().optimizedPlan().toString()
+    assert n > 4 and plan.count(f", {n}\n") == 1, plan
