@@ -6,9 +6,10 @@ Equal windows have the same anchor at the same place, so only runs of windows ar
 can be equal. A scan packs for each run the anchor's hash, a hash of the run's bytes and its place
 (about one run for 18 bytes), and deals them by anchor. Equal runs are reduced to the one of least
 doc_id there, which covers the others whole: groups of copies end here. Of anchors with several
-different runs, the bytes are fetched and dealt by the anchor and the bytes on one side of it, left
+different runs of different doc_ids, the bytes are fetched and dealt by the anchor and the bytes on one side of it, left
 for windows that reach far left and right for the others, so no anchor is a single group. Parts
-of runs of which all but a few bytes of a window are another run's too go on.
+of runs of which all but a few bytes of a window are another doc_id's run's too go on, but for those that
+equal a part of smaller doc_id, which covers them whole.
 
 Suffix arrays. These parts are concatenated in blocks, the anchor being one symbol of its group,
 and sorted by linear grouping construction (Baier 2016): suffixes are grouped by their Lyndon
@@ -256,7 +257,9 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         other[1:] |= content[1:] != content[:-1]
         least = id_[np.flatnonzero(other)][np.cumsum(other) - 1]
         group = np.cumsum(new) - 1
-        several = np.bincount(group, weights=other)[group] > 1
+        # where all different runs are first in one row, nothing is left to remove
+        heads = np.flatnonzero(new)
+        several = (np.minimum.reduceat(least, heads) < np.maximum.reduceat(least, heads))[group]
         for kind, mark in ((0, id_ > least), (1, several & (id_ == least))):
             mine = np.flatnonzero(mark)
             mine = mine[np.argsort(bucket[mine], kind="stable")]
@@ -346,22 +349,27 @@ def shared_windows(symbols: list[int], starts: np.ndarray, stops: np.ndarray, id
     return order[hit], piece[hit]
 
 
-def _several(code: np.ndarray) -> np.ndarray:
-    """Which codes occur more than once."""
-    _, inverse, count = np.unique(code, return_inverse=True, return_counts=True)
-    return count[inverse] > 1
+def _several(code: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which codes occur with more than one id."""
+    order = np.lexsort((ids, code))
+    code, ids = code[order], ids[order]
+    heads = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])[: len(code)])
+    size = np.diff(np.concatenate([heads, [len(code)]]))
+    out = np.zeros(len(code), bool)
+    out[order] = np.repeat(ids[heads] != ids[heads + size - 1], size)
+    return out
 
 
-def _parts(code, size, at, side, start, data) -> list[np.ndarray]:
+def _parts(code, size, at, side, start, ids, hashes: Spans) -> list[np.ndarray]:
     """Of runs dealt by their code: parts (run, begin, end in it) with windows of which all but
-    _CLASS - 1 bytes at the ends are another run's too."""
-    hashes, count = Spans(data), -(-(_AROUND + 1) // _CLASS)
+    _CLASS - 1 bytes at the ends are a run's of another doc_id too."""
+    count = -(-(_AROUND + 1) // _CLASS)
     kept = np.zeros((count + 1, len(code)), bool)
     for j in range(count):
         l, r = j * _CLASS, max(0, _AROUND - j * _CLASS - _CLASS + 1)
         fits = np.flatnonzero((side == (j >= _RIGHT)) & (at >= l) & (size - at - GRAM >= r))
         p = (start + at)[fits]
-        kept[j, fits] = _several(mix(code[fits] * np.uint64(BASE) + hashes(p - l, p)) * np.uint64(BASE) + hashes(p + GRAM, p + GRAM + r))
+        kept[j, fits] = _several(mix(code[fits] * np.uint64(BASE) + hashes(p - l, p)) * np.uint64(BASE) + hashes(p + GRAM, p + GRAM + r), ids[fits])
     out = []
     for a in range(count):
         begins = kept[a] & ~kept[a - 1]  # kept[-1] is all False
@@ -373,6 +381,21 @@ def _parts(code, size, at, side, start, data) -> list[np.ndarray]:
     return list(found[:, found[2] - found[1] >= WINDOW])
 
 
+def _repeated(keys: list[np.ndarray], ids: np.ndarray, begin: np.ndarray, size: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Which parts data[begin:begin + size] are, byte by byte, one of smaller id with the same keys."""
+    order = np.lexsort((ids, *keys))
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in keys])
+    first = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    later = ids[order] > ids[first]
+    order, first = order[later], first[later]
+    n = size[order]
+    other = _gather(data, begin[order], n) != _gather(data, begin[first], n)
+    out = np.zeros(len(ids), bool)
+    out[order[np.add.reduceat(other, np.cumsum(n) - n, dtype=np.int64) == 0] if len(order) else order] = True
+    return out
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs that share an anchor and the bytes on a side of it: what is covered in each (kind 0)."""
     for _, rows in _grouped(_rows(batches), "anchors"):
@@ -381,13 +404,21 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket = np.repeat([r["bucket"] for r in rows], [len(r["first"]) // 4 for r in rows])
         data = np.concatenate([np.frombuffer(r["bytes"], np.uint8) for r in rows])
         start = np.cumsum(size) - size
-        some = np.flatnonzero(_several(code))
-        run, lo, hi = _parts(*(x[some] for x in (code, size, at, side, start)), data)
-        run = some[run]
-        order = np.argsort(code[run], kind="stable")
-        run, lo, hi = run[order], lo[order], hi[order]
+        some = np.flatnonzero(_several(code, id_))
+        hashes = Spans(data)
+        run, lo, hi = _parts(*(x[some] for x in (code, size, at, side, start, id_)), hashes)
         if not len(run):
             continue
+        run = some[run]
+        begin = start[run] + lo
+        whole = _repeated([code[run], at[run] - lo, hi - lo, hashes(begin, begin + hi - lo)], id_[run], begin, hi - lo, data)
+        # all windows of a part that is one of smaller doc_id are covered
+        n = (hi - lo)[whole] - WINDOW + 1
+        windows = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        found: list[list[np.ndarray]] = [[np.repeat(bucket[run[whole]], n)], [np.repeat((first[run] + lo)[whole], n) + windows]]
+        order = np.flatnonzero(~whole)
+        order = order[np.argsort(code[run[order]], kind="stable")]
+        run, lo, hi = run[order], lo[order], hi[order]
         new = np.ones(len(run), bool)
         new[1:] = code[run][1:] != code[run][:-1]
         mark = 257 + np.cumsum(new)
@@ -399,7 +430,6 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for h in [*heads[1:].tolist(), len(run)]:
             if h == len(run) or total[h - 1] - (total[cuts[-1] - 1] if cuts[-1] else 0) >= BLOCK_SYMBOLS:
                 cuts.append(h)
-        found: list[list[np.ndarray]] = [[], []]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             n = length[a:b]
             starts = np.cumsum(n) - n

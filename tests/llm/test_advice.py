@@ -115,3 +115,34 @@ def test_token_ids_of_any_characters():
         some = texts[k : k + 700]
         want = [array("I", e.ids + [1]).tobytes() for e in coder.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
         assert coder(pa.array(some), 1).to_pylist() == want
+
+
+def test_op5_compares_no_runs_of_one_document_alone():
+    """Different runs around passages that one document repeats are not fetched; those of two documents are."""
+    import pyarrow as pa
+
+    from strainflow.llm import suffixes as S
+
+    passage = "".join(chr(97 + k * k % 23) for k in range(70))
+    own = " ".join(f"{k * 7919 % 1000:04d}{passage}{k * 104729 % 1000:04d}" for k in range(30))
+
+    def asked(texts):
+        batch = pa.record_batch([pa.array([0] * len(texts), pa.int32()), pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["bucket", "id", "text"])
+        return [r for b in S._resolve(S._deal(1)(S._pack(iter([batch])))) for r in b.to_pylist() if r["kind"] == 1]
+
+    assert not asked([own, "another text without anything that the first one has, " * 3])
+    assert asked([own, "before it " + passage + " after it"])
+    # one code of one document, one of two
+    assert S._several(S.np.array([1, 2, 1, 2]), S.np.array([5, 5, 5, 6])).tolist() == [False, True, False, True]
+
+
+def test_op5_parts_of_a_smaller_document_need_no_suffix_array():
+    import numpy as np
+
+    from strainflow.llm import suffixes as S
+
+    data = np.frombuffer(b"abcdefghijabcdefghijabcdefghiX", np.uint8)
+    begin, size = np.array([0, 10, 20]), np.array([10, 10, 10])
+    key = [np.array([1, 1, 1])]
+    assert S._repeated(key, np.array([1, 2, 3]), begin, size, data).tolist() == [False, True, False]
+    assert S._repeated(key, np.array([2, 2, 2]), begin, size, data).tolist() == [False, False, False]
