@@ -7,7 +7,10 @@
    and their sizes are in the same or in neighbouring bands. Prefix entries are reduced to one set
    for each shingle and band before the shuffle, and those that share a shingle and are a band
    apart at most are chained. Chains make clusters: no link leaves a cluster, and sets alone in
-   theirs are done.
+   theirs are done. A set's signature has a bit for each of about as many bins as it has shingles: whether
+   an odd number of them fall there. Where two signatures differ a shingle of one set only falls, so
+   sets with more such bins than a link allows have none. Only the sets of a cluster that some other's
+   signature allows go on, in clusters of their own: of sets that merely share a prefix shingle no shingles travel.
 3. A cluster's sets go into a prefix tree in the global order, read from its common end so that
    near copies share long paths; a set walks the tree counting overlap once for all sets below,
    a level of the live nodes at a time. An edge is read only where the set's tokens from there on
@@ -18,7 +21,8 @@
    so far then go into trees that the sets of their band and its neighbours stream past, in parts in
    which some set shares a shingle of their prefix; sets whose prefixes share shingles with their own
    component only stay away. Sets that are alike below the threshold in great
-   numbers are the dear case: a group of g of them costs g * g / 2000 reads of a set. Only links between components are emitted, enough to connect them.
+   numbers are the dear case: a group of g of them costs g * g / 2000 reads of a signature (a 32nd to a 64th of a
+   set), and of a set where signatures can't tell them from links. Only links between components are emitted, enough to connect them.
 
 Memory: a task holds one tree, bounded by sets and by shingles. No cluster, bucket or component
 is gathered whole. Sets are known by 64 bits of a digest, as shingles are.
@@ -52,6 +56,11 @@ BLOCK_SETS, BLOCK_TOKENS = 500, 1 << 20
 TREE_BLOCKS, STREAM_BLOCKS = 4, 8
 #: Tables of large clusters or of their blocks with more rows aren't broadcast.
 BROADCAST_ROWS = 100_000
+#: What a side of a group of signatures holds at most: sets, and bytes in all.
+SIGNED_SETS, SIGNED_BYTES = 2000, 8 << 20
+#: What a set is to its group: in the tree and walking it, in the tree only, walking only. Of signatures:
+#: compared with all, or with those of the other role.
+BOTH, STAYS, WALKS = 0, 1, 2
 #: Prefix entries that one task groups.
 BUCKET_ENTRIES = 400_000
 
@@ -77,12 +86,25 @@ def _key(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64(tokens.tobytes()).intdigest() - (1 << 63)
 
 
+def _level(n: int) -> int:
+    """The bits of a signature of n shingles: n to 2 * n, a power of two."""
+    return 1 << max(6, (n - 1).bit_length())
+
+
+def _signature(tokens: np.ndarray) -> bytes:
+    """A bit for each bin, 1 where an odd number of the shingles fall: bins in which two sets differ
+    are no more than the shingles that only one of them has."""
+    bits = _level(len(tokens))
+    at = ((tokens >> np.uint64(SKETCH_BITS)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(bool), bitorder="little").tobytes()
+
+
 def _prefix(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
 def _scan(width: int, schema: pa.Schema):
-    """(id, key, n) of each row, and the partition's sketch of shingle counts in slices."""
+    """(id, key, n, signature) of each row, and the partition's sketch of shingle counts in slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.int32)
@@ -91,10 +113,10 @@ def _scan(width: int, schema: pa.Schema):
             if sets:
                 counts += np.bincount((np.concatenate(sets) & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64), minlength=1 << SKETCH_BITS).astype(np.int32)
             n, k = [len(s) for s in sets], len(sets)
-            yield pa.record_batch([batch.column(0), pa.array([_key(s) if len(s) else None for s in sets], pa.int64()), pa.array(n, pa.int32()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], schema=schema)
+            yield pa.record_batch([batch.column(0), pa.array([_key(s) if len(s) else None for s in sets], pa.int64()), pa.array(n, pa.int32()), pa.array([_signature(s) if len(s) else None for s in sets], pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], schema=schema)
         if counts.any():
             k = 1 << (SKETCH_BITS - SLICE_BITS)
-            yield pa.record_batch([pa.nulls(k, schema.field(0).type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.array(range(k), pa.int32()), pa.array([x.tobytes() for x in np.split(counts, k)], pa.binary())], schema=schema)
+            yield pa.record_batch([pa.nulls(k, schema.field(0).type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), pa.array(range(k), pa.int32()), pa.array([x.tobytes() for x in np.split(counts, k)], pa.binary())], schema=schema)
 
     return run
 
@@ -193,6 +215,57 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from out(*np.unique(np.stack([key[:-1][near], key[1:][near]]), axis=1))
 
 
+def _allowed(percent: int, key: np.ndarray, n: np.ndarray, role: np.ndarray, signs: list[bytes]) -> list[tuple[int, int]]:
+    """Pairs of sets whose signatures allow a link, enough to connect all such pairs."""
+    order = np.argsort(n, kind="stable")
+    key, n, role, signs = key[order], n[order], role[order], [signs[k] for k in order]
+    label, out = np.arange(len(n)), []
+    reach = np.searchsorted(n * percent, 100 * n, "right")
+    levels = np.array([8 * len(x) for x in signs])
+    for bits in np.unique(levels).tolist():
+        a, b = np.searchsorted(levels, [bits, bits + 1])
+        stop = int(reach[b - 1])
+        folded = np.empty((stop - a, bits // 64), np.uint64)
+        for k in range(a, stop):  # larger signatures are folded to this one's bins
+            folded[k - a] = np.bitwise_xor.reduce(np.frombuffer(signs[k], np.uint64).reshape(-1, bits // 64), axis=0)
+        for i in range(a, b):
+            near = np.arange(i + 1, reach[i])
+            near = near[(label[near] != label[i]) & ((role[near] == BOTH) | (role[near] != role[i]))]
+            for k in range(0, len(near), 500):
+                some = near[k : k + 500]
+                differ = np.bitwise_count(folded[some - a] ^ folded[i - a]).sum(axis=1, dtype=np.int64)
+                for j in some[differ * (100 + percent) <= (n[some] + n[i]) * (100 - percent)].tolist():
+                    if label[i] != label[j]:
+                        out.append((int(key[i]), int(key[j])))
+                        label[label == label[j]] = label[i]
+    return out
+
+
+def _signed(percent: int):
+    """Rows (group, key, n, role, signature), sorted by group, to pairs that may link. A set is compared with
+    all others (BOTH), or with those of the other role."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+
+        def out():
+            key, n, role, signs = zip(*held, strict=True)
+            pairs = _allowed(percent, np.array(key, np.int64), np.array(n, np.int64), np.array(role), list(signs))
+            return pa.record_batch([pa.array([x[k] for x in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        for batch in batches:
+            for group, *row in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                if group != now:
+                    if held:
+                        yield out()
+                    now, held = group, []
+                held.append(row)
+        if held:
+            yield out()
+
+    return run
+
+
 class Tree:
     """A path-compressed prefix tree of ordered sets. A node: [tokens of its edge, children by
     first token, sets that end here, fewest and most tokens below it]."""
@@ -373,10 +446,6 @@ class Block:
                 self.found.append((name, other))
 
 
-#: What a set is to its group: in the tree and walking it, in the tree only, walking only.
-BOTH, STAYS, WALKS = 0, 1, 2
-
-
 def _blocks(percent: int, rank):
     """Rows (group, key, component, role, tokens), sorted by group and role, to links."""
 
@@ -426,6 +495,34 @@ def _dealt(parts: str, seed: int):
     return F.pmod(F.xxhash64("key", F.lit(seed)), F.col(parts)).cast("int")
 
 
+def _near_clusters(sets: DataFrame, percent: int, most: int) -> DataFrame:
+    """(key, cluster): the sets (key, n, signature, cluster) that signatures allow a link in their cluster,
+    in the parts that these links would make. Clusters of more than `most` sets are compared by size band, and
+    within bands in parts, a group to two parts."""
+    name = lambda *c: F.concat_ws("/", *c)
+    role = lambda x: F.lit(x).alias("role")
+    parts = F.greatest(F.ceil(F.col("sets") / most), F.ceil(F.col("size") / SIGNED_BYTES)).cast("int")
+    totals = (F.count("*").alias("sets"), F.sum(F.octet_length("signature")).alias("size"))
+    large = materialize(sets.groupBy("cluster").agg(*totals).filter(parts > 1).select("cluster"), "large-signed")
+    rows = sets.join(_small(large), "cluster", "left_anti").select(name("cluster").alias("group"), "key", "n", role(BOTH), "signature")
+    if large.limit(1).count():
+        big = sets.join(_small(large), "cluster").withColumn("band", F.floor(F.log("n") / _band_width(percent)).cast("int"))
+        cells = materialize(big.groupBy("cluster", "band").agg(*totals).select("cluster", "band", parts.alias("parts")), "signed-cells")
+        placed = big.join(_small(cells), ["cluster", "band"]).withColumn("part", _dealt("parts", 17))
+        every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+        other = cells.select("cluster", F.col("band").alias("band2"), F.col("parts").alias("parts2"))
+        pairs = cells.join(other, "cluster").filter("band2 - band between 0 and 1").withColumn("part", every("parts")).withColumn("part2", every("parts2"))
+        pairs = pairs.filter("band2 > band or part2 >= part").withColumn("alone", F.expr("band2 = band and part2 = part"))
+        pairs = materialize(pairs.select("cluster", "band", "part", "band2", "part2", "alone", name("cluster", "band", "part", "band2", "part2").alias("group")), "signed-pairs")
+        at = ["cluster", "band", "part"]
+        left = pairs.select(*at, "group", F.when(F.col("alone"), BOTH).otherwise(STAYS).alias("role"))
+        right = pairs.filter("not alone").select("cluster", F.col("band2").alias("band"), F.col("part2").alias("part"), "group", role(WALKS))
+        rows = rows.union(placed.join(_small(left.union(right)), at).select("group", "key", "n", "role", "signature"))
+    dealt = rows.repartition("group").sortWithinPartitions("group")
+    found = components(dealt.select("group", "key", "n", "role", "signature").mapInArrow(_signed(percent), "a bigint, b bigint"), "near")
+    return materialize(found.select(F.col("node").alias("key"), F.col("root").alias("cluster")), "near-clusters")
+
+
 def _prefix_tokens(percent: int):
     """Rows (key, cluster, band, stream, rest, component, tokens), to the tokens of their prefixes."""
 
@@ -493,7 +590,7 @@ def _links_of(sets: DataFrame, path: str, percent: int, block_sets: int, rank) -
     return materialize(links.union(_in_groups(across, percent, rank)), "all-links")
 
 
-def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, block_sets: int = BLOCK_SETS) -> DataFrame:
+def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, block_sets: int = BLOCK_SETS, signed_sets: int = SIGNED_SETS) -> DataFrame:
     """(id_col, n_shingles, component_id): a row for each row of docs; two documents link when
     100 * shared shingles >= percent * all shingles of both."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -501,7 +598,7 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wid
     spark = docs.sparkSession
     bounded_batches(spark)
     text = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    fields = [("id", docs.schema[id_col].dataType), ("key", T.LongType()), ("n", T.IntegerType()), ("slice", T.IntegerType()), ("counts", T.BinaryType())]
+    fields = [("id", docs.schema[id_col].dataType), ("key", T.LongType()), ("n", T.IntegerType()), ("signature", T.BinaryType()), ("slice", T.IntegerType()), ("counts", T.BinaryType())]
     schema = T.StructType([T.StructField(*f) for f in fields])
     scanned = materialize(text.mapInArrow(_scan(width, to_arrow_schema(schema)), schema), "sets")
     rows = scanned.filter("n is not null").select("id", "key", "n")
@@ -517,6 +614,9 @@ def link(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wid
     chained = packed.repartition(buckets, "bucket").mapInArrow(_chains, "a bigint, b bigint")
     cluster = materialize(components(chained, "clusters").select(F.col("node").alias("key"), F.col("root").alias("cluster")), "cluster")
 
+    signed = scanned.filter("key is not null").select("key", "n", "signature").join(cluster, "key").dropDuplicates(["key"])
+    cluster = _near_clusters(materialize(signed, "signed"), percent, signed_sets)
+
     # sets of clusters, from the one document of least id (or any, where ids are null) that has each
     first = rows.join(cluster, "key").groupBy("key", "cluster").agg(F.min("id").alias("id"))
     wanted = first.filter("id is not null").withColumnRenamed("id", "_id")

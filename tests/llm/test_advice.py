@@ -146,3 +146,56 @@ def test_op5_parts_of_a_smaller_document_need_no_suffix_array():
     key = [np.array([1, 1, 1])]
     assert S._repeated(key, np.array([1, 2, 3]), begin, size, data).tolist() == [False, True, False]
     assert S._repeated(key, np.array([2, 2, 2]), begin, size, data).tolist() == [False, False, False]
+
+
+@pytest.mark.parametrize("signed_sets", [2000, 7])
+def test_op9_only_what_signatures_allow_goes_on(spark, monkeypatch, signed_sets):
+    """Sets that merely share a rare passage are in one cluster, and none of their shingles travels."""
+    import random
+
+    from strainflow.llm import ngram_join
+
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    texts = ["a rare passage of six words " + " ".join(word() for _ in range(rng.randrange(60, 120))) for _ in range(60)]
+    texts += [texts[3] + " one more", texts[3] + " two", texts[20].replace(" of six ", " of "), "a rare passage"]
+    went, inner = [], ngram_join._links_of
+
+    def links_of(sets, *more):
+        went.append(sets.count())
+        return inner(sets, *more)
+
+    monkeypatch.setattr(ngram_join, "_links_of", links_of)
+    found = ngram_join.link(_frame(spark, list(enumerate(texts))), width=4, percent=85, signed_sets=signed_sets)
+    component = {r["doc_id"]: r["component_id"] for r in found.collect()}
+    assert component == {k: {60: 3, 61: 3, 62: 20}.get(k, k) for k in range(len(texts))}
+    assert went == [5]
+
+
+@pytest.mark.parametrize("percent", [30, 60, 85])
+def test_op9_signatures_lose_no_link(percent):
+    """Sets that link are connected by the pairs that signatures allow, in one group and in groups of two sides."""
+    import numpy as np
+
+    from strainflow.llm import ngram_join
+
+    rng = np.random.default_rng(9)
+    stock = rng.integers(0, 2**63, 700).astype(np.uint64)
+    sets = [np.unique(rng.choice(stock[: rng.integers(1, 4) ** 2 * 70 + 30], rng.integers(1, 600))) for _ in range(150)]
+    sets += [np.unique(np.append(rng.permutation(sets[k])[: -1 - k % 9], stock[:1])) for k in range(100)]
+    n, signs = np.array(list(map(len, sets))), list(map(ngram_join._signature, sets))
+    links = {(a, b) for a in range(len(sets)) for b in range(a) if 100 * (both := len(np.intersect1d(sets[a], sets[b]))) >= percent * (n[a] + n[b] - both)}
+    assert links
+
+    def connected(pairs):
+        label = list(range(len(sets)))
+        for a, b in pairs:
+            label = [label[a] if x == label[b] else x for x in label]
+        return label
+
+    key = np.arange(len(sets))
+    label = connected(ngram_join._allowed(percent, key, n, np.full(len(sets), ngram_join.BOTH), signs))
+    assert all(label[a] == label[b] for a, b in links)
+    role = np.where(key % 2, ngram_join.STAYS, ngram_join.WALKS)
+    label = connected(ngram_join._allowed(percent, key, n, role, signs))
+    assert all(label[a] == label[b] for a, b in links if role[a] != role[b])
