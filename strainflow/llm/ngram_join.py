@@ -21,7 +21,7 @@
    so far then go into trees that the sets of their band and its neighbours stream past, in parts in
    which some set shares a shingle of their prefix; sets whose prefixes share shingles with their own
    component only stay away. Sets that are alike below the threshold in great
-   numbers are the dear case: a group of g of them costs g * g / 2000 reads of a signature (a 32nd to a 64th of a
+   numbers are the dear case: a group of g of them costs g * g / 4000 reads of a signature (a 32nd to a 64th of a
    set), and of a set where signatures can't tell them from links. Only links between components are emitted, enough to connect them.
 
 Memory: a task holds one tree, bounded by sets and by shingles. No cluster, bucket or component
@@ -57,7 +57,7 @@ TREE_BLOCKS, STREAM_BLOCKS = 4, 8
 #: Tables of large clusters or of their blocks with more rows aren't broadcast.
 BROADCAST_ROWS = 100_000
 #: What a side of a group of signatures holds at most: sets, and bytes in all.
-SIGNED_SETS, SIGNED_BYTES = 2000, 8 << 20
+SIGNED_SETS, SIGNED_BYTES = 4000, 8 << 20
 #: What a set is to its group: in the tree and walking it, in the tree only, walking only. Of signatures:
 #: compared with all, or with those of the other role.
 BOTH, STAYS, WALKS = 0, 1, 2
@@ -216,10 +216,10 @@ def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _allowed(percent: int, key: np.ndarray, n: np.ndarray, role: np.ndarray, signs: list[bytes]) -> list[tuple[int, int]]:
-    """Pairs of sets whose signatures allow a link, enough to connect all such pairs."""
+    """(root, key) of the sets whose signatures allow links, with the least key that these connect each with."""
     order = np.argsort(n, kind="stable")
     key, n, role, signs = key[order], n[order], role[order], [signs[k] for k in order]
-    label, out = np.arange(len(n)), []
+    label = np.arange(len(n))
     reach = np.searchsorted(n * percent, 100 * n, "right")
     levels = np.array([8 * len(x) for x in signs])
     for bits in np.unique(levels).tolist():
@@ -236,13 +236,14 @@ def _allowed(percent: int, key: np.ndarray, n: np.ndarray, role: np.ndarray, sig
                 differ = np.bitwise_count(folded[some - a] ^ folded[i - a]).sum(axis=1, dtype=np.int64)
                 for j in some[differ * (100 + percent) <= (n[some] + n[i]) * (100 - percent)].tolist():
                     if label[i] != label[j]:
-                        out.append((int(key[i]), int(key[j])))
                         label[label == label[j]] = label[i]
-    return out
+    sizes, root = np.bincount(label, minlength=len(n)), np.full(len(n), np.iinfo(np.int64).max)
+    np.minimum.at(root, label, key)
+    return [(int(root[x]), int(k)) for x, k in zip(label.tolist(), key, strict=True) if sizes[x] > 1]
 
 
 def _signed(percent: int):
-    """Rows (group, key, n, role, signature), sorted by group, to pairs that may link. A set is compared with
+    """Rows (group, key, n, role, signature), sorted by group, to the pairs of _allowed(). A set is compared with
     all others (BOTH), or with those of the other role."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -504,7 +505,14 @@ def _near_clusters(sets: DataFrame, percent: int, most: int) -> DataFrame:
     parts = F.greatest(F.ceil(F.col("sets") / most), F.ceil(F.col("size") / SIGNED_BYTES)).cast("int")
     totals = (F.count("*").alias("sets"), F.sum(F.octet_length("signature")).alias("size"))
     large = materialize(sets.groupBy("cluster").agg(*totals).filter(parts > 1).select("cluster"), "large-signed")
-    rows = sets.join(_small(large), "cluster", "left_anti").select(name("cluster").alias("group"), "key", "n", role(BOTH), "signature")
+    own = sets.join(_small(large), "cluster", "left_anti").select(name("cluster").alias("group"), "key", "n", role(BOTH), "signature")
+
+    def compared(rows: DataFrame) -> DataFrame:
+        dealt = rows.select("group", "key", "n", "role", "signature").repartition("group").sortWithinPartitions("group")
+        return dealt.mapInArrow(_signed(percent), "a bigint, b bigint")
+
+    # a whole cluster in one group is done with it; what several groups found is put together
+    found = compared(own).select(F.col("b").alias("key"), F.col("a").alias("cluster"))
     if large.limit(1).count():
         big = sets.join(_small(large), "cluster").withColumn("band", F.floor(F.log("n") / _band_width(percent)).cast("int"))
         cells = materialize(big.groupBy("cluster", "band").agg(*totals).select("cluster", "band", parts.alias("parts")), "signed-cells")
@@ -517,10 +525,8 @@ def _near_clusters(sets: DataFrame, percent: int, most: int) -> DataFrame:
         at = ["cluster", "band", "part"]
         left = pairs.select(*at, "group", F.when(F.col("alone"), BOTH).otherwise(STAYS).alias("role"))
         right = pairs.filter("not alone").select("cluster", F.col("band2").alias("band"), F.col("part2").alias("part"), "group", role(WALKS))
-        rows = rows.union(placed.join(_small(left.union(right)), at).select("group", "key", "n", "role", "signature"))
-    dealt = rows.repartition("group").sortWithinPartitions("group")
-    found = components(dealt.select("group", "key", "n", "role", "signature").mapInArrow(_signed(percent), "a bigint, b bigint"), "near")
-    return materialize(found.select(F.col("node").alias("key"), F.col("root").alias("cluster")), "near-clusters")
+        found = found.union(components(compared(placed.join(_small(left.union(right)), at)), "near"))
+    return materialize(found, "near-clusters")
 
 
 def _prefix_tokens(percent: int):
