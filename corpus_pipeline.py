@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from strainflow.llm import bpe, decontaminate, lines, ngram_join, toxicity
 from strainflow.llm.common import bounded_batches, delete, materialize, new_path, scratch, table, written
 
+#: Smaller blocks than op1's cost some CPU time and save Python workers' memory: the stages before have
+#: grown the executors' heaps to their limit.
+BLOCK_BYTES = 6 << 20
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 _last = threading.local()
 
@@ -82,8 +85,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     vocabulary = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    ids = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN)
-    return bpe.decode(ids, vocabulary).select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    after = (bpe.ids_and_digest(vocabulary.path), bpe.IDS_AND_DIGEST)
+    return bpe.encode(docs, vocabulary, public_tokenizers.PATTERN, block_bytes=BLOCK_BYTES, after=after)
 
 
 STAGES = [("toxicity", toxic), ("line_dedup", site_lines), ("ngram_join", near_copies), ("decontamination", benchmarks), ("byte_bpe", tokens)]

@@ -379,6 +379,22 @@ def digests(path: str):
     return run
 
 
+def ids_and_digest(path: str):
+    """For encode()'s `after`: the number of ids, the ids, and a digest of what they decode to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = _pieces(path)
+        for batch in batches:
+            for k in range(0, batch.num_rows, 500):
+                some = batch.slice(k, 500)
+                ids = some.column(1)
+                texts = [hashlib.sha256(x).hexdigest() for x in _joined(ids, pieces)]
+                yield pa.record_batch([some.column(0), ids.value_lengths().cast(pa.int64()), ids, pa.array(texts, pa.string())], ["id", "n_tokens", "ids", "decoded_sha256"])
+
+    return run
+
+
+IDS_AND_DIGEST = "n_tokens bigint, ids array<int>, decoded_sha256 string"
 DIGESTS = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 

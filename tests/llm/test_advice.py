@@ -199,3 +199,24 @@ def test_op9_signatures_lose_no_link(percent):
     role = np.where(key % 2, ngram_join.STAYS, ngram_join.WALKS)
     label = connected(ngram_join._allowed(percent, key, n, role, signs))
     assert all(label[a] == label[b] for a, b in links if role[a] != role[b])
+
+
+def test_pipeline_tokens_take_two_workers_a_task(spark, tmp_path):
+    """Ids are decoded in the worker that puts them together."""
+    import hashlib
+
+    import corpus_pipeline
+    import public_tokenizers
+    from strainflow.llm import bpe
+
+    rows = [(0, "It's a test, isn't it?"), (1, ""), (2, None), (3, "f\u00fcr 100 \U0001f600 " * 9), (None, "x" * 700), (3, "again")]
+    frame = _frame(spark, rows)
+    found = corpus_pipeline.tokens(spark, frame, str(tmp_path))
+    assert found.columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 2
+    ids = bpe.encode(frame, bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    wanted = sorted((str(r["doc_id"]), r["ids"]) for r in ids.collect())
+    got = found.collect()
+    assert sorted((str(r["doc_id"]), r["ids"]) for r in got) == wanted
+    assert all(r["n_tokens"] == len(r["ids"]) for r in got)
+    assert sorted(r["decoded_sha256"] for r in got) == sorted(hashlib.sha256((x or "").encode()).hexdigest() for _, x in rows)
