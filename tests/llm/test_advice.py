@@ -213,7 +213,11 @@ def test_pipeline_tokens_take_two_workers_a_task(spark, tmp_path):
     frame = _frame(spark, rows)
     found = corpus_pipeline.tokens(spark, frame, str(tmp_path))
     assert found.columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"]
-    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 2
+    node, names = found._jdf.queryExecution().optimizedPlan(), []
+    while node.children().size():
+        names.append(node.nodeName())
+        node = node.children().apply(0)
+    assert names.count("MapInArrow") == 2
     ids = bpe.encode(frame, bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
     wanted = sorted((str(r["doc_id"]), r["ids"]) for r in ids.collect())
     got = found.collect()
