@@ -1,12 +1,14 @@
 """Bundles against their contracts: every check of every table in one job, which never stops early.
 
-A check turns rows into breaches (table, check, example), and a report adds them up: how many there
-are and the first ten different examples of each, found by a ranking that every task prunes to ten
-before the shuffle. A check without a breach has a row with 0. What the schema or the manifest alone
+A check turns rows into breaches (table, check, example), and a report adds them up once and writes how
+often each example is there (stage.staged). From that it takes how many there are of a check and its first
+ten different examples, found by a ranking that every task prunes to ten before the shuffle. A check without a breach has a row with 0. What the schema or the manifest alone
 decides is a breach made on the driver, and row checks whose columns are missing are left out."""
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
 
@@ -14,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strainflow.sources.contracts import ANTIBIOTICS, DENOMINATOR, SCOPE, WIDE, Contract
+from strainflow.sources.stage import staged
 
 MOST = 10
 GRAIN = "grain: not unique"
@@ -72,11 +75,13 @@ def checks(contract: Contract, columns: list[str]) -> list[Check]:
 
 
 def breaches(table: str, df: DataFrame, some: list[Check]) -> DataFrame:
-    """(table_name, check_name, example): a row for each check that a row of df breaks, in one scan."""
+    """(table_name, check_name, example): a row for each check that a row of df breaks, in one scan, in
+    which rows that break none go first."""
     if not some:
         return _found(df.sparkSession, [])
-    items = [F.when(F.coalesce(c.bad, F.lit(False)), F.struct(F.lit(c.name).alias("check_name"), c.example.alias("example"))) for c in some]
-    return df.select(F.explode(F.array_compact(F.array(*items))).alias("x")).select(F.lit(table).alias("table_name"), "x.*")
+    bad = [F.coalesce(c.bad, F.lit(False)) for c in some]
+    items = [F.when(b, F.struct(F.lit(c.name).alias("check_name"), c.example.alias("example"))) for b, c in zip(bad, some, strict=True)]
+    return df.filter(functools.reduce(operator.or_, bad)).select(F.explode(F.array_compact(F.array(*items))).alias("x")).select(F.lit(table).alias("table_name"), "x.*")
 
 
 def repeated(table: str, df: DataFrame, grain: Iterable[str]) -> DataFrame:
@@ -140,11 +145,11 @@ def signal_breaches(table: str, signals: DataFrame, candidates: DataFrame, key:
 
 
 def report(spark: SparkSession, found: list[DataFrame], names: list[tuple[str, str]], most: int = MOST) -> DataFrame:
-    """(table_name, check_name, n, examples) of all names, in one job."""
+    """(table_name, check_name, n, examples) of all names; what is found is added up once, in one job."""
     rows = found[0]
     for more in found[1:]:
         rows = rows.unionByName(more)
-    each = rows.groupBy("table_name", "check_name", "example").agg(F.count("*").alias("n"))
+    each = staged(rows.groupBy("table_name", "check_name", "example").agg(F.count("*").alias("n")), "breaches")
     totals = each.groupBy("table_name", "check_name").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("table_name", "check_name").orderBy(F.asc_nulls_last("example")))
     first = each.withColumn("_k", place).filter(F.col("_k") <= most).groupBy("table_name", "check_name").agg(F.array_sort(F.collect_list("example")).alias("examples"))

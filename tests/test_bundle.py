@@ -160,6 +160,25 @@ def test_ten_least_examples(spark):
     assert {r["check_name"]: (r["n"], r["examples"]) for r in got.collect()} == {"c": (900, [f"{k:02d}" for k in range(5, 15)]), "never": (0, [])}
 
 
+def test_breaches_are_found_once(spark):
+    """A report ranks and sums what one job found and wrote."""
+    rows = spark.range(9).select(F.col("id").cast("string").alias("v"))
+    some = validation.breaches("t", rows, [validation.Check("c", F.col("v") >= "5", F.col("v"))])
+    report = validation.report(spark, [some], [("t", "c")])
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(array_compact" not in plan and plan.count("Relation [table_name") == 2, plan
+    assert [(r["n"], r["examples"]) for r in report.collect()] == [(4, ["5", "6", "7", "8"])]
+
+
+def test_written_plans_run_in_methods_that_are_compiled(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    name, seen, write = "spark.sql.codegen.hugeMethodLimit", [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (seen.append(int(spark.conf.get(name))), write(self, *a, **k)))
+    before = spark.conf.get(name)
+    assert staged(spark.range(3), "few").count() == 3 and seen == [8000] and spark.conf.get(name) == before
+
+
 def test_runtime_inputs(spark):
     scoped = spark.createDataFrame([("P", "E", "L", "U", True, "s", "r"), ("Q", None, "L", "U", None, "s", "r")], ", ".join(f"{c} {'boolean' if 'eligible' in c else 'string'}" for c in validation.RUNTIME_SCOPE))
     nights = spark.createDataFrame([(2024, 5)], "calendar_year int, hospital_nights bigint")
