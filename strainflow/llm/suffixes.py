@@ -11,9 +11,9 @@ for windows that reach far left and right for the others, so no anchor is a sing
 of runs of which all but a few bytes of a window are another doc_id's run's too go on, but for those that
 equal a part of smaller doc_id, which covers them whole.
 
-Suffix arrays. These parts are concatenated in blocks, the anchor being one symbol of its group,
-and sorted by linear grouping construction (Baier 2016): suffixes are grouped by their Lyndon
-prefixes, groups in descending order split the groups of their previous-smaller suffixes, and then
+Suffix arrays. These parts are concatenated in blocks, the anchor with the bytes on its side, which all
+windows dealt by them hold, being one symbol for all parts that have these bytes, and sorted by linear
+grouping construction (Baier 2016): suffixes are grouped by their Lyndon prefixes, groups in descending order split the groups of their previous-smaller suffixes, and then
 each group's order is emitted from the next smaller suffix, without recursive renaming. Suffixes
 that agree on a window's symbols are neighbours, and the least doc_id among them decides.
 
@@ -49,8 +49,11 @@ _RUN = WINDOW - GRAM + 1  # grams in a window, windows around a gram
 _AROUND = WINDOW - GRAM  # bytes of a window besides its gram
 #: Windows by how many bytes they reach left of the anchor, this many lengths to a class; classes
 #: below _RIGHT are dealt by what is right of the anchor, the others by what is left of it.
-_CLASS, _RIGHT = 5, 3
-TEXT_BUCKET, RUN_BUCKET = 8 << 20, 300_000
+_CLASS, _RIGHT = 2, 8
+#: Bytes of a bucket of texts; runs of a bucket when equal ones are reduced, and when bytes are compared.
+TEXT_BUCKET, RUN_BUCKET, PART_BUCKET = 8 << 20, 600_000, 300_000
+#: Bytes of runs that are fetched at once; their hashes take 32 times as much.
+SLICE = 4 << 20
 #: Symbols of one suffix array.
 BLOCK_SYMBOLS = 150_000
 _LAST = (1 << 63) - 1
@@ -223,6 +226,7 @@ def _deal(buckets: int):
             if not parts:
                 continue
             anchor, content, first, size, at, doc = (np.concatenate(x) for x in zip(*parts, strict=True))
+            anchor = mix(anchor)  # the least of many hashes is small
             bucket = ((anchor >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             anchor, content, first, size, at, doc, bucket = (x[order] for x in (anchor, content, first, size, at, doc, bucket))
@@ -230,7 +234,7 @@ def _deal(buckets: int):
             for b in np.flatnonzero(np.diff(cut)):
                 s = slice(cut[b], cut[b + 1])
                 known, which = np.unique(doc[s], return_inverse=True)
-                packed = [_bytes5(mix(anchor[s])).tobytes(), _bytes5(content[s]).tobytes(), first[s].tobytes(), size[s].tobytes(), at[s].tobytes(), packer.compress(which.astype(np.int32).tobytes()), ids[known].tobytes()]
+                packed = [_bytes5(anchor[s]).tobytes(), _bytes5(content[s]).tobytes(), first[s].tobytes(), size[s].tobytes(), at[s].tobytes(), packer.compress(which.astype(np.int32).tobytes()), ids[known].tobytes()]
                 yield pa.record_batch([pa.array([int(b)], pa.int32()), pa.array([row["bucket"]], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)], ["anchors", "bucket", "anchor", "content", "first", "size", "at", "doc", "ids"])
 
     return run
@@ -295,17 +299,29 @@ def _gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray
     return data[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)]
 
 
+def _asks(asked: list[dict]) -> Iterator[tuple[np.ndarray, ...]]:
+    """first, size, at, id and anchor of what is asked of a text bucket, in slices of about SLICE bytes
+    of runs: however many buckets of anchors there are, no slice is made of a few runs."""
+    kinds = (("first", np.uint32), ("size", np.uint32), ("at", np.uint8), ("id", np.int64))
+    first, size, at, id_ = (np.frombuffer(b"".join([ask[x] for ask in asked]), kind).astype(np.int64) for x, kind in kinds)
+    anchor = _from5(b"".join([ask["anchor"] for ask in asked]))
+    total = np.cumsum(size)
+    cuts = np.searchsorted(total, np.arange(SLICE, total[-1], SLICE)) if len(total) else []
+    edges = np.unique(np.concatenate([[0], cuts, [len(total)]]).astype(np.int64))
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        yield first[a:b], size[a:b], at[a:b], id_[a:b], anchor[a:b]
+
+
 def _fetch(buckets: int):
     """Packed texts with what is asked of them, to the asked runs' bytes: those of windows that
-    reach far left of the anchor, dealt by the bytes left of it, and those of the others."""
+    reach far left of the anchor, dealt by the bytes left of it, and those of the others. A text
+    bucket's slice sends a row to a bucket, whichever buckets of anchors asked."""
     left, right = _CLASS * _RIGHT, _AROUND - _CLASS * _RIGHT + 1  # bytes that all windows of a side reach
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             _, _, data = _unpack(row)
-            for ask in row["asked"]:
-                first, size = np.frombuffer(ask["first"], np.uint32).astype(np.int64), np.frombuffer(ask["size"], np.uint32).astype(np.int64)
-                at, id_, anchor = np.frombuffer(ask["at"], np.uint8).astype(np.int64), np.frombuffer(ask["id"], np.int64), _from5(ask["anchor"])
+            for first, size, at, id_, anchor in _asks(row["asked"]):
                 own = _gather(data, first, size)
                 start, hashes = np.cumsum(size) - size, Spans(own)
                 out = []
@@ -328,18 +344,18 @@ def _fetch(buckets: int):
     return run
 
 
-def shared_windows(symbols: list[int], starts: np.ndarray, stops: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of windows of _RUN symbols that a piece of smaller id has too. Pieces are
+def shared_windows(symbols: list[int], starts: np.ndarray, stops: np.ndarray, ids: np.ndarray, width: int = _RUN) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of windows of width symbols that a piece of smaller id has too. Pieces are
     symbols[start:stop]."""
     text = np.array(symbols, np.int64)
     order = np.array(suffix_array(symbols), np.int64)
     piece = np.searchsorted(starts, order, side="right") - 1
-    good = order + _RUN <= stops[piece]
+    good = order + width <= stops[piece]
     order, piece = order[good], piece[good]
     if not len(order):
         return order, piece
     same = np.arange(len(order) - 1)
-    for k in range(_RUN):
+    for k in range(width):
         same = same[text[order[same] + k] == text[order[same + 1] + k]]
     new = np.ones(len(order), bool)
     new[same + 1] = False
@@ -396,6 +412,27 @@ def _repeated(keys: list[np.ndarray], ids: np.ndarray, begin: np.ndarray, size:
     return out
 
 
+def _core(side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How far left of the anchor what all windows of a side hold begins, and its bytes."""
+    left, right = _CLASS * _RIGHT, _AROUND - _CLASS * _RIGHT + 1
+    return np.where(side == 1, left, 0), GRAM + np.where(side == 1, left, right)
+
+
+def _marked(code: np.ndarray, side: np.ndarray, which: np.ndarray, anchor: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """which in the order of side, code and the bytes that all windows hold, byte by byte, and where
+    these differ from those before. anchor: where it is in data."""
+    before, core = _core(side)
+    words = np.zeros((len(which), -(-WINDOW // 8) * 8), np.uint8)
+    place = np.arange(words.shape[1])
+    held = place < core[:, None]
+    words[held] = data[((anchor - before)[:, None] + place)[held]]
+    keys = [*words.view(np.uint64).T, code, side]
+    order = np.lexsort(keys)
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in keys])
+    return which[order], new
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs that share an anchor and the bytes on a side of it: what is covered in each (kind 0)."""
     for _, rows in _grouped(_rows(batches), "anchors"):
@@ -417,27 +454,26 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         found: list[list[np.ndarray]] = [[np.repeat(bucket[run[whole]], n)], [np.repeat((first[run] + lo)[whole], n) + windows]]
         order = np.flatnonzero(~whole)
-        order = order[np.argsort(code[run[order]], kind="stable")]
+        order, new = _marked(code[run[order]], side[run[order]], order, (start + at)[run[order]], data)
         run, lo, hi = run[order], lo[order], hi[order]
-        new = np.ones(len(run), bool)
-        new[1:] = code[run][1:] != code[run][:-1]
         mark = 257 + np.cumsum(new)
-        # a part is its bytes with the anchor as one symbol, and an end
-        left, length = at[run] - lo, hi - lo - GRAM + 2
+        # a part is its bytes with what all its windows hold as one symbol, and an end
+        before, core = _core(side[run])
+        left, length = at[run] - before - lo, hi - lo - core + 2
         total = np.cumsum(length)
         heads = np.flatnonzero(new)
         cuts = [0]
         for h in [*heads[1:].tolist(), len(run)]:
-            if h == len(run) or total[h - 1] - (total[cuts[-1] - 1] if cuts[-1] else 0) >= BLOCK_SYMBOLS:
+            if h == len(run) or side[run[h]] != side[run[h - 1]] or total[h - 1] - (total[cuts[-1] - 1] if cuts[-1] else 0) >= BLOCK_SYMBOLS:
                 cuts.append(h)
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             n = length[a:b]
             starts = np.cumsum(n) - n
             pos, l, e = (np.arange(n.sum()) - np.repeat(starts, n)), np.repeat(left[a:b], n), np.repeat(n, n)
-            take = np.repeat((start[run] + lo)[a:b], n) + pos + np.where(pos > l, GRAM - 1, 0)
+            take = np.repeat((start[run] + lo)[a:b], n) + pos + np.where(pos > l, core[a] - 1, 0)
             take[pos == e - 1] = 0
             symbols = np.where(pos == e - 1, 0, np.where(pos == l, np.repeat(mark[a:b], n), data[take].astype(np.int64) + 1))
-            where, piece = shared_windows(symbols.tolist(), starts, starts + n - 1, id_[run[a:b]])
+            where, piece = shared_windows(symbols.tolist(), starts, starts + n - 1, id_[run[a:b]], WINDOW - int(core[a]) + 1)
             piece += a
             found[0].append(bucket[run[piece]])
             found[1].append((first[run] + lo)[piece] + where - (starts[piece - a]))
@@ -484,14 +520,14 @@ def dedupe(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     bounded_batches(docs.sparkSession, "16m")
     text = text_or_empty(text_col)
     size = total_bytes(docs, text)
-    texts, anchors = parts_for(size, TEXT_BUCKET), parts_for(size // (_RUN // 2), RUN_BUCKET)
+    texts, anchors, parts = parts_for(size, TEXT_BUCKET), *(parts_for(size // (_RUN // 2), n) for n in (RUN_BUCKET, PART_BUCKET))
     id_ = F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST))
     rows = docs.select(F.pmod(F.xxhash64(id_), F.lit(texts)).cast("int").alias("bucket"), id_.alias("id"), text.alias("text"))
     packed = materialize(rows.repartition(texts, "bucket").mapInArrow(_pack, _PACKED), "texts")
     found = materialize(packed.mapInArrow(_deal(anchors), _DEALT).repartition(anchors, "anchors").sortWithinPartitions("anchors").mapInArrow(_resolve, _FOUND), "runs")
     asked = found.filter("kind = 1").groupBy("bucket").agg(F.collect_list(F.struct("anchors", "first", "size", "at", "anchor", "id")).alias("asked"))
-    fetched = packed.join(asked, "bucket").select("bucket", "ids", "ends", "data", "asked").mapInArrow(_fetch(anchors), _ASKED)
-    compared = materialize(fetched.repartition(anchors, "anchors").sortWithinPartitions("anchors").mapInArrow(_compare, "bucket int, first binary, size binary"), "compared")
+    fetched = packed.join(asked, "bucket").select("bucket", "ids", "ends", "data", "asked").mapInArrow(_fetch(parts), _ASKED)
+    compared = materialize(fetched.repartition(parts, "anchors").sortWithinPartitions("anchors").mapInArrow(_compare, "bucket int, first binary, size binary"), "compared")
     covered = found.filter("kind = 0").select("bucket", "first", "size").union(compared).groupBy("bucket").agg(F.collect_list(F.struct("first", "size")).alias("covered"))
     out = packed.join(covered, "bucket", "left").select("ids", "ends", "data", "covered")
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))), T.StructField("kept", T.BinaryType())])

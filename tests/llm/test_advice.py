@@ -148,6 +148,46 @@ def test_op5_parts_of_a_smaller_document_need_no_suffix_array():
     assert S._repeated(key, np.array([2, 2, 2]), begin, size, data).tolist() == [False, False, False]
 
 
+@pytest.mark.parametrize(("piece", "block"), [(4 << 20, 150_000), (300, 50)])
+def test_op5_a_bucket_of_texts_sends_a_row_to_a_bucket(monkeypatch, piece, block):
+    """However many buckets of anchors ask, runs are fetched by slices of bytes; what is compared of them is a
+    symbol for all that their windows hold, and what is removed is what a search of all windows removes."""
+    import random
+
+    import pyarrow as pa
+
+    from strainflow.llm import suffixes as S
+
+    monkeypatch.setattr(S, "SLICE", piece, raising=False)
+    monkeypatch.setattr(S, "BLOCK_SYMBOLS", block)
+    rng = random.Random(11)
+    passages = ["".join(rng.choice("abcd ") for _ in range(rng.randrange(40, 200))) for _ in range(12)]
+    texts = []
+    for _ in range(60):
+        cut = [p[rng.randrange(20) : len(p) - rng.randrange(20)] for p in rng.choices(passages, k=4)]
+        texts.append("".join(c if rng.random() < 0.97 else "X" for c in "".join(x + rng.choice("efgh") * rng.randrange(3) for x in cut)))
+    batch = pa.record_batch([pa.array([0] * len(texts), pa.int32()), pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["bucket", "id", "text"])
+    packed = list(S._pack(iter([batch])))
+    ordered = lambda batches: iter([pa.Table.from_batches(batches).sort_by("anchors").combine_chunks().to_batches()[0]])
+    found = [r for b in S._resolve(ordered(list(S._deal(40)(iter(packed))))) for r in b.to_pylist()]
+    asked = [r for r in found if r["kind"] == 1]
+    rows = packed[0].append_column("asked", pa.array([asked]))
+    sent = list(S._fetch(40)(iter([rows])))
+    assert len(asked) > 20 and (piece < 1000 or len(sent) <= 40)
+    sizes, real = [], S.shared_windows
+    monkeypatch.setattr(S, "shared_windows", lambda symbols, *more: (sizes.append(len(symbols)), real(symbols, *more))[1])
+    covered = [(r["first"], r["size"]) for b in S._compare(ordered(sent)) for r in b.to_pylist()] + [(r["first"], r["size"]) for r in found if r["kind"] == 0]
+    assert 0 < sum(sizes) < sum(len(r["bytes"]) for b in sent for r in b.to_pylist()) / 2
+    out = [r for b in S._cut(iter([packed[0].append_column("covered", pa.array([[{"first": f, "size": n} for f, n in covered]]))])) for r in b.to_pylist()]
+    first = {}
+    for k, t in enumerate(texts):
+        for i in range(len(t) - S.WINDOW + 1):
+            first.setdefault(t[i : i + S.WINDOW], k)
+    for k, t in enumerate(texts):
+        gone = {j for i in range(len(t) - S.WINDOW + 1) if first[t[i : i + S.WINDOW]] < k for j in range(i, i + S.WINDOW)}
+        assert out[k]["kept"].decode() == "".join(c for j, c in enumerate(t) if j not in gone)
+
+
 @pytest.mark.parametrize("signed_sets", [2000, 7])
 def test_op9_only_what_signatures_allow_goes_on(spark, monkeypatch, signed_sets):
     """Sets that merely share a rare passage are in one cluster, and none of their shingles travels."""
