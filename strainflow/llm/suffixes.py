@@ -13,9 +13,10 @@ equal a part of smaller doc_id, which covers them whole.
 
 Suffix arrays. These parts are concatenated in blocks, the anchor with the bytes on its side, which all
 windows dealt by them hold, being one symbol for all parts that have these bytes, and sorted by linear
-grouping construction (Baier 2016): suffixes are grouped by their Lyndon prefixes, groups in descending order split the groups of their previous-smaller suffixes, and then
-each group's order is emitted from the next smaller suffix, without recursive renaming. Suffixes
-that agree on a window's symbols are neighbours, and the least doc_id among them decides.
+grouping construction (Baier 2016): suffixes are grouped by their Lyndon prefixes, groups in
+descending order split the groups of their previous-smaller suffixes, and then each group's order is
+emitted from the next smaller suffix, without recursive renaming. Suffixes that agree on a window's
+symbols are neighbours, and the least doc_id among them decides.
 
 All shuffles carry packed arrays by bucket: texts by a hash of doc_id, runs by a hash of the anchor.
 Tasks take bucket after bucket from sorted partitions. A bucket holds a bounded number of bytes or
